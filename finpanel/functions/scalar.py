@@ -104,7 +104,7 @@ def period_label(fy: ColumnOrName, fp: ColumnOrName) -> Column:
 def yyyymmdd_to_date(c: ColumnOrName) -> Column:
     """Integer or text yyyymmdd -> DATE, NULL when invalid (e.g. 20251340)."""
     s = coerce_numeric(c, "bigint").cast("string")
-    return F.try_to_date(s, F.lit("yyyyMMdd"))
+    return F.try_to_date(s, "yyyyMMdd")
 
 
 def date_to_yyyymmdd(c: ColumnOrName) -> Column:
