@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finpanel import schema as S
-from finpanel.operators.joins import maybe_broadcast
+from finpanel.operators.joins import BROADCAST_MAX_ROWS
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -106,8 +106,7 @@ def column_inventory(df: DataFrame, cols: Sequence[str] | None = None, exact: bo
     if exact:
         long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
                   .unpivot([], cols, "column", "value").where(F.col("value").isNotNull()))
-        nd = long.groupBy("column", "value").agg().groupBy("column").agg(
-            F.count(F.lit(1)).alias("n_distinct"))
+        nd = long.distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
     else:
         one = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols])
         nd = one.unpivot([], cols, "column", "n_distinct")
@@ -157,14 +156,16 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     fr = [i / nb for i in range(1, nb)]
     cuts = cnt.groupBy(*G).agg(F.percentile_approx("x", fr, 10000).alias("cuts"),
                                F.sum("c").alias("n"))
-    cuts = maybe_broadcast(cuts)
-    b = (cnt.join(cuts.select(*G, "cuts"), G)
+    # every helper table below has at most n_groups * buckets rows: one count bounds them all
+    small = cuts.count() * (nb + 2 * len(probs)) <= BROADCAST_MAX_ROWS
+    bc = F.broadcast if small else (lambda x: x)
+    b = (cnt.join(bc(cuts.select(*G, "cuts")), G)
             .withColumn("bucket", F.size(F.filter("cuts", lambda v: v <= F.col("x"))))
             .drop("cuts"))
     btot = b.groupBy(*G, "bucket").agg(F.sum("c").alias("bc"))
     off = btot.withColumn("off", F.coalesce(F.sum("bc").over(
         Window.partitionBy(*G).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    b = b.join(maybe_broadcast(off.select(*G, "bucket", "off")), G + ["bucket"])
+    b = b.join(bc(off.select(*G, "bucket", "off")), G + ["bucket"])
     w = Window.partitionBy(*G, "bucket").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     b = b.withColumn("hi_rank", F.col("off") + F.sum("c").over(w))  # exclusive upper rank
     b = b.withColumn("lo_rank", F.col("hi_rank") - F.col("c"))
@@ -177,8 +178,12 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         F.struct(F.lit("lo").alias("which"), F.col("k_lo").alias("rank")),
         F.struct(F.lit("hi").alias("which"), F.col("k_hi").alias("rank")))).alias("t")
     ).select(*G, "p", "frac", "t.which", "t.rank")
-    cond = [b[g] == tl[g] for g in G] + [tl["rank"] >= b["lo_rank"], tl["rank"] < b["hi_rank"]]
-    hit = b.join(maybe_broadcast(tl), cond).select(*[tl[g] for g in G], tl["p"], tl["frac"], tl["which"], b["x"])
+    bb, tt = b.alias("b"), bc(tl).alias("t")
+    cond = [F.col(f"b.{g}") == F.col(f"t.{g}") for g in G] + [
+        F.col("t.rank") >= F.col("b.lo_rank"), F.col("t.rank") < F.col("b.hi_rank")]
+    hit = bb.join(tt, cond).select(*[F.col(f"t.{g}").alias(g) for g in G], F.col("t.p").alias("p"),
+                                   F.col("t.frac").alias("frac"), F.col("t.which").alias("which"),
+                                   F.col("b.x").alias("x"))
     piv = hit.groupBy(*G, "p", "frac").pivot("which", ["lo", "hi"]).agg(F.first("x"))
     return piv.select(*G, "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("value"))
 
