@@ -36,32 +36,54 @@ def _guard(entity, c: Column) -> Column:
     return F.when(cond, c)
 
 
+def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool, bool]],
+             cols: Sequence[str] | None = None) -> DataFrame:
+    """First row per ``keys`` under ``order`` = [(column, ascending, nulls_first), ...].
+
+    Written as ONE min/max aggregate over a struct (sort keys, then the whole row), so
+    Spark combines map-side: a key holding a third of all rows is reduced inside every
+    map task before the shuffle, and no group is ever sorted in a single task (a
+    ``row_number`` window would). Numeric sort keys can run in either direction; all
+    non-numeric keys must share one direction (it picks min or max). ``cols`` limits
+    the carried row (struct fields are not pruned later, so pass what you need)."""
+    types = dict(df.dtypes)
+    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    other_dirs = {asc for c, asc, _ in order if types[c] not in numeric and not types[c].startswith("decimal")}
+    if len(other_dirs) > 1:
+        raise ValueError("non-numeric sort keys must share one direction")
+    use_min = other_dirs.pop() if other_dirs else True
+    parts = []
+    for i, (c, asc, nulls_first) in enumerate(order):
+        x = F.col(c)
+        if asc != use_min:  # only numeric keys reach here
+            x = -x
+        null_small = nulls_first if use_min else not nulls_first
+        flag = F.when(F.col(c).isNull(), 0 if null_small else 1).otherwise(1 if null_small else 0)
+        parts += [flag.alias(f"f{i}"), x.alias(f"k{i}")]
+    keep = list(dict.fromkeys(list(keys) + list(cols))) if cols else df.columns
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    pick = F.min if use_min else F.max
+    return (df.groupBy(*keys).agg(pick(F.struct(*parts, row)).alias("_best"))
+              .select("_best.row.*"))
+
+
 def dedup_latest(df: DataFrame, keys: Sequence[str], by: str = "filed",
-                 tie: Sequence[str] = ("adsh",)) -> DataFrame:
+                 tie: Sequence[str] = ("adsh",), cols: Sequence[str] | None = None) -> DataFrame:
     """Keep one row per ``keys``: latest ``by`` (a NULL ``by`` counts as latest,
     as pandas sorts NaN last and keeps the last row), ties -> largest ``tie``."""
-    w = Window.partitionBy(*keys).orderBy(
-        F.col(by).desc_nulls_first(), *[F.col(t).desc_nulls_first() for t in tie])
-    return (df.withColumn("_rn", F.row_number().over(w))
-              .where(F.col("_rn") == 1).drop("_rn"))
+    return first_by(df, keys, [(by, False, True)] + [(t, False, True) for t in tie], cols)
 
 
 def dedup_longest(df: DataFrame, keys: Sequence[str] = ("adsh", "tag"), by: str = "qtrs",
-                  tie: Sequence[str] = ("version", "value")) -> DataFrame:
+                  tie: Sequence[str] = ("version", "value"), cols: Sequence[str] | None = None) -> DataFrame:
     """Keep the row with the largest duration per (filing, tag); ties by ``tie`` ascending."""
-    w = Window.partitionBy(*keys).orderBy(
-        F.col(by).desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tie])
-    return (df.withColumn("_rn", F.row_number().over(w))
-              .where(F.col("_rn") == 1).drop("_rn"))
+    return first_by(df, keys, [(by, False, False)] + [(t, True, False) for t in tie], cols)
 
 
 def dedup_last_by_id(df: DataFrame, id_col: str = "adsh", by: str = "quarter",
-                     tie: Sequence[str] = ()) -> DataFrame:
+                     tie: Sequence[str] = (), cols: Sequence[str] | None = None) -> DataFrame:
     """Keep the last header per id (by loading order, e.g. quarter); ties -> largest ``tie``."""
-    w = Window.partitionBy(id_col).orderBy(
-        F.col(by).desc_nulls_last(), *[F.col(t).desc_nulls_last() for t in tie])
-    return (df.withColumn("_rn", F.row_number().over(w))
-              .where(F.col("_rn") == 1).drop("_rn"))
+    return first_by(df, [id_col], [(by, False, False)] + [(t, False, False) for t in tie], cols)
 
 
 def lag_expr(entity, order, c: str, n: int = 1) -> Column:
