@@ -157,7 +157,8 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     cuts = cnt.groupBy(*G).agg(F.percentile_approx("x", fr, 10000).alias("cuts"),
                                F.sum("c").alias("n"))
     # every helper table below has at most n_groups * buckets rows: one count bounds them all
-    small = cuts.count() * (nb + 2 * len(probs)) <= BROADCAST_MAX_ROWS
+    n_groups = len(cols) if not by else cuts.count()
+    small = n_groups * (nb + 2 * len(probs)) <= BROADCAST_MAX_ROWS
     bc = F.broadcast if small else (lambda x: x)
     b = (cnt.join(bc(cuts.select(*G, "cuts")), G)
             .withColumn("bucket", F.size(F.filter("cuts", lambda v: v <= F.col("x"))))

@@ -62,11 +62,14 @@ def filter_min(df: DataFrame, c: str, minimum, null_as_zero: bool = False) -> Da
 
 
 def filter_min_group(df: DataFrame, entity: str, count_col: str = "adsh", minimum: int = 2) -> DataFrame:
-    """Drop entities with fewer than ``minimum`` non-null ``count_col`` rows.
-
-    A window count keeps it to one shuffle on the entity (no join back)."""
-    n = F.count(F.col(count_col)).over(Window.partitionBy(entity))
-    return df.withColumn("_n", n).where(F.col("_n") >= minimum).drop("_n")
+    """Drop entities with fewer than ``minimum`` non-null ``count_col`` rows; rows with a
+    NULL entity are kept (pandas groupby never counts them, so they are never listed).
+
+    Counts are a partial/final aggregate (a huge entity is pre-counted map-side), then
+    joined back on the entity; the count table has one row per entity."""
+    counts = (df.where(F.col(entity).isNotNull()).groupBy(entity)
+                .agg(F.count(F.col(count_col)).alias("_n")).where(F.col("_n") < minimum).select(entity))
+    return df.join(counts, entity, "left_anti")
 
 
 def step_audit(df: DataFrame, steps: Sequence[tuple[str, Column]], entity: str | None = None) -> DataFrame:

@@ -104,7 +104,7 @@ def q_topk_coverage(spark, d):
 
 
 INV = [("cik", "bigint", "meta"), ("fy", "int", "meta"), ("fp", "string", "meta"),
-       ("revenue", "double", "other"), ("n_orders", "bigint", "other")]
+       ("revenue", "double", "xbrl_raw"), ("n_orders", "bigint", "xbrl_raw")]
 
 
 @register("column_inventory", PQ + "\nUNION ALL\n".join(

@@ -138,6 +138,17 @@ CLIP_BOUNDS = {
     "fe_delta_liquidez_qoq": (-20.0, 20.0),
     "fe_delta_apalancamiento_qoq": (-10.0, 10.0),
 }
+# column families by prefix, in checking order; meta columns; everything else raw XBRL
+FAMILY_PREFIXES = ["fe_ctx_", "fe_anual_", "fe_ratio_", "fe_zscore_", "fe_flag_", "fe_shares_", "fe_delta_"]
+# keep/drop and leakage classes
+DROP_REDUNDANT = ["fe_ctx_revenue_consolidado", "fe_ctx_periodo", "fe_anual_factor"]
+FEATURES_A_FORBIDDEN = [
+    "fe_zscore_x1_wc_assets", "fe_zscore_x2_re_assets", "fe_zscore_x3_ebit_assets",
+    "fe_zscore_x4_equity_liab", "fe_zscore_x5_rev_assets", "fe_zscore_altman",
+    "fe_zscore_risk_score", "fe_flag_altman_distress", "fe_flag_altman_grey",
+]
+FEATURES_B_AUTOREGRESSIVE = ["fe_delta_zscore_qoq", "fe_delta_risk_score_qoq",
+                             "fe_delta_risk_score_prev", "fe_delta_risk_deterioro"]
 # ---------------------------------------------------------------------------
 
 TAGS_USD = list(dict.fromkeys(TAGS_BALANCE + TAGS_INCOME + TAGS_CASHFLOW))
@@ -176,17 +187,10 @@ RAW_SCHEMAS = {
 
 
 def family_of(col: str) -> str:
-    """Column family by name prefix (fe_ratio_* -> ratio ...; tags -> tag)."""
-    for p in ("ctx", "anual", "ratio", "zscore", "flag", "shares", "delta", "imputed", "isnull",
-              "clipped", "sic"):
-        if col.startswith(f"fe_{p}_"):
-            return p
-    if col.startswith("target_"):
-        return "target"
+    """Column family by name: fe_* prefix family, 'meta', or 'xbrl_raw'."""
+    for p in FAMILY_PREFIXES:
+        if col.startswith(p):
+            return p[:-1]
     if col in META_COLS:
         return "meta"
-    if col.endswith("_qtrs"):
-        return "duration"
-    if col in ALL_TAGS:
-        return "tag"
-    return "other"
+    return "xbrl_raw"
