@@ -15,7 +15,7 @@ from finpanel.operators.prepare import impute_backstop
 from finpanel.operators.targets import score_class
 from finpanel.operators.topk import model_ranking, topk_importance
 from finpanel.plans.catalog_panel import RISK_SQL, risk_panel
-from finpanel.plans.catalog_prepare import _ts
+from finpanel.session import cut_lineage
 from finpanel.plans.registry import register, rounded
 
 M_SQL = RISK_SQL + """,
@@ -30,9 +30,8 @@ CUT = 1998
 
 
 def m_view(spark, d):
-    r = risk_panel(spark, d)
     from finpanel.plans.catalog_panel import E, O
-    p = dv_fp_ord(r)
+    p = risk_panel(spark, d)
     return p.withColumns({
         "risk_delta": F.col("risk") - lag_expr(E, O, "risk"),
         "pred_distress": F.when(F.col("risk").isNotNull(), (F.col("risk") >= 0.5).cast("int")).otherwise(0),
@@ -256,15 +255,18 @@ def q_model_ranking(spark, d):
 
 # -- Spark ML fits (rows-only) ------------------------------------------------------
 
-FEATS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_ratio_apalancamiento", "fe_ratio_quick", "fe_delta_assets_qoq",
-         "fe_ratio_deuda_equity", "fe_flag_perdida_neta"]
+FEATS = ["price_sum", "revenue", "disc_avg", "n_orders", "revenue_qoq", "risk", "risk_delta"]
 
 
 def _train_valid(spark, d):
-    ts = _ts(spark, d).where(F.col("target_score_next").isNotNull())
-    ts = impute_backstop(ts, FEATS).withColumn("target_distress_next", F.col("target_distress_next").cast("double")) \
-        .withColumn("target_class_next", F.col("target_class_next").cast("double"))
-    return sp.split_temporal(ts, "fy", CUT)
+    """Customer-quarter panel with next-quarter targets; NULL features back-stopped;
+    materialised once in the checkpoint folder so every fit reads the small table."""
+    m = m_view(spark, d).where(F.col("target_score_next").isNotNull())
+    m = m.select("cik", "fy", "fp", "fp_ord", *FEATS, "target_score_next",
+                 F.col("target_distress_next").cast("double").alias("target_distress_next"),
+                 F.col("target_class_next").cast("double").alias("target_class_next"))
+    m = cut_lineage(impute_backstop(m, FEATS))
+    return sp.split_temporal(m, "fy", CUT)
 
 
 def _fit_query(fit):
@@ -326,14 +328,13 @@ def q_metric_recheck(spark, d):
 @register("ablation")
 def q_ablation(spark, d):
     tr, va = _train_valid(spark, d)
-    groups = {"liquidity": ["fe_ratio_liquidez", "fe_ratio_quick"], "leverage": ["fe_ratio_apalancamiento",
-                                                                                  "fe_ratio_deuda_equity"]}
+    groups = {"size": ["price_sum", "revenue", "n_orders"], "momentum": ["revenue_qoq", "risk_delta"]}
     return se.ablation(tr, va, "target_score_next", FEATS, mo.MODEL_GRID["ridge"], groups)
 
 
 @register("param_search")
 def q_param_search(spark, d):
     tr, _ = _train_valid(spark, d)
-    folded = fo.temporal_folds(tr, "fy", "fp", "adsh", 3)
+    folded = cut_lineage(fo.temporal_folds(tr, "fy", "fp", "cik", 3))
     space = {"l2": [0.001, 0.01, 0.1, 1.0], "l1_ratio": [0.0, 0.5, 1.0]}
     return se.param_search(folded, "target_score_next", FEATS, space, {"fit": "linear"}, trials=30, n_folds=3)

@@ -22,10 +22,11 @@ def risk_panel(spark, d):
         "revenue_qoq": pn.pct_delta_expr(E, O, "revenue", 5.0),
     })
     p = p.withColumn("risk", sigmoid_score("revenue_qoq", 1.23))
-    p = targets(p, E, O, "risk")
-    return p.select("cik", "fy", "fp", "n_orders", "revenue", "revenue_prev", "revenue_qoq", "risk",
-                    "target_score_next", "target_distress_next", "target_class_next",
-                    "target_residual")
+    return targets(p, E, O, "risk")
+
+
+RISK_COLS = ["cik", "fy", "fp", "n_orders", "revenue", "revenue_prev", "revenue_qoq", "risk",
+             "target_score_next", "target_distress_next", "target_class_next", "target_residual"]
 
 
 RISK_SQL = q.with_(q.H, q.R, q.P, """X AS (
@@ -48,7 +49,7 @@ SELECT cik, fy, fp, n_orders, ROUND(revenue, 6) AS revenue, ROUND(revenue_prev,
        ROUND(target_score_next - risk, 6) AS target_residual
 FROM W""")
 def q_panel_risk(spark, d):
-    return rounded(risk_panel(spark, d))
+    return rounded(risk_panel(spark, d).select(*RISK_COLS))
 
 
 @register("dedup_latest", q.with_(q.H) + """
