@@ -52,9 +52,8 @@ def roc_auc(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFr
     avg_rank = F.col("all_below") + (F.col("all") + 1) / 2.0
     s = vp.groupBy(*by).agg(F.sum(F.col("pos") * avg_rank).alias("rsum"), F.first("pos_total").alias("P"),
                             F.first("all_total").alias("T"))
-    neg = F.col("T") - F.col("P")
-    return s.select(*by, F.try_divide(F.col("rsum") - F.col("P") * (F.col("P") + 1) / 2.0,
-                                      F.col("P") * neg).alias("auc"))
+    pp, tt = F.col("P").cast("double"), F.col("T").cast("double")
+    return s.select(*by, F.try_divide(F.col("rsum") - pp * (pp + 1) / 2.0, pp * (tt - pp)).alias("auc"))
 
 
 def pr_auc(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFrame:

@@ -39,7 +39,8 @@ def value_prefix(df: DataFrame, x: str | Column, counts: Mapping[str, Column], b
         bc = F.broadcast
         row = cuts.first()
         lits = {"cuts": F.array(*[F.lit(float(v)) for v in (row["cuts"] or [])]).cast("array<double>")}
-        lits.update({f"{n}_total": F.lit(row[f"{n}_total"]) for n in counts})
+        lits.update({f"{n}_total": F.lit(row[f"{n}_total"]).cast(cuts.schema[f"{n}_total"].dataType)
+                     for n in counts})
         b = cnt.withColumns(lits)
     b = b.withColumn("_bucket", F.size(F.filter("cuts", lambda v: v <= F.col(x_name)))).drop("cuts")
     btot = b.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(f"_b_{n}") for n in counts])

@@ -13,6 +13,7 @@ from finpanel.plans import sql_features as sf
 from finpanel.plans.catalog_features import _features
 from finpanel.plans.driver_panel import financial_panel
 from finpanel.plans.registry import register, rounded
+from finpanel.session import cut_lineage
 
 FE_SQL = "WITH " + sf.FEATURE_SQL_CTES
 TS_SQL = FE_SQL + """,
@@ -21,6 +22,12 @@ TS AS (SELECT *, LEAD(fe_zscore_risk_score) OVER (PARTITION BY cik ORDER BY fy N
 KEYS = ["adsh", "cik", "fy", "fp"]
 
 
+def _features_cp(spark, d):
+    """Feature panel written once to the checkpoint folder: multi-pass operators
+    (percentiles, medians, correlations) then scan the stored table, not the lineage."""
+    return cut_lineage(_features(spark, d))
+
+
 def _ts(spark, d):
     return targets(_features(spark, d), "cik", panel_order(), "fe_zscore_risk_score")
 
@@ -60,7 +67,7 @@ CF_COLS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_anual_revenue", "fe_anual_ne
   (COUNT({c}) * 100.0 / COUNT(*) < 60 AND '{c}' <> 'fe_ctx_revenue_consolidado') AS dropped FROM FE""" for c in CF_COLS))
 def q_coverage_filter(spark, d):
     from finpanel.operators.aggregates import coverage
-    f = _features(spark, d).select(*KEYS, *CF_COLS)
+    f = _features_cp(spark, d).select(*KEYS, *CF_COLS)
     _, dropped = pr.coverage_filter(f, 60.0, "fe_", protected=["fe_ctx_revenue_consolidado"])
     cov = coverage(f, CF_COLS).select("column", "pct_coverage")
     return rounded(cov.withColumn("dropped", F.col("column").isin(dropped) if dropped else F.lit(False)))
@@ -74,7 +81,7 @@ W_COLS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_ratio_deuda_equity", "fe_shar
 SELECT adsh, """ + ", ".join(f"ROUND({sf.clip(c, c + '_lo', c + '_hi')}, 6) AS {c}" for c in W_COLS) +
           " FROM FE, B")
 def q_winsorize(spark, d):
-    f = _features(spark, d).select("adsh", *W_COLS)
+    f = _features_cp(spark, d).select("adsh", *W_COLS)
     return rounded(pr.winsorize(f, W_COLS, 1.0, 99.0))
 
 
@@ -193,7 +200,7 @@ PC_COLS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_anual_revenue", "fe_delta_as
   CASE WHEN COUNT({c}) * 100.0 / COUNT(*) < 80 THEN '_PODADA_{c}' ELSE '{c}' END AS new_name FROM FE""" for c in PC_COLS))
 def q_prune_coverage(spark, d):
     from finpanel.operators.aggregates import coverage
-    f = _features(spark, d).select(*KEYS, *PC_COLS)
+    f = _features_cp(spark, d).select(*KEYS, *PC_COLS)
     pruned_df, low = pr.prune_coverage(f, PC_COLS, 80.0)
     cov = coverage(f, PC_COLS).select("column", "pct_coverage")
     names = [c for c in pruned_df.columns if c not in KEYS]
@@ -209,7 +216,7 @@ RC_COLS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_ratio_deuda_equity", "fe_anu
               f"""SELECT '{c}' AS "column", ROUND(MIN({c}), 6) AS "min", ROUND(MAX({c}), 6) AS "max",
   ROUND(QUANTILE_CONT({c}, 0.01), 6) AS p1, ROUND(QUANTILE_CONT({c}, 0.99), 6) AS p99 FROM FE""" for c in RC_COLS) + ")")
 def q_range_check(spark, d):
-    f = _features(spark, d).select(*RC_COLS)
+    f = _features_cp(spark, d).select(*RC_COLS)
     out = rounded(pr.range_check(f, RC_COLS))
     return out.withColumn("alarm", F.coalesce((F.abs("max") > 5 * F.abs("p99")) & (F.abs("p99") > 0.001),
                                               F.lit(False)))
@@ -229,7 +236,7 @@ SECTOR_SQL = "CASE WHEN fe_ctx_sic_sector >= 5 THEN fe_ctx_sic_sector % 10 END"
 
 
 def _with_sector(spark, d):
-    f = _features(spark, d)
+    f = _features_cp(spark, d)
     return f.withColumn("sector", F.when(F.col("fe_ctx_sic_sector") >= 5, F.col("fe_ctx_sic_sector") % 10))
 
 
@@ -281,7 +288,7 @@ SELECT adsh, CAST(fe_ratio_liquidez IS NULL AS TINYINT) AS fe_imputed_fe_ratio_l
   ROUND(COALESCE(fe_ratio_liquidez, (SELECT MEDIAN(fe_ratio_liquidez) FROM FE)), 6) AS fe_ratio_liquidez,
   ROUND(COALESCE(fe_delta_assets_qoq, (SELECT MEDIAN(fe_delta_assets_qoq) FROM FE)), 6) AS fe_delta_assets_qoq FROM FE""")
 def q_impute_median(spark, d):
-    f = _features(spark, d).select("adsh", "fe_ratio_liquidez", "fe_delta_assets_qoq")
+    f = _features_cp(spark, d).select("adsh", "fe_ratio_liquidez", "fe_delta_assets_qoq")
     a = pr.impute_median(f, ["fe_ratio_liquidez"], flag=True)
     return rounded(pr.impute_median(a, ["fe_delta_assets_qoq"], flag=False))
 
@@ -319,7 +326,7 @@ def q_impute_zero_flag(spark, d):
 SELECT adsh, ROUND(COALESCE(fe_shares_dilution, (SELECT MEDIAN(fe_shares_dilution) FROM FE), 0), 6) AS fe_shares_dilution,
   ROUND(COALESCE(fe_ratio_rnd_revenue, (SELECT MEDIAN(fe_ratio_rnd_revenue) FROM FE), 0), 6) AS fe_ratio_rnd_revenue FROM FE""")
 def q_impute_backstop(spark, d):
-    f = _features(spark, d).select("adsh", "fe_shares_dilution", "fe_ratio_rnd_revenue")
+    f = _features_cp(spark, d).select("adsh", "fe_shares_dilution", "fe_ratio_rnd_revenue")
     return rounded(pr.impute_backstop(f, ["fe_shares_dilution", "fe_ratio_rnd_revenue"]))
 
 
