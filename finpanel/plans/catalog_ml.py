@@ -338,3 +338,31 @@ def q_param_search(spark, d):
     folded = cut_lineage(fo.temporal_folds(tr, "fy", "fp", "cik", 3))
     space = {"l2": [0.001, 0.01, 0.1, 1.0], "l1_ratio": [0.0, 0.5, 1.0]}
     return se.param_search(folded, "target_score_next", FEATS, space, {"fit": "linear"}, trials=30, n_folds=3)
+
+
+# -- neighbours and oversampling ----------------------------------------------------------
+
+@register("knn_edges", """WITH E AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+D AS (SELECT a.vec_id AS src, b.vec_id AS dst, list_distance(a.v, b.v) AS dist FROM E a JOIN E b ON a.vec_id <> b.vec_id)
+SELECT src, dst, CAST(rank AS INTEGER) AS rank, ROUND(dist, 6) AS dist FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM D) WHERE rank <= 5""")
+def q_knn_edges(spark, d):
+    from finpanel.operators.knn import knn_edges
+    from finpanel.sources.driver import vectors
+    return rounded(knn_edges(vectors(spark, d), "vec_id", "embedding", 5))
+
+
+@register("smote_nc")
+def q_smote_nc(spark, d):
+    from finpanel.ml.balance import smote_nc
+    tr, _ = _train_valid(spark, d)
+    tr = tr.withColumn("row_id", F.xxhash64("cik", "fy", "fp")).withColumn("fp_cat", F.col("fp"))
+    return smote_nc(tr, "target_distress_next", "row_id", ["revenue", "disc_avg", "revenue_qoq", "risk"],
+                    ["fp_cat"], k=5, seed=42)
+
+
+@register("feature_select")
+def q_feature_select(spark, d):
+    tr, _ = _train_valid(spark, d)
+    cols = sp.feature_select(tr, exclude=["cik", "fy", "fp", "fp_ord"], exclude_prefixes=["target_"])
+    return spark.createDataFrame([(c,) for c in cols], "feature string")
