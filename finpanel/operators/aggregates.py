@@ -200,20 +200,25 @@ def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 
 def describe(df: DataFrame, cols: Sequence[str], pcts: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Per column: n, mean, std (ddof 1), min, percentiles, max — one row per column."""
-    one = df.agg(*[x for c in cols for x in (
-        F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
-        F.stddev_samp(c).alias(f"{c}__std"), F.min(c).cast("double").alias(f"{c}__min"),
-        F.max(c).cast("double").alias(f"{c}__max"))])
-    stats = one.select(F.explode(F.array(*[F.struct(
-        F.lit(c).alias("column"), F.col(f"{c}__n").alias("n"), F.col(f"{c}__mean").alias("mean"),
-        F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"),
-        F.col(f"{c}__max").alias("max")) for c in cols])).alias("s")).select("s.*")
-    q = quantiles(df, cols, pcts)
-    names = {float(p): f"p{round(p * 100, 4):g}" for p in pcts}
-    qw = q.groupBy("column").pivot("p", [float(p) for p in pcts]).agg(F.first("value"))
-    qw = qw.select("column", *[F.col(f"`{p}`").alias(n) for p, n in names.items()])
-    return stats.join(qw, "column", "left")
+    """Per column: n, mean, std (ddof 1), min, percentiles, max — one row per column.
+
+    A report: the projected input is persisted for its two passes (moments, then the
+    distributed quantiles), the few result rows are collected, the cache released."""
+    src = df.select(*cols).persist()
+    try:
+        one = src.agg(*[x for c in cols for x in (
+            F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
+            F.stddev_samp(c).alias(f"{c}__std"), F.min(c).cast("double").alias(f"{c}__min"),
+            F.max(c).cast("double").alias(f"{c}__max"))]).first()
+        qv = {(r["column"], r["p"]): r["value"] for r in quantiles(src, cols, pcts).collect()}
+    finally:
+        src.unpersist()
+    names = [f"p{round(p * 100, 4):g}" for p in pcts]
+    rows = [(c, one[f"{c}__n"], one[f"{c}__mean"], one[f"{c}__std"], one[f"{c}__min"], one[f"{c}__max"],
+             *[qv.get((c, float(p))) for p in pcts]) for c in cols]
+    schema = ("column string, n bigint, mean double, std double, min double, max double, "
+              + ", ".join(f"{n} double" for n in names))
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column],

@@ -61,10 +61,13 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool
         flag = F.when(F.col(c).isNull(), 0 if null_small else 1).otherwise(1 if null_small else 0)
         parts += [flag.alias(f"f{i}"), x.alias(f"k{i}")]
     keep = list(dict.fromkeys(list(keys) + list(cols))) if cols else df.columns
-    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    payload = [c for c in keep if c not in set(keys)]
+    row = F.struct(*[F.col(f"`{c}`") for c in payload]).alias("row")
     pick = F.min if use_min else F.max
-    return (df.groupBy(*keys).agg(pick(F.struct(*parts, row)).alias("_best"))
-              .select("_best.row.*"))
+    # keys come straight from the grouping, so the output keeps its hash partitioning
+    best = df.groupBy(*keys).agg(pick(F.struct(*parts, row)).alias("_best"))
+    return best.select(*[F.col(f"`{c}`") if c in set(keys) else F.col(f"_best.row.`{c}`").alias(c)
+                         for c in keep])
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], by: str = "filed",
