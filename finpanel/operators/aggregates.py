@@ -272,9 +272,14 @@ def missing_by_group(df: DataFrame, key: str, cols: Sequence[str], limit: float
 
 
 def dup_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs more than once, with the group size."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return df.withColumn("dup_n", n).where(F.col("dup_n") > 1)
+    """Rows whose key occurs more than once, with the group size.
+
+    Group sizes are a partial/final count (a huge group is pre-counted map-side) joined
+    back to the rows — no group is gathered into one task."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("dup_n")).where(F.col("dup_n") > 1)
+    a, b = df.alias("a"), sizes.alias("b")
+    cond = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]  # NULL keys group together
+    return a.join(b, cond, "inner").select("a.*", "b.dup_n")
 
 
 def year_counts(df: DataFrame, fy: str = "fy", cut: int = S.TRAIN_LAST_FY) -> DataFrame:
