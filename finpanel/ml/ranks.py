@@ -20,15 +20,30 @@ from pyspark.sql import functions as F
 from finpanel.operators.joins import BROADCAST_MAX_ROWS
 
 
+SMALL_DISTINCT = 200_000
+
+
 def value_prefix(df: DataFrame, x: str | Column, counts: Mapping[str, Column], by: Sequence[str] = (),
-                 buckets: int | None = None, x_name: str = "x") -> DataFrame:
-    """Per (by..., x): each count, ``<name>_below`` (sum over smaller x) and ``<name>_total``."""
+                 buckets: int | None = None, x_name: str = "x", small_distinct: int | None = None) -> DataFrame:
+    """Per (by..., x): each count, ``<name>_below`` (sum over smaller x) and ``<name>_total``.
+
+    Size check: when no group has more than ``small_distinct`` distinct values (HLL
+    estimate) the running sums are one window over the distinct-value table (its
+    partitions hold at most that many rows); otherwise the bucketed path runs."""
     by = list(by)
     spark = df.sparkSession
     nb = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     xc = F.col(x) if isinstance(x, str) else x
     base = df.select(*by, xc.cast("double").alias(x_name), *[c.alias(n) for n, c in counts.items()])
     cnt = base.groupBy(*by, x_name).agg(*[F.sum(n).alias(n) for n in counts])
+    small_distinct = SMALL_DISTINCT if small_distinct is None else small_distinct
+    if small_distinct:
+        nd = base.groupBy(*by).agg(F.approx_count_distinct(x_name, 0.05).alias("nd")).agg(F.max("nd")).first()[0]
+        if nd is None or nd * 1.2 <= small_distinct:
+            wa = Window.partitionBy(*by).orderBy(x_name).rowsBetween(Window.unboundedPreceding, -1)
+            wt = Window.partitionBy(*by)
+            return cnt.select(*by, x_name, *counts, *[F.sum(n).over(wt).alias(f"{n}_total") for n in counts],
+                              *[F.coalesce(F.sum(n).over(wa), F.lit(0)).alias(f"{n}_below") for n in counts])
     fr = [i / nb for i in range(1, nb)]
     cuts = cnt.groupBy(*by).agg(F.percentile_approx(x_name, fr, 10000).alias("cuts"),
                                 *[F.sum(n).alias(f"{n}_total") for n in counts])

@@ -135,8 +135,12 @@ def null_by_block(df: DataFrame, blocks: Mapping[str, Sequence[str]],
 
 # -- exact quantiles at scale ---------------------------------------------------------
 
+SMALL_DISTINCT = 200_000
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+              by: Sequence[str] = (), buckets: int | None = None,
+              small_distinct: int = SMALL_DISTINCT) -> DataFrame:
     """Exact linear-interpolated quantiles of each column (optionally per group).
 
     Returns (by..., column, p, value). Distributed rank selection:
@@ -144,7 +148,12 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     2. per group, approximate cut points split values into buckets (deterministic);
     3. prefix count per bucket (tiny table), running count inside each bucket;
     4. ranks floor/ceil((n-1)p) are matched to the value covering them.
-    No group is ever gathered into one task."""
+    No group is ever gathered into one task.
+
+    Size check first: when every group has at most ``small_distinct`` distinct values
+    (HLL estimate, one cheap pass) the built-in exact ``percentile`` is used — its
+    per-group buffer is a map of distinct values, so its memory is bounded by that
+    check. Otherwise the bucketed rank selection runs."""
     by = list(by)
     spark = df.sparkSession
     nb = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
@@ -152,6 +161,13 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     long = (df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
               .unpivot(by, list(cols), "column", "x")
               .where(F.col("x").isNotNull() & ~F.isnan("x")))
+    if small_distinct:
+        nd = long.groupBy(*G).agg(F.approx_count_distinct("x", 0.05).alias("nd")).agg(F.max("nd")).first()[0]
+        if nd is not None and nd * 1.2 <= small_distinct:
+            pl = [float(p) for p in probs]
+            agg = long.groupBy(*G).agg(F.percentile("x", F.array(*[F.lit(p) for p in pl])).alias("_q"))
+            return agg.select(*G, F.inline(F.arrays_zip(F.array(*[F.lit(p) for p in pl]).alias("p"),
+                                                        F.col("_q").alias("value"))))
     cnt = long.groupBy(*G, "x").agg(F.count(F.lit(1)).alias("c"))
     fr = [i / nb for i in range(1, nb)]
     cuts = cnt.groupBy(*G).agg(F.percentile_approx("x", fr, 10000).alias("cuts"),

@@ -12,10 +12,12 @@ def test_quantiles_match_numpy_with_ties_and_hot_value(spark):
     rows = [(int(i % 3), float(v)) for i, v in enumerate(vals)] + [(0, None)]
     df = spark.createDataFrame(rows, "g int, x double")
     probs = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
-    got = {r["p"]: r["value"] for r in ag.quantiles(df, ["x"], probs, buckets=5).collect()}
+    got = {r["p"]: r["value"] for r in ag.quantiles(df, ["x"], probs, buckets=5, small_distinct=0).collect()}
+    small = {r["p"]: r["value"] for r in ag.quantiles(df, ["x"], probs).collect()}
     for p in probs:
         assert abs(got[p] - np.percentile(vals, p * 100)) < 1e-9
-    grp = ag.quantiles(df, ["x"], [0.5], by=["g"], buckets=4).collect()
+        assert abs(small[p] - np.percentile(vals, p * 100)) < 1e-9
+    grp = ag.quantiles(df, ["x"], [0.5], by=["g"], buckets=4, small_distinct=0).collect()
     for r in grp:
         sub = np.array([v for i, v in enumerate(vals) if i % 3 == r["g"]])
         assert abs(r["value"] - np.median(sub)) < 1e-9

@@ -31,6 +31,14 @@ def test_auc_and_ap_with_ties(spark):
     y = [int(v) for v in (rng.random(300) < 0.4)]
     df = spark.createDataFrame(list(zip(y, s)), "y int, s double")
     assert abs(me.roc_auc(df, "y", "s").first()["auc"] - _brute_auc(y, s)) < 1e-12
+    from finpanel.ml import ranks
+    old = ranks.SMALL_DISTINCT
+    try:  # force the bucketed path as well
+        ranks.SMALL_DISTINCT = 0
+        assert abs(me.roc_auc(df, "y", "s").first()["auc"] - _brute_auc(y, s)) < 1e-12
+        assert abs(me.pr_auc(df, "y", "s").first()["average_precision"] - _brute_ap(y, s)) < 1e-12
+    finally:
+        ranks.SMALL_DISTINCT = old
     assert abs(me.pr_auc(df, "y", "s").first()["average_precision"] - _brute_ap(y, s)) < 1e-12
 
 
@@ -44,6 +52,16 @@ def test_eval_regression(spark):
 
 
 def test_temporal_folds_positions(spark):
+    from finpanel.ml import ranks
+    for small in (ranks.SMALL_DISTINCT, 0):
+        old, ranks.SMALL_DISTINCT = ranks.SMALL_DISTINCT, small
+        try:
+            _check_folds(spark)
+        finally:
+            ranks.SMALL_DISTINCT = old
+
+
+def _check_folds(spark):
     rows = [(2000 + i // 8, ["Q1", "Q2", "Q3", "FY"][i % 4], i) for i in range(40)]
     df = spark.createDataFrame(rows, "fy int, fp string, adsh long")
     out = fo.temporal_folds(df, "fy", "fp", "adsh", 3).collect()
