@@ -70,15 +70,24 @@ def pr_auc(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFra
 
 
 def eval_binary(df: DataFrame, y: str, yhat: str, prob: str | None = None) -> DataFrame:
-    c = _confusion_counts(df, y, yhat)
-    n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
-    prec, rec = _zdiv(F.col("tp"), F.col("tp") + F.col("fp")), _zdiv(F.col("tp"), F.col("tp") + F.col("fn"))
-    out = c.select(_zdiv(F.col("tp") + F.col("tn"), n).alias("accuracy"), prec.alias("precision"),
-                   rec.alias("recall"), _zdiv(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
+    """One metric row. The (y, yhat, prob) projection is persisted for the two passes
+    (confusion counts, rank AUC); both results are single rows."""
+    src = df.select(*[c for c in (y, yhat, prob) if c]).persist()
+    try:
+        c = _confusion_counts(src, y, yhat)
+        n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
+        prec, rec = _zdiv(F.col("tp"), F.col("tp") + F.col("fp")), _zdiv(F.col("tp"), F.col("tp") + F.col("fn"))
+        row = c.select(_zdiv(F.col("tp") + F.col("tn"), n).alias("accuracy"), prec.alias("precision"),
+                       rec.alias("recall"),
+                       _zdiv(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1")).first()
+        auc = roc_auc(src, y, prob).first()["auc"] if prob else None
+    finally:
+        src.unpersist()
+    vals = [row["accuracy"], row["precision"], row["recall"], row["f1"]]
+    schema = "accuracy double, precision double, recall double, f1 double"
     if prob:
-        auc = roc_auc(df, y, prob).first()["auc"]
-        out = out.withColumn("roc_auc", F.lit(auc).cast("double"))
-    return out
+        return df.sparkSession.createDataFrame([(*vals, auc)], schema + ", roc_auc double")
+    return df.sparkSession.createDataFrame([tuple(vals)], schema)
 
 
 def per_class(df: DataFrame, y: str, yhat: str, classes: Sequence[int]) -> DataFrame:
@@ -99,6 +108,15 @@ def per_class(df: DataFrame, y: str, yhat: str, classes: Sequence[int]) -> DataF
 
 def eval_multiclass(df: DataFrame, y: str, yhat: str, classes: Sequence[int] = (0, 1, 2),
                     probs: Sequence[str] | None = None) -> DataFrame:
+    src = df.select(y, yhat, *(probs or [])).persist()
+    try:
+        return _eval_multiclass(src, df.sparkSession, y, yhat, classes, probs)
+    finally:
+        src.unpersist()
+
+
+def _eval_multiclass(df: DataFrame, spark, y: str, yhat: str, classes: Sequence[int],
+                     probs: Sequence[str] | None) -> DataFrame:
     pc = per_class(df, y, yhat, classes)
     acc = df.agg(_zdiv(F.count_if(F.col(y).cast("int") == F.col(yhat).cast("int")), F.count(F.lit(1)))
                  .alias("accuracy"))
@@ -106,7 +124,7 @@ def eval_multiclass(df: DataFrame, y: str, yhat: str, classes: Sequence[int] = (
                _zdiv(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("f1_weighted"),
                F.avg("precision").alias("precision_macro"), F.avg("recall").alias("recall_macro"))
     a, m = acc.first(), s.first()  # two one-row aggregates
-    out = df.sparkSession.createDataFrame([(a["accuracy"], m["f1_macro"], m["f1_weighted"], m["precision_macro"],
+    out = spark.createDataFrame([(a["accuracy"], m["f1_macro"], m["f1_weighted"], m["precision_macro"],
                                             m["recall_macro"])],
                                           "accuracy double, f1_macro double, f1_weighted double, "
                                           "precision_macro double, recall_macro double")
