@@ -4,7 +4,8 @@ Pivot-band pruning, all in DataFrame operations:
 
 1. every point gets d0 = distance to the centroid (a pivot); by the triangle
    inequality |d0(p) - d0(q)| <= ||p - q||;
-2. equal-frequency buckets of d0 (bounded approximate cut points);
+2. equal-frequency buckets of d0 (approximate cut points, about 4(k+1) points per
+   bucket up to MAX_BUCKETS; lookups are a binary search with ``Bucketizer``);
 3. an upper bound r(p) on the k-th neighbour distance from the points of p's own and
    the two adjacent buckets;
 4. every point q with |d0(q) - d0(p)| <= r(p) is a candidate: p is joined with the
@@ -19,9 +20,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+MAX_BUCKETS = 100_000
+
 
 def sq_dist(a: Column, b: Column) -> Column:
     d = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
@@ -36,24 +40,26 @@ def knn_edges(df: DataFrame, id_col: str, vec: str, k: int = 5, by: Sequence[str
               buckets: int | None = None) -> DataFrame:
     """(by..., src, dst, rank, dist): the k nearest other points of every point."""
     by = list(by)
-    spark = df.sparkSession
     pts = df.select(*by, F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v"))
     dim = len(pts.select("v").first()["v"])
     cen = pts.agg(*[F.avg(F.col("v")[i]).alias(f"c{i}") for i in range(dim)]).first()
     center = F.array(*[F.lit(float(cen[f"c{i}"] or 0.0)) for i in range(dim)])
     pts = pts.withColumn("d0", euclid(F.col("v"), center))
     n = pts.count()
-    nb = buckets or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")) * 4,
-                               n // (4 * (k + 1))))
-    cuts = pts.agg(F.percentile_approx("d0", [i / nb for i in range(1, nb)] or [0.5], 10000)).first()[0] \
-        if nb > 1 else []
-    cut_arr = F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>") if cuts else \
-        F.array().cast("array<double>")
-
-    def bucket(x: Column) -> Column:
-        return F.size(F.filter(cut_arr, lambda c: c <= x))
-
-    pts = pts.withColumn("b", bucket(F.col("d0")))
+    nb = buckets or max(1, min(n // (4 * (k + 1)), MAX_BUCKETS))
+    cuts = sorted(set(pts.agg(F.percentile_approx("d0", [i / nb for i in range(1, nb)], max(10000, 10 * nb)))
+                      .first()[0] or [])) if nb > 1 else []
+    splits = [float("-inf"), *[float(c) for c in cuts], float("inf")]
+
+    def bucketize(d: DataFrame, cols: dict[str, str]) -> DataFrame:
+        """Binary search over the cut points (JVM-side), one output per input column."""
+        if len(splits) < 3:  # a single bucket
+            return d.withColumns({o: F.lit(0) for o in cols.values()})
+        bz = Bucketizer(splitsArray=[splits] * len(cols), inputCols=list(cols), outputCols=list(cols.values()),
+                        handleInvalid="keep")
+        return bz.transform(d).withColumns({o: F.col(o).cast("int") for o in cols.values()})
+
+    pts = bucketize(pts, {"d0": "b"})
     dst = pts.select(*by, F.col("id").alias("dst"), F.col("v").alias("dv"), F.col("d0").alias("dd0"),
                      F.col("b").alias("db"))
 
@@ -69,9 +75,9 @@ def knn_edges(df: DataFrame, id_col: str, vec: str, k: int = 5, by: Sequence[str
         "r", F.coalesce(F.col("r"), F.lit(float("inf"))))
 
     # 2. exact search inside each point's band
-    lo = F.when(F.col("r") == float("inf"), F.lit(0)).otherwise(bucket(F.col("d0") - F.col("r")))
-    hi = F.when(F.col("r") == float("inf"), F.lit(nb)).otherwise(bucket(F.col("d0") + F.col("r")))
-    band = bounded.select(*by, "id", "v", "d0", "r", F.explode(F.sequence(lo, hi)).alias("db"))
+    bounded = bounded.withColumns({"_lo": F.col("d0") - F.col("r"), "_hi": F.col("d0") + F.col("r")})
+    bounded = bucketize(bounded, {"_lo": "lo", "_hi": "hi"})
+    band = bounded.select(*by, "id", "v", "d0", "r", F.explode(F.sequence("lo", "hi")).alias("db"))
     pairs = (band.join(dst, by + ["db"])
                  .where((F.col("id") != F.col("dst")) & (F.abs(F.col("dd0") - F.col("d0")) <= F.col("r")))
                  .withColumn("dist", euclid(F.col("v"), F.col("dv")))
