@@ -138,3 +138,20 @@ def q_ratio_alias(spark, d):
     f = _features(spark, d).select("adsh", F.col("fe_ratio_liquidez").alias("RATIO_liquidez_corriente"),
                                    F.col("fe_ratio_roa").alias("RATIO_ROA"))
     return rounded(fe.ratio_alias(f))
+
+
+# -- entries 2 and 3 composed (rows-only: each is a chain of the operators above) ----------
+
+@register("feature_panel")
+def q_feature_panel(spark, d):
+    from finpanel.plans.training import feature_panel
+    return feature_panel(financial_panel(spark, d), year_range=(1995, 2001))
+
+
+@register("training_set")
+def q_training_set(spark, d):
+    from finpanel.plans.driver_panel import DRIVER_FORMS
+    from finpanel.plans.training import feature_panel, training_set
+    panel = feature_panel(financial_panel(spark, d), year_range=(1995, 2001))
+    parts = ["fe_zscore_x1_wc_assets", "fe_zscore_x3_ebit_assets", "fe_zscore_x5_rev_assets"]
+    return training_set(panel, parts, "cik", DRIVER_FORMS)

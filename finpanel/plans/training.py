@@ -47,16 +47,21 @@ def prepare(df: DataFrame, min_pct: float = S.COVERAGE_MIN_PCT, min_assets: floa
     return pr.winsorize(df, S.WINSOR_COLS, *winsor)
 
 
-def feature_panel(raw: DataFrame) -> DataFrame:
-    """Entry 2 end to end."""
-    return prepare(fe.build_features(clean(raw)))
+def feature_panel(raw: DataFrame, year_range=S.YEAR_RANGE, min_assets: float = S.MIN_ASSETS,
+                  min_periods: int = S.MIN_PERIODS) -> DataFrame:
+    """Entry 2 end to end: clean -> 73 features -> prepare. The feature panel is
+    materialised (checkpoint folder) before the multi-pass preparation statistics."""
+    from finpanel.session import cut_lineage
+    feats = cut_lineage(fe.build_features(clean(raw, year_range)))
+    return prepare(feats, min_assets=min_assets, min_periods=min_periods)
 
 
-def training_set(panel: DataFrame, parts: Sequence[str] = tuple(fe.ZPARTS), entity: str = "cik") -> DataFrame:
+def training_set(panel: DataFrame, parts: Sequence[str] = tuple(fe.ZPARTS), entity: str = "cik",
+                 forms: Sequence[str] = tuple(S.FORMS)) -> DataFrame:
     """Entry 3 core: strict universe (valid forms, all five Z parts), targets from the
     next surviving row, rows without a next value dropped, SIC division dummies."""
-    df = panel.where(F.col("form").isin(S.FORMS))
-    for p in parts:
+    df = panel.where(F.col("form").isin(list(forms)))
+    for p in [p for p in parts if p in panel.columns]:  # parts the coverage filter kept
         df = df.where(F.col(p).isNotNull())
     df = dedup_latest(df, ["cik", "fy", "fp"], "filed", ["adsh"])
     df = targets(df, entity, fe.panel_order(), "fe_zscore_risk_score")
