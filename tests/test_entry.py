@@ -8,7 +8,8 @@ from tools.check_oracle import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = ["panel_risk", "dedup_latest", "consolidate", "build_features", "describe", "value_counts",
-          "pivot_wide", "eval_binary", "temporal_folds", "corr_matrix", "impute_group_median", "step_audit"]
+          "pivot_wide", "eval_binary", "temporal_folds", "corr_matrix", "impute_group_median", "step_audit",
+          "stream_consolidate", "knn_edges", "read_tsv", "winsorize"]
 
 
 def test_entry_runs(spark):
