@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finpanel.operators.joins import BROADCAST_MAX_ROWS
+from finpanel.session import cut_lineage
 
 
 SMALL_DISTINCT = 200_000
@@ -48,6 +49,7 @@ def value_prefix(df: DataFrame, x: str | Column, counts: Mapping[str, Column], b
     cuts = cnt.groupBy(*by).agg(F.percentile_approx(x_name, fr, 10000).alias("cuts"),
                                 *[F.sum(n).alias(f"{n}_total") for n in counts])
     if by:
+        cuts = cut_lineage(cuts)  # fixed once: bucket ids and offsets must come from the same cut points
         bc = F.broadcast if cuts.count() * nb <= BROADCAST_MAX_ROWS else (lambda t: t)
         b = cnt.join(bc(cuts.select(*by, "cuts", *[f"{n}_total" for n in counts])), by)
     else:  # one group: its single row of cut points and totals becomes literals

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from finpanel import schema as S
 from finpanel.operators.joins import BROADCAST_MAX_ROWS
+from finpanel.session import cut_lineage
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -172,6 +173,9 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     fr = [i / nb for i in range(1, nb)]
     cuts = cnt.groupBy(*G).agg(F.percentile_approx("x", fr, 10000).alias("cuts"),
                                F.sum("c").alias("n"))
+    # approximate cut points may differ between two evaluations (merge order); fix them
+    # once in the checkpoint folder so bucket ids and bucket offsets always agree
+    cuts = cut_lineage(cuts)
     # every helper table below has at most n_groups * buckets rows: one count bounds them all
     n_groups = len(cols) if not by else cuts.count()
     small = n_groups * (nb + 2 * len(probs)) <= BROADCAST_MAX_ROWS
