@@ -361,7 +361,10 @@ def q_smote_nc(spark, d):
                     ["fp_cat"], k=5, seed=42)
 
 
-@register("feature_select")
+@register("feature_select", "SELECT column_name AS feature FROM (DESCRIBE " + M_SQL + """
+SELECT cik, fy, fp, fp_ord, price_sum, revenue, disc_avg, n_orders, revenue_qoq, risk, risk_delta,
+  target_score_next, target_distress_next, target_class_next FROM M)
+WHERE column_name NOT IN ('cik', 'fy', 'fp', 'fp_ord') AND NOT starts_with(column_name, 'target_')""")
 def q_feature_select(spark, d):
     tr, _ = _train_valid(spark, d)
     cols = sp.feature_select(tr, exclude=["cik", "fy", "fp", "fp_ord"], exclude_prefixes=["target_"])

@@ -171,12 +171,28 @@ def q_family_summary(spark, d):
     return rounded(pf.family_summary(_ts(spark, d), C_FEATS, CORR_TARGET))
 
 
-@register("family_class")
+_COLS_SQL = "(DESCRIBE WITH " + sf.FEATURE_SQL_CTES + " SELECT * FROM FE)"
+_FAMILY_SQL = ("CASE " + " ".join(f"WHEN starts_with(column_name, '{p}') THEN '{p[:-1]}'" for p in S.FAMILY_PREFIXES)
+               + " WHEN column_name IN (" + ", ".join(f"'{m}'" for m in S.META_COLS) + ") THEN 'meta'"
+               + " ELSE 'xbrl_raw' END")
+
+
+def _in(cols):
+    return "(" + ", ".join(f"'{c}'" for c in cols) + ")"
+
+
+@register("family_class", f'SELECT column_name AS "column", {_FAMILY_SQL} AS family FROM {_COLS_SQL}')
 def q_family_class(spark, d):
     return pf.family_class(_features(spark, d))
 
 
-@register("keep_drop")
+@register("keep_drop", f"""WITH C AS (SELECT column_name AS "column", {_FAMILY_SQL} AS family FROM {_COLS_SQL}),
+K AS (SELECT *, CASE WHEN family = 'xbrl_raw' THEN 'DROP_XBRL_RAW'
+                     WHEN "column" IN {_in(S.DROP_REDUNDANT)} THEN 'DROP_REDUNDANTE' ELSE 'KEEP' END AS decision FROM C)
+SELECT *, CASE WHEN decision <> 'KEEP' THEN '-' WHEN family = 'meta' THEN 'META'
+               WHEN "column" IN {_in(S.FEATURES_A_FORBIDDEN)} THEN 'A_PROHIBIDA'
+               WHEN "column" IN {_in(S.FEATURES_B_AUTOREGRESSIVE)} THEN 'B_AUTOREGRESIVA' ELSE 'C_LIBRE' END AS category
+FROM K""")
 def q_keep_drop(spark, d):
     return pf.keep_drop(_features(spark, d))
 

@@ -68,7 +68,12 @@ def q_rename_cols(spark, d):
     return rounded(rs.rename_cols(p, {"cik": "entity"}, prefix="_PODADA_", cols=["revenue", "disc_avg"]))
 
 
-@register("column_contract")
+@register("column_contract", """WITH C AS (SELECT column_name FROM (DESCRIBE """ + PQ + """ SELECT * FROM P)),
+Req AS (SELECT * FROM (VALUES ('cik'), ('fy'), ('fp'), ('revenue'), ('Assets')) t(c))
+SELECT c AS "column", 'missing' AS status FROM Req WHERE c NOT IN (SELECT column_name FROM C)
+UNION ALL SELECT column_name, 'extra' FROM C WHERE column_name NOT IN (SELECT c FROM Req)
+  AND regexp_matches(column_name, '^n_')
+UNION ALL SELECT c, 'ok' FROM Req WHERE c IN (SELECT column_name FROM C)""")
 def q_column_contract(spark, d):
     p = dv.customer_quarter_panel(spark, d)
     return rs.column_contract(p, ["cik", "fy", "fp", "revenue", "Assets"], pattern="^n_")
