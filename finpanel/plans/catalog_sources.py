@@ -120,7 +120,11 @@ def q_ingest_manifest(spark, d):
     return fs.ingest_manifest(spark.read.parquet(path), "quarter")
 
 
-@register("write_metrics")
+@register("write_metrics", q.with_(q.H, q.R, q.P) + """SELECT 'coverage' AS section, 'revenue' AS name,
+  ROUND(COUNT(revenue) * 100.0 / COUNT(*), 6) AS value FROM P UNION ALL
+SELECT 'coverage', 'disc_avg', ROUND(COUNT(disc_avg) * 100.0 / COUNT(*), 6) FROM P UNION ALL
+SELECT 'coverage', 'price_sum', ROUND(COUNT(price_sum) * 100.0 / COUNT(*), 6) FROM P UNION ALL
+SELECT 'rows', 'header', CAST(COUNT(*) AS DOUBLE) FROM H""")
 def q_write_metrics(spark, d):
     from finpanel.operators.aggregates import coverage
     cov = coverage(dv.customer_quarter_panel(spark, d), ["revenue", "disc_avg", "price_sum"])
@@ -130,4 +134,4 @@ def q_write_metrics(spark, d):
         F.lit("rows").alias("section"), F.lit("header").alias("name"), "value")
     path = _stage(spark, d, "metrics")
     fs.write_metrics([m1, m2], path)
-    return spark.read.parquet(path)
+    return rounded(spark.read.parquet(path))
