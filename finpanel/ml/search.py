@@ -71,20 +71,28 @@ def ablation(train: DataFrame, valid: DataFrame, y: str, features: Sequence[str]
 
 def param_search(folded: DataFrame, y: str, features: Sequence[str], space: Mapping[str, Sequence],
                  base: Mapping, trials: int = 30, n_folds: int = 3, seed: int = 42,
-                 task: str = "regression") -> DataFrame:
+                 task: str = "regression", parallel: int = 4) -> DataFrame:
     """Seeded random search over ``space``; each trial is scored on the expanding
-    temporal folds (``temporal_folds`` output); trials ranked by mean score."""
+    temporal folds (``temporal_folds`` output); trials ranked by mean score.
+
+    All trial parameters are drawn up front (repeatable), then trials run as
+    concurrent Spark jobs from a small thread pool (the scheduler interleaves them)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     rng = random.Random(seed)
     keys = list(space)
     key = "rmse" if task == "regression" else "f1"
     folds = [fold_frames(folded, k) for k in range(1, n_folds + 1)]
-    rows = []
-    for t in range(trials):
-        params = {k: rng.choice(list(space[k])) for k in keys}
-        spec = {**base, **params}
+    drawn = [{k: rng.choice(list(space[k])) for k in keys} for _ in range(trials)]
+
+    def run(t: int):
+        spec = {**base, **drawn[t]}
         scores = [_metrics(fit_by_name(tr, y, features, spec, task), te, y, task)[key] for tr, te in folds]
         vals = [s for s in scores if s is not None]
-        rows.append((t, str(params), sum(vals) / len(vals) if vals else None))
+        return (t, str(drawn[t]), sum(vals) / len(vals) if vals else None)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        rows = list(pool.map(run, range(trials)))
     out = folded.sparkSession.createDataFrame(rows, "trial int, params string, mean_score double")
     asc = task == "regression"
     return out.orderBy(F.col("mean_score").asc_nulls_last() if asc else F.col("mean_score").desc_nulls_last())
