@@ -46,9 +46,12 @@ def model_ranking(metrics: DataFrame, by: str, ascending: bool = False, group: S
 
 
 def sample_rows(df: DataFrame, key: Sequence[str] | str, n: int, seed: int = 42) -> DataFrame:
-    """Repeatable sample of n rows: order by a seeded hash of the key, then limit."""
+    """Repeatable sample of n rows: order by md5('seed|key...') then key, take n.
+
+    A top-n (each task keeps its n best, one small merge); md5 of the text form makes
+    the order reproducible outside Spark as well."""
     keys = [key] if isinstance(key, str) else list(key)
-    h = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
     return df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")
 
 

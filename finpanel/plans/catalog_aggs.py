@@ -237,6 +237,6 @@ def q_pivot_wide(spark, d):
     return ag.pivot_wide(n, "adsh", "tag", dv.DRIVER_TAGS, "value", "qtrs")
 
 
-@register("sample_rows")
+@register("sample_rows", q.with_(q.H) + """SELECT * FROM H ORDER BY md5('42|' || CAST(adsh AS VARCHAR)), adsh LIMIT 100""")
 def q_sample_rows(spark, d):
     return tk.sample_rows(dv.header(spark, d), "adsh", 100, seed=42)

@@ -96,11 +96,15 @@ def q_read_panel(spark, d):
     return rounded(p.select("cik", F.col("fy").cast("int").alias("fy"), "fp", "n_orders", "price_sum", "revenue"))
 
 
-@register("write_panel")
+@register("write_panel", q.with_(q.H, q.R, q.P) + """SELECT cik, fy, fp, n_orders, ROUND(price_sum, 6) AS price_sum,
+  ROUND(revenue, 6) AS revenue, n_lines, ROUND(disc_avg, 6) AS disc_avg, filed, fp_ord FROM P""")
 def q_write_panel(spark, d):
+    """CSV sink (partitioned by fy) read back with the panel's own schema."""
     path = _stage(spark, d, "panel_csv")
-    fs.write_panel(dv.customer_quarter_panel(spark, d), path, fmt="csv", partition_by=["fy"])
-    return fs.read_panel(spark, path, fmt="csv")
+    p = dv.customer_quarter_panel(spark, d)
+    fs.write_panel(p, path, fmt="csv", partition_by=["fy"])
+    back = fs.read_panel(spark, path, schema=p.drop("fy").schema, fmt="csv")
+    return rounded(back.select(*[F.col(c).cast("int").alias(c) if c == "fy" else F.col(c) for c in p.columns]))
 
 
 @register("read_tag_pre", """SELECT p_name AS tag, p_brand AS version, CAST(NULL AS VARCHAR) AS custom,
