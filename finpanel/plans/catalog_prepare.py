@@ -115,7 +115,7 @@ CORR_TARGET = "target_score_next"
 
 def _corr_sql(pairs, src="TS"):
     return "\nUNION ALL\n".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, COUNT({a} + {b}) AS n, ROUND(CORR({a}, {b}), 6) AS r FROM {src}"
+        f"SELECT '{a}' AS a, '{b}' AS b, COUNT({a} + {b}) AS n, ROUND(NULLIF(CORR({a}, {b}), CAST('NaN' AS DOUBLE)), 6) AS r FROM {src}"
         for a, b in pairs)
 
 
@@ -130,14 +130,14 @@ M_PAIRS = [(M_COLS[i], M_COLS[j]) for j in range(len(M_COLS)) for i in range(j)]
 
 
 @register("corr_matrix", TS_SQL + "\nSELECT a, b, n, r, ROUND(ABS(r), 6) AS abs_r, ia, ib FROM (" + "\nUNION ALL\n".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, COUNT({a} + {b}) AS n, ROUND(CORR({a}, {b}), 6) AS r, {M_COLS.index(a)} AS ia, "
+    f"SELECT '{a}' AS a, '{b}' AS b, COUNT({a} + {b}) AS n, ROUND(NULLIF(CORR({a}, {b}), CAST('NaN' AS DOUBLE)), 6) AS r, {M_COLS.index(a)} AS ia, "
     f"{M_COLS.index(b)} AS ib FROM TS" for a, b in M_PAIRS) + ")")
 def q_corr_matrix(spark, d):
     return rounded(pf.corr_matrix(_ts(spark, d), M_COLS))
 
 
 @register("persistence_corr", TS_SQL + """
-SELECT COUNT(fe_zscore_risk_score + target_score_next) AS n, ROUND(CORR(fe_zscore_risk_score, target_score_next), 6) AS r FROM TS""")
+SELECT COUNT(fe_zscore_risk_score + target_score_next) AS n, ROUND(NULLIF(CORR(fe_zscore_risk_score, target_score_next), CAST('NaN' AS DOUBLE)), 6) AS r FROM TS""")
 def q_persistence_corr(spark, d):
     return rounded(pf.persistence_corr(_ts(spark, d), "fe_zscore_risk_score", "target_score_next"))
 
@@ -201,7 +201,29 @@ P_COLS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_ratio_quick", "fe_zscore_x1_w
           "fe_ratio_apalancamiento"]
 
 
-@register("prune_corr")
+def _prune_sql():
+    cols = P_COLS
+    pr_ = [(cols[i], cols[j], i, j) for j in range(len(cols)) for i in range(j)]
+    pairs = " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, {i} AS ia, {j} AS ib, ABS(NULLIF(CORR({a}, {b}), CAST('NaN' AS DOUBLE))) AS r, "
+        f"COUNT({a}) * 1.0 / COUNT(*) AS cov_a, COUNT({b}) * 1.0 / COUNT(*) AS cov_b, "
+        f"ABS(NULLIF(CORR({a}, {CORR_TARGET}), CAST('NaN' AS DOUBLE))) AS ta, ABS(NULLIF(CORR({b}, {CORR_TARGET}), CAST('NaN' AS DOUBLE))) AS tb FROM TS" for a, b, i, j in pr_)
+    names = " UNION ALL ".join(f"SELECT '{c}' AS col" for c in cols)
+    return TS_SQL + f""",
+PA AS (SELECT * FROM ({pairs}) WHERE r > 0.95),
+PO AS (SELECT *, ROW_NUMBER() OVER (ORDER BY ib, ia) AS i FROM PA),
+W AS (SELECT 0 AS i, CAST([] AS VARCHAR[]) AS dropped
+      UNION ALL
+      SELECT W.i + 1, CASE WHEN list_contains(W.dropped, PO.a) OR list_contains(W.dropped, PO.b) THEN W.dropped
+                           ELSE list_append(W.dropped, CASE WHEN PO.cov_a < PO.cov_b THEN PO.a
+                                                            WHEN PO.cov_b < PO.cov_a THEN PO.b
+                                                            WHEN PO.ta < PO.tb THEN PO.a ELSE PO.b END) END
+      FROM W JOIN PO ON PO.i = W.i + 1),
+FINAL AS (SELECT dropped FROM W ORDER BY i DESC LIMIT 1)
+SELECT col AS "column", list_contains((SELECT dropped FROM FINAL), col) AS pruned FROM ({names})"""
+
+
+@register("prune_corr", _prune_sql().replace("WITH ", "WITH RECURSIVE ", 1))
 def q_prune_corr(spark, d):
     ts = _ts(spark, d)
     _, dropped = pf.prune_corr(ts, P_COLS, CORR_TARGET, 0.95)
