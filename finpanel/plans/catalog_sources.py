@@ -117,11 +117,17 @@ def q_read_tag_pre(spark, d):
     return fs.read_tag_pre(spark, path, "tag")
 
 
-@register("ingest_manifest")
+@register("ingest_manifest", q.with_(q.H) + "SELECT " + QTR_SQL + """ AS quarter, COUNT(*) AS "rows",
+  10 AS "columns", 'ok' AS status FROM H GROUP BY 1""")
 def q_ingest_manifest(spark, d):
+    """Per-file manifest of a converted table, summed per quarter (file names and byte
+    sizes depend on the writer, rows and columns do not)."""
     path = _stage(spark, d, "manifest_src")
     fs.write_converted(_header_with_quarter(spark, d), path)
-    return fs.ingest_manifest(spark.read.parquet(path), "quarter")
+    m = fs.ingest_manifest(spark.read.parquet(path), "quarter")
+    return (m.groupBy(F.col("quarter").cast("string").alias("quarter"))
+             .agg(F.sum("rows").alias("rows"), F.max("columns").alias("columns"),
+                  F.when(F.min(F.col("status") == "ok"), "ok").otherwise("empty").alias("status")))
 
 
 @register("write_metrics", q.with_(q.H, q.R, q.P) + """SELECT 'coverage' AS section, 'revenue' AS name,
