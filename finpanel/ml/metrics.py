@@ -129,10 +129,12 @@ def _eval_multiclass(df: DataFrame, spark, y: str, yhat: str, classes: Sequence[
                                           "accuracy double, f1_macro double, f1_weighted double, "
                                           "precision_macro double, recall_macro double")
     if probs:
-        aucs = []
-        for k, pcol in zip(classes, probs):
-            d = df.withColumn("_yk", (F.col(y).cast("int") == k).cast("int"))
-            aucs.append(roc_auc(d, "_yk", pcol).first()["auc"])
+        # one-vs-rest in ONE pass: each row expands to (class, is_class, its score)
+        long = df.select(F.inline(F.array(*[F.struct(
+            F.lit(k).alias("_k"), (F.col(y).cast("int") == k).cast("int").alias("_yk"),
+            F.col(pcol).cast("double").alias("_pk")) for k, pcol in zip(classes, probs)])))
+        got = {r["_k"]: r["auc"] for r in roc_auc(long, "_yk", "_pk", by=["_k"]).collect()}
+        aucs = [got.get(k) for k in classes]
         vals = [v for v in aucs if v is not None]
         out = out.withColumn("roc_auc_ovr", F.lit(sum(vals) / len(vals) if len(vals) == len(aucs) else None)
                              .cast("double"))
