@@ -233,7 +233,7 @@ SELECT adsh, """ + ", ".join(f"MAX(CASE WHEN tag = '{t}' THEN value END) AS {t}"
           " FROM D GROUP BY adsh")
 def q_pivot_wide(spark, d):
     n = filter_uom(dv.facts(spark, d), {"USD": dv.USD_TAGS, "shares": dv.SHARE_TAGS})
-    n = pn.dedup_longest(n, ["adsh", "tag"], "qtrs", ["version", "supp", "value"])
+    n = pn.dedup_longest(n, ["adsh", "tag"], "qtrs", ["version", "supp", "value"], cols=["qtrs", "value"])
     return ag.pivot_wide(n, "adsh", "tag", dv.DRIVER_TAGS, "value", "qtrs")
 
 

@@ -58,7 +58,8 @@ SELECT adsh, cik, fy, fp, filed FROM (
 WHERE rn = 1""")
 def q_dedup_latest(spark, d):
     h = dv.header(spark, d)
-    return pn.dedup_latest(h, ["cik", "fy", "fp"], by="filed", tie=["adsh"]).select(
+    # the winning row travels inside the aggregate, so name the columns it must carry
+    return pn.dedup_latest(h, ["cik", "fy", "fp"], by="filed", tie=["adsh"], cols=["adsh", "filed"]).select(
         "adsh", "cik", "fy", "fp", "filed")
 
 
@@ -68,7 +69,8 @@ SELECT adsh, tag, qtrs, version, supp, value FROM (
 WHERE rn = 1""")
 def q_dedup_longest(spark, d):
     n = dv.facts(spark, d)
-    return pn.dedup_longest(n, ["adsh", "tag"], by="qtrs", tie=["version", "supp", "value"]).select(
+    return pn.dedup_longest(n, ["adsh", "tag"], by="qtrs", tie=["version", "supp", "value"],
+                            cols=["qtrs", "version", "supp", "value"]).select(
         "adsh", "tag", "qtrs", "version", "supp", "value")
 
 
@@ -79,7 +81,8 @@ SELECT adsh, ddate, qtrs, version, supp, value FROM (
 WHERE rn = 1""")
 def q_dedup_last_by_id(spark, d):
     n = dv.facts(spark, d)
-    return pn.dedup_last_by_id(n, "adsh", by="ddate", tie=["qtrs", "version", "supp", "value"]).select(
+    return pn.dedup_last_by_id(n, "adsh", by="ddate", tie=["qtrs", "version", "supp", "value"],
+                               cols=["ddate", "qtrs", "version", "supp", "value"]).select(
         "adsh", "ddate", "qtrs", "version", "supp", "value")
 
 
