@@ -35,12 +35,14 @@ def get_session(app: str = "finpanel", master: str | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster setting always wins; only when it is unset (tests, local runs)
-    do we point it at a fresh scratch folder.
+    The setting always wins. Where it is unset, a local master gets a fresh scratch
+    folder; a cluster raises, because no folder of one machine is seen by the others.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="finpanel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
