@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finpanel.llm import exact_dedup, line_dedup, mixing, secrets
+from finpanel.llm import exact_dedup, line_dedup, mixing, recompression, secrets, suffix_dedup
 from finpanel.llm.common import docs_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,39 @@ def op9(spark, sf_dir):
     return out.select(F.col("id").alias("doc_id"), n[0].alias("n_assign"), n[1].alias("n_access"), n[2].alias("n_hex"),
                       F.sha2(secrets.shown(base).cast("binary"), 256).alias("base_sha256"),
                       secrets.shown(F.col("spans")).alias("spans"))
+
+
+@query("op3_substring_dedup", r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS l FROM documents),
+g AS (SELECT doc_id, p, array_to_string(l[p:p + 49], ' ') AS g
+      FROM (SELECT doc_id, l, unnest(range(1, len(l) - 48)) AS p FROM w WHERE len(l) >= 50)),
+gone AS (SELECT DISTINCT doc_id, p + k AS p FROM (SELECT *, min(doc_id) OVER (PARTITION BY g) AS least FROM g),
+  (SELECT unnest(range(0, 50)) AS k) WHERE doc_id > least),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n
+  FROM (SELECT doc_id, unnest(l) AS x, unnest(range(1, len(l) + 1)) AS p FROM w) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, len(w.l)::BIGINT AS n_words, (len(w.l) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept k USING (doc_id)
+""")
+def op3(spark, sf_dir):
+    out = recompression.substring_dedup(docs_table(spark, sf_dir))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_suffix_dedup", r"""
+WITH w AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+g AS (SELECT doc_id, p, substr(x, 2 * p + 1, 100) AS g
+      FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 49)) AS p FROM w WHERE len(x) >= 100)),
+hit AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY g) AS least FROM g) WHERE doc_id > least),
+run AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM
+  (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM
+   (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS fresh FROM hit)) GROUP BY doc_id, k),
+part AS (SELECT doc_id, a AS till, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS since FROM run
+  UNION ALL SELECT w.doc_id, len(x) // 2, coalesce(max(b), 0) FROM w LEFT JOIN run USING (doc_id) GROUP BY w.doc_id, x),
+kept AS (SELECT doc_id, string_agg(substr(x, 2 * since + 1, 2 * (till - since)), '' ORDER BY since) AS t FROM part JOIN w USING (doc_id) GROUP BY doc_id)
+SELECT w.doc_id, (len(x) // 2)::BIGINT AS n_bytes, ((len(x) - len(t)) // 2)::BIGINT AS n_removed,
+       (SELECT count(*) FROM run r WHERE r.doc_id = w.doc_id) AS n_spans, sha256(unhex(t)) AS kept_sha256
+FROM w JOIN kept USING (doc_id)
+""")
+def op5(spark, sf_dir):
+    out = suffix_dedup.suffix_dedup(docs_table(spark, sf_dir))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
