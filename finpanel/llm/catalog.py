@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finpanel.llm import exact_dedup, line_dedup, mixing, recompression, secrets, suffix_dedup
+from finpanel.llm import exact_dedup, line_dedup, mixing, partenum, recompression, secrets, suffix_dedup
 from finpanel.llm.common import docs_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,19 @@ FROM w JOIN kept USING (doc_id)
 def op5(spark, sf_dir):
     out = suffix_dedup.suffix_dedup(docs_table(spark, sf_dir))
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_ngram_jaccard", r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS l FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(l[p:p + 4], ' ') AS s
+      FROM (SELECT doc_id, l, unnest(range(1, greatest(len(l) - 4, 1) + 1)) AS p FROM w WHERE len(l) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
+reach(doc_id, c) AS (SELECT doc_id, doc_id FROM w UNION SELECT link.b, reach.c FROM reach JOIN link ON link.a = reach.doc_id WHERE reach.c < link.b)
+SELECT w.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(reach.c) AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY w.doc_id
+""")
+def op8(spark, sf_dir):
+    out = partenum.near_groups(docs_table(spark, sf_dir))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
