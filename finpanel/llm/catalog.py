@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finpanel.llm import exact_dedup, line_dedup, mixing, partenum, recompression, secrets, suffix_dedup
+from finpanel.llm import (context_mixing, exact_dedup, line_dedup, mixing, partenum, recompression, secrets, suffix_dedup,
+                          zstd_langid)
 from finpanel.llm.common import docs_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +166,17 @@ FROM w LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY w.doc_id
 def op8(spark, sf_dir):
     out = partenum.near_groups(docs_table(spark, sf_dir))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+@query("op6_lm_scoring")
+def op6(spark, sf_dir):
+    return context_mixing.lm_scores(docs_table(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+@query("op10_language_id")
+def op10(spark, sf_dir):
+    docs = docs_table(spark, sf_dir)
+    out_of_fold = zstd_langid.held_out(F.col("doc_id"), 4, 2)
+    found = zstd_langid.identify(docs.select("doc_id", "text"), docs.where(~out_of_fold))
+    return found.select("doc_id", out_of_fold.alias("held_out"), F.col("language.lang").alias("lang_pred"),
+                        F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"))
