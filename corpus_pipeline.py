@@ -1,7 +1,61 @@
-"""The corpus pipeline (filled in below)."""
-STAGES = []
+"""The corpus pipeline: language ID, exact dedup, near duplicates, decontamination, mixing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as
+Parquet in the shared folder and reads it back as the next stage's ``docs``, so a lost
+executor costs tasks of the current stage only. All stages but the last return the columns
+of ``documents``; the last adds how often each document is to be used.
+
+Rows with a null id stay a document of their own through all stages; an empty table stays
+empty. Each operator's docstring says what else it does with nulls, ties and repeats.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from finpanel.llm import catalog, decontaminate, exact_dedup, mixing, partenum, zstd_langid
+from finpanel.llm.common import docs_table, land, run_dir
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with a clear margin; learned from their labels."""
+    found = zstd_langid.identify(docs, docs)
+    return found.where(~F.col("language.rejected")).drop("language")
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the smallest id."""
+    return exact_dedup.drop_copies(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (0.75 of five-word shingles) the smallest id."""
+    return partenum.one_per_group(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no test item."""
+    return decontaminate.clean_rows(docs, docs_table(spark, sf_dir, "benchmark"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the target weights take, with their number of copies."""
+    taken = mixing.mix(docs, catalog.mix_levels(docs), catalog.MIX_WEIGHTS, catalog.MIX_SHARE, catalog.MIX_EPOCHS, catalog.MIX_SEED)
+    taken = taken.select(F.col("id").alias("_id"), "n_tokens", "copies").dropDuplicates(["_id"])
+    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+
+
+STAGES = [("language_id", language_id), ("exact_dedup", exact_copies), ("ngram_jaccard", near_copies),
+          ("decontaminate", benchmark_leaks), ("mixing", mixture)]
+
+#: zstandard sizes decide the first stage: no SQL. tests/llm compares with a brute-force run.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = run_dir(spark, "pipeline")
+    docs = docs_table(spark, sf_dir)
+    for k, (name, stage) in enumerate(STAGES):
+        docs = land(stage(spark, docs, sf_dir), f"{base}/{k}-{name}")
+    return docs

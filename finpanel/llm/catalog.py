@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finpanel.llm import (context_mixing, exact_dedup, line_dedup, mixing, partenum, recompression, secrets, suffix_dedup,
-                          zstd_langid)
+from finpanel.llm import (context_mixing, decontaminate, exact_dedup, line_dedup, mixing, partenum, recompression, secrets,
+                          suffix_dedup, zstd_langid)
 from finpanel.llm.common import docs_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,9 @@ def op10(spark, sf_dir):
     found = zstd_langid.identify(docs.select("doc_id", "text"), docs.where(~out_of_fold))
     return found.select("doc_id", out_of_fold.alias("held_out"), F.col("language.lang").alias("lang_pred"),
                         F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"))
+
+
+@query("op2_decontaminate")
+def op2(spark, sf_dir):
+    out = decontaminate.leaks(docs_table(spark, sf_dir), docs_table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), F.col("item").cast("long").alias("item_id"), "score", "question_overlap", "answer_overlap")

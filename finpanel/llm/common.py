@@ -51,6 +51,12 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).alias("text"))
 
 
+def same_row(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """Join condition with the (d, r) of ``keyed``."""
+    return ((F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID)) == F.col("d"))
+            & (F.xxhash64(docs[id_col].isNull(), docs[text_col]) == F.col("r")))
+
+
 def public_id(d: Column) -> Column:
     """The id as it came in: null where ``keyed`` put the last id."""
     return F.when(d != LAST_ID, d)
@@ -151,13 +157,13 @@ def byte_tokens(texts: list) -> Tokens:
     return Tokens(byte_values()[data], at, data=data)
 
 
-def word_tokens(texts: list, fold: bool = False) -> Tokens:
-    """Every run of non-whitespace bytes is a token; null has none; ``fold`` lower-cases A-Z."""
+def word_tokens(texts: list, fold: bool = False, gaps: np.ndarray = SPACE) -> Tokens:
+    """Every run of bytes not in ``gaps`` is a token; null has none; ``fold`` lower-cases A-Z."""
     parts = [t or b"" for t in texts]
     data = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
     start = np.zeros(len(parts) + 1, np.int64)
     np.cumsum([len(p) + 1 for p in parts], out=start[1:])
-    inside = ~SPACE[data]
+    inside = ~gaps[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], inside)).astype(np.int8)))
     begin, end = edge[0::2], edge[1::2]
     value = Fingerprints(byte_values(fold)[data]).of(begin, end)

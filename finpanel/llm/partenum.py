@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finpanel.llm.common import Fingerprints, keyed, land, mix64, public_id, release, run_dir, text_chunks, word_tokens
+from finpanel.llm.common import Fingerprints, keyed, land, mix64, public_id, release, run_dir, same_row, text_chunks, word_tokens
 from finpanel.llm.keycount import shared_keys, text_bytes
 
 #: Partitions per tolerated difference, and at least.
@@ -163,7 +163,6 @@ def components(edges: DataFrame, path: str) -> DataFrame:
                  .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b")
                  .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
         now = land(small, f"{path}/{step}")
-    spark.catalog  # keeps the session referenced until the loop is over
     return now.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root").unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
@@ -219,7 +218,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     apart = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
     open_ = land(placed.join(apart, "key", "left_semi"), f"{base}/open")
     other = open_.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    rest = (open_.select("key", F.col("node").alias("a"), F.col("root").alias("root_a")).where("true")
+    rest = (open_.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
             .join(other, "key").where("a < b AND root_a <> root_b").select("a", "b").distinct()
             .join(stars.distinct(), ["a", "b"], "left_anti"))
     more = links(_sized(rest, sizes, percent), rows, words, percent, f"{base}/second")
@@ -245,11 +244,5 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base = run_dir(docs.sparkSession, "one-per-group")
     out = land(near_groups(docs, id_col, text_col, words, percent), f"{base}/groups")
     stay = out.where(F.col("id").eqNullSafe(F.col("component"))).select("d", "r").distinct()
-    marked = docs.join(stay, _key_of(docs, id_col, text_col), "left_semi")
-    return marked
+    return docs.join(stay, same_row(docs, id_col, text_col), "left_semi")
 
-
-def _key_of(docs: DataFrame, id_col: str, text_col: str) -> Column:
-    from finpanel.llm.common import LAST_ID
-    return ((F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID)) == F.col("d"))
-            & (F.xxhash64(docs[id_col].isNull(), docs[text_col]) == F.col("r")))
