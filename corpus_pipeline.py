@@ -5,8 +5,9 @@ Parquet in the shared folder and reads it back as the next stage's ``docs``, so
 executor costs tasks of the current stage only. All stages but the last return the columns
 of ``documents``; the last adds how often each document is to be used.
 
-Rows with a null id stay a document of their own through all stages; an empty table stays
-empty. Each operator's docstring says what else it does with nulls, ties and repeats.
+Rows with a null id pass through all stages; the mixture counts rows that repeat an id by
+their longest; an empty table stays empty; a column that a stage would add under a name
+``documents`` already has gets an underscore. Each operator's docstring says what else it does with nulls, ties and repeats.
 """
 
 from __future__ import annotations
@@ -15,13 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finpanel.llm import catalog, decontaminate, exact_dedup, mixing, partenum, zstd_langid
-from finpanel.llm.common import docs_table, land, run_dir
+from finpanel.llm.common import docs_table, fresh, land, run_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a clear margin; learned from their labels."""
+    language = fresh(docs, "language")
     found = zstd_langid.identify(docs, docs)
-    return found.where(~F.col("language.rejected")).drop("language")
+    return found.where(~found[language]["rejected"]).drop(language)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +44,9 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the target weights take, with their number of copies."""
     taken = mixing.mix(docs, catalog.mix_levels(docs), catalog.MIX_WEIGHTS, catalog.MIX_SHARE, catalog.MIX_EPOCHS, catalog.MIX_SEED)
-    taken = taken.select(F.col("id").alias("_id"), "n_tokens", "copies").dropDuplicates(["_id"])
-    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    key = fresh(docs, "taken_id")
+    taken = taken.groupBy(F.col("id").alias(key)).agg(*[F.max(c).alias(fresh(docs, c)) for c in ("n_tokens", "copies")])
+    return docs.join(taken, docs["doc_id"].eqNullSafe(taken[key])).drop(key)
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_copies), ("ngram_jaccard", near_copies),

@@ -51,10 +51,18 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).alias("text"))
 
 
-def same_row(docs: DataFrame, id_col: str, text_col: str) -> Column:
-    """Join condition with the (d, r) of ``keyed``."""
-    return ((F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID)) == F.col("d"))
-            & (F.xxhash64(docs[id_col].isNull(), docs[text_col]) == F.col("r")))
+def same_row(docs: DataFrame, id_col: str, text_col: str, keys: DataFrame) -> Column:
+    """Join condition of ``docs`` with the (d, r) of ``keyed`` in ``keys``, whatever else ``docs`` holds."""
+    return ((F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID)) == keys["d"])
+            & (F.xxhash64(docs[id_col].isNull(), docs[text_col]) == keys["r"]))
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, or with underscores behind it until ``docs`` has no such column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def public_id(d: Column) -> Column:

@@ -224,5 +224,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def clean_rows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all their columns."""
     bad = land(leaks(docs, benchmark, id_col, text_col).select("d", "r").distinct(), f"{run_dir(docs.sparkSession, 'leaks')}/rows")
-    return docs.join(bad, same_row(docs, id_col, text_col), "left_anti")
+    return docs.join(bad, same_row(docs, id_col, text_col, bad), "left_anti")
 

@@ -243,6 +243,6 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The rows of ``docs`` that stay: of each group the smallest id (of rows that repeat it, all)."""
     base = run_dir(docs.sparkSession, "one-per-group")
     out = land(near_groups(docs, id_col, text_col, words, percent), f"{base}/groups")
-    stay = out.where(F.col("id").eqNullSafe(F.col("component"))).select("d", "r").distinct()
-    return docs.join(stay, same_row(docs, id_col, text_col), "left_semi")
+    stay = land(out.where(F.col("id").eqNullSafe(F.col("component"))).select("d", "r").distinct(), f"{base}/stay")
+    return docs.join(stay, same_row(docs, id_col, text_col, stay), "left_semi")
 

@@ -25,6 +25,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from finpanel.llm.common import fresh
+
 SAMPLE_ROWS, EXCERPT, DICT_BYTES = 150, 600, 32 << 10
 LEVEL, BLOCK = 6, 1024
 MARGIN = 0.004
@@ -92,5 +94,5 @@ def classify(text: Column, learned: list[tuple[str, bytes]], margin: float = MAR
 
 
 def identify(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` with a column ``language``: struct(lang, score, rejected)."""
-    return docs.withColumn("language", classify(F.col(text_col), learn(labelled, id_col, text_col, lang_col)))
+    """``docs`` with a column struct(lang, score, rejected): ``language``, with underscores where that is taken."""
+    return docs.withColumn(fresh(docs, "language"), classify(F.col(text_col), learn(labelled, id_col, text_col, lang_col)))

@@ -1,0 +1,35 @@
+import re
+
+from finpanel.llm import secrets
+
+RULES = [("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 8),
+         ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 16), ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 32)]
+
+
+def brute(text):
+    out = [(m.start(), k, f"{kind}:{m.start()}:{m.end()}") for k, (kind, rx, ok) in enumerate(RULES) for m in re.finditer(rx, text or "") if ok(m)]
+    return ",".join(x[2] for x in sorted(out))
+
+
+def test_base_spans_as_brute_force(docs_of, rng):
+    bits = ["password", "Token", "api_key", "apikey", "SECRET", "=", ": ", "\"", "'", " ", "\n", "\U0001f511", "é", "abcdefgh", "k" * 7, "AKIA",
+            "AKIAABCDEFGH1234", "deadbeef" * 4, "0" * 31, "x", "AKIA0000", "token=", "-._/+"]
+    rows = [(k, "".join(rng.choice(bits) for _ in range(rng.randrange(60)))) for k in range(300)] + [(500, None), (501, ""), (None, "token=12345678"), (502, "x" * 99_999 + "token: abcdefgh1")]
+    out = secrets.secret_spans(docs_of(rows))
+    base = {r.id: r.s for r in out.select("id", secrets.shown(secrets.F.filter("spans", lambda x: x["rank"] < 3)).alias("s")).collect()}
+    assert len(base) == len(rows)
+    for i, t in rows:
+        assert base[i] == brute(t), t
+
+
+def test_battery_tells_random_from_patterned(docs_of, rng):
+    letters = secrets.ALPHABETS["alnum"]
+    rows = [(k, "see " + "".join(rng.choice(letters) for _ in range(40)) + "Q7 end") for k in range(200)]
+    rows += [(1000 + k, w) for k, w in enumerate(["aaaaaaaaaaaaaaaaaaaaaaaa1", "internationalisationoftheworldwideweb2", "ab12" * 12, "0123456789abcdefghijklmnopqrstuvwxyz", "1111111111222222222233333333334444444444x"])]
+    got = {r.id: [x.kind if hasattr(x, "kind") else x.rank for x in r.spans] for r in secrets.secret_spans(docs_of(rows)).collect()}
+    assert sum(3 in got[k] for k in range(200)) >= 180
+    assert not any(3 in got[k] for k in got if k >= 1000)
+
+
+def test_empty(docs_of):
+    assert secrets.secret_spans(docs_of([])).count() == 0
