@@ -2,9 +2,8 @@
 
 ``temporal_folds`` reproduces expanding-window time-series splits (n splits, test
 size n_rows // (n_splits + 1), train = everything before the test block) over the
-order (fy, fiscal period, tie). The exact row position is the prefix count of
-earlier periods plus the rank inside the period — computed with ``value_prefix``,
-never with a one-partition global window.
+order (fy, fiscal period, tie). The exact row position comes from
+``ranks.row_positions``, never from a one-partition global window.
 """
 
 from __future__ import annotations
@@ -15,36 +14,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finpanel.functions.scalar import map_codes
-from finpanel.ml.ranks import value_prefix
+from finpanel.ml.ranks import row_positions
 from finpanel.ml.split import unit_hash
 
 # fiscal period order used for chronological CV (Q4 before FY; others last)
 CV_FP_ORDER = {"Q1": 1, "Q2": 2, "Q3": 3, "Q4": 4, "FY": 5}
 
 
-def row_positions(df: DataFrame, period: str, tie: str) -> DataFrame:
-    """0-based position of each row in the order (period, tie); ``period`` and ``tie``
-    numeric. Adds ``_pos`` and ``_n`` (total rows)."""
-    per = value_prefix(df, period, {"_c": F.lit(1).cast("long")}, x_name=period)
-    inner = value_prefix(df, tie, {"_t": F.lit(1).cast("long")}, [period], x_name=tie)
-    d = df.join(per.select(period, F.col("_c_below").alias("_off"), F.col("_c_total").alias("_n")), period)
-    d = d.join(inner.select(period, tie, F.col("_t_below").alias("_in")), [period, tie])
-    return d.withColumn("_pos", F.col("_off") + F.col("_in")).drop("_off", "_in")
-
-
 def temporal_folds(df: DataFrame, fy: str = "fy", fp: str = "fp", tie: str = "adsh", n_splits: int = 3,
                    fp_order: Mapping[str, int] = CV_FP_ORDER) -> DataFrame:
     """Adds ``pos`` (chronological position) and ``test_fold`` (1..n_splits or NULL).
-    Fold k trains on pos < start_k and tests on test_fold = k."""
-    per = F.col(fy).cast("long") * 100 + F.coalesce(map_codes(fp, fp_order), F.lit(99))
-    d = df.withColumn("_period", per.cast("double")).withColumn("_tie", F.col(tie).cast("double"))
-    d = row_positions(d, "_period", "_tie")
+    Fold k trains on pos < start_k and tests on test_fold = k. A NULL year orders last, an
+    unknown period last in its year; ``tie`` may be of any type."""
+    cols = list(df.columns)
+    d = df.withColumns({"_year": F.col(fy).cast("long"), "_fp": F.coalesce(map_codes(fp, fp_order), F.lit(99))})
+    d = row_positions(d, ["_year", "_fp", tie])
     size = F.floor(F.col("_n") / (n_splits + 1))
     first = F.col("_n") - n_splits * size
     k = F.floor((F.col("_pos") - first) / size) + 1
-    return (d.withColumn("test_fold", F.when((F.col("_pos") >= first) & (size > 0), k.cast("int")))
-             .withColumnRenamed("_pos", "pos")
-             .drop("_period", "_tie", "_n"))
+    return d.select(*cols, F.col("_pos").alias("pos"),
+                    F.when((F.col("_pos") >= first) & (size > 0), k.cast("int")).alias("test_fold"))
 
 
 def fold_frames(folded: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
@@ -56,9 +45,7 @@ def fold_frames(folded: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
 def kfold_column(df: DataFrame, keys: Sequence[str], k: int = 5, strata: str | None = None,
                  seed: int = 42) -> DataFrame:
     """Shuffled (optionally stratified) k-fold assignment as an int column ``fold``:
-    seeded hash order within the stratum, position mod k."""
-    g = [strata] if strata else []
-    d = df.withColumn("_u", unit_hash(keys, seed))
-    pos = value_prefix(d, "_u", {"_c": F.lit(1).cast("long")}, g, x_name="_u")
-    d = d.join(pos.select(*g, "_u", "_c_below"), g + ["_u"])
-    return d.withColumn("fold", F.pmod(F.col("_c_below"), F.lit(k)).cast("int")).drop("_u", "_c_below")
+    seeded hash order within the stratum (NULL is a stratum), position mod k."""
+    cols = list(df.columns)
+    d = row_positions(df.withColumn("_u", unit_hash(keys, seed)), ["_u"], [strata] if strata else [])
+    return d.select(*cols, F.pmod(F.col("_pos"), F.lit(k)).cast("int").alias("fold"))

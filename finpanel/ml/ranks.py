@@ -1,13 +1,9 @@
-"""Prefix counts over a sorted value without a global one-partition window.
+"""Positions and prefix counts in a global order, without a one-partition window.
 
-``value_prefix`` returns, for every distinct value of ``x`` (per group), its counts
-and the running totals of all smaller values. It is the building block for rank
-AUC, average precision and exact row positions (temporal folds):
-
-1. (group, x) -> summed counts; a hot value is one row after map-side combining;
-2. bounded approximate cut points per group assign each value a bucket;
-3. bucket totals (a tiny table) give each bucket its offset;
-4. a running sum inside (group, bucket) adds the rest.
+One way at every size: rows are range-partitioned by the order (Spark samples the
+bounds; a heavy group is cut like any other range), landed with their partition's
+number, counted per partition, and a partition's offset is added to what a window
+finds inside it. Any orderable type serves; NULLs come last.
 """
 
 from __future__ import annotations
@@ -17,55 +13,62 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finpanel.operators.joins import BROADCAST_MAX_ROWS
 from finpanel.session import cut_lineage
 
+#: Rows of a range, about: what one task sorts.
+RANGE_ROWS = 250_000
+
+
+def ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` landed in ranges of ``order``, with the range's number as ``_range``."""
+    parts = max(2, -(-df.count() // RANGE_ROWS))
+    cut = df.repartitionByRange(parts, *[F.col(c).asc_nulls_last() for c in order])
+    return cut_lineage(cut.withColumn("_range", F.spark_partition_id()), "ranges")
+
 
-SMALL_DISTINCT = 200_000
+def _offsets(r: DataFrame, by: list[str], sums: Mapping[str, Column]) -> DataFrame:
+    """Per (by, range): ``_off_<name>``, the sum over earlier ranges, and ``<name>_total`` of the group."""
+    per = r.groupBy(*by, "_range").agg(*[c.alias(f"_s_{n}") for n, c in sums.items()])
+    ahead = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return per.select(*by, "_range",
+                      *[F.coalesce(F.sum(f"_s_{n}").over(ahead), F.lit(0)).alias(f"_off_{n}") for n in sums],
+                      *[F.sum(f"_s_{n}").over(Window.partitionBy(*by)).alias(f"{n}_total") for n in sums])
+
+
+def _with_offsets(r: DataFrame, off: DataFrame, by: list[str]) -> DataFrame:
+    on = [*by, "_range"]
+    off = off.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
+    return r.join(off, cond).drop(*[f"_on_{c}" for c in on])
 
 
 def value_prefix(df: DataFrame, x: str | Column, counts: Mapping[str, Column], by: Sequence[str] = (),
-                 buckets: int | None = None, x_name: str = "x", small_distinct: int | None = None) -> DataFrame:
+                 x_name: str = "x") -> DataFrame:
     """Per (by..., x): each count, ``<name>_below`` (sum over smaller x) and ``<name>_total``.
 
-    Size check: when no group has more than ``small_distinct`` distinct values (HLL
-    estimate) the running sums are one window over the distinct-value table (its
-    partitions hold at most that many rows); otherwise the bucketed path runs."""
+    Equal values are summed map-side first, so a value that a third of the rows hold is
+    one row of the order."""
     by = list(by)
-    spark = df.sparkSession
-    nb = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     xc = F.col(x) if isinstance(x, str) else x
-    base = df.select(*by, xc.cast("double").alias(x_name), *[c.alias(n) for n, c in counts.items()])
-    cnt = base.groupBy(*by, x_name).agg(*[F.sum(n).alias(n) for n in counts])
-    small_distinct = SMALL_DISTINCT if small_distinct is None else small_distinct
-    if small_distinct:
-        nd = base.groupBy(*by).agg(F.approx_count_distinct(x_name, 0.05).alias("nd")).agg(F.max("nd")).first()[0]
-        if nd is None or nd * 1.2 <= small_distinct:
-            wa = Window.partitionBy(*by).orderBy(x_name).rowsBetween(Window.unboundedPreceding, -1)
-            wt = Window.partitionBy(*by)
-            return cnt.select(*by, x_name, *counts, *[F.sum(n).over(wt).alias(f"{n}_total") for n in counts],
-                              *[F.coalesce(F.sum(n).over(wa), F.lit(0)).alias(f"{n}_below") for n in counts])
-    fr = [i / nb for i in range(1, nb)]
-    cuts = cnt.groupBy(*by).agg(F.percentile_approx(x_name, fr, 10000).alias("cuts"),
-                                *[F.sum(n).alias(f"{n}_total") for n in counts])
-    if by:
-        cuts = cut_lineage(cuts)  # fixed once: bucket ids and offsets must come from the same cut points
-        bc = F.broadcast if cuts.count() * nb <= BROADCAST_MAX_ROWS else (lambda t: t)
-        b = cnt.join(bc(cuts.select(*by, "cuts", *[f"{n}_total" for n in counts])), by)
-    else:  # one group: its single row of cut points and totals becomes literals
-        bc = F.broadcast
-        row = cuts.first()
-        lits = {"cuts": F.array(*[F.lit(float(v)) for v in (row["cuts"] or [])]).cast("array<double>")}
-        lits.update({f"{n}_total": F.lit(row[f"{n}_total"]).cast(cuts.schema[f"{n}_total"].dataType)
-                     for n in counts})
-        b = cnt.withColumns(lits)
-    b = b.withColumn("_bucket", F.size(F.filter("cuts", lambda v: v <= F.col(x_name)))).drop("cuts")
-    btot = b.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(f"_b_{n}") for n in counts])
-    wb = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    off = btot.select(*by, "_bucket", *[F.coalesce(F.sum(f"_b_{n}").over(wb), F.lit(0)).alias(f"_off_{n}")
-                                        for n in counts])
-    b = b.join(bc(off), by + ["_bucket"])
-    w = Window.partitionBy(*by, "_bucket").orderBy(x_name).rowsBetween(Window.unboundedPreceding, -1)
-    return b.select(*by, x_name, *counts, *[f"{n}_total" for n in counts],
-                    *[(F.col(f"_off_{n}") + F.coalesce(F.sum(n).over(w), F.lit(0))).alias(f"{n}_below")
-                      for n in counts])
+    cnt = (df.select(*by, xc.alias(x_name), *[c.alias(n) for n, c in counts.items()])
+             .groupBy(*by, x_name).agg(*[F.sum(n).alias(n) for n in counts]))
+    r = ranged(cnt, [*by, x_name])
+    d = _with_offsets(r, _offsets(r, by, {n: F.sum(n) for n in counts}), by)
+    w = Window.partitionBy(*by, "_range").orderBy(F.col(x_name).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    return d.select(*by, x_name, *counts, *[f"{n}_total" for n in counts],
+                    *[(F.col(f"_off_{n}") + F.coalesce(F.sum(n).over(w), F.lit(0))).alias(f"{n}_below") for n in counts])
+
+
+def row_positions(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), pos: str = "_pos", total: str = "_n") -> DataFrame:
+    """``df`` with each row's 0-based position in ``order`` (within ``by``) and the group's
+    number of rows. Every row keeps a position of its own: rows equal in ``order`` follow a
+    hash of all their columns, and rows equal in all are interchangeable. NULL groups and
+    NULL order values are kept (a NULL group is a group; NULLs come last)."""
+    by, cols = list(by), list(df.columns)
+    d = df.withColumn("_tie", F.xxhash64(*cols))
+    r = ranged(d, [*by, *order, "_tie"])
+    d = _with_offsets(r, _offsets(r, by, {"_c": F.count(F.lit(1))}), by)
+    w = Window.partitionBy(*by, "_range").orderBy(*[F.col(c).asc_nulls_last() for c in [*order, "_tie"]])
+    return d.select(*cols, (F.col("_off__c") + F.row_number().over(w) - 1).alias(pos), F.col("_c_total").alias(total))

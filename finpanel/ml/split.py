@@ -27,16 +27,13 @@ def split_temporal(df: DataFrame, col: str = "fy", cut: int = S.TRAIN_LAST_FY) -
 
 def split_random(df: DataFrame, keys: Sequence[str], share: float = 0.8, strata: str | None = None,
                  seed: int = 42) -> DataFrame:
-    """Adds ``split`` = train/test: seeded hash order inside each stratum, the first
-    round(share * n) rows train — the share holds per class and the split is repeatable.
-    Rows whose hashes collide move together (a tie group is never split)."""
-    from finpanel.ml.ranks import value_prefix
-    g = [strata] if strata else []
-    d = df.withColumn("_u", unit_hash(keys, seed))
-    pos = value_prefix(d, "_u", {"_c": F.lit(1).cast("long")}, g, x_name="_u")
-    d = d.join(pos.select(*g, "_u", "_c_below", "_c_total"), g + ["_u"])
-    return d.withColumn("split", F.when(F.col("_c_below") < F.round(F.col("_c_total") * share), "train")
-                        .otherwise("test")).drop("_u", "_c_below", "_c_total")
+    """Adds ``split`` = train/test: seeded hash order inside each stratum (NULL is a
+    stratum), the first round(share * n) rows train — the share holds per class and the
+    split is repeatable."""
+    from finpanel.ml.ranks import row_positions
+    cols = list(df.columns)
+    d = row_positions(df.withColumn("_u", unit_hash(keys, seed)), ["_u"], [strata] if strata else [])
+    return d.select(*cols, F.when(F.col("_pos") < F.round(F.col("_n") * share), "train").otherwise("test").alias("split"))
 
 
 def feature_select(df: DataFrame, exclude: Sequence[str] = (), exclude_prefixes: Sequence[str] = ()) -> list[str]:
@@ -67,17 +64,16 @@ def standardise(train: DataFrame, others: Sequence[DataFrame], cols: Sequence[st
 
 
 def class_balance(before: DataFrame, after: DataFrame, label: str) -> DataFrame:
-    a = before.groupBy(label).agg(F.count(F.lit(1)).alias("n_before"))
-    b = after.groupBy(label).agg(F.count(F.lit(1)).alias("n_after"))
-    return a.join(b, label, "full_outer")
+    """Rows per class (NULL is one) before and after; a class that one side lacks is NULL there."""
+    sides = (before.select(label, F.lit(1).alias("b"), F.lit(None).cast("int").alias("a"))
+             .unionByName(after.select(label, F.lit(None).cast("int").alias("b"), F.lit(1).alias("a"))))
+    return sides.groupBy(label).agg(F.sum("b").alias("n_before"), F.sum("a").alias("n_after"))
 
 
 def undersample(df: DataFrame, label: str, keys: Sequence[str], seed: int = 42) -> DataFrame:
-    """Every class cut to the minority size by seeded hash order (rows kept whole)."""
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    m = min(counts.values())
-    from finpanel.ml.ranks import value_prefix
-    d = df.withColumn("_u", unit_hash(keys, seed))
-    pos = value_prefix(d, "_u", {"_c": F.lit(1).cast("long")}, [label], x_name="_u")
-    return (d.join(pos.select(label, "_u", "_c_below"), [label, "_u"])
-             .where(F.col("_c_below") < m).drop("_u", "_c_below"))
+    """Every class (NULL is one) cut to the smallest class by seeded hash order (rows kept whole)."""
+    from finpanel.ml.ranks import row_positions
+    cols = list(df.columns)
+    d = row_positions(df.withColumn("_u", unit_hash(keys, seed)), ["_u"], [label])
+    least = d.agg(F.min("_n")).first()[0] or 0
+    return d.where(F.col("_pos") < least).select(*cols)

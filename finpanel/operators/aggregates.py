@@ -3,9 +3,8 @@
 Rules kept throughout:
 * many columns -> ONE ``agg`` pass (never one scan per column);
 * global totals attach through a one-row aggregate (exactly one row: a proven bound);
-* exact quantiles never funnel a whole group into one task: ``quantiles`` counts
-  distinct values, splits each group into value buckets (bounded approximate cut
-  points), takes prefix counts per bucket and selects the ranks — the same linear
+* exact quantiles never funnel a whole group into one task: ``quantiles`` brackets each
+  rank by a sketch, then counts only the values inside the bracket — the same linear
   interpolation as pandas / DuckDB ``quantile_cont``.
 """
 
@@ -17,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finpanel import schema as S
-from finpanel.operators.joins import BROADCAST_MAX_ROWS
 from finpanel.session import cut_lineage
 
 
@@ -51,9 +49,13 @@ def pivot_wide(df: DataFrame, id_col: str | Sequence[str], tag: str, tags: Seque
 
 def value_counts(df: DataFrame, c: str, name: str = "n", share: str = "share") -> DataFrame:
     """Frequency and share (0..1) of each value, NULL included as its own value."""
-    counts = df.groupBy(c).agg(F.count(F.lit(1)).alias(name))
-    tot = df.agg(F.count(F.lit(1)).alias("_tot"))
-    return attach_scalar(counts, tot).withColumn(share, F.col(name) / F.col("_tot")).drop("_tot")
+    counts = df.groupBy(c).agg(F.count(F.lit(1)).alias(name)).persist()
+    try:  # the total is the sum of the counts: the input is read once
+        total = counts.agg(F.sum(name)).first()[0]
+        kept = cut_lineage(counts, "counts")
+    finally:
+        counts.unpersist()
+    return kept.withColumn(share, F.col(name) / F.lit(total))
 
 
 def dominant_share(df: DataFrame, cols: Sequence[str], max_levels: int | None = None) -> DataFrame:
@@ -136,77 +138,53 @@ def null_by_block(df: DataFrame, blocks: Mapping[str, Sequence[str]],
 
 # -- exact quantiles at scale ---------------------------------------------------------
 
-SMALL_DISTINCT = 200_000
+#: Rank error of the sketch that brackets a quantile: 1 / ACCURACY of a group's rows.
+ACCURACY = 10_000
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              by: Sequence[str] = (), buckets: int | None = None,
-              small_distinct: int = SMALL_DISTINCT) -> DataFrame:
+              by: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolated quantiles of each column (optionally per group).
 
-    Returns (by..., column, p, value). Distributed rank selection:
-    1. (group, value) -> multiplicity (map-side combined; a hot value is one row);
-    2. per group, approximate cut points split values into buckets (deterministic);
-    3. prefix count per bucket (tiny table), running count inside each bucket;
-    4. ranks floor/ceil((n-1)p) are matched to the value covering them.
-    No group is ever gathered into one task.
-
-    Size check first: when every group has at most ``small_distinct`` distinct values
-    (HLL estimate, one cheap pass) the built-in exact ``percentile`` is used — its
-    per-group buffer is a map of distinct values, so its memory is bounded by that
-    check. Otherwise the bucketed rank selection runs."""
+    Returns (by..., column, p, value); NULL groups are groups. One way at every size:
+    1. a sketch (``approx_percentile``, merged across tasks, bounded) gives each (group,
+       column, p) a bracket that surely holds the two ranks wanted, because it reaches two
+       sketch errors to either side;
+    2. one pass counts the rows below each bracket and, combined map-side, the values
+       inside it: about 4 / ACCURACY of the rows, a hot value being one row;
+    3. running counts inside the bracket select the ranks.
+    The input is read twice; the brackets are landed between, so both passes agree."""
     by = list(by)
-    spark = df.sparkSession
-    nb = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     G = by + ["column"]
+    probs = [float(p) for p in probs]
     long = (df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
               .unpivot(by, list(cols), "column", "x")
               .where(F.col("x").isNotNull() & ~F.isnan("x")))
-    if small_distinct:
-        nd = long.groupBy(*G).agg(F.approx_count_distinct("x", 0.05).alias("nd")).agg(F.max("nd")).first()[0]
-        if nd is not None and nd * 1.2 <= small_distinct:
-            pl = [float(p) for p in probs]
-            agg = long.groupBy(*G).agg(F.percentile("x", F.array(*[F.lit(p) for p in pl])).alias("_q"))
-            return agg.select(*G, F.inline(F.arrays_zip(F.array(*[F.lit(p) for p in pl]).alias("p"),
-                                                        F.col("_q").alias("value"))))
-    cnt = long.groupBy(*G, "x").agg(F.count(F.lit(1)).alias("c"))
-    fr = [i / nb for i in range(1, nb)]
-    cuts = cnt.groupBy(*G).agg(F.percentile_approx("x", fr, 10000).alias("cuts"),
-                               F.sum("c").alias("n"))
-    # approximate cut points may differ between two evaluations (merge order); fix them
-    # once in the checkpoint folder so bucket ids and bucket offsets always agree
-    cuts = cut_lineage(cuts)
-    # every helper table below has at most n_groups * buckets rows: one count bounds them all
-    n_groups = len(cols) if not by else cuts.count()
-    small = n_groups * (nb + 2 * len(probs)) <= BROADCAST_MAX_ROWS
-    bc = F.broadcast if small else (lambda x: x)
-    b = (cnt.join(bc(cuts.select(*G, "cuts")), G)
-            .withColumn("bucket", F.size(F.filter("cuts", lambda v: v <= F.col("x"))))
-            .drop("cuts"))
-    btot = b.groupBy(*G, "bucket").agg(F.sum("c").alias("bc"))
-    off = btot.withColumn("off", F.coalesce(F.sum("bc").over(
-        Window.partitionBy(*G).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    b = b.join(bc(off.select(*G, "bucket", "off")), G + ["bucket"])
-    w = Window.partitionBy(*G, "bucket").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    b = b.withColumn("hi_rank", F.col("off") + F.sum("c").over(w))  # exclusive upper rank
-    b = b.withColumn("lo_rank", F.col("hi_rank") - F.col("c"))
-    tgt = (cuts.select(*G, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-               .withColumn("h", (F.col("n") - 1) * F.col("p"))
-               .withColumn("k_lo", F.floor("h").cast("bigint"))
-               .withColumn("k_hi", F.ceil("h").cast("bigint"))
-               .withColumn("frac", F.col("h") - F.col("k_lo")))
-    tl = tgt.select(*G, "p", "frac", F.explode(F.array(
-        F.struct(F.lit("lo").alias("which"), F.col("k_lo").alias("rank")),
-        F.struct(F.lit("hi").alias("which"), F.col("k_hi").alias("rank")))).alias("t")
-    ).select(*G, "p", "frac", "t.which", "t.rank")
-    bb, tt = b.alias("b"), bc(tl).alias("t")
-    cond = [F.col(f"b.{g}") == F.col(f"t.{g}") for g in G] + [
-        F.col("t.rank") >= F.col("b.lo_rank"), F.col("t.rank") < F.col("b.hi_rank")]
-    hit = bb.join(tt, cond).select(*[F.col(f"t.{g}").alias(g) for g in G], F.col("t.p").alias("p"),
-                                   F.col("t.frac").alias("frac"), F.col("t.which").alias("which"),
-                                   F.col("b.x").alias("x"))
-    piv = hit.groupBy(*G, "p", "frac").pivot("which", ["lo", "hi"]).agg(F.first("x"))
-    return piv.select(*G, "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("value"))
+    ends = [min(1.0, max(0.0, p + d)) for p in probs for d in (-2.0 / ACCURACY, 2.0 / ACCURACY)]
+    sketch = long.groupBy(*G).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("least"), F.max("x").alias("most"),
+                                  F.percentile_approx("x", ends, ACCURACY).alias("q"))
+    brackets = cut_lineage(sketch.select(*G, "n", F.array(*[F.struct(
+        F.lit(p).alias("p"),
+        (F.when(F.lit(ends[2 * i] <= 0), F.col("least")).otherwise(F.get("q", F.lit(2 * i)))).alias("lo"),
+        (F.when(F.lit(ends[2 * i + 1] >= 1), F.col("most")).otherwise(F.get("q", F.lit(2 * i + 1)))).alias("hi"))
+        for i, p in enumerate(probs)]).alias("b")), "brackets")
+    cond = F.lit(True)
+    for g in G:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_on_{g}"))
+    on = brackets.withColumnsRenamed({g: f"_on_{g}" for g in G})
+    # Rows below a bracket are counted under a NULL value, rows inside under their own.
+    placed = (long.join(on, cond).select(*G, "x", "n", F.explode("b").alias("b"))
+                  .where(F.col("x") <= F.col("b.hi"))
+                  .select(*G, "n", F.col("b.p").alias("p"), F.when(F.col("x") >= F.col("b.lo"), F.col("x")).alias("x")))
+    cnt = placed.groupBy(*G, "n", "p", "x").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy(*G, "p").orderBy(F.col("x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    h = (F.col("n") - 1) * F.col("p")
+    upto = cnt.withColumn("upto", F.sum("c").over(w)).where(F.col("x").isNotNull())
+    # The value of rank k (0-based) is the smallest whose running count exceeds k.
+    out = upto.groupBy(*G, "p").agg(F.min(F.when(F.col("upto") > F.floor(h), F.col("x"))).alias("lo"),
+                                    F.min(F.when(F.col("upto") > F.ceil(h), F.col("x"))).alias("hi"),
+                                    F.first(h - F.floor(h)).alias("frac"))
+    return out.select(*G, "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("value"))
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

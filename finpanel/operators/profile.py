@@ -1,11 +1,8 @@
 """Correlation, column classification, leakage checks and greedy redundancy pruning.
 
-Pearson r is pairwise-complete (rows where both sides are present) and computed as
-covar_samp / (stddev_samp * stddev_samp) on the same rows — numerically stable
-central moments, NULL for constant or too-short columns (no ANSI divide error).
-All requested pairs are evaluated in ONE pass: each row is expanded into its pair
-list and aggregated by pair with map-side combining, so the shuffle carries one
-partial row per pair per task, whatever the table size.
+Pearson r is pairwise-complete (rows where both sides are present), NULL for constant or
+too-short columns. All pairs are evaluated in one pass of masked matrix products over
+centred columns; the shuffle carries one row per pair and partition.
 """
 
 from __future__ import annotations
@@ -19,19 +16,48 @@ from finpanel import schema as S
 from finpanel.operators.aggregates import coverage
 
 
+def _cross_sums(cols: Sequence[str], means: Sequence[float]):
+    """Per partition the sums over rows complete in (i, j), all pairs at once by matrix products."""
+    import numpy as np
+    import pandas as pd
+    i, j = np.triu_indices(len(cols), 1)
+
+    def sums(parts):
+        total = None
+        for pdf in parts:
+            x = pdf.to_numpy(dtype=float, na_value=np.nan) - np.asarray(means)
+            m = ~np.isnan(x)
+            x, m = np.where(m, x, 0.0), m.astype(float)
+            got = np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
+            total = got if total is None else total + got
+        if total is not None:
+            yield pd.DataFrame({"ia": i, "ib": j, **{n: t[i, j] for n, t in zip(("n", "x", "y", "xx", "yy", "xy"), total)}})
+
+    return sums
+
+
 def corr_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(a, b, n, r) for each requested column pair."""
-    structs = []
-    for a, b in pairs:
-        x, y = F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")
-        both = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
-        structs.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                                F.when(both, x).alias("x"), F.when(both, y).alias("y")))
-    long = df.select(F.inline(F.array(*structs)))
-    agg = long.groupBy("a", "b").agg(
-        F.count("x").alias("n"), F.covar_samp("x", "y").alias("cov"),
-        F.stddev_samp("x").alias("sx"), F.stddev_samp("y").alias("sy"))
-    return agg.select("a", "b", "n", F.try_divide(F.col("cov"), F.col("sx") * F.col("sy")).alias("r"))
+    """(a, b, n, r) for each requested column pair.
+
+    Columns are centred on their means (one pass), then each partition reduces its rows to
+    k x k matrices of sums over complete pairs (numpy products on Arrow batches); one row
+    per pair and partition is shuffled."""
+    cols = list(dict.fromkeys(c for p in pairs for c in p))
+    typed = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(c) for c in cols])
+    means = typed.agg(*[F.avg(F.col(f"`{c}`")).alias(c) for c in cols]).first()
+    sums = typed.mapInPandas(_cross_sums(cols, [m or 0.0 for m in means]),
+                             "ia int, ib int, n double, x double, y double, xx double, yy double, xy double")
+    at = {c: k for k, c in enumerate(cols)}
+    flip = [(a, b, min(at[a], at[b]), max(at[a], at[b])) for a, b in pairs]
+    wanted = F.broadcast(df.sparkSession.createDataFrame(flip, "a string, b string, ia int, ib int"))  # the caller's list
+    agg = sums.groupBy("ia", "ib").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+
+    def spread(square, total):  # rounding leaves a constant column about 1e-16 of its square
+        v = F.col(square) - F.try_divide(F.col(total) * F.col(total), F.col("n"))
+        return F.when(v > F.col(square) * 1e-13, v)
+
+    r = (F.col("xy") - F.try_divide(F.col("x") * F.col("y"), F.col("n"))) / F.sqrt(spread("xx", "x") * spread("yy", "y"))
+    return wanted.join(agg, ["ia", "ib"]).select("a", "b", F.col("n").cast("long").alias("n"), F.when(F.col("n") > 1, r).alias("r"))
 
 
 def corr_with_target(df: DataFrame, cols: Sequence[str], targets: Sequence[str]) -> DataFrame:
@@ -108,15 +134,18 @@ def prune_corr(df: DataFrame, cols: Sequence[str], target: str, max_r: float = S
     Pairs with |r| > max_r are visited column-major over the upper triangle (the order
     of ``cols``); a pair is skipped once either side is already dropped; otherwise the
     lower-coverage side is dropped, ties broken by lower |r| with the target (equal ->
-    the second). Statistics come from the cluster in one pass each; only the <= k^2/2
-    pair statistics reach the driver for the sequential greedy walk."""
-    cm = corr_matrix(df, cols).where(F.col("abs_r") > max_r).collect()
-    pairs = sorted(((r["ia"], r["ib"], r["a"], r["b"]) for r in cm), key=lambda t: (t[1], t[0]))
+    the second). All correlations come from one pass, the coverage of the columns in
+    question from another; only the <= k^2/2 pair statistics reach the driver for the sequential greedy walk."""
+    stats = corr_pairs(df, [(a, b) for k, b in enumerate(cols) for a in cols[:k]] + [(c, target) for c in cols if c != target]).collect()
+    pos = {c: k for k, c in enumerate(cols)}
+    tr = {s["a"]: abs(s["r"]) for s in stats if s["b"] == target and s["r"] is not None}
+    pairs = sorted(((pos[s["a"]], pos[s["b"]], s["a"], s["b"]) for s in stats
+                    if s["a"] in pos and s["b"] in pos and s["r"] is not None and abs(s["r"]) > max_r
+                    and pos[s["a"]] < pos[s["b"]]), key=lambda t: (t[1], t[0]))
     if not pairs:
         return df, []
     involved = sorted({p for _, _, a, b in pairs for p in (a, b)})
     cov = {r["column"]: r["pct_coverage"] for r in coverage(df, involved).collect()}
-    tr = {r["feature"]: r["abs_r"] for r in corr_with_target(df, involved, [target]).collect()}
     dropped: list[str] = []
     for _, _, a, b in pairs:
         if a in dropped or b in dropped:

@@ -152,6 +152,6 @@ def q_feature_panel(spark, d):
 def q_training_set(spark, d):
     from finpanel.plans.driver_panel import DRIVER_FORMS
     from finpanel.plans.training import feature_panel, training_set
-    panel = feature_panel(financial_panel(spark, d), year_range=(1995, 2001))
-    parts = ["fe_zscore_x1_wc_assets", "fe_zscore_x3_ebit_assets", "fe_zscore_x5_rev_assets"]
-    return training_set(panel, parts, "cik", DRIVER_FORMS)
+    # Order prices are no assets in dollars: no minimum, and columns stay however sparse.
+    panel = feature_panel(financial_panel(spark, d), year_range=(1992, 1998), min_assets=0, min_periods=1, min_pct=0.0)
+    return training_set(panel, forms=DRIVER_FORMS)

@@ -39,11 +39,6 @@ def m_view(spark, d):
         "p0": 1 - F.col("risk"), "p1": 1 - F.abs(F.col("risk") - 0.5) * 2, "p2": F.col("risk")})
 
 
-def dv_fp_ord(df):
-    return df.withColumn("fp_ord", F.when(F.col("fp") == "Q1", 1).when(F.col("fp") == "Q2", 2)
-                         .when(F.col("fp") == "Q3", 3).when(F.col("fp") == "FY", 4))
-
-
 REG_SQL = """SELECT COUNT(*) AS n, ROUND(SQRT(AVG((y - p) * (y - p))), 6) AS rmse, ROUND(AVG(ABS(y - p)), 6) AS mae,
   ROUND(1 - SUM((y - p) * (y - p)) / NULLIF(VAR_POP(y) * COUNT(*), 0), 6) AS r2,
   ROUND(AVG(CASE WHEN y > 0.001 THEN ABS(y - p) / ABS(y) END), 6) AS mape FROM"""
@@ -166,12 +161,11 @@ def q_split_temporal(spark, d):
             .unionByName(va.agg(F.count(F.lit(1)).alias("n")).withColumn("split", F.lit("validation"))))
 
 
-@register("split_random", M_SQL + """, C AS (SELECT target_class_next AS cls, COUNT(*) AS n FROM M
-  WHERE target_class_next IS NOT NULL GROUP BY 1)
+@register("split_random", M_SQL + """, C AS (SELECT target_class_next AS cls, COUNT(*) AS n FROM M GROUP BY 1)
 SELECT cls, 'train' AS split, CAST(ROUND(n * 0.8) AS BIGINT) AS n FROM C UNION ALL
 SELECT cls, 'test', n - CAST(ROUND(n * 0.8) AS BIGINT) FROM C""")
 def q_split_random(spark, d):
-    m = m_view(spark, d).where(F.col("target_class_next").isNotNull())
+    m = m_view(spark, d)  # rows without a class are a stratum of their own
     s = sp.split_random(m, ["cik", "fy", "fp"], 0.8, strata="target_class_next")
     return s.groupBy(F.col("target_class_next").alias("cls"), "split").agg(F.count(F.lit(1)).alias("n"))
 
@@ -198,20 +192,17 @@ def q_standardise(spark, d):
     return rounded(a.unionByName(b))
 
 
-@register("undersample", M_SQL + """, C AS (SELECT target_class_next AS cls, COUNT(*) AS n FROM M
-  WHERE target_class_next IS NOT NULL GROUP BY 1)
+@register("undersample", M_SQL + """, C AS (SELECT target_class_next AS cls, COUNT(*) AS n FROM M GROUP BY 1)
 SELECT cls, (SELECT MIN(n) FROM C) AS n FROM C""")
 def q_undersample(spark, d):
-    m = m_view(spark, d).where(F.col("target_class_next").isNotNull())
-    u = sp.undersample(m, "target_class_next", ["cik", "fy", "fp"])
+    u = sp.undersample(m_view(spark, d), "target_class_next", ["cik", "fy", "fp"])
     return u.groupBy(F.col("target_class_next").alias("cls")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("class_balance", M_SQL + """, C AS (SELECT target_class_next AS target_class_next, COUNT(*) AS n FROM M
-  WHERE target_class_next IS NOT NULL GROUP BY 1)
+@register("class_balance", M_SQL + """, C AS (SELECT target_class_next AS target_class_next, COUNT(*) AS n FROM M GROUP BY 1)
 SELECT target_class_next, n AS n_before, (SELECT MIN(n) FROM C) AS n_after FROM C""")
 def q_class_balance(spark, d):
-    m = m_view(spark, d).where(F.col("target_class_next").isNotNull())
+    m = m_view(spark, d)
     u = sp.undersample(m, "target_class_next", ["cik", "fy", "fp"])
     return sp.class_balance(m, u, "target_class_next")
 
@@ -225,11 +216,10 @@ def q_temporal_folds(spark, d):
     return fo.temporal_folds(m, "fy", "fp", "cik", 3).select("cik", "fy", "fp", "pos", "test_fold")
 
 
-@register("kfold_cv", M_SQL + """, C AS (SELECT target_class_next AS cls, COUNT(*) AS n FROM M
-  WHERE target_class_next IS NOT NULL GROUP BY 1), F AS (SELECT UNNEST(range(5)) AS fold)
+@register("kfold_cv", M_SQL + """, C AS (SELECT target_class_next AS cls, COUNT(*) AS n FROM M GROUP BY 1), F AS (SELECT UNNEST(range(5)) AS fold)
 SELECT cls, CAST(fold AS INTEGER) AS fold, CAST((n - 1 - fold) // 5 + 1 AS BIGINT) AS n FROM C, F WHERE fold < n""")
 def q_kfold_cv(spark, d):
-    m = m_view(spark, d).where(F.col("target_class_next").isNotNull())
+    m = m_view(spark, d)
     k = fo.kfold_column(m, ["cik", "fy", "fp"], 5, strata="target_class_next")
     return k.groupBy(F.col("target_class_next").alias("cls"), "fold").agg(F.count(F.lit(1)).alias("n"))
 
@@ -361,11 +351,15 @@ def q_smote_nc(spark, d):
                     ["fp_cat"], k=5, seed=42)
 
 
-@register("feature_select", "SELECT column_name AS feature FROM (DESCRIBE " + M_SQL + """
+@register("feature_select", M_SQL + """, T AS (
 SELECT cik, fy, fp, fp_ord, price_sum, revenue, disc_avg, n_orders, revenue_qoq, risk, risk_delta,
-  target_score_next, target_distress_next, target_class_next FROM M)
+  target_score_next, target_distress_next, target_class_next FROM M WHERE fy <= """ + str(CUT) + """)
+SELECT column_name AS feature, n_present FROM (UNPIVOT (SELECT COUNT(COLUMNS(*)) FROM T) ON COLUMNS(*) INTO NAME column_name VALUE n_present)
 WHERE column_name NOT IN ('cik', 'fy', 'fp', 'fp_ord') AND NOT starts_with(column_name, 'target_')""")
 def q_feature_select(spark, d):
-    tr, _ = _train_valid(spark, d)
+    """The features of the training rows, with how many rows hold a value of each."""
+    from finpanel.operators.aggregates import coverage
+    tr, _ = sp.split_temporal(m_view(spark, d).select(
+        "cik", "fy", "fp", "fp_ord", *FEATS, "target_score_next", "target_distress_next", "target_class_next"), "fy", CUT)
     cols = sp.feature_select(tr, exclude=["cik", "fy", "fp", "fp_ord"], exclude_prefixes=["target_"])
-    return spark.createDataFrame([(c,) for c in cols], "feature string")
+    return coverage(tr, cols).select(F.col("column").alias("feature"), F.col("n_non_null").alias("n_present"))

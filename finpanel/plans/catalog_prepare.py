@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from finpanel import schema as S
 from finpanel.operators import prepare as pr
 from finpanel.operators import profile as pf
-from finpanel.operators.features import panel_order
+from finpanel.operators.features import FEATURE_COLS, ZPARTS, panel_order
 from finpanel.operators.targets import strict_universe, targets
 from finpanel.plans import sql_features as sf
 from finpanel.plans.catalog_features import _features
-from finpanel.plans.driver_panel import financial_panel
+from finpanel.plans.driver_panel import DRIVER_FORMS, financial_panel
 from finpanel.plans.registry import register, rounded
 from finpanel.session import cut_lineage
 
@@ -22,10 +22,10 @@ TS AS (SELECT *, LEAD(fe_zscore_risk_score) OVER (PARTITION BY cik ORDER BY fy N
 KEYS = ["adsh", "cik", "fy", "fp"]
 
 
-def _features_cp(spark, d):
-    """Feature panel written once to the checkpoint folder: multi-pass operators
-    (percentiles, medians, correlations) then scan the stored table, not the lineage."""
-    return cut_lineage(_features(spark, d))
+def _features_cp(spark, d, cols):
+    """``cols`` of the feature panel, stored once: multi-pass operators (percentiles,
+    medians) then scan the stored table, not the lineage."""
+    return cut_lineage(_features(spark, d).select(*cols), "features")
 
 
 def _ts(spark, d):
@@ -67,13 +67,13 @@ CF_COLS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_anual_revenue", "fe_anual_ne
   (COUNT({c}) * 100.0 / COUNT(*) < 60 AND '{c}' <> 'fe_ctx_revenue_consolidado') AS dropped FROM FE""" for c in CF_COLS))
 def q_coverage_filter(spark, d):
     from finpanel.operators.aggregates import coverage
-    f = _features_cp(spark, d).select(*KEYS, *CF_COLS)
+    f = _features_cp(spark, d, [*KEYS, *CF_COLS])
     _, dropped = pr.coverage_filter(f, 60.0, "fe_", protected=["fe_ctx_revenue_consolidado"])
     cov = coverage(f, CF_COLS).select("column", "pct_coverage")
     return rounded(cov.withColumn("dropped", F.col("column").isin(dropped) if dropped else F.lit(False)))
 
 
-W_COLS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_ratio_deuda_equity", "fe_shares_book_value"]
+W_COLS = [c for c in S.WINSOR_COLS if c in FEATURE_COLS]
 
 
 @register("winsorize", FE_SQL + ", B AS (SELECT " + ", ".join(
@@ -81,20 +81,20 @@ W_COLS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_ratio_deuda_equity", "fe_shar
 SELECT adsh, """ + ", ".join(f"ROUND({sf.clip(c, c + '_lo', c + '_hi')}, 6) AS {c}" for c in W_COLS) +
           " FROM FE, B")
 def q_winsorize(spark, d):
-    f = _features_cp(spark, d).select("adsh", *W_COLS)
+    f = _features_cp(spark, d, ["adsh", *W_COLS])
     return rounded(pr.winsorize(f, W_COLS, 1.0, 99.0))
 
 
-SU_PARTS = ["fe_zscore_x1_wc_assets", "fe_zscore_x3_ebit_assets", "fe_zscore_x5_rev_assets"]
+SU_PARTS = ZPARTS
 
 
 @register("strict_universe", FE_SQL + """
 SELECT adsh, cik, fy, fp FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY cik, fy, fp ORDER BY filed DESC NULLS FIRST,
-  adsh DESC) AS rn FROM FE WHERE form IN ('1-URGENT', '2-HIGH') AND """ + " AND ".join(
+  adsh DESC) AS rn FROM FE WHERE form IN (" + ", ".join(f"'{x}'" for x in DRIVER_FORMS) + ") AND """ + " AND ".join(
     f"{p} IS NOT NULL" for p in SU_PARTS) + ") WHERE rn = 1")
 def q_strict_universe(spark, d):
     f = _features(spark, d).select(*KEYS, "form", "filed", *SU_PARTS)
-    return strict_universe(f, SU_PARTS, ["1-URGENT", "2-HIGH"]).select(*KEYS)
+    return strict_universe(f, SU_PARTS, DRIVER_FORMS).select(*KEYS)
 
 
 @register("targets", TS_SQL + """
@@ -125,13 +125,16 @@ def q_corr_with_target(spark, d):
     return rounded(pf.corr_with_target(_ts(spark, d), C_FEATS, [CORR_TARGET]))
 
 
-M_COLS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_ratio_apalancamiento", "fe_ratio_quick", "fe_zscore_x1_wc_assets"]
+#: Every free feature: neither context, forbidden nor autoregressive.
+M_COLS = [c for c in FEATURE_COLS if c not in S.CONTEXT_COLS and c not in S.FEATURES_A_FORBIDDEN
+          and c not in S.FEATURES_B_AUTOREGRESSIVE]
 M_PAIRS = [(M_COLS[i], M_COLS[j]) for j in range(len(M_COLS)) for i in range(j)]
 
 
-@register("corr_matrix", TS_SQL + "\nSELECT a, b, n, r, ROUND(ABS(r), 6) AS abs_r, ia, ib FROM (" + "\nUNION ALL\n".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, COUNT({a} + {b}) AS n, ROUND(NULLIF(CORR({a}, {b}), CAST('NaN' AS DOUBLE)), 6) AS r, {M_COLS.index(a)} AS ia, "
-    f"{M_COLS.index(b)} AS ib FROM TS" for a, b in M_PAIRS) + ")")
+@register("corr_matrix", TS_SQL + """
+SELECT a, b, n, ROUND(r, 6) AS r, ROUND(ABS(r), 6) AS abs_r, ia, ib FROM (SELECT UNNEST([""" + ",\n".join(
+    f"{{a: '{a}', b: '{b}', n: COUNT({a} + {b}), r: NULLIF(CORR(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), CAST('NaN' AS DOUBLE)), "
+    f"ia: {M_COLS.index(a)}, ib: {M_COLS.index(b)}}}" for a, b in M_PAIRS) + "], recursive := true) FROM TS)")
 def q_corr_matrix(spark, d):
     return rounded(pf.corr_matrix(_ts(spark, d), M_COLS))
 
@@ -171,7 +174,14 @@ def q_family_summary(spark, d):
     return rounded(pf.family_summary(_ts(spark, d), C_FEATS, CORR_TARGET))
 
 
-_COLS_SQL = "(DESCRIBE WITH " + sf.FEATURE_SQL_CTES + " SELECT * FROM FE)"
+def _with_present(classify, f):
+    """A classification by name, beside how many rows hold a value (one pass for all columns)."""
+    from finpanel.operators.aggregates import coverage
+    counts = coverage(f, f.columns).select("column", F.col("n_non_null").alias("n_present"))
+    return classify(f).join(counts, "column")
+
+
+_COLS_SQL = "(UNPIVOT (SELECT COUNT(COLUMNS(*)) FROM FE) ON COLUMNS(*) INTO NAME column_name VALUE n_present)"
 _FAMILY_SQL = ("CASE " + " ".join(f"WHEN starts_with(column_name, '{p}') THEN '{p[:-1]}'" for p in S.FAMILY_PREFIXES)
                + " WHEN column_name IN (" + ", ".join(f"'{m}'" for m in S.META_COLS) + ") THEN 'meta'"
                + " ELSE 'xbrl_raw' END")
@@ -181,12 +191,12 @@ def _in(cols):
     return "(" + ", ".join(f"'{c}'" for c in cols) + ")"
 
 
-@register("family_class", f'SELECT column_name AS "column", {_FAMILY_SQL} AS family FROM {_COLS_SQL}')
+@register("family_class", FE_SQL + f' SELECT column_name AS "column", {_FAMILY_SQL} AS family, n_present FROM {_COLS_SQL}')
 def q_family_class(spark, d):
-    return pf.family_class(_features(spark, d))
+    return _with_present(pf.family_class, _features(spark, d))
 
 
-@register("keep_drop", f"""WITH C AS (SELECT column_name AS "column", {_FAMILY_SQL} AS family FROM {_COLS_SQL}),
+@register("keep_drop", FE_SQL + f""", C AS (SELECT column_name AS "column", {_FAMILY_SQL} AS family, n_present FROM {_COLS_SQL}),
 K AS (SELECT *, CASE WHEN family = 'xbrl_raw' THEN 'DROP_XBRL_RAW'
                      WHEN "column" IN {_in(S.DROP_REDUNDANT)} THEN 'DROP_REDUNDANTE' ELSE 'KEEP' END AS decision FROM C)
 SELECT *, CASE WHEN decision <> 'KEEP' THEN '-' WHEN family = 'meta' THEN 'META'
@@ -194,22 +204,25 @@ SELECT *, CASE WHEN decision <> 'KEEP' THEN '-' WHEN family = 'meta' THEN 'META'
                WHEN "column" IN {_in(S.FEATURES_B_AUTOREGRESSIVE)} THEN 'B_AUTOREGRESIVA' ELSE 'C_LIBRE' END AS category
 FROM K""")
 def q_keep_drop(spark, d):
-    return pf.keep_drop(_features(spark, d))
+    return _with_present(pf.keep_drop, _features(spark, d))
 
 
-P_COLS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_ratio_quick", "fe_zscore_x1_wc_assets", "fe_ratio_capital_trabajo",
-          "fe_ratio_apalancamiento"]
+P_COLS = M_COLS
 
 
 def _prune_sql():
     cols = P_COLS
-    pr_ = [(cols[i], cols[j], i, j) for j in range(len(cols)) for i in range(j)]
-    pairs = " UNION ALL ".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, {i} AS ia, {j} AS ib, ABS(NULLIF(CORR({a}, {b}), CAST('NaN' AS DOUBLE))) AS r, "
-        f"COUNT({a}) * 1.0 / COUNT(*) AS cov_a, COUNT({b}) * 1.0 / COUNT(*) AS cov_b, "
-        f"ABS(NULLIF(CORR({a}, {CORR_TARGET}), CAST('NaN' AS DOUBLE))) AS ta, ABS(NULLIF(CORR({b}, {CORR_TARGET}), CAST('NaN' AS DOUBLE))) AS tb FROM TS" for a, b, i, j in pr_)
+    def corr(a, b):
+        return f"ABS(NULLIF(CORR(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), CAST('NaN' AS DOUBLE)))"
+
+    pairs = "SELECT p.*, x.cov AS cov_a, x.t AS ta, y.cov AS cov_b, y.t AS tb FROM (SELECT UNNEST([" + ", ".join(
+        f"{{a: '{cols[i]}', b: '{cols[j]}', ia: {i}, ib: {j}, r: {corr(cols[i], cols[j])}}}" for j in range(len(cols)) for i in range(j)
+    ) + "], recursive := true) FROM TS) p JOIN ST x ON x.c = p.a JOIN ST y ON y.c = p.b"
+    single = "SELECT UNNEST([" + ", ".join(
+        f"{{c: '{c}', cov: COUNT({c}) * 1.0 / COUNT(*), t: {corr(c, CORR_TARGET)}}}" for c in cols) + "], recursive := true) FROM TS"
     names = " UNION ALL ".join(f"SELECT '{c}' AS col" for c in cols)
     return TS_SQL + f""",
+ST AS ({single}),
 PA AS (SELECT * FROM ({pairs}) WHERE r > 0.95),
 PO AS (SELECT *, ROW_NUMBER() OVER (ORDER BY ib, ia) AS i FROM PA),
 W AS (SELECT 0 AS i, CAST([] AS VARCHAR[]) AS dropped
@@ -238,7 +251,7 @@ PC_COLS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_anual_revenue", "fe_delta_as
   CASE WHEN COUNT({c}) * 100.0 / COUNT(*) < 80 THEN '_PODADA_{c}' ELSE '{c}' END AS new_name FROM FE""" for c in PC_COLS))
 def q_prune_coverage(spark, d):
     from finpanel.operators.aggregates import coverage
-    f = _features_cp(spark, d).select(*KEYS, *PC_COLS)
+    f = _features_cp(spark, d, [*KEYS, *PC_COLS])
     pruned_df, low = pr.prune_coverage(f, PC_COLS, 80.0)
     cov = coverage(f, PC_COLS).select("column", "pct_coverage")
     names = [c for c in pruned_df.columns if c not in KEYS]
@@ -254,7 +267,7 @@ RC_COLS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_ratio_deuda_equity", "fe_anu
               f"""SELECT '{c}' AS "column", ROUND(MIN({c}), 6) AS "min", ROUND(MAX({c}), 6) AS "max",
   ROUND(QUANTILE_CONT({c}, 0.01), 6) AS p1, ROUND(QUANTILE_CONT({c}, 0.99), 6) AS p99 FROM FE""" for c in RC_COLS) + ")")
 def q_range_check(spark, d):
-    f = _features_cp(spark, d).select(*RC_COLS)
+    f = _features_cp(spark, d, RC_COLS)
     out = rounded(pr.range_check(f, RC_COLS))
     return out.withColumn("alarm", F.coalesce((F.abs("max") > 5 * F.abs("p99")) & (F.abs("p99") > 0.001),
                                               F.lit(False)))
@@ -273,8 +286,8 @@ def q_clip_flag(spark, d):
 SECTOR_SQL = "CASE WHEN fe_ctx_sic_sector >= 5 THEN fe_ctx_sic_sector % 10 END"
 
 
-def _with_sector(spark, d):
-    f = _features_cp(spark, d)
+def _with_sector(spark, d, cols):
+    f = _features_cp(spark, d, ["adsh", "fe_ctx_sic_sector", *cols])
     return f.withColumn("sector", F.when(F.col("fe_ctx_sic_sector") >= 5, F.col("fe_ctx_sic_sector") % 10))
 
 
@@ -298,7 +311,7 @@ SELECT "column", ROUND(pct_coverage, 6) AS pct_coverage, ROUND(std_missing, 6) A
        WHEN pct_coverage >= 60 AND structural THEN 'IMP_CERO_FLAG'
        WHEN pct_coverage >= 30 THEN 'CONSERVAR_FLAG' ELSE 'PODA_PRELIMINAR' END AS strategy FROM S""")
 def q_impute_plan(spark, d):
-    plan = pr.impute_plan(_with_sector(spark, d), IMP_FEATS, "sector", class_b=["fe_delta_zscore_qoq"])
+    plan = pr.impute_plan(_with_sector(spark, d, IMP_FEATS), IMP_FEATS, "sector", class_b=["fe_delta_zscore_qoq"])
     return rounded(plan)
 
 
@@ -326,7 +339,7 @@ SELECT adsh, CAST(fe_ratio_liquidez IS NULL AS TINYINT) AS fe_imputed_fe_ratio_l
   ROUND(COALESCE(fe_ratio_liquidez, (SELECT MEDIAN(fe_ratio_liquidez) FROM FE)), 6) AS fe_ratio_liquidez,
   ROUND(COALESCE(fe_delta_assets_qoq, (SELECT MEDIAN(fe_delta_assets_qoq) FROM FE)), 6) AS fe_delta_assets_qoq FROM FE""")
 def q_impute_median(spark, d):
-    f = _features_cp(spark, d).select("adsh", "fe_ratio_liquidez", "fe_delta_assets_qoq")
+    f = _features_cp(spark, d, ["adsh", "fe_ratio_liquidez", "fe_delta_assets_qoq"])
     a = pr.impute_median(f, ["fe_ratio_liquidez"], flag=True)
     return rounded(pr.impute_median(a, ["fe_delta_assets_qoq"], flag=False))
 
@@ -337,7 +350,7 @@ F1 AS (SELECT X.adsh, X.sector, CASE WHEN X.sector IS NULL THEN NULL ELSE COALES
        FROM X LEFT JOIN G ON X.sector = G.sector)
 SELECT adsh, sector, ROUND(COALESCE(x1, (SELECT MEDIAN(x1) FROM F1)), 6) AS fe_ratio_roa FROM F1""")
 def q_impute_group_median(spark, d):
-    f = _with_sector(spark, d).select("adsh", "sector", "fe_ratio_roa")
+    f = _with_sector(spark, d, ["fe_ratio_roa"]).select("adsh", "sector", "fe_ratio_roa")
     return rounded(pr.impute_group_median(f, ["fe_ratio_roa"], "sector", flag=False, global_after=True))
 
 
@@ -348,7 +361,7 @@ F1 AS (SELECT X.adsh, X.sector, X.x, CASE WHEN X.sector IS NULL THEN NULL ELSE C
 SELECT adsh, sector, CAST(x IS NULL AS TINYINT) AS fe_imputed_fe_anual_net_income,
   ROUND(COALESCE(x1, (SELECT MEDIAN(x) FROM X)), 6) AS fe_anual_net_income FROM F1""")
 def q_impute_group_median_flag(spark, d):
-    f = _with_sector(spark, d).select("adsh", "sector", "fe_anual_net_income")
+    f = _with_sector(spark, d, ["fe_anual_net_income"]).select("adsh", "sector", "fe_anual_net_income")
     return rounded(pr.impute_group_median(f, ["fe_anual_net_income"], "sector", flag=True, global_after=False))
 
 
@@ -364,7 +377,7 @@ def q_impute_zero_flag(spark, d):
 SELECT adsh, ROUND(COALESCE(fe_shares_dilution, (SELECT MEDIAN(fe_shares_dilution) FROM FE), 0), 6) AS fe_shares_dilution,
   ROUND(COALESCE(fe_ratio_rnd_revenue, (SELECT MEDIAN(fe_ratio_rnd_revenue) FROM FE), 0), 6) AS fe_ratio_rnd_revenue FROM FE""")
 def q_impute_backstop(spark, d):
-    f = _features_cp(spark, d).select("adsh", "fe_shares_dilution", "fe_ratio_rnd_revenue")
+    f = _features_cp(spark, d, ["adsh", "fe_shares_dilution", "fe_ratio_rnd_revenue"])
     return rounded(pr.impute_backstop(f, ["fe_shares_dilution", "fe_ratio_rnd_revenue"]))
 
 

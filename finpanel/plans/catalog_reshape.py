@@ -68,12 +68,16 @@ def q_rename_cols(spark, d):
     return rounded(rs.rename_cols(p, {"cik": "entity"}, prefix="_PODADA_", cols=["revenue", "disc_avg"]))
 
 
-@register("column_contract", """WITH C AS (SELECT column_name FROM (DESCRIBE """ + PQ + """ SELECT * FROM P)),
+@register("column_contract", """""" + PQ.replace("SELECT", "SELECT", 1).rstrip() + """ SELECT * FROM (WITH C AS (
+  SELECT column_name, n_present FROM (UNPIVOT (SELECT COUNT(COLUMNS(*)) FROM P) ON COLUMNS(*) INTO NAME column_name VALUE n_present)),
 Req AS (SELECT * FROM (VALUES ('cik'), ('fy'), ('fp'), ('revenue'), ('Assets')) t(c))
-SELECT c AS "column", 'missing' AS status FROM Req WHERE c NOT IN (SELECT column_name FROM C)
-UNION ALL SELECT column_name, 'extra' FROM C WHERE column_name NOT IN (SELECT c FROM Req)
+SELECT c AS "column", 'missing' AS status, CAST(0 AS BIGINT) AS n_present FROM Req WHERE c NOT IN (SELECT column_name FROM C)
+UNION ALL SELECT column_name, 'extra', n_present FROM C WHERE column_name NOT IN (SELECT c FROM Req)
   AND regexp_matches(column_name, '^n_')
-UNION ALL SELECT c, 'ok' FROM Req WHERE c IN (SELECT column_name FROM C)""")
+UNION ALL SELECT column_name, 'ok', n_present FROM C WHERE column_name IN (SELECT c FROM Req))""")
 def q_column_contract(spark, d):
     p = dv.customer_quarter_panel(spark, d)
-    return rs.column_contract(p, ["cik", "fy", "fp", "revenue", "Assets"], pattern="^n_")
+    from finpanel.operators.aggregates import coverage
+    found = rs.column_contract(p, ["cik", "fy", "fp", "revenue", "Assets"], pattern="^n_")
+    present = coverage(p, p.columns).select("column", F.col("n_non_null").alias("n_present"))
+    return found.join(present, "column", "left").fillna(0, ["n_present"])

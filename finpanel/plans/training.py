@@ -1,7 +1,7 @@
 """Entries 2 and 3 composed: cleaned panel -> features -> prepared set -> targets.
 
-Entry 2 (clean, features, prepare) and Entry 3 (strict universe, targets, leakage
-control, imputation, clipping, encoding, pruning, checks) as DataFrame functions.
+Entry 2 (clean, features, prepare) and the core of Entry 3 (strict universe, targets,
+encoding) as DataFrame functions.
 Every data-dependent decision (coverage, percentiles, medians, correlations) is a
 small distributed aggregate followed by column expressions.
 """
@@ -20,7 +20,7 @@ from finpanel.operators import filters as fl
 from finpanel.operators import prepare as pr
 from finpanel.operators.panel import dedup_latest
 from finpanel.operators.reshape import one_hot
-from finpanel.operators.targets import filter_has_target, targets
+from finpanel.operators.targets import filter_has_target, strict_universe, targets
 
 
 def clean(df: DataFrame, year_range=S.YEAR_RANGE) -> DataFrame:
@@ -48,22 +48,25 @@ def prepare(df: DataFrame, min_pct: float = S.COVERAGE_MIN_PCT, min_assets: floa
 
 
 def feature_panel(raw: DataFrame, year_range=S.YEAR_RANGE, min_assets: float = S.MIN_ASSETS,
-                  min_periods: int = S.MIN_PERIODS) -> DataFrame:
+                  min_periods: int = S.MIN_PERIODS, min_pct: float = S.COVERAGE_MIN_PCT) -> DataFrame:
     """Entry 2 end to end: clean -> 73 features -> prepare. The feature panel is
     materialised (checkpoint folder) before the multi-pass preparation statistics."""
     from finpanel.session import cut_lineage
     feats = cut_lineage(fe.build_features(clean(raw, year_range)))
-    return prepare(feats, min_assets=min_assets, min_periods=min_periods)
+    return prepare(feats, min_pct=min_pct, min_assets=min_assets, min_periods=min_periods)
 
 
 def training_set(panel: DataFrame, parts: Sequence[str] = tuple(fe.ZPARTS), entity: str = "cik",
                  forms: Sequence[str] = tuple(S.FORMS)) -> DataFrame:
     """Entry 3 core: strict universe (valid forms, all five Z parts), targets from the
-    next surviving row, rows without a next value dropped, SIC division dummies."""
-    df = panel.where(F.col("form").isin(list(forms)))
-    for p in [p for p in parts if p in panel.columns]:  # parts the coverage filter kept
-        df = df.where(F.col(p).isNotNull())
-    df = dedup_latest(df, ["cik", "fy", "fp"], "filed", ["adsh"])
+    next surviving row, rows without a next value dropped, SIC division dummies.
+
+    A panel that lacks a part (say, its coverage was too low) raises: the universe would
+    be another one."""
+    missing = [p for p in parts if p not in panel.columns]
+    if missing:
+        raise ValueError(f"the strict universe needs all parts; missing: {missing}")
+    df = strict_universe(panel, parts, forms)
     df = targets(df, entity, fe.panel_order(), "fe_zscore_risk_score")
     df = filter_has_target(df, ["target_score_next"])
     div = range_code(F.col("fe_ctx_sic_sector"), S.SIC_DIVISIONS)

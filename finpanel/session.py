@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,16 +51,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
-
-def write_stage(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
-    """Materialise a stage as a table under the checkpoint folder and read it back."""
+    Lineage ends there (a lost executor re-reads files), the last stage runs once, and
+    later scans still prune columns. Every call has a folder of its own."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, "stages", name)
-    df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
+    path = os.path.join(ensure_checkpoint_dir(spark), "stages", f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,22 +48,44 @@ def quarter_range_of(df: DataFrame, date_col: str) -> DataFrame:
 
 
 def header_columns(spark: SparkSession, path: str, sep: str = "\t") -> list[str]:
-    """Column names from the header line (reads one line)."""
+    """Column names from the header line of one file."""
     return spark.read.option("header", True).option("sep", sep).csv(path).columns
 
 
+def files_by_header(spark: SparkSession, path: str, sep: str = "\t") -> dict[tuple[str, ...], list[str]]:
+    """The files below ``path`` by their own header (one listing, one header line a file)."""
+    out: dict[tuple[str, ...], list[str]] = {}
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    for r in sorted(listed.where("length > 0").collect()):
+        out.setdefault(tuple(header_columns(spark, r.path, sep)), []).append(r.path)
+    return out
+
+
 def read_tsv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
              sep: str = "\t") -> DataFrame:
     """Tab-separated text with header, every column as string; lines with more fields
-    than the header are dropped, shorter lines are kept with NULLs."""
-    cols = list(columns or header_columns(spark, path, sep))
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols] +
-                          [T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.schema(schema).option("header", True).option("sep", sep)
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-          .option("nullValue", "").option("encoding", "UTF-8").csv(path))
-    n_fields = F.size(F.split(F.col(CORRUPT), sep))
-    return df.where(F.col(CORRUPT).isNull() | (n_fields <= len(cols))).drop(CORRUPT)
+    than their file's header are dropped, shorter lines are kept with NULLs.
+
+    Files are read by their own header and united by name, so quarters whose columns
+    differ or stand in another order do not shift values; a column that a file lacks is
+    NULL there. ``columns`` instead names the columns of all files by position."""
+    groups = {tuple(columns): [path]} if columns else files_by_header(spark, path, sep)
+    out = None
+    for cols, files in groups.items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in cols] +
+                              [T.StructField(CORRUPT, T.StringType())])
+        reader = (spark.read.schema(schema).option("header", True).option("sep", sep)
+                  .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+                  .option("nullValue", "").option("encoding", "UTF-8"))
+        if columns is None and files != [path] and not any(c in path for c in "*?[{") and os.path.basename(files[0]) != os.path.basename(path):
+            reader = reader.option("basePath", path)  # a folder: its partition folders stay columns
+        df = reader.csv(files)
+        n_fields = F.size(F.split(F.col(CORRUPT), sep))
+        df = df.where(F.col(CORRUPT).isNull() | (n_fields <= len(cols))).drop(CORRUPT)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"no file with a header below {path}")
+    return out
 
 
 def select_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -154,14 +177,24 @@ def write_tsv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str
 
 
 def ingest_manifest(df: DataFrame, group: str | None = None) -> DataFrame:
-    """Rows and bytes per input file (and per partition value), status ok/empty."""
-    d = df.select("*", F.col("_metadata.file_path").alias("file"),
+    """Rows and bytes per input file (and per partition value), status ok/empty.
+
+    The files come from the table's listing, so one without rows is a line, too."""
+    d = df.select(*([group] if group else []), F.col("_metadata.file_path").alias("file"),
                   F.col("_metadata.file_size").alias("file_size"))
-    keys = ["file"] + ([group] if group else [])
-    return (d.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.max("file_size").alias("bytes"))
-             .withColumn("mb", F.col("bytes") / (1024.0 * 1024.0))
-             .withColumn("columns", F.lit(len(df.columns)))
-             .withColumn("status", F.when(F.col("rows") > 0, "ok").otherwise("empty")))
+    counts = (d.groupBy("file", *([group] if group else []))
+               .agg(F.count(F.lit(1)).alias("rows"), F.max("file_size").alias("bytes")))
+    listed = df.sparkSession.createDataFrame([(f,) for f in df.inputFiles()], "file string")
+    # Listing and scan may spell a local path differently (file:/ and file:///).
+    same = F.regexp_replace("file", "^file:/+", "file:/")
+    out = listed.withColumn("_at", same).drop("file").join(counts.withColumn("_at", same), "_at", "left")
+    if group:  # of a file without rows, the value is read off its folder
+        found = F.nullif(F.regexp_extract("_at", f"{group}=([^/]*)/", 1), F.lit(""))
+        out = out.withColumn(group, F.coalesce(group, found.cast(df.schema[group].dataType)))
+    return (out.withColumns({"file": F.coalesce("file", "_at"), "rows": F.coalesce("rows", F.lit(0).cast("long"))}).drop("_at")
+               .withColumn("mb", F.col("bytes") / (1024.0 * 1024.0))
+               .withColumn("columns", F.lit(len(df.columns)))
+               .withColumn("status", F.when(F.col("rows") > 0, "ok").otherwise("empty")))
 
 
 def metric_rows(spark: SparkSession, rows: Iterable[tuple[str, str, float]]) -> DataFrame:
@@ -179,5 +212,6 @@ def write_metrics(frames: Sequence[DataFrame], path: str) -> str:
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own for each call, below the shared checkpoint folder."""
     from finpanel.session import ensure_checkpoint_dir
-    return os.path.join(ensure_checkpoint_dir(spark), "stages", name)
+    return os.path.join(ensure_checkpoint_dir(spark), "stages", f"{name}-{uuid.uuid4().hex}")

@@ -5,8 +5,9 @@ picks them up; every micro-batch runs Entry 1 (filters, header join, longest-dur
 dedup, pivot) on the facts it received and writes the wide rows to
 ``<out>/batch_id=<n>``. Writing per batch id with overwrite makes a replayed batch
 idempotent, and the checkpoint location (under the shared checkpoint folder) lets a
-restarted job continue where it stopped. A filing's facts must arrive within one
-quarter folder (as in the quarterly data sets), so batches never split a filing.
+restarted job continue where it stopped. A filing may be spread over files and batches:
+with ``key``, a batch recomputes every filing it touches from all its facts, and the
+latest batch's row stands.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ def stream_paths(spark: SparkSession, name: str) -> tuple[str, str]:
 
 def ingest_quarters(spark: SparkSession, facts_path: str, transform: Callable[[DataFrame], DataFrame],
                     out_path: str, checkpoint: str, files_per_trigger: int = 1,
-                    available_now: bool = True) -> None:
+                    available_now: bool = True, key: str | None = None) -> None:
     """Run the stream until every available file is processed (or forever when
     ``available_now`` is False and the caller manages the query)."""
     schema = spark.read.parquet(facts_path).schema
@@ -37,6 +38,9 @@ def ingest_quarters(spark: SparkSession, facts_path: str, transform: Callable[[D
            .parquet(facts_path))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if key:
+            touched = batch.select(key).distinct()
+            batch = batch.sparkSession.read.schema(schema).parquet(facts_path).join(touched, key, "left_semi")
         out = transform(batch)
         out.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
 
@@ -47,9 +51,14 @@ def ingest_quarters(spark: SparkSession, facts_path: str, transform: Callable[[D
         q.awaitTermination()
 
 
-def read_ingested(spark: SparkSession, out_path: str) -> DataFrame:
-    """All micro-batch outputs as one table (batch_id as a partition column dropped)."""
-    return spark.read.parquet(out_path).drop("batch_id")
+def read_ingested(spark: SparkSession, out_path: str, key: str | None = None) -> DataFrame:
+    """All micro-batch outputs as one table (batch_id as a partition column dropped); with
+    ``key``, the rows of its latest batch."""
+    out = spark.read.parquet(out_path)
+    if key:
+        last = out.groupBy(key).agg(F.max("batch_id").alias("batch_id"))
+        out = out.join(last, [key, "batch_id"], "left_semi")
+    return out.drop("batch_id")
 
 
 def with_quarter(df: DataFrame, date_col: str) -> DataFrame:

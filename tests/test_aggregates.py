@@ -12,12 +12,10 @@ def test_quantiles_match_numpy_with_ties_and_hot_value(spark):
     rows = [(int(i % 3), float(v)) for i, v in enumerate(vals)] + [(0, None)]
     df = spark.createDataFrame(rows, "g int, x double")
     probs = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
-    got = {r["p"]: r["value"] for r in ag.quantiles(df, ["x"], probs, buckets=5, small_distinct=0).collect()}
-    small = {r["p"]: r["value"] for r in ag.quantiles(df, ["x"], probs).collect()}
+    got = {r["p"]: r["value"] for r in ag.quantiles(df, ["x"], probs).collect()}
     for p in probs:
         assert abs(got[p] - np.percentile(vals, p * 100)) < 1e-9
-        assert abs(small[p] - np.percentile(vals, p * 100)) < 1e-9
-    grp = ag.quantiles(df, ["x"], [0.5], by=["g"], buckets=4, small_distinct=0).collect()
+    grp = ag.quantiles(df, ["x"], [0.5], by=["g"]).collect()
     for r in grp:
         sub = np.array([v for i, v in enumerate(vals) if i % 3 == r["g"]])
         assert abs(r["value"] - np.median(sub)) < 1e-9
@@ -44,3 +42,32 @@ def test_missing_by_group_drops_null_keys(spark):
     assert abs(r["std_missing"] - np.std([50.0, 0.0], ddof=1)) < 1e-9
     assert r["pct_coverage"] == 60.0 and r["structural"] is True
     assert ag.grouped_medians(df, ["g"], ["x"]).where(F.col("g") == 2).first()["x_median"] == 1.0
+
+
+def test_quantiles_beyond_the_sketch_and_null_groups(spark):
+    """More rows than the sketch keeps apart; a group key of NULL is a group."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.lognormal(size=60_000), np.full(30_000, 0.5)])
+    g = [None if k % 3 == 0 else int(k % 3) for k in range(len(x))]
+    df = spark.createDataFrame(list(zip(g, x.tolist())), "g int, x double")
+    for r in ag.quantiles(df, ["x"], [0.01, 0.5, 0.99], by=["g"]).collect():
+        part = x[[k for k in range(len(x)) if g[k] == r["g"]]]
+        assert abs(r["value"] - np.percentile(part, r["p"] * 100)) < 1e-12
+    assert ag.quantiles(df, ["x"], [0.5], by=["g"]).count() == 3
+
+
+def test_correlations_as_numpy(spark):
+    from finpanel.operators import profile as pf
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 4)) * [1, 1e6, 1e-3, 1] + [0, 1e9, 5, 0]
+    x[:, 1] += x[:, 0] * 5e5
+    rows = [(*[None if rng.random() < 0.1 else float(v) for v in r], 7.25) for r in x]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, k double").repartition(3)
+    for r in pf.corr_matrix(df, list("abcdk")).collect():
+        pair = [(p["abcdk".index(r["a"])], p["abcdk".index(r["b"])]) for p in rows]
+        pair = np.array([p for p in pair if None not in p])
+        assert r["n"] == len(pair)
+        if "k" in (r["a"], r["b"]):
+            assert r["r"] is None
+        else:
+            assert abs(r["r"] - np.corrcoef(pair.T)[0, 1]) < 1e-9

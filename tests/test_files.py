@@ -22,3 +22,22 @@ def test_read_tsv_and_read_sub(spark, tmp_path):
 def test_quarter_range(spark):
     q = [r["quarter"] for r in fs.quarter_range(spark, "2023Q3", "2024Q2").collect()]
     assert q == ["2023Q3", "2023Q4", "2024Q1", "2024Q2"]
+
+
+def test_read_tsv_by_each_files_header(spark, tmp_path):
+    """Quarters with other columns, or in another order, and partition folders."""
+    for q, text in {"2023Q4": "adsh\tform\tfy\nx1\t10-K\t2023\nx2\t10-K\t2023\tmore\n", "2024Q1": "adsh\tcik\tform\ny1\t7\t10-Q\n"}.items():
+        (tmp_path / f"quarter={q}").mkdir()
+        (tmp_path / f"quarter={q}" / "sub.txt").write_text(text)
+    t = fs.read_tsv(spark, str(tmp_path))
+    got = {(r["adsh"], r["form"], r["fy"], r["cik"], r["quarter"]) for r in t.collect()}
+    assert got == {("x1", "10-K", "2023", None, "2023Q4"), ("y1", "10-Q", None, "7", "2024Q1")}
+    assert {r["adsh"] for r in fs.read_sub(spark, str(tmp_path)).collect()} == {"x1", "y1"}
+
+
+def test_manifest_shows_empty_files(spark, tmp_path):
+    p = str(tmp_path / "t")
+    spark.range(5).coalesce(1).write.parquet(p)
+    spark.range(0).coalesce(1).write.mode("append").parquet(p)
+    got = sorted((r["rows"], r["status"]) for r in fs.ingest_manifest(spark.read.parquet(p)).collect())
+    assert got == [(0, "empty"), (5, "ok")]

@@ -31,14 +31,6 @@ def test_auc_and_ap_with_ties(spark):
     y = [int(v) for v in (rng.random(300) < 0.4)]
     df = spark.createDataFrame(list(zip(y, s)), "y int, s double")
     assert abs(me.roc_auc(df, "y", "s").first()["auc"] - _brute_auc(y, s)) < 1e-12
-    from finpanel.ml import ranks
-    old = ranks.SMALL_DISTINCT
-    try:  # force the bucketed path as well
-        ranks.SMALL_DISTINCT = 0
-        assert abs(me.roc_auc(df, "y", "s").first()["auc"] - _brute_auc(y, s)) < 1e-12
-        assert abs(me.pr_auc(df, "y", "s").first()["average_precision"] - _brute_ap(y, s)) < 1e-12
-    finally:
-        ranks.SMALL_DISTINCT = old
     assert abs(me.pr_auc(df, "y", "s").first()["average_precision"] - _brute_ap(y, s)) < 1e-12
 
 
@@ -51,14 +43,30 @@ def test_eval_regression(spark):
     assert abs(r["r2"] - (1 - np.sum((y - p) ** 2) / np.sum((y - y.mean()) ** 2))) < 1e-12
 
 
-def test_temporal_folds_positions(spark):
+def test_temporal_folds_positions(spark, monkeypatch):
     from finpanel.ml import ranks
-    for small in (ranks.SMALL_DISTINCT, 0):
-        old, ranks.SMALL_DISTINCT = ranks.SMALL_DISTINCT, small
-        try:
-            _check_folds(spark)
-        finally:
-            ranks.SMALL_DISTINCT = old
+    _check_folds(spark)
+    monkeypatch.setattr(ranks, "RANGE_ROWS", 5)  # many ranges
+    _check_folds(spark)
+
+
+def test_folds_and_splits_keep_every_row(spark):
+    """NULL periods, strata and ties, repeated rows and text ids."""
+    from finpanel.ml import split as sp
+    rows = [(None if i % 5 == 0 else 2000 + i // 8, ["Q1", "Q4", None][i % 3], None if i % 7 == 0 else f"0001-{i % 9}", None if i % 4 == 0 else i % 2)
+            for i in range(42)]
+    df = spark.createDataFrame(rows, "fy int, fp string, adsh string, cls int")
+    out = fo.temporal_folds(df, "fy", "fp", "adsh", 3).collect()
+    assert sorted(r["pos"] for r in out) == list(range(42))
+    assert [sum(r["test_fold"] == k for r in out) for k in (1, 2, 3)] == [10, 10, 10]
+    s = sp.split_random(df, ["fy", "fp", "adsh"], 0.8, "cls").groupBy("cls", "split").count().collect()
+    assert sum(r["count"] for r in s) == 42
+    n = df.groupBy("cls").count().collect()
+    assert {(r["cls"], r["count"]) for r in s if r["split"] == "train"} == {(r["cls"], round(r["count"] * 0.8)) for r in n}
+    k = fo.kfold_column(df, ["fy", "fp", "adsh"], 5, "cls").groupBy("cls", "fold").count().collect()
+    assert sum(r["count"] for r in k) == 42
+    u = sp.undersample(df, "cls", ["fy", "fp", "adsh"]).groupBy("cls").count().collect()
+    assert {r["cls"]: r["count"] for r in u} == dict.fromkeys([None, 0, 1], min(r["count"] for r in n))
 
 
 def _check_folds(spark):

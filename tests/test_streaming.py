@@ -24,3 +24,17 @@ def test_restart_and_incremental(spark, tmp_path):
     st.ingest_quarters(spark, src, transform, out, ckpt)          # the new quarter only
     got = sorted(tuple(r) for r in st.read_ingested(spark, out).collect())
     assert got == [("2024Q1", 6, 15.0), ("2024Q2", 4, 30.0)]
+
+
+def test_filing_in_two_files_gives_one_row(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "facts"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "adsh string, value double")
+    more = spark.createDataFrame([("a", 10.0)], "adsh string, value double")
+
+    def transform(b):
+        return b.groupBy("adsh").agg(F.sum("value").alias("v"))
+
+    for part in (df, more):
+        part.coalesce(1).write.mode("append").parquet(src)
+        st.ingest_quarters(spark, src, transform, out, ckpt, key="adsh")
+    assert sorted(tuple(r) for r in st.read_ingested(spark, out, "adsh").collect()) == [("a", 11.0), ("b", 2.0)]
