@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finpanel.llm.common import GAP, land, run_dir
+from finpanel.llm.common import GAP, fresh, land, run_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -39,6 +39,7 @@ def stream_state(rows: DataFrame, path: str, checkpoint: str, files_per_batch: i
     own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")  # else some MB for each of many stores
     own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     source = own.readStream.schema(rows.schema)
     if files_per_batch:
@@ -76,7 +77,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hit_ids = (rows.join(groups.where("n > 1").select("digest"), "digest", "left_semi")
                .select(F.col("id").alias("_hit")).distinct())
     hits = (docs.select(F.col(id_col).alias("id"), F.col(id_col).isNull().alias("no_id"), F.col(text_col).alias("_text"))
-            .join(hit_ids, F.col("id").eqNullSafe(F.col("_hit")), "left_semi")
+            .join(hit_ids.hint("merge"), F.col("id").eqNullSafe(F.col("_hit")), "left_semi")  # ids grow with the corpus
             .select("id", "no_id", normalised(F.col("_text")).alias("_text"))
             .withColumn("digest", digest(F.col("_text"))))
     variants = hits.groupBy("digest", "_text").agg(F.count(F.lit(1)).alias("m"))
@@ -102,13 +103,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     base = run_dir(docs.sparkSession, "drop-copies")
-    out = land(exact_dedup(docs, id_col, text_col).select(F.col("id").alias("_id"), F.col("digest").alias("_digest"),
-                                                          "kept"), f"{base}/out")
-    at = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest"))
-    stay = docs.withColumn("_sha", sha256(normalised(F.col(text_col)))).join(out.where("kept"), at, "left_semi")
+    out = land(exact_dedup(docs, id_col, text_col).select("id", "digest", "kept"), f"{base}/out")
+    keep, sha = out.where("kept"), fresh(docs, "sha")
+    marked = docs.withColumn(sha, sha256(normalised(F.col(text_col))))
+
+    def same(keys):
+        return marked[id_col].eqNullSafe(keys["id"]) & (marked[sha] == keys["digest"])
+
     # Rows that repeat id and text are one document: where there are any, one of them stays.
-    again = land(out.groupBy("_id", "_digest").count().where("count > 1").select("_id", "_digest"), f"{base}/again")
+    again = land(out.groupBy("id", "digest").count().where("count > 1").select("id", "digest"), f"{base}/again")
     if again.isEmpty():
-        return stay.drop("_sha")
-    once = stay.join(again, at, "left_semi").dropDuplicates([id_col, "_sha"])
-    return stay.join(again, at, "left_anti").unionByName(once).drop("_sha")
+        return marked.join(keep, same(keep), "left_semi").drop(sha)
+    once = marked.join(again, same(again), "left_semi").dropDuplicates([id_col, sha])
+    once = once.join(keep, once[id_col].eqNullSafe(keep["id"]) & (once[sha] == keep["digest"]), "left_semi")
+    other = marked.join(again, same(again), "left_anti")
+    other = other.join(keep, other[id_col].eqNullSafe(keep["id"]) & (other[sha] == keep["digest"]), "left_semi")
+    return other.unionByName(once).drop(sha)
