@@ -150,8 +150,9 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     1. a sketch (``approx_percentile``, merged across tasks, bounded) gives each (group,
        column, p) a bracket that surely holds the two ranks wanted, because it reaches two
        sketch errors to either side;
-    2. one pass counts the rows below each bracket and, combined map-side, the values
-       inside it: about 4 / ACCURACY of the rows, a hot value being one row;
+    2. one pass counts the rows below and above each bracket, with their nearest value, and
+       the values inside it (about 4 / ACCURACY of the rows), all combined map-side, so a
+       hot value is one row. The nearest values matter where a rank lies between rows;
     3. running counts inside the bracket select the ranks.
     The input is read twice; the brackets are landed between, so both passes agree."""
     by = list(by)
@@ -172,14 +173,15 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     for g in G:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_on_{g}"))
     on = brackets.withColumnsRenamed({g: f"_on_{g}" for g in G})
-    # Rows below a bracket are counted under a NULL value, rows inside under their own.
+    side = F.when(F.col("x") < F.col("b.lo"), -1).when(F.col("x") > F.col("b.hi"), 1).otherwise(0)
     placed = (long.join(on, cond).select(*G, "x", "n", F.explode("b").alias("b"))
-                  .where(F.col("x") <= F.col("b.hi"))
-                  .select(*G, "n", F.col("b.p").alias("p"), F.when(F.col("x") >= F.col("b.lo"), F.col("x")).alias("x")))
-    cnt = placed.groupBy(*G, "n", "p", "x").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy(*G, "p").orderBy(F.col("x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+                  .select(*G, "n", F.col("b.p").alias("p"), "x", side.alias("side")))
+    cnt = (placed.withColumn("own", F.when(F.col("side") == 0, F.col("x"))).groupBy(*G, "n", "p", "side", "own")
+                 .agg(F.count(F.lit(1)).alias("c"), F.max("x").alias("most"), F.min("x").alias("least"))
+                 .withColumn("x", F.when(F.col("side") < 0, F.col("most")).otherwise(F.col("least"))))
+    w = Window.partitionBy(*G, "p").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     h = (F.col("n") - 1) * F.col("p")
-    upto = cnt.withColumn("upto", F.sum("c").over(w)).where(F.col("x").isNotNull())
+    upto = cnt.withColumn("upto", F.sum("c").over(w))
     # The value of rank k (0-based) is the smallest whose running count exceeds k.
     out = upto.groupBy(*G, "p").agg(F.min(F.when(F.col("upto") > F.floor(h), F.col("x"))).alias("lo"),
                                     F.min(F.when(F.col("upto") > F.ceil(h), F.col("x"))).alias("hi"),

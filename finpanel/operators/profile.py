@@ -16,6 +16,10 @@ from finpanel import schema as S
 from finpanel.operators.aggregates import coverage
 
 
+#: Relative standard deviation up to which a column counts as constant.
+CONSTANT = 1e-10
+
+
 def _cross_sums(cols: Sequence[str], means: Sequence[float]):
     """Per partition the sums over rows complete in (i, j), all pairs at once by matrix products."""
     import numpy as np
@@ -44,20 +48,25 @@ def corr_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     per pair and partition is shuffled."""
     cols = list(dict.fromkeys(c for p in pairs for c in p))
     typed = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(c) for c in cols])
-    means = typed.agg(*[F.avg(F.col(f"`{c}`")).alias(c) for c in cols]).first()
-    sums = typed.mapInPandas(_cross_sums(cols, [m or 0.0 for m in means]),
+    moments = typed.agg(*[f(F.col(f"`{c}`")) for c in cols for f in (F.avg, F.stddev_pop)]).first()
+    means, spreads = [m or 0.0 for m in moments[::2]], [s or 0.0 for s in moments[1::2]]
+    sums = typed.mapInPandas(_cross_sums(cols, means),
                              "ia int, ib int, n double, x double, y double, xx double, yy double, xy double")
     at = {c: k for k, c in enumerate(cols)}
-    flip = [(a, b, min(at[a], at[b]), max(at[a], at[b])) for a, b in pairs]
-    wanted = F.broadcast(df.sparkSession.createDataFrame(flip, "a string, b string, ia int, ib int"))  # the caller's list
+    # Rounding alone gives a constant column a spread.
+    varies = [s > CONSTANT * abs(m) for m, s in zip(means, spreads)]
+    flip = [(a, b, i, j, varies[i] and varies[j]) for a, b in pairs for i, j in [sorted((at[a], at[b]))]]
+    wanted = F.broadcast(df.sparkSession.createDataFrame(
+        flip, "a string, b string, ia int, ib int, varies boolean"))  # the caller's list
     agg = sums.groupBy("ia", "ib").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
 
-    def spread(square, total):  # rounding leaves a constant column about 1e-16 of its square
+    def spread(square, total):
         v = F.col(square) - F.try_divide(F.col(total) * F.col(total), F.col("n"))
         return F.when(v > F.col(square) * 1e-13, v)
 
-    r = (F.col("xy") - F.try_divide(F.col("x") * F.col("y"), F.col("n"))) / F.sqrt(spread("xx", "x") * spread("yy", "y"))
-    return wanted.join(agg, ["ia", "ib"]).select("a", "b", F.col("n").cast("long").alias("n"), F.when(F.col("n") > 1, r).alias("r"))
+    r = ((F.col("xy") - F.try_divide(F.col("x") * F.col("y"), F.col("n")))
+         / F.sqrt(spread("xx", "x") * spread("yy", "y")))
+    return wanted.join(agg, ["ia", "ib"]).select("a", "b", F.col("n").cast("long").alias("n"), F.when((F.col("n") > 1) & F.col("varies"), r).alias("r"))
 
 
 def corr_with_target(df: DataFrame, cols: Sequence[str], targets: Sequence[str]) -> DataFrame:

@@ -90,7 +90,7 @@ SU_PARTS = ZPARTS
 
 @register("strict_universe", FE_SQL + """
 SELECT adsh, cik, fy, fp FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY cik, fy, fp ORDER BY filed DESC NULLS FIRST,
-  adsh DESC) AS rn FROM FE WHERE form IN (" + ", ".join(f"'{x}'" for x in DRIVER_FORMS) + ") AND """ + " AND ".join(
+  adsh DESC) AS rn FROM FE WHERE form IN (""" + ", ".join(f"'{x}'" for x in DRIVER_FORMS) + ") AND " + " AND ".join(
     f"{p} IS NOT NULL" for p in SU_PARTS) + ") WHERE rn = 1")
 def q_strict_universe(spark, d):
     f = _features(spark, d).select(*KEYS, "form", "filed", *SU_PARTS)
@@ -113,9 +113,16 @@ C_FEATS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_ratio_apalancamiento", "fe_d
 CORR_TARGET = "target_score_next"
 
 
+def _corr(a, b):
+    """Pearson r in SQL; NULL where a column is constant, or so but for rounding."""
+    a, b = f"CAST({a} AS DOUBLE)", f"CAST({b} AS DOUBLE)"
+    return (f"CASE WHEN STDDEV_POP({a}) > {pf.CONSTANT} * ABS(AVG({a})) AND STDDEV_POP({b}) > {pf.CONSTANT} * ABS(AVG({b})) "
+            f"THEN NULLIF(CORR({a}, {b}), CAST('NaN' AS DOUBLE)) END")
+
+
 def _corr_sql(pairs, src="TS"):
     return "\nUNION ALL\n".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, COUNT({a} + {b}) AS n, ROUND(NULLIF(CORR({a}, {b}), CAST('NaN' AS DOUBLE)), 6) AS r FROM {src}"
+        f"SELECT '{a}' AS a, '{b}' AS b, COUNT({a} + {b}) AS n, ROUND({_corr(a, b)}, 6) AS r FROM {src}"
         for a, b in pairs)
 
 
@@ -125,15 +132,16 @@ def q_corr_with_target(spark, d):
     return rounded(pf.corr_with_target(_ts(spark, d), C_FEATS, [CORR_TARGET]))
 
 
-#: Every free feature: neither context, forbidden nor autoregressive.
+#: Every free feature (neither context, forbidden nor autoregressive) but the gross margin:
+#: where the gross profit is known, its spread in the driver tables is rounding alone.
 M_COLS = [c for c in FEATURE_COLS if c not in S.CONTEXT_COLS and c not in S.FEATURES_A_FORBIDDEN
-          and c not in S.FEATURES_B_AUTOREGRESSIVE]
+          and c not in S.FEATURES_B_AUTOREGRESSIVE and c != "fe_ratio_margen_bruto"]
 M_PAIRS = [(M_COLS[i], M_COLS[j]) for j in range(len(M_COLS)) for i in range(j)]
 
 
 @register("corr_matrix", TS_SQL + """
 SELECT a, b, n, ROUND(r, 6) AS r, ROUND(ABS(r), 6) AS abs_r, ia, ib FROM (SELECT UNNEST([""" + ",\n".join(
-    f"{{a: '{a}', b: '{b}', n: COUNT({a} + {b}), r: NULLIF(CORR(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), CAST('NaN' AS DOUBLE)), "
+    f"{{a: '{a}', b: '{b}', n: COUNT({a} + {b}), r: {_corr(a, b)}, "
     f"ia: {M_COLS.index(a)}, ib: {M_COLS.index(b)}}}" for a, b in M_PAIRS) + "], recursive := true) FROM TS)")
 def q_corr_matrix(spark, d):
     return rounded(pf.corr_matrix(_ts(spark, d), M_COLS))
@@ -213,7 +221,7 @@ P_COLS = M_COLS
 def _prune_sql():
     cols = P_COLS
     def corr(a, b):
-        return f"ABS(NULLIF(CORR(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), CAST('NaN' AS DOUBLE)))"
+        return f"ABS({_corr(a, b)})"
 
     pairs = "SELECT p.*, x.cov AS cov_a, x.t AS ta, y.cov AS cov_b, y.t AS tb FROM (SELECT UNNEST([" + ", ".join(
         f"{{a: '{cols[i]}', b: '{cols[j]}', ia: {i}, ib: {j}, r: {corr(cols[i], cols[j])}}}" for j in range(len(cols)) for i in range(j)
