@@ -1,31 +1,19 @@
-"""Joins. The header side is broadcast only behind a row-count check; above the
-bound the join is left to a shuffle join (and AQE may still convert it at run time
-from the measured shuffle size)."""
+"""Joins. Sides are broadcast by Spark's own byte thresholds, never by a count of rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# a header row after projection is ~64 bytes; 2M rows ~ 128 MB
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only if the (already projected) side has at most ``max_rows`` rows.
-
-    The check is one count over the pruned scan; nothing is collected."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def join_num_sub(num: DataFrame, sub: DataFrame, on: str = "adsh",
-                 sub_cols: Sequence[str] = ("period",), max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Inner equi-join of facts with the header's few columns (broadcast when bounded)."""
-    right = sub.select(on, *sub_cols)
-    return num.join(maybe_broadcast(right, max_rows), on, "inner")
+                 sub_cols: Sequence[str] = ("period",)) -> DataFrame:
+    """Inner equi-join of facts with the header's columns.
+
+    Both sides are dealt by the filing id and the header hashed there, so whatever is
+    grouped by filing afterwards needs no further exchange of the facts."""
+    header = sub.select(on, *[c for c in sub_cols if c != on]).repartition(on)
+    return num.repartition(on).join(header.hint("shuffle_hash"), on, "inner")
 
 
 def join_meta(wide: DataFrame, sub: DataFrame, on: str = "adsh") -> DataFrame:

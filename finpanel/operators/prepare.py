@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from finpanel import schema as S
 from finpanel.functions.scalar import clip
 from finpanel.operators.aggregates import coverage, grouped_medians, missing_by_group, quantiles
-from finpanel.operators.joins import maybe_broadcast
 
 
 def _num(df: DataFrame, c: str) -> Column:
@@ -181,7 +180,7 @@ def impute_group_median(df: DataFrame, cols: Sequence[str], key: str, flag: bool
         df = df.withColumns({f"{prefix}{c}": F.col(f"`{c}`").isNull().cast("byte") for c in cols})
     before = None if global_after else global_medians(df, cols)
     gm = grouped_medians(df.where(F.col(key).isNotNull()), [key], cols).cache()  # one row per group
-    j = df.join(maybe_broadcast(gm), key, "left")
+    j = df.join(gm, key, "left")
     filled = j.withColumns({c: F.when(F.col(key).isNotNull(), F.coalesce(F.col(f"`{c}`"), F.col(f"{c}_median")))
                             for c in cols}).drop(*[f"{c}_median" for c in cols])
     glob = global_medians(filled, cols) if global_after else before

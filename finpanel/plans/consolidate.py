@@ -1,15 +1,13 @@
 """Entry 1 — long quarterly facts -> wide company x filing panel.
 
   facts ─ filters (tags, blank segments/coreg, unit rule) ─┐
-  header ─ form filter ─ few columns ─ broadcast if bounded ┴ join ─ ddate = period
-    ─ longest duration per (filing, tag) ─ pivot to tags + _qtrs ─ join header ─ order
+  header ─ form filter ────────────────────────────────────┴ join on filing ─ ddate = period
+    ─ longest duration per (filing, tag) ─ pivot to tags + _qtrs ─ order
 
-Shuffles: the dedup is an aggregate, so every map task first reduces its facts to
-one row per (filing, tag) before the exchange (DERA has several rows for 97 % of the
-pairs); the pivot is a second partial/final aggregate on the filing id over the
-already-reduced rows, and the header join reuses that partitioning (or is broadcast
-when the header is within the checked bound). No group is sorted in one task, so a
-filing holding a large share of all facts does not create a straggler.
+Shuffles: facts and header are each dealt once, by filing. Dedup and pivot group by the
+filing and more, so they reuse that partitioning; the header's columns come along as
+group keys and the header is read once. A filing has some thousands of facts at most, so
+no filing makes a partition heavy.
 """
 
 from __future__ import annotations
@@ -17,11 +15,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from finpanel import schema as S
 from finpanel.operators import filters as fl
 from finpanel.operators.aggregates import pivot_wide
-from finpanel.operators.joins import join_meta, join_num_sub
+from finpanel.operators.joins import join_num_sub
 from finpanel.operators.panel import dedup_latest, dedup_longest
 from finpanel.operators.reshape import order_columns
 
@@ -40,13 +39,16 @@ def consolidate(num: DataFrame, sub: DataFrame, tags: Sequence[str] = tuple(S.AL
     for c in ("segments", "coreg"):
         facts = fl.filter_blank(facts, c)
     facts = fl.filter_uom(facts, unit_rules)
-    facts = join_num_sub(facts, sub, "adsh", list(join_cols))
-    facts = fl.filter_current(facts, *current)
-    facts = facts.select("adsh", "tag", "qtrs", "value", *[t for t in tie if t not in ("value",)])
-    longest = dedup_longest(facts, ["adsh", "tag"], "qtrs", list(tie), cols=["qtrs", "value"])
-    wide = pivot_wide(longest, "adsh", "tag", list(tags), "value", "qtrs")
-    meta = sub.select(*[c for c in meta_cols if c in sub.columns])
-    panel = join_meta(wide, meta, "adsh")
+    meta = ["adsh"] + [c for c in meta_cols if c in sub.columns and c != "adsh"]
+    extra = [c for c in join_cols if c not in meta]
+    needed = list(dict.fromkeys(["adsh", "tag", "qtrs", "value", current[0], *tie]))
+    facts = facts.select(*[c for c in needed if c in facts.columns])
+    facts = join_num_sub(facts, sub, "adsh", [*meta, *extra])
+    # Current period only. Written as a difference: an equality would become a join key, and
+    # the facts would be dealt by it, too, instead of by filing alone.
+    facts = facts.where(F.col(current[0]) - F.col(current[1]) == 0)
+    longest = dedup_longest(facts, [*meta, "tag"], "qtrs", list(tie), cols=["qtrs", "value"])
+    panel = pivot_wide(longest, meta, "tag", list(tags), "value", "qtrs")
     return order_columns(panel, [list(meta_cols), list(tags), [f"{t}_qtrs" for t in tags]])
 
 
