@@ -109,7 +109,3 @@ def fit_by_name(df: DataFrame, y: str, features: Sequence[str], spec: Mapping, t
     if kind == "mlp":
         return fit_mlp(df, y, features, **args)
     raise ValueError(kind)
-
-
-def with_label_double(df: DataFrame, y: str) -> DataFrame:
-    return df.withColumn(y, F.col(y).cast("double"))

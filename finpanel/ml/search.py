@@ -6,6 +6,7 @@ the (small) list of model specs / trials and collects one metric row per fit.
 
 from __future__ import annotations
 
+import itertools
 import random
 from collections.abc import Mapping, Sequence
 
@@ -13,26 +14,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finpanel.ml.folds import fold_frames
-from finpanel.ml.metrics import eval_binary, eval_regression
+from finpanel.ml.metrics import eval_binary, eval_multiclass, eval_regression
 from finpanel.ml.models import fit_by_name, predict
 from finpanel.operators.prepare import accept_checks
 
 
-def _metrics(model, df: DataFrame, y: str, task: str) -> dict:
+#: What a task is ranked by, and the range its predictions are clipped to.
+SCORE = {"regression": "r2", "binary": "f1", "multiclass": "f1_macro"}
+
+
+def _metrics(model, df: DataFrame, y: str, task: str, clip_range: tuple[float, float] | None = None) -> dict:
+    """One row of metrics; ``clip_range`` holds for regressions ((0, 1) for a score, (-1, 1) for a residual)."""
     p = predict(model, df)
     if task == "regression":
-        return eval_regression(p, y, "prediction", clip_range=None).first().asDict()
+        return eval_regression(p, y, "prediction", clip_range=clip_range).first().asDict()
+    if task == "multiclass":
+        return eval_multiclass(p, y, "prediction").first().asDict()
     return eval_binary(p, y, "prediction", "prob" if "prob" in p.columns else None).first().asDict()
 
 
 def compare_models(train: DataFrame, valid: DataFrame, y: str, features: Sequence[str],
-                   models: Mapping[str, Mapping], task: str = "regression") -> DataFrame:
+                   models: Mapping[str, Mapping], task: str = "regression",
+                   clip_range: tuple[float, float] | None = None) -> DataFrame:
     """Fit each model spec on train, score train and validation; one row per model."""
     rows = []
     for name, spec in models.items():
         m = fit_by_name(train, y, features, spec, task)
-        mv, mt = _metrics(m, valid, y, task), _metrics(m, train, y, task)
-        key = "r2" if task == "regression" else "f1"
+        mv, mt = _metrics(m, valid, y, task, clip_range), _metrics(m, train, y, task, clip_range)
+        key = SCORE[task]
         rows.append((name, task, mv.get("rmse"), mv.get(key), mt.get(key), mt.get(key) - mv.get(key)
                      if mt.get(key) is not None and mv.get(key) is not None else None))
     return train.sparkSession.createDataFrame(
@@ -56,13 +65,15 @@ def metric_recheck(model, df: DataFrame, y: str, history: Mapping[str, float], t
 
 
 def ablation(train: DataFrame, valid: DataFrame, y: str, features: Sequence[str], spec: Mapping,
-             drop_groups: Mapping[str, Sequence[str]], task: str = "regression", delta: float = 0.005) -> DataFrame:
-    """Refit without each feature group; verdict by change of the validation score."""
+             groups: Mapping[str, Sequence[str]], task: str = "regression", delta: float = 0.005,
+             mode: str = "remove") -> DataFrame:
+    """Refit without each feature group (``remove``) or with it alone (``keep``); verdict by
+    the change of the validation score."""
     base = _metrics(fit_by_name(train, y, features, spec, task), valid, y, task)
-    key = "r2" if task == "regression" else "f1"
+    key = SCORE[task]
     rows = [("baseline", base[key], 0.0, "base")]
-    for g, cols in drop_groups.items():
-        keep = [c for c in features if c not in set(cols)]
+    for g, cols in groups.items():
+        keep = [c for c in features if (c in set(cols)) == (mode == "keep")]
         s = _metrics(fit_by_name(train, y, keep, spec, task), valid, y, task)[key]
         d = s - base[key]
         rows.append((g, s, d, "helps" if d < -delta else "hurts" if d > delta else "neutral"))
@@ -72,18 +83,17 @@ def ablation(train: DataFrame, valid: DataFrame, y: str, features: Sequence[str]
 def param_search(folded: DataFrame, y: str, features: Sequence[str], space: Mapping[str, Sequence],
                  base: Mapping, trials: int = 30, n_folds: int = 3, seed: int = 42,
                  task: str = "regression", parallel: int = 4) -> DataFrame:
-    """Seeded random search over ``space``; each trial is scored on the expanding
-    temporal folds (``temporal_folds`` output); trials ranked by mean score.
+    """Seeded random search over ``space`` without repeats (at most all its settings); each
+    trial is scored on the expanding temporal folds; trials ranked by mean score.
 
     All trial parameters are drawn up front (repeatable), then trials run as
     concurrent Spark jobs from a small thread pool (the scheduler interleaves them)."""
     from concurrent.futures import ThreadPoolExecutor
 
-    rng = random.Random(seed)
-    keys = list(space)
-    key = "rmse" if task == "regression" else "f1"
+    every = [dict(zip(space, x)) for x in itertools.product(*space.values())]
+    key = "rmse" if task == "regression" else SCORE[task]
     folds = [fold_frames(folded, k) for k in range(1, n_folds + 1)]
-    drawn = [{k: rng.choice(list(space[k])) for k in keys} for _ in range(trials)]
+    drawn = random.Random(seed).sample(every, min(trials, len(every)))
 
     def run(t: int):
         spec = {**base, **drawn[t]}
@@ -92,7 +102,7 @@ def param_search(folded: DataFrame, y: str, features: Sequence[str], space: Mapp
         return (t, str(drawn[t]), sum(vals) / len(vals) if vals else None)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        rows = list(pool.map(run, range(trials)))
+        rows = list(pool.map(run, range(len(drawn))))
     out = folded.sparkSession.createDataFrame(rows, "trial int, params string, mean_score double")
     asc = task == "regression"
     return out.orderBy(F.col("mean_score").asc_nulls_last() if asc else F.col("mean_score").desc_nulls_last())

@@ -179,7 +179,7 @@ def impute_group_median(df: DataFrame, cols: Sequence[str], key: str, flag: bool
     if flag:
         df = df.withColumns({f"{prefix}{c}": F.col(f"`{c}`").isNull().cast("byte") for c in cols})
     before = None if global_after else global_medians(df, cols)
-    gm = grouped_medians(df.where(F.col(key).isNotNull()), [key], cols).cache()  # one row per group
+    gm = grouped_medians(df.where(F.col(key).isNotNull()), [key], cols)
     j = df.join(gm, key, "left")
     filled = j.withColumns({c: F.when(F.col(key).isNotNull(), F.coalesce(F.col(f"`{c}`"), F.col(f"{c}_median")))
                             for c in cols}).drop(*[f"{c}_median" for c in cols])
@@ -187,6 +187,29 @@ def impute_group_median(df: DataFrame, cols: Sequence[str], key: str, flag: bool
     return filled.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(glob[c])) for c in cols if glob[c] is not None})
 
 
+def impute_by_plan(df: DataFrame, plan: DataFrame, sector: str) -> DataFrame:
+    """Apply an ``impute_plan``: each strategy to its columns, in the plan's fixed order.
+
+    Kept-with-flag columns only get their flag; columns for preliminary pruning stay as
+    they are (``prune_coverage`` renames them). One row per feature reaches the driver."""
+    of: dict[str, list[str]] = {}
+    for r in plan.select("column", "strategy").collect():
+        of.setdefault(r["strategy"], []).append(r["column"])
+    steps = {
+        "IMP_CERO_INICIAL": impute_zero,
+        "IMP_MEDIANA_GLOBAL": impute_median,
+        "IMP_MEDIANA_SECTOR": lambda d, c: impute_group_median(d, c, sector),
+        "IMP_MEDIANA_SECTOR_FLAG": lambda d, c: impute_group_median(d, c, sector, flag=True, global_after=False),
+        "IMP_MEDIANA_FLAG": lambda d, c: impute_median(d, c, flag=True),
+        "IMP_CERO_FLAG": impute_zero_flag,
+        "CONSERVAR_FLAG": lambda d, c: d.withColumns({f"fe_isnull_{x}": F.col(f"`{x}`").isNull().cast("byte") for x in c}),
+    }
+    for name, step in steps.items():
+        if of.get(name):
+            df = step(df, sorted(of[name]))
+    return df
+
+
 def impute_backstop(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Leftover NULLs -> global median, or 0 when the column has no value at all."""
     med = global_medians(df, cols)

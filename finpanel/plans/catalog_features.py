@@ -150,8 +150,16 @@ def q_feature_panel(spark, d):
 
 @register("training_set")
 def q_training_set(spark, d):
-    from finpanel.plans.driver_panel import DRIVER_FORMS
+    from finpanel.plans.driver_panel import DENSE_ROLES, DRIVER_FORMS
     from finpanel.plans.training import feature_panel, training_set
     # Order prices are no assets in dollars: no minimum, and columns stay however sparse.
-    panel = feature_panel(financial_panel(spark, d), year_range=(1992, 1998), min_assets=0, min_periods=1, min_pct=0.0)
+    panel = feature_panel(financial_panel(spark, d, DENSE_ROLES), year_range=(1992, 1998), min_assets=0, min_periods=1, min_pct=0.0)
     return training_set(panel, forms=DRIVER_FORMS)
+
+
+@register("modelling_set")
+def q_modelling_set(spark, d):
+    from finpanel.plans.driver_panel import DENSE_ROLES, DRIVER_FORMS
+    from finpanel.plans.training import feature_panel, modelling_set
+    panel = feature_panel(financial_panel(spark, d, DENSE_ROLES), year_range=(1992, 1998), min_assets=0, min_periods=1, min_pct=0.0)
+    return modelling_set(panel, forms=DRIVER_FORMS)

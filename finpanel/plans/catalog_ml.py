@@ -296,8 +296,15 @@ def q_topk_importance(spark, d):
 @register("compare_models")
 def q_compare_models(spark, d):
     tr, va = _train_valid(spark, d)
-    grid = {k: v for k, v in mo.MODEL_GRID.items() if k in ("ridge", "lasso", "elastic_net", "random_forest")}
-    return se.compare_models(tr, va, "target_score_next", FEATS, grid, "regression")
+    return se.compare_models(tr, va, "target_score_next", FEATS, mo.MODEL_GRID, "regression", clip_range=(0.0, 1.0))
+
+
+@register("compare_models_class")
+def q_compare_models_class(spark, d):
+    """Three risk classes."""
+    tr, va = _train_valid(spark, d)
+    grid = {"logistic": {"fit": "logistic", "family": "multinomial"}, "random_forest": {"fit": "forest", "trees": 50, "depth": 8}}
+    return se.compare_models(tr, va, "target_class_next", FEATS, grid, "multiclass")
 
 
 @register("train_val_gap")
@@ -310,9 +317,14 @@ def q_train_val_gap(spark, d):
 @register("metric_recheck")
 def q_metric_recheck(spark, d):
     tr, va = _train_valid(spark, d)
+    from pyspark.ml import PipelineModel
+
+    from finpanel.sources.files import stage_path
     m = mo.fit_linear(tr, "target_score_next", FEATS, 1.0, 0.0)
+    path = stage_path(spark, "model")
+    m.save(path)  # scored once as fitted, once as stored
     first = me.eval_regression(mo.predict(m, va), "target_score_next", "prediction", None).first()
-    return se.metric_recheck(m, va, "target_score_next", {"rmse": first["rmse"], "r2": first["r2"]})
+    return se.metric_recheck(PipelineModel.load(path), va, "target_score_next", {"rmse": first["rmse"], "r2": first["r2"]})
 
 
 @register("ablation")

@@ -162,6 +162,18 @@ def q_topk_corr(spark, d):
     return topk_corr(c, 3).select("feature", "target", "r", "rank")
 
 
+@register("topk_signed", TS_SQL + ", C AS (SELECT a AS feature, b AS target, ROUND(r, 6) AS r FROM (" +
+          _corr_sql([(c, CORR_TARGET) for c in C_FEATS]) + """))
+SELECT feature, target, r, rank, side FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY target ORDER BY r, feature) AS INTEGER) AS rank,
+  'neg' AS side FROM C WHERE r < 0) WHERE rank <= 2
+UNION ALL SELECT feature, target, r, rank, side FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY target ORDER BY r DESC, feature) AS INTEGER) AS rank,
+  'pos' AS side FROM C WHERE r > 0) WHERE rank <= 2""")
+def q_topk_signed(spark, d):
+    from finpanel.operators.topk import topk_signed
+    c = rounded(pf.corr_with_target(_ts(spark, d), C_FEATS, [CORR_TARGET]))
+    return topk_signed(c, 2).select("feature", "target", "r", "rank", "side")
+
+
 @register("leakage_check", TS_SQL + """
 SELECT 'forbidden_name' AS "check", 'fe_zscore_altman' AS feature, CAST(NULL AS DOUBLE) AS value, false AS ok
 UNION ALL

@@ -62,12 +62,26 @@ def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         tie=("version", "supp", "value"))
 
 
-def financial_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest filing per (customer, fy, fp) with XBRL-named columns."""
+_ANY = "coalesce(AF, NO, AO, NF)"
+_ANY_QTRS = "coalesce(AF_qtrs, NO_qtrs, AO_qtrs, NF_qtrs)"
+#: Of the tags above an order seldom has more than one or two, so no row would have all five
+#: Altman parts. For the modelling entries these roles come from whichever tag it has.
+DENSE_ROLES = {r: e for r, (e, _) in ROLES.items()} | {
+    "AssetsCurrent": f"{_ANY} * (0.5 + 0.01 * {_ANY_QTRS})", "LiabilitiesCurrent": f"{_ANY} * 0.4",
+    "Liabilities": f"{_ANY} * 0.8", "StockholdersEquity": f"price - {_ANY} * 0.8",
+    "RetainedEarningsAccumulatedDeficit": f"price * 0.2 - {_ANY} * 0.3",
+    "OperatingIncomeLoss": f"{_ANY} - price * 0.3", "OperatingIncomeLoss_qtrs": _ANY_QTRS,
+    "Revenues": _ANY, "Revenues_qtrs": _ANY_QTRS,
+}
+
+
+def financial_panel(spark: SparkSession, sf_dir: str, roles: dict[str, str] | None = None) -> DataFrame:
+    """Latest filing per (customer, fy, fp) with XBRL-named columns (``roles``: role -> expression)."""
+    roles = roles or {r: e for r, (e, _) in ROLES.items()}
     p = clean_panel(raw_panel(spark, sf_dir))
     return p.select("adsh", "cik", "form", "period", "filed", "fy", "fp",
                     F.expr(SIC_EXPR[0]).alias("sic"),
-                    *[F.expr(e).alias(r) for r, (e, _) in ROLES.items()])
+                    *[F.expr(e).alias(r) for r, e in roles.items()])
 
 
 RAW_SQL_CTES = """N AS (

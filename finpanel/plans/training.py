@@ -1,7 +1,7 @@
 """Entries 2 and 3 composed: cleaned panel -> features -> prepared set -> targets.
 
-Entry 2 (clean, features, prepare) and the core of Entry 3 (strict universe, targets,
-encoding) as DataFrame functions.
+Entry 2 (clean, features, prepare) and Entry 3 (strict universe, targets, encoding;
+clipping, imputation by plan, pruning) as DataFrame functions.
 Every data-dependent decision (coverage, percentiles, medians, correlations) is a
 small distributed aggregate followed by column expressions.
 """
@@ -21,6 +21,7 @@ from finpanel.operators import prepare as pr
 from finpanel.operators.panel import dedup_latest
 from finpanel.operators.reshape import one_hot
 from finpanel.operators.targets import filter_has_target, strict_universe, targets
+from finpanel.session import cut_lineage
 
 
 def clean(df: DataFrame, year_range=S.YEAR_RANGE) -> DataFrame:
@@ -51,11 +52,28 @@ def feature_panel(raw: DataFrame, year_range=S.YEAR_RANGE, min_assets: float = S
                   min_periods: int = S.MIN_PERIODS, min_pct: float = S.COVERAGE_MIN_PCT) -> DataFrame:
     """Entry 2 end to end: clean -> 73 features -> prepare. The feature panel is
     materialised (checkpoint folder) before the multi-pass preparation statistics."""
-    from finpanel.session import cut_lineage
     feats = cut_lineage(fe.build_features(clean(raw, year_range)))
     return prepare(feats, min_pct=min_pct, min_assets=min_assets, min_periods=min_periods)
 
 
+def modelling_set(panel: DataFrame, parts: Sequence[str] = tuple(fe.ZPARTS), entity: str = "cik",
+                  forms: Sequence[str] = tuple(S.FORMS), target: str = "target_score_next") -> DataFrame:
+    """Entry 3 whole: ``training_set``, then clipping with flags, imputation by plan, pruning
+    of sparse and redundant features.
+
+    Each data-dependent step reads a stored table and brings one row per feature (or pair)
+    to the driver; pruned columns stay under their prefix, as in the original."""
+    from finpanel.operators.profile import prune_corr
+    df = cut_lineage(training_set(panel, parts, entity, forms), "training")
+    free = [c for c in fe.FEATURE_COLS if c in df.columns and c not in S.CONTEXT_COLS and c not in S.FEATURES_A_FORBIDDEN]
+    df = pr.clip_flag(df)
+    plan = pr.impute_plan(df, free, "fe_sic_division", class_b=[c for c in S.FEATURES_B_AUTOREGRESSIVE if c in free])
+    df = cut_lineage(pr.impute_by_plan(df, plan, "fe_sic_division"), "imputed")
+    df, sparse = pr.prune_coverage(df, free)
+    df, _ = prune_corr(df, [c for c in free if c not in sparse], target)
+    return df
+
+
 def training_set(panel: DataFrame, parts: Sequence[str] = tuple(fe.ZPARTS), entity: str = "cik",
                  forms: Sequence[str] = tuple(S.FORMS)) -> DataFrame:
     """Entry 3 core: strict universe (valid forms, all five Z parts), targets from the
