@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from finpanel.llm.common import WORD, land, run_dir
 
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 1024
 #: Leaves up to this many are broadcast (about 100 bytes each); beyond it the join shuffles.
 BROADCAST_LEAVES = 100_000
 
