@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finpanel.llm.common import keyed, public_id
+from finpanel.llm.common import keyed, land, public_id, run_dir
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 3) -> DataFrame:
@@ -31,8 +31,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.sequence(F.lit(0), F.size("l") - window),
         lambda i: F.struct(i.alias("p"), F.xxhash64(F.lit(1), *at(i)).alias("h1"), F.xxhash64(F.lit(2), *at(i)).alias("h2"),
                            (F.trim(F.concat(*at(i))) != "").alias("said")))).alias("g")).select("d", "r", "g.*").where("said")
-    first = (grams.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "r", "p")).alias("f"))
-             .where("n > 1").select("h1", "h2", "f"))
+    # Landed before it is joined back: AQE can then split a window that very many documents hold.
+    first = land(grams.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "r", "p")).alias("f"))
+                 .where("n > 1").select("h1", "h2", "f"), f"{run_dir(docs.sparkSession, 'line-dedup')}/first")
     later = (grams.join(first, ["h1", "h2"]).where(F.struct("d", "r", "p") != F.col("f"))
              .groupBy("d", "r").agg(F.collect_set("p").alias("hit")))
     covered = F.flatten(F.transform("hit", lambda p: F.sequence(p, p + (window - 1))))
