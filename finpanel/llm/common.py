@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
+import time
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,7 +20,7 @@ from finpanel.session import ensure_checkpoint_dir
 #: A null id orders after every other id.
 LAST_ID = (1 << 63) - 1
 #: Bytes of text that one numpy pass works on (a longer document is a pass of its own).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 #: The whitespace of all word definitions: space and bytes 9 to 13.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -38,10 +40,13 @@ def land(df: DataFrame, path: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished phases (their results are landed)."""
-    import gc
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark's cleaner drop the shuffle files of finished phases (their results are landed).
+
+    It drops what neither side refers to any more, on its own thread: give it a moment."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -1,9 +1,11 @@
-"""Which 64-bit keys do several documents share? Counting and looking up, in sorted blocks.
+"""Which 64-bit keys do several texts share? Counting and looking up, in sorted blocks.
 
 Keys (window anchors, signatures, word hashes) outnumber documents by hundreds, so they
 travel as blocks: a map task sorts the keys of its documents, counts equal ones and cuts
 the run into ranges ("buckets"); a row is one bucket's slice. ``count_keys`` merges the
-slices of a bucket: a key that a third of all documents hold arrives once per map task.
+slices of a bucket: a key that a third of all documents hold arrives once per map task,
+with the row key (a hash of the text) of one owner, which tells apart a key of several
+texts from one of several equal texts.
 ``look_up`` joins each task's request slices with their bucket's table, row by row, so a
 bucket with many requests is spread by AQE's skew splitting and never gathered.
 
@@ -25,9 +27,9 @@ from finpanel.llm.common import text_chunks
 Keys = Callable[[list], tuple[np.ndarray, np.ndarray]]
 
 #: Keys per bucket, about: a bucket's table is worked on by one task, at some 40 bytes a key.
-BUCKET_KEYS = 2_000_000
+BUCKET_KEYS = 1_200_000
 #: Keys that a map task gathers before it sorts and sends them.
-FLUSH_KEYS = 3_000_000
+FLUSH_KEYS = 800_000
 
 
 def bucket_count(n_keys: float) -> int:
@@ -70,40 +72,76 @@ def gathered(batches, keys: Keys, only=None):
         yield tuple(map(np.concatenate, (ds, rs, rows, ks)))
 
 
+def pack(x: np.ndarray) -> bytes:
+    """Byte planes: of sorted keys, or small numbers, the upper planes are runs, and the
+    shuffle's compression drops them."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def unpack(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+
+
+#: A slice: sorted keys, their owner's place among ``owners`` (row keys), and a number.
+SENT = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("place", pa.binary()), ("owners", pa.binary()), ("n", pa.binary())])
 TABLE = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())])
 
 
-def count_keys(docs: DataFrame, keys: Keys, buckets: int, least: int = 1, per_document: bool = True, only=None) -> DataFrame:
-    """(bucket, keys, n): the keys of ``docs`` (d, r, text) with their number of documents
-    (or occurrences), where that is at least ``least``; ``only`` picks documents by d."""
+def _starts(key: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+
+
+def _different(owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Per group: how many of its owners differ from the first."""
+    first = np.repeat(owner[at], np.diff(np.append(at, len(owner))))
+    return np.add.reduceat((owner != first).astype(np.int64), at) if len(at) else at
+
+
+def _joined(parts: list[np.ndarray], kind) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def count_keys(docs: DataFrame, keys: Keys, buckets: int, occurrences: bool = False, only=None) -> DataFrame:
+    """(bucket, keys, n) over ``docs`` (d, r, text).
+
+    With ``occurrences`` n is how often a key occurs in all. Otherwise only the keys of at
+    least two different texts are kept, with about the number of those (equal texts that
+    meet in one task count once); ``only`` picks documents by d.
+    """
 
     def emit(batches):
-        for _, _, row, key in gathered(batches, keys, only):
+        for _, r, row, key in gathered(batches, keys, only):
             row, key, times = pairs(row, key)
-            at = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-            n = np.add.reduceat(np.ones(len(key), np.int64) if per_document else times, at)
-            key = key[at]
-            out = list(slices(key, buckets))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _, _ in out], pa.int32()), pa.array([key[i:j].tobytes() for _, i, j in out], pa.binary()),
-                 pa.array([n[i:j].astype(np.uint32).tobytes() for _, i, j in out], pa.binary())], schema=TABLE)
+            at = _starts(key)
+            n = np.add.reduceat(times, at) if occurrences else 1 + _different(r[row], at)
+            key, row = key[at], row[at]
+            for b, i, j in slices(key, buckets):
+                here, place = np.unique(row[i:j], return_inverse=True)
+                owners = (b"", b"") if occurrences else (pack(place.astype(np.uint32)), r[here].tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x], f.type) for x, f in zip((b, pack(key[i:j]), *owners, pack(n[i:j].astype(np.uint32))), SENT)], schema=SENT)
 
     def merge(part: pa.Table) -> pa.Table:
-        key = np.frombuffer(b"".join(part.column("keys").to_pylist()), np.uint64)
-        n = np.frombuffer(b"".join(part.column("n").to_pylist()), np.uint32)
+        rows = part.to_pylist()
+        key = _joined([unpack(x["keys"], np.uint64) for x in rows], np.uint64)
+        n = _joined([unpack(x["n"], np.uint32) for x in rows], np.uint32).astype(np.int64)
         order = np.argsort(key, kind="stable")
-        key, n = key[order], n[order].astype(np.int64)
-        at = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        total, key = np.add.reduceat(n, at), key[at]
-        key, total = key[total >= least], total[total >= least]
-        return pa.table([pa.array([part.column("bucket")[0].as_py()], pa.int32()), pa.array([key.tobytes()], pa.binary()),
-                         pa.array([total.tobytes()], pa.binary())], schema=TABLE)
-
-    sent = docs.mapInArrow(emit, "bucket int, keys binary, n binary")
+        key, n = key[order], n[order]
+        at = _starts(key)
+        total = np.add.reduceat(n, at)
+        if not occurrences:  # one text, met in several tasks, is not shared
+            owner = _joined([np.frombuffer(x["owners"], np.int64)[unpack(x["place"], np.uint32)] for x in rows], np.int64)[order]
+            shared = (_different(owner, at) > 0) | (np.maximum.reduceat(n, at) > 1)
+            at, total = at[shared], total[shared]
+        return pa.table([pa.array([x], f.type) for x, f in zip((rows[0]["bucket"], pack(key[at]), pack(total)), TABLE)], schema=TABLE)
+
+    sent = docs.mapInArrow(emit, "bucket int, keys binary, place binary, owners binary, n binary")
     return sent.groupBy("bucket").applyInArrow(merge, "bucket int, keys binary, n binary")
 
 
-REQUEST = pa.schema([("bucket", pa.int32()), ("asked", pa.binary()), ("row", pa.binary()), ("times", pa.binary()),
+#: A request: sorted keys, their document's place among ``d`` and ``r``, how often each occurs there.
+REQUEST = pa.schema([("bucket", pa.int32()), ("asked", pa.binary()), ("place", pa.binary()), ("times", pa.binary()),
                      ("d", pa.binary()), ("r", pa.binary())])
 
 
@@ -118,32 +156,30 @@ def look_up(docs: DataFrame, keys: Keys, table: DataFrame, buckets: int, answer,
     def ask(batches):
         for d, r, row, key in gathered(batches, keys):
             row, key, times = pairs(row, key)
-            out = []
             for b, i, j in slices(key, buckets):
-                docs_here, where = np.unique(row[i:j], return_inverse=True)
-                out.append((b, key[i:j].tobytes(), where.astype(np.uint32).tobytes(), times[i:j].astype(np.uint32).tobytes(),
-                            d[docs_here].tobytes(), r[docs_here].tobytes()))
-            for i in range(0, len(out), 8):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[i:i + 8]), REQUEST)], schema=REQUEST)
+                here, place = np.unique(row[i:j], return_inverse=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x], f.type) for x, f in zip((b, pack(key[i:j]), pack(place.astype(np.uint32)), pack(times[i:j].astype(np.uint32)),
+                                                            d[here].tobytes(), r[here].tobytes()), REQUEST)], schema=REQUEST)
 
     def resolve(batches):
         for b in batches:
             for x in b.to_pylist():
-                known, n = np.frombuffer(x["keys"], np.uint64), np.frombuffer(x["n"], np.int64)
+                known, n = unpack(x["keys"], np.uint64), unpack(x["n"], np.int64)
                 if not len(known):
                     continue
-                key = np.frombuffer(x["asked"], np.uint64)
+                key = unpack(x["asked"], np.uint64)
                 at = np.minimum(np.searchsorted(known, key), len(known) - 1)
                 hit = np.flatnonzero(known[at] == key)
                 if not len(hit):
                     continue
-                row = np.frombuffer(x["row"], np.uint32)[hit]
-                cols = answer(np.frombuffer(x["d"], np.int64)[row], np.frombuffer(x["r"], np.int64)[row], key[hit],
-                              np.frombuffer(x["times"], np.uint32)[hit].astype(np.int64), n[at[hit]])
+                place = unpack(x["place"], np.uint32)[hit]
+                cols = answer(np.frombuffer(x["d"], np.int64)[place], np.frombuffer(x["r"], np.int64)[place], key[hit],
+                              unpack(x["times"], np.uint32)[hit].astype(np.int64), n[at[hit]])
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
 
     names = [p.split()[0] for p in schema.split(", ")]
-    asked = docs.mapInArrow(ask, "bucket int, asked binary, row binary, times binary, d binary, r binary")
+    asked = docs.mapInArrow(ask, "bucket int, asked binary, place binary, times binary, d binary, r binary")
     return asked.join(table, "bucket").mapInArrow(resolve, schema)
 
 
@@ -153,13 +189,13 @@ def text_bytes(docs: DataFrame) -> int:
 
 
 def shared_keys(docs: DataFrame, keys: Keys, n_keys: float, path: str) -> DataFrame:
-    """(d, r, key, n): the keys of each document that at least two documents have.
+    """(d, r, key, n): the keys of each document that at least two different texts have.
 
     Two jobs over the texts: count, then ask. Counts are landed at ``path``.
     """
     from finpanel.llm.common import land, release
     buckets = bucket_count(n_keys)
-    table = land(count_keys(docs, keys, buckets, least=2), f"{path}/counts")
+    table = land(count_keys(docs, keys, buckets), f"{path}/counts")
     release(docs.sparkSession)
     out = look_up(docs, keys, table, buckets, lambda d, r, key, times, n: (d, r, key.view(np.int64), n),
                   "d long, r long, key long, n long")

@@ -105,7 +105,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             out = []
             for i, (text, marked) in enumerate(zip(texts, lists)):
                 words = (text or b"").split()  # bytes.split() cuts at the six ASCII whitespace bytes
-                first, end = merged(marked)
+                first, end = merged(marked, len(words), window)
                 kept = [w for a, b in zip(np.append(0, end), np.append(first, len(words))) for w in words[a:b]]
                 out.append((None if d[i] == LAST_ID else int(d[i]), len(words), int((end - first).sum()),
                             [{"first": int(a), "end": int(b)} for a, b in zip(first, end)], b" ".join(kept)))

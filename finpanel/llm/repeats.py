@@ -4,7 +4,8 @@ Sending every window would multiply the text. Instead every window points to one
 own positions, its anchor, chosen by the window's content alone (the operator's method
 decides how), so equal windows have equal anchors with equal keys. Then:
 
-1. keys held by one document only are dropped (``keycount``): their windows cannot repeat;
+0. equal texts are settled as a whole: all but the smallest document lose everything;
+1. keys held by one text only are dropped (``keycount``): their windows cannot repeat;
 2. the windows that share an anchor are consecutive; they and the text they cover are one
    *reach*. Equal reaches are grouped by a 128-bit fingerprint: all but the smallest
    document lose all their windows at once, however large the group;
@@ -37,6 +38,9 @@ class Scheme:
     window: int
     tokens: Callable[[list], Tokens]
     anchors: Callable[[Tokens, int], tuple[np.ndarray, np.ndarray]]
+    #: (tokens, first, last, anchor) of reaches -> (which reach, key, first, last) of their parts
+    #: with a longer key each, again by the windows' content alone; None: as they are.
+    refine: Callable | None = None
 
 
 def starts_of(t: Tokens, window: int) -> np.ndarray:
@@ -87,6 +91,9 @@ def _reach_rows(scheme: Scheme):
             doc, key, first, last, at = (x[hit] for x in (doc, key, first, last, at))
             if not len(doc):
                 continue
+            if scheme.refine:
+                part, key, first, last = scheme.refine(t, first, last, at)
+                doc, at = doc[part], at[part]
             end = last + scheme.window
             # The place of the anchor and the length are part of what is equal.
             shape = ((at - first).astype(np.uint64) << np.uint64(32)) | (end - first).astype(np.uint64)
@@ -125,34 +132,45 @@ def _window_rows(scheme: Scheme):
 
 def covered_spans(rows: DataFrame, scheme: Scheme, n_keys: float) -> DataFrame:
     """(d, r, spans): for documents of ``rows`` (d, r, text) with removed windows, the token
-    ranges [first, end) that those cover (they may overlap)."""
+    ranges [first, end) that those cover (they may overlap; an end of -1 is the text's)."""
     spark = rows.sparkSession
     base = run_dir(spark, "repeats")
+    texts = land(rows.where("text IS NOT NULL").select("d", "r", F.xxhash64(F.lit(1), "text").alias("x")), f"{base}/texts")
+    least = land(texts.groupBy("r", "x").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("least < most")
+                 .select("r", "x", "least"), f"{base}/equal")
+    equal = land(texts.join(least, ["r", "x"]).where("d > least").select("d", "r"), f"{base}/copies")
     shared = shared_keys(rows, _keys_of(scheme), n_keys, base)
-    wanted = shared.groupBy("d", "r").agg(F.collect_list("key").alias("keys"))
+    wanted = shared.join(equal, ["d", "r"], "left_anti").groupBy("d", "r").agg(F.collect_set("key").alias("keys"))
     reach = land(rows.join(wanted, ["d", "r"]).select("d", "r", "text", "keys").mapInArrow(
         _reach_rows(scheme), "d long, r long, key long, c1 long, c2 long, first long, last long"), f"{base}/reaches")
     release(spark)
-    least = reach.groupBy("c1", "c2").agg(F.min("d").alias("least"))
-    judged = land(reach.join(least, ["c1", "c2"]), f"{base}/judged")
+    # Aggregates are landed before they are joined back, so that both sides of a join are
+    # plain shuffles: AQE can then split a reach or window that very many documents hold.
+    least = land(reach.groupBy("c1", "c2").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("least < most")
+                 .select("c1", "c2", "least"), f"{base}/least")
+    judged = land(reach.join(least, ["c1", "c2"], "left"), f"{base}/judged")
     copies = judged.where("d > least").select("d", "r", "first", (F.col("last") + scheme.window).alias("end"))
-    several = (judged.groupBy("key").agg(F.min(F.struct("c1", "c2")).alias("a"), F.max(F.struct("c1", "c2")).alias("b"))
-               .where("a <> b").select("key"))
-    open_ = (judged.where("d = least").join(several, "key", "left_semi")
+    several = land(judged.groupBy("key").agg(F.min(F.struct("c1", "c2")).alias("a"), F.max(F.struct("c1", "c2")).alias("b"))
+                   .where("a <> b").select("key"), f"{base}/several")
+    open_ = (judged.where("least IS NULL OR d = least").join(several, "key", "left_semi")
              .groupBy("d", "r").agg(F.collect_set(F.struct("first", "last")).alias("spans")))
     windows = land(rows.join(open_, ["d", "r"]).select("d", "r", "text", "spans").mapInArrow(
         _window_rows(scheme), "d long, r long, w1 long, w2 long, first long"), f"{base}/windows")
     release(spark)
-    first = windows.groupBy("w1", "w2").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("least < most")
-    again = (windows.join(first.select("w1", "w2", "least"), ["w1", "w2"]).where("d > least")
+    first = land(windows.groupBy("w1", "w2").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("least < most")
+                 .select("w1", "w2", "least"), f"{base}/firsts")
+    again = (windows.join(first, ["w1", "w2"]).where("d > least")
              .select("d", "r", "first", (F.col("first") + scheme.window).alias("end")))
-    out = land(copies.unionByName(again).groupBy("d", "r").agg(F.collect_set(F.struct("first", "end")).alias("spans")), f"{base}/spans")
+    whole = equal.select("d", "r", F.lit(0).cast("long").alias("first"), F.lit(-1).cast("long").alias("end"))
+    out = land(copies.unionByName(again).unionByName(whole).groupBy("d", "r").agg(F.collect_set(F.struct("first", "end")).alias("spans")), f"{base}/spans")
     release(spark)
     return out
 
 
-def merged(spans: list | None) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal disjoint, non-adjacent ranges of a list of {first, end}."""
+def merged(spans: list | None, size: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal disjoint, non-adjacent ranges of a list of {first, end} in a text of ``size`` tokens."""
+    if spans and any(s["end"] < 0 for s in spans):
+        spans = [{"first": 0, "end": size}] if size >= window else None
     if not spans:
         z = np.zeros(0, np.int64)
         return z, z

@@ -7,8 +7,8 @@ each over the groups the one before left open:
 * digit 1, ``DIGIT`` bytes, of *sampled* suffixes: a window of 50 bytes holds 26 suffixes
   with a whole digit inside; the one with the smallest digit hash stands for the window
   (equal windows choose the same). A digit that one document holds closes its group;
-* digit 2, the bytes from there to the ends of the windows it stands for: groups of
-  equal ones are settled as a whole;
+* digit 2, half of the other bytes, on the side of the digit where the window has them;
+  windows of one sample and side are one run, and equal runs are settled as a whole;
 * digit 3, the remaining suffixes through all ``window`` bytes, one by one.
 
 No pass gathers a group: each is an aggregate by key, combined in the map tasks.
@@ -44,8 +44,26 @@ def _sampled(window: int, digit: int):
     return anchors
 
 
+def _longer(window: int, digit: int):
+    """Half of what a window has besides the digit lies on one side of it whole: windows
+    that start early enough extend the digit to the left, the others to the right."""
+    more = (window - digit + 1) // 2
+
+    def refine(t: Tokens, first, last, at):
+        hashes = Fingerprints(t.value)
+        left, right = np.flatnonzero(first <= at - more), np.flatnonzero(last > at - more)
+        part = np.concatenate((left, right))
+        key = np.concatenate((hashes.of(at[left] - more, at[left] + digit), hashes.of(at[right], at[right] + window - more)))
+        lo = np.concatenate((first[left], np.maximum(first[right], at[right] - more + 1)))
+        hi = np.concatenate((np.minimum(last[left], at[left] - more), last[right]))
+        return part, key, lo, hi
+
+    return refine
+
+
 def scheme(window: int = 50, digit: int | None = None) -> Scheme:
-    return Scheme(window, byte_tokens, _sampled(window, digit or (window + 1) // 2))
+    digit = digit or (window + 1) // 2
+    return Scheme(window, byte_tokens, _sampled(window, digit), _longer(window, digit))
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
@@ -59,7 +77,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out = []
             for i, (text, marked) in enumerate(zip(texts, lists)):
                 text = text or b""
-                first, end = merged(marked)
+                first, end = merged(marked, len(text), window)
                 kept = b"".join(text[a:b] for a, b in zip(np.append(0, end), np.append(first, len(text))))
                 out.append((None if d[i] == LAST_ID else int(d[i]), len(text), int((end - first).sum()), len(first),
                             [{"first": int(a), "end": int(b)} for a, b in zip(first, end)], kept))
