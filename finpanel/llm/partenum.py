@@ -14,7 +14,9 @@ Sets that share a chosen signature are candidates. Equal sets are one class from
 start. First every group's members are compared with its smallest member only; after
 connected components, members of one group that are still apart are compared with each
 other. So a large group of near copies costs a comparison a member, and every link
-between different sets is either found or already implied by the components.
+between different sets is either found or already implied by the components. Before two
+sets are compared whole, their sketches are: element counts in ``CELLS`` hash cells, whose
+distance never exceeds the number of differing elements, so no link is lost.
 
 Defined cases: a null text or one without words has the empty set, linked with nothing; a
 text of fewer words than a shingle has its whole sequence as its one shingle; a null id
@@ -34,6 +36,8 @@ from finpanel.llm.keycount import shared_keys, text_bytes
 
 #: Partitions per tolerated difference, and at least.
 PARTITIONS, LEAST_PARTITIONS = 1.5, 4096
+#: Cells of a set's sketch (one byte each), and members of a group that one task compares with as many others.
+CELLS, BLOCK = 256, 256
 #: Bands up to which LEAST_PARTITIONS holds: small sets, whose shingles then seldom share a partition.
 SMALL = 64
 
@@ -61,6 +65,30 @@ def shingle_sets(texts: list, words: int):
     return row[new], h[new]
 
 
+def _sums(cell: np.ndarray, value: np.ndarray, sparse: np.ndarray, cells: int):
+    """The cells in use, ascending, and the sum of their values. Small sets use few of their
+    many cells, so theirs are found by sorting; the others' fill most of a dense table."""
+    few, first = np.unique(cell[sparse], return_inverse=True)
+    few_sums = np.zeros(len(few), np.uint64)
+    np.add.at(few_sums, first, value[sparse])
+    if sparse.all():
+        return few, few_sums
+    # Cells of small sets are cut out of the dense table's numbering.
+    dense, sums = cell[~sparse], value[~sparse]
+    used = np.zeros(cells // 64 + 1, bool)
+    used[dense // 64] = True
+    page = np.cumsum(used) - 1
+    at = page[dense // 64] * 64 + dense % 64
+    total, hits = np.zeros((page[-1] + 1) * 64, np.uint64), np.zeros((page[-1] + 1) * 64, bool)
+    np.add.at(total, at, sums)
+    hits[at] = True
+    at = np.flatnonzero(hits)
+    many = np.flatnonzero(used)[at // 64] * 64 + at % 64
+    out, sums = np.concatenate((few, many)), np.concatenate((few_sums, total[at]))
+    order = np.argsort(out, kind="stable")
+    return out[order], sums[order]
+
+
 def signatures(row: np.ndarray, h: np.ndarray, n_rows: int, percent: int):
     """For each set and each band instance it takes part in (its own and, where a partner can
     be there, the next): (instances: row, band, k, partitions in use), (row, signature).
@@ -83,12 +111,10 @@ def signatures(row: np.ndarray, h: np.ndarray, n_rows: int, percent: int):
         own, x = row[use], h[use]
         p = ((mix64(x ^ (t[own].astype(np.uint64) << np.uint64(8))) >> np.uint64(32)) * parts[own].astype(np.uint64)) >> np.uint64(32)
         cell = at[own] + p.astype(np.int64)
-        content = np.zeros(at[-1], np.uint64)
-        np.add.at(content, cell, value[use])
-        filled = np.flatnonzero(np.bincount(cell, minlength=at[-1]))
+        filled, content = _sums(cell, value[use], upper[t[own]] <= SMALL, at[-1])
         owner = np.searchsorted(at, filled, side="right") - 1
         place = ((filled - at[owner]).astype(np.uint64) << np.uint64(8)) | t[owner].astype(np.uint64)
-        key = mix64(content[filled] ^ mix64(place))
+        key = mix64(content ^ mix64(place))
         keys.append((key & ~np.uint64(255)) | (t[owner].astype(np.uint64) & np.uint64(255)))
         owners.append(owner)
         in_use = np.bincount(owner, minlength=n_rows)
@@ -120,14 +146,17 @@ def _describe(words: int, percent: int):
                 total = np.zeros(n, np.uint64)
                 np.add.at(total, row, mix64(h ^ np.uint64(salt)))
                 c.append(total.view(np.int64))
+            cells = np.bincount(row * CELLS + (mix64(h + np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(56)).astype(np.int64), minlength=n * CELLS)
+            sketches = np.minimum(cells, 255).astype(np.uint8).reshape(n, CELLS)
             (own, t, k, used), _ = signatures(row, h, n, percent)
             lists = [[] for _ in range(n)]
             for o, *x in zip(own.tolist(), t.tolist(), k.tolist(), used.tolist()):
                 lists[o].append(dict(zip(("band", "k", "used"), x)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(d), pa.array(r), pa.array(np.bincount(row, minlength=n)), pa.array(c[0]), pa.array(c[1]),
-                 pa.array(lists, pa.list_(pa.struct([("band", pa.int32()), ("k", pa.int64()), ("used", pa.int64())])))],
-                names=["d", "r", "size", "c1", "c2", "instances"])
+                 pa.array(lists, pa.list_(pa.struct([("band", pa.int32()), ("k", pa.int64()), ("used", pa.int64())]))),
+                 pa.array([x.tobytes() for x in sketches], pa.binary())],
+                names=["d", "r", "size", "c1", "c2", "instances", "sketch"])
     return rows
 
 
@@ -190,38 +219,40 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     base = run_dir(spark, "partenum")
     rows = keyed(docs, id_col, text_col)
-    sets = land(rows.mapInArrow(_describe(words, percent), f"d long, r long, size long, c1 long, c2 long, instances {INSTANCE}"), f"{base}/described")
+    sets = land(rows.mapInArrow(_describe(words, percent), f"d long, r long, size long, c1 long, c2 long, instances {INSTANCE}, sketch binary"), f"{base}/described")
     classes = land(sets.where("size > 0").groupBy("size", "c1", "c2").agg(
-        F.min(F.struct("d", "r")).alias("rep"), F.min(F.struct("d", "r", "instances"))["instances"].alias("instances")), f"{base}/classes")
+        F.min(F.struct("d", "r")).alias("rep"), F.min_by(F.struct("instances", "sketch"), F.struct("d", "r")).alias("x"))
+                   .select("size", "c1", "c2", "rep", "x.*"), f"{base}/classes")
     shared = shared_keys(rows, _signature_keys(words, percent), text_bytes(rows) / 8, base)
     # What each class goes by: its k + 1 rarest signatures (ties included), of which those
     # that no other document has need not be sent.
     plan = classes.select(F.col("rep.d").alias("d"), F.col("rep.r").alias("r"), "size", F.explode("instances").alias("i")).select("d", "r", "size", "i.*")
     key = ["d", "r", "band"]
-    mine = (shared.withColumn("band", F.expr("CAST(key & 255 AS INT)")).distinct()
-            .join(plan, key))
-    counts = mine.groupBy(*key).agg(F.sort_array(F.collect_list("n")).alias("ns"), F.count(F.lit(1)).alias("hits"))
-    mine = mine.join(counts, key).withColumn("place", F.col("k") + 1 - (F.col("used") - F.col("hits")))
-    chosen = mine.where("place > 0").where((F.col("place") > F.col("hits")) | (F.col("n") <= F.get("ns", F.least("place", "hits").cast("int") - 1)))
+    mine = (shared.withColumn("band", F.expr("CAST(key & 255 AS INT)")).join(plan, key)
+            .groupBy(*key, "k", "used").agg(F.array_sort(F.collect_set(F.struct("n", F.col("key").alias("s")))).alias("hits")))
+    place = F.col("k") + 1 - (F.col("used") - F.size("hits"))
+    bound = F.get("hits", F.least(place, F.size("hits")).cast("int") - 1)["n"]
+    chosen = (mine.where(place > 0).withColumn("bound", bound).withColumn("all", place > F.size("hits"))
+              .select("d", "r", F.explode("hits").alias("h"), "bound", "all").where("all OR h.n <= bound"))
     # A set with fewer partitions in use than it has to go by goes by the empty ones, too.
     poor = plan.where("used <= k").select(F.struct("d", "r").alias("node"), F.concat(F.lit("empty "), "band").alias("key"))
-    chosen = land(chosen.select(F.struct("d", "r").alias("node"), F.col("key").cast("string").alias("key")).unionByName(poor), f"{base}/chosen")
+    chosen = land(chosen.select(F.struct("d", "r").alias("node"), F.col("h.s").cast("string").alias("key")).unionByName(poor), f"{base}/chosen")
     release(spark)
 
-    sizes = plan.select(F.struct("d", "r").alias("node"), "size").distinct()
-    lead = chosen.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a")
-    stars = chosen.join(lead, "key").where("node <> a").select("a", F.col("node").alias("b"))
-    found = links(_sized(stars, sizes, percent), rows, words, percent, f"{base}/first")
+    known = classes.select(F.col("rep").alias("node"), "size", "sketch")
+    # Landed before it is joined back: AQE can then split a signature that very many sets share.
+    lead = land(chosen.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a"), f"{base}/leads")
+    members = land(chosen.join(lead, "key"), f"{base}/members")
+    stars = members.where("node <> a").select("a", F.col("node").alias("b"))
+    found = links(_close(stars, known, percent), rows, words, percent, f"{base}/first")
     roots = land(components(found, f"{base}/first-components"), f"{base}/first-roots")
     # Members of one group that are still apart.
-    placed = (chosen.join(lead, "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    apart = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+    placed = members.drop("a").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    apart = land(placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key"), f"{base}/apart")
     open_ = land(placed.join(apart, "key", "left_semi"), f"{base}/open")
-    other = open_.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    rest = (open_.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
-            .join(other, "key").where("a < b AND root_a <> root_b").select("a", "b").distinct()
-            .join(stars.distinct(), ["a", "b"], "left_anti"))
-    more = links(_sized(rest, sizes, percent), rows, words, percent, f"{base}/second")
+    tested = spark.read.schema(PAIR).parquet(f"{base}/first/pairs")
+    rest = _across(open_.join(known, "node"), percent).distinct().join(tested, ["a", "b"], "left_anti")
+    more = links(rest, rows, words, percent, f"{base}/second")
     edges = more.unionByName(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")))
     final = land(components(edges, f"{base}/second-components"), f"{base}/second-roots")
 
@@ -232,11 +263,73 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     public_id(F.coalesce("root", "d")).alias("component"), "d", "r"))
 
 
-def _sized(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose set sizes allow the similarity."""
-    a, b = (sizes.select(F.col("node").alias(x), F.col("size").alias(f"size_{x}")) for x in "ab")
-    return (pairs.distinct().join(a, "a").join(b, "b")
-            .where(F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent).select("a", "b"))
+def _sketch_close(x: np.ndarray, y: np.ndarray, size_x, size_y, percent: int) -> np.ndarray:
+    """Could sets with these sketches and sizes be similar? Broadcasts over the first axes."""
+    apart = np.abs(x.astype(np.int16) - y).sum(-1)
+    small, large = np.minimum(size_x, size_y), np.maximum(size_x, size_y)
+    return (small * 100 >= large * percent) & (apart * (100 + percent) <= (small + large) * (100 - percent))
+
+
+def _close(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches allow."""
+    def keep(batches):
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(f"sketch_{k}").to_pylist()), np.uint8).reshape(-1, CELLS) for k in "ab")
+            ok = _sketch_close(x, y, np.asarray(b.column("size_a")), np.asarray(b.column("size_b")), percent)
+            yield b.select(["a", "b"]).filter(pa.array(ok))
+
+    a, b = (known.select(*[F.col(c).alias(n) for c, n in (("node", x), ("size", f"size_{x}"), ("sketch", f"sketch_{x}"))]) for x in "ab")
+    return pairs.distinct().join(a, "a").join(b, "b").select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(keep, PAIR)
+
+
+NODE = "struct<d:long,r:long>"
+PAIR = f"a {NODE}, b {NODE}"
+
+
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of one key with different roots that sizes and sketches allow.
+
+    A key's members are dealt into blocks of about BLOCK, and each pair of blocks is one
+    piece of work, so no task holds more than two blocks of a key, however large it is."""
+    blocks = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    dealt = (members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
+                     "node.d", "node.r", F.xxhash64("root").alias("root"), "size", "sketch"))
+    dealt = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "block")
+
+    def work(batches):
+        held: list = []
+        for b in batches:
+            for x in b.to_pylist():
+                if held and (x["key"], x["lo"], x["hi"]) != (held[0]["key"], held[0]["lo"], held[0]["hi"]):
+                    yield from compared(held)
+                    held = []
+                held.append(x)
+        if held:
+            yield from compared(held)
+
+    def compared(rows):
+        if len(rows) < 2 or all(x["root"] == rows[0]["root"] for x in rows):
+            return
+        sketch = np.frombuffer(b"".join(x["sketch"] for x in rows), np.uint8).reshape(-1, CELLS)
+        d, r, root, size, block = (np.array([x[c] for x in rows], np.int64) for c in ("d", "r", "root", "size", "block"))
+        one = rows[0]["lo"] == rows[0]["hi"]
+        first, second = [], []
+        for i in range(len(rows)):
+            # Within one block every pair once; between two, those of different blocks.
+            j = np.arange(i + 1, len(rows))
+            j = j[(root[j] != root[i]) & (one | (block[j] != block[i]))]
+            j = j[_sketch_close(sketch[j], sketch[i], size[j], size[i], percent)] if len(j) else j
+            first += [i] * len(j)
+            second += j.tolist()
+        if first:
+            i, j = np.array(first), np.array(second)
+            swap = (d[i] > d[j]) | ((d[i] == d[j]) & (r[i] > r[j]))
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([pa.array(d[k]), pa.array(r[k])], ["d", "r"]) for k in (i, j)], names=["a", "b"])
+
+    return dealt.mapInArrow(work, PAIR)
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
