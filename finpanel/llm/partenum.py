@@ -37,7 +37,7 @@ from finpanel.llm.keycount import shared_keys, text_bytes
 #: Partitions per tolerated difference, and at least.
 PARTITIONS, LEAST_PARTITIONS = 1.5, 4096
 #: Cells of a set's sketch (one byte each), and members of a group that one task compares with as many others.
-CELLS, BLOCK = 256, 256
+CELLS, BLOCK = 128, 256
 #: Bands up to which LEAST_PARTITIONS holds: small sets, whose shingles then seldom share a partition.
 SMALL = 64
 
@@ -146,7 +146,7 @@ def _describe(words: int, percent: int):
                 total = np.zeros(n, np.uint64)
                 np.add.at(total, row, mix64(h ^ np.uint64(salt)))
                 c.append(total.view(np.int64))
-            cells = np.bincount(row * CELLS + (mix64(h + np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(56)).astype(np.int64), minlength=n * CELLS)
+            cells = np.bincount(row * CELLS + (mix64(h + np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(57)).astype(np.int64), minlength=n * CELLS)
             sketches = np.minimum(cells, 255).astype(np.uint8).reshape(n, CELLS)
             (own, t, k, used), _ = signatures(row, h, n, percent)
             lists = [[] for _ in range(n)]
@@ -235,14 +235,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     chosen = (mine.where(place > 0).withColumn("bound", bound).withColumn("all", place > F.size("hits"))
               .select("d", "r", F.explode("hits").alias("h"), "bound", "all").where("all OR h.n <= bound"))
     # A set with fewer partitions in use than it has to go by goes by the empty ones, too.
-    poor = plan.where("used <= k").select(F.struct("d", "r").alias("node"), F.concat(F.lit("empty "), "band").alias("key"))
-    chosen = land(chosen.select(F.struct("d", "r").alias("node"), F.col("h.s").cast("string").alias("key")).unionByName(poor), f"{base}/chosen")
+    poor = plan.where("used <= k").select(F.struct("d", "r").alias("node"), F.xxhash64(F.lit("empty"), "band").alias("key"))
+    chosen = land(chosen.select(F.struct("d", "r").alias("node"), F.col("h.s").alias("key")).unionByName(poor), f"{base}/chosen")
     release(spark)
 
     known = classes.select(F.col("rep").alias("node"), "size", "sketch")
     # Landed before it is joined back: AQE can then split a signature that very many sets share.
     lead = land(chosen.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a"), f"{base}/leads")
     members = land(chosen.join(lead, "key"), f"{base}/members")
+    release(spark)
     stars = members.where("node <> a").select("a", F.col("node").alias("b"))
     found = links(_close(stars, known, percent), rows, words, percent, f"{base}/first")
     roots = land(components(found, f"{base}/first-components"), f"{base}/first-roots")
@@ -250,6 +251,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed = members.drop("a").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     apart = land(placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key"), f"{base}/apart")
     open_ = land(placed.join(apart, "key", "left_semi"), f"{base}/open")
+    release(spark)
     tested = spark.read.schema(PAIR).parquet(f"{base}/first/pairs")
     rest = _across(open_.join(known, "node"), percent).distinct().join(tested, ["a", "b"], "left_anti")
     more = links(rest, rows, words, percent, f"{base}/second")
