@@ -142,6 +142,11 @@ def q_ratio_alias(spark, d):
 
 # -- entries 2 and 3 composed (rows-only: each is a chain of the operators above) ----------
 
+def _years(spark, d):
+    """First and last fiscal year of the table's filings, so that the range drops none."""
+    return tuple(dv.header(spark, d).agg(F.min("fy"), F.max("fy")).first())
+
+
 @register("feature_panel")
 def q_feature_panel(spark, d):
     from finpanel.plans.training import feature_panel
@@ -153,7 +158,7 @@ def q_training_set(spark, d):
     from finpanel.plans.driver_panel import DENSE_ROLES, DRIVER_FORMS
     from finpanel.plans.training import feature_panel, training_set
     # Order prices are no assets in dollars: no minimum, and columns stay however sparse.
-    panel = feature_panel(financial_panel(spark, d, DENSE_ROLES), year_range=(1992, 1998), min_assets=0, min_periods=1, min_pct=0.0)
+    panel = feature_panel(financial_panel(spark, d, DENSE_ROLES), year_range=_years(spark, d), min_assets=0, min_periods=1, min_pct=0.0)
     return training_set(panel, forms=DRIVER_FORMS)
 
 
@@ -161,5 +166,5 @@ def q_training_set(spark, d):
 def q_modelling_set(spark, d):
     from finpanel.plans.driver_panel import DENSE_ROLES, DRIVER_FORMS
     from finpanel.plans.training import feature_panel, modelling_set
-    panel = feature_panel(financial_panel(spark, d, DENSE_ROLES), year_range=(1992, 1998), min_assets=0, min_periods=1, min_pct=0.0)
+    panel = feature_panel(financial_panel(spark, d, DENSE_ROLES), year_range=_years(spark, d), min_assets=0, min_periods=1, min_pct=0.0)
     return modelling_set(panel, forms=DRIVER_FORMS)
