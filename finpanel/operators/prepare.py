@@ -190,7 +190,7 @@ def impute_group_median(df: DataFrame, cols: Sequence[str], key: str, flag: bool
 def impute_by_plan(df: DataFrame, plan: DataFrame, sector: str) -> DataFrame:
     """Apply an ``impute_plan``: each strategy to its columns, in the plan's fixed order.
 
-    Kept-with-flag columns only get their flag; columns for preliminary pruning stay as
+    Kept-with-flag columns get 0 and their flag; columns for preliminary pruning stay as
     they are (``prune_coverage`` renames them). One row per feature reaches the driver."""
     of: dict[str, list[str]] = {}
     for r in plan.select("column", "strategy").collect():
@@ -202,7 +202,7 @@ def impute_by_plan(df: DataFrame, plan: DataFrame, sector: str) -> DataFrame:
         "IMP_MEDIANA_SECTOR_FLAG": lambda d, c: impute_group_median(d, c, sector, flag=True, global_after=False),
         "IMP_MEDIANA_FLAG": lambda d, c: impute_median(d, c, flag=True),
         "IMP_CERO_FLAG": impute_zero_flag,
-        "CONSERVAR_FLAG": lambda d, c: d.withColumns({f"fe_isnull_{x}": F.col(f"`{x}`").isNull().cast("byte") for x in c}),
+        "CONSERVAR_FLAG": impute_zero_flag,
     }
     for name, step in steps.items():
         if of.get(name):

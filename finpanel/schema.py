@@ -123,6 +123,8 @@ FFILL_LIMIT = 2
 PRUNE_COVERAGE_MIN = 30.0
 PRUNE_CORR_MAX = 0.95
 LEAKAGE_MAX_R = 0.85
+MIN_FEATURES = 50
+MAX_ROWS_LOST_PCT = 5.0
 TRAIN_LAST_FY = 2023
 # SIC 2-digit division upper bounds and labels (A..J)
 SIC_DIVISIONS = (
