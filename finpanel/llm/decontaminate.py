@@ -12,8 +12,11 @@ are scored exactly. Retrieved items are verified in the whole text: of the item'
 part and of its answer part (its last sentence, unless given as columns of their own) at
 least ``overlap`` of the word n-grams must occur.
 
-Items are indexed in shards of at most ``SHARD`` rows, one job over the texts each; a
-shard's index is a few MB for items of ordinary length and travels with the tasks.
+Document frequencies, number of units and mean length come from one aggregate over all
+items, so a score does not depend on how many items there are beside. Different item texts
+are indexed once, in shards of about ``SHARD`` bytes, each built by a Spark task. Texts are
+dealt into parts of about ``PART`` bytes; a task holds one part and reads the shards one
+after the other, so nothing of the benchmark but two numbers passes through the driver.
 
 Defined cases: words are runs of letters, digits and non-ASCII bytes, A-Z lower-cased; a
 null text has none; items of fewer than ``NGRAM`` words (or null) identify nothing and are
@@ -23,6 +26,7 @@ without items or texts there are no rows.
 
 from __future__ import annotations
 
+import pickle
 import re
 from dataclasses import dataclass
 
@@ -34,7 +38,7 @@ from pyspark.sql import functions as F
 from finpanel.llm.common import LAST_ID, Fingerprints, Tokens, keyed, land, run_dir, same_row, text_chunks, word_tokens
 
 UNIT, BLOCK, NGRAM = 48, 64, 5
-SHARD = 2000
+SHARD, PART = 1 << 19, 1 << 25
 K1, B = 1.2, 0.75
 GAPS = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 SENTENCE = re.compile(r"[^.?!\n]*[.?!\n]*")
@@ -71,15 +75,28 @@ class Index:
     answer: list
 
 
-def build(items: list[tuple]) -> Index | None:
-    """Index of (id, question, answer, whole text) rows."""
+@dataclass(frozen=True)
+class Known:
+    """Statistics of all items, for an index of some of them."""
+    units: int
+    mean: float            # words a unit
+    terms: np.ndarray      # sorted term hashes, at least those of the items indexed
+    df: np.ndarray         # term -> units that hold it
+
+
+def units_of(text: str) -> list[np.ndarray]:
+    words = tokens([text.encode()]).value
+    return np.array_split(words, -(-len(words) // UNIT)) if len(words) >= NGRAM else []
+
+
+def build(items: list[tuple], known: Known | None = None) -> Index | None:
+    """Index of (id, question, answer, whole text) rows, with their own statistics or ``known``."""
     keep, units, owner = [], [], []
     for row in items:
-        words = tokens([row[3].encode()]).value
-        if len(words) >= NGRAM:
-            n = -(-len(words) // UNIT)
-            units += np.array_split(words, n)
-            owner += [len(keep)] * n
+        own = units_of(row[3])
+        if own:
+            units += own
+            owner += [len(keep)] * len(own)
             keep.append(row)
     if not keep:
         return None
@@ -88,9 +105,10 @@ def build(items: list[tuple]) -> Index | None:
     terms, t = np.unique(np.concatenate(units), return_inverse=True)
     cell, tf = np.unique(t.astype(np.int64) * len(units) + at, return_counts=True)
     t, u = np.divmod(cell, len(units))
-    df = np.bincount(t, minlength=len(terms))
-    idf = np.log1p((len(units) - df + 0.5) / (df + 0.5))
-    w = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[u] / size.mean()))
+    known = known or Known(len(units), size.mean(), terms, np.bincount(t, minlength=len(terms)))
+    df = known.df[np.searchsorted(known.terms, terms)]
+    idf = np.log1p((known.units - df + 0.5) / (df + 0.5))
+    w = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[u] / known.mean))
     w = (w / np.bincount(u, weights=w, minlength=len(units))[u]).astype(np.float32)
     blocks = -(-len(units) // BLOCK)
     place = t * blocks + u // BLOCK
@@ -199,26 +217,92 @@ KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float
 SCHEMA = "id long, d long, r long, item string, score double, question_overlap double, answer_overlap double"
 
 
+def _measure(batches):
+    """Items (k, t) -> k, units, words, and each term with the number of units that hold it."""
+    for b in batches:
+        for k, t in zip(b.column("k").to_pylist(), b.column("t").to_pylist()):
+            own = units_of(t)
+            if own:
+                terms, n = np.unique(np.concatenate([np.unique(u) for u in own]), return_counts=True)
+                yield pa.RecordBatch.from_pylist([{"k": k, "units": len(own), "words": sum(map(len, own)),
+                                                   "terms": terms.view(np.int64).tolist(), "held": n.tolist()}], schema=MEASURED)
+
+
+MEASURED = pa.schema([("k", pa.string()), ("units", pa.int64()), ("words", pa.int64()),
+                      ("terms", pa.list_(pa.int64())), ("held", pa.list_(pa.int64()))])
+
+
+def _index_rows(units: int, mean: float):
+    """The item rows of a shard -> its index, as bytes."""
+    def one(table):
+        rows = sorted(table.select(["k", "q", "a", "t", "known"]).to_pylist(), key=lambda x: x["k"])
+        terms, df = (np.array([e[c] for x in rows for e in x["known"]], np.int64) for c in ("term", "df"))
+        terms, at = np.unique(terms.view(np.uint64), return_index=True)
+        index = build([(x["k"], *(parts(x["t"]) if x["a"] is None else (x["q"] or "", x["a"])), x["t"]) for x in rows],
+                      Known(units, mean, terms, df[at]))
+        return pa.table({"shard": table.column("shard")[:1].cast(pa.int64()), "ix": pa.array([pickle.dumps(index)], pa.binary())})
+    return one
+
+
+def _scan(threshold: float, overlap: float):
+    """Rows ordered by part, texts before shards: the part's texts are held, the shards pass by."""
+    def rows(batches):
+        part, held = None, []
+        for b in batches:
+            p = np.asarray(b.column("part"))
+            texts = np.asarray(b.column("shard")) < 0
+            cuts = np.flatnonzero((p[1:] != p[:-1]) | (texts[1:] != texts[:-1])) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(p)]):
+                if lo == hi:
+                    continue
+                if p[lo] != part:
+                    part, held = p[lo], []
+                if texts[lo]:
+                    held.append(b.slice(lo, hi - lo).select(["d", "r", "text"]))
+                    continue
+                for ix in b.column("ix").slice(lo, hi - lo):
+                    yield from _leak_rows(pickle.loads(ix.as_py()), threshold, overlap)(iter(held))
+    return rows
+
+
+def shards_of(items: DataFrame, base: str) -> DataFrame:
+    """Items (k, q, a, t, n: how often) -> (shard, ix), weighted by the statistics of all of them."""
+    measured = land(items.select("k", "t").mapInArrow(_measure, "k string, units long, words long, terms array<long>, held array<long>")
+                    .join(items.select("k", "n", F.octet_length("t").alias("bytes")), "k"), f"{base}/measured")
+    units, words, size = measured.agg(F.sum(F.col("n") * F.col("units")), F.sum(F.col("n") * F.col("words")),
+                                      F.sum(F.col("bytes").cast("long"))).first()
+    cells = measured.select("k", "n", F.explode(F.arrays_zip("terms", "held")).alias("x")).select("k", "n", "x.terms", "x.held")
+    df = cells.groupBy(F.col("terms").alias("term")).agg(F.sum(F.col("n") * F.col("held")).alias("df"))
+    known = (cells.join(df, F.col("terms") == F.col("term")).groupBy("k")
+             .agg(F.collect_list(F.struct("term", "df")).alias("known")))
+    shards = -(-(size or 0) // (SHARD // 2)) or 1  # half full on average, so none overflows by far
+    dealt = items.join(known, "k").withColumn("shard", F.pmod(F.xxhash64("k"), F.lit(shards)))
+    make = _index_rows(units or 0, (words or 0) / (units or 1))
+    return land(dealt.select("shard", "k", "q", "a", "t", "known").groupBy("shard").applyInArrow(make, "shard long, ix binary"), f"{base}/shards")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text: str = "text", question_col: str | None = None, answer_col: str | None = None,
           threshold: float = 0.5, overlap: float = 0.5) -> DataFrame:
     """One row per (text, item) found and verified: id, item (as string), score, overlaps, and the row's key (d, r)."""
-    spark = docs.sparkSession
-    rows = keyed(docs, id_col, text_col)
+    base = run_dir(docs.sparkSession, "decontaminate")
+    rows = keyed(docs, id_col, text_col).where("text IS NOT NULL")
     whole = F.concat_ws(" ", question_col, answer_col) if question_col and answer_col else F.col(item_text)
     items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(question_col or item_text).alias("q"),
                              (F.col(answer_col) if answer_col else F.lit(None).cast("string")).alias("a"), whole.alias("t"))
-    items = items.where("t IS NOT NULL")
-    shards = -(-items.count() // (SHARD // 2)) or 1  # half full on average, so none overflows by far
-    out = None
-    for k in range(shards):
-        got = items.where(F.pmod(F.xxhash64("id", "t"), F.lit(shards)) == k).collect()
-        index = build([(x.id, *(parts(x.t) if x.a is None else (x.q or "", x.a)), x.t) for x in sorted(got, key=lambda x: (x.id or "", x.t))])
-        if index is None:
-            continue
-        found = rows.mapInArrow(_leak_rows(index, threshold, overlap), SCHEMA)
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else spark.createDataFrame([], SCHEMA)
+    items = items.where("t IS NOT NULL").withColumn("k", F.sha2(F.to_json(F.struct("q", "a", "t")), 256))
+    different = items.groupBy("k").agg(*[F.min(c).alias(c) for c in "qat"], F.count(F.lit(1)).alias("n"))
+    shards = shards_of(land(different, f"{base}/items"), base)
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    deal = F.lit(max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // PART)))
+    # Dealt row by row, whatever the ids and texts are.
+    texts = rows.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), deal))
+    texts = texts.select("part", F.lit(-1).cast("long").alias("shard"), "d", "r", "text", F.lit(None).cast("binary").alias("ix"))
+    spread = shards.select(F.explode(F.sequence(F.lit(0).cast("long"), deal.cast("long") - 1)).alias("part"), "shard",
+                           *[F.lit(None).cast(t).alias(c) for c, t in (("d", "long"), ("r", "long"), ("text", "string"))], "ix")
+    found = (texts.unionByName(spread).repartition("part").sortWithinPartitions("part", "shard")
+             .mapInArrow(_scan(threshold, overlap), SCHEMA).withColumnRenamed("item", "k"))
+    return found.join(items.select("k", F.col("id").alias("item")), "k").select(*NAMES)
 
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

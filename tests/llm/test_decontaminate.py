@@ -48,3 +48,27 @@ def test_shards_find_the_same(spark, docs_of, monkeypatch):
     docs = docs_of([(k, "start " + " ".join(f"i{k}w{j}" for j in range(20)) + " end") for k in range(0, 30, 3)])
     monkeypatch.setattr(dc, "SHARD", 8)
     assert sorted((r.id, int(r.item)) for r in dc.leaks(docs, bench).collect()) == [(k, k) for k in range(0, 30, 3)]
+
+
+def test_scores_do_not_depend_on_shards_or_repeats(spark, docs_of, rng, monkeypatch):
+    # Items of shared words, leaked in part: the weights decide, and those are of all items.
+    vocabulary = [f"w{k}" for k in range(60)]
+    items = [(k, " ".join(rng.choice(vocabulary[:10 + k]) for _ in range(40)) + f" own{k}. Answer {k} is {' '.join(rng.choice(vocabulary) for _ in range(6))}.") for k in range(40)]
+    items += [(100, items[0][1]), (0, items[0][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of([(k, " ".join(t.split()[k % 25:]) + " tail") for k, t in items[:40]])
+
+    def found():
+        return sorted((r.id, r.item, r.score, r.question_overlap, r.answer_overlap) for r in dc.leaks(docs, bench, threshold=0.3).collect())
+
+    one = found()
+    ix = dc.build([(str(k), *dc.parts(t), t) for k, t in items])
+    texts = dc.tokens([r.text.encode() for r in docs.orderBy("doc_id").collect()])
+    scores = {}
+    for o, u, s in zip(*(x.tolist() for x in dc.retrieve(ix, texts, 0.3))):
+        scores[o, ix.item[u]] = max(s, scores.get((o, ix.item[u]), 0))
+    assert len(one) >= 20 and [x[:2] for x in one].count((0, "0")) == 2 and (0, "100") in {x[:2] for x in one}
+    assert all(abs(s - scores[d, 0 if int(i) == 100 else int(i)]) < 1e-6 for d, i, s, *_ in one)
+    monkeypatch.setattr(dc, "SHARD", 8)
+    monkeypatch.setattr(dc, "PART", 500, raising=False)
+    assert found() == one
