@@ -5,18 +5,18 @@ Parquet in the shared folder and reads it back as the next stage's ``docs``, so
 executor costs tasks of the current stage only. All stages but the last return the columns
 of ``documents``; the last adds how often each document is to be used.
 
-Rows with a null id pass through all stages; the mixture counts rows that repeat an id by
-their longest; an empty table stays empty; a column that a stage would add under a name
+Rows with a null id pass through all stages like any other, and rows that repeat an id are
+told apart by their text; an empty table stays empty; a column that a stage would add under a name
 ``documents`` already has gets an underscore. Each operator's docstring says what else it does with nulls, ties and repeats.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finpanel.llm import catalog, decontaminate, exact_dedup, mixing, partenum, zstd_langid
-from finpanel.llm.common import docs_table, fresh, land, run_dir
+from finpanel.llm.common import docs_table, fresh, land, row_key, run_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (0.75 of five-word shingles) the smallest id."""
+    """Of each group of near copies (0.75 of five-word shingles) one row, with the smallest id."""
     return partenum.one_per_group(docs)
 
 
@@ -43,10 +43,23 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the target weights take, with their number of copies."""
-    taken = mixing.mix(docs, catalog.mix_levels(docs), catalog.MIX_WEIGHTS, catalog.MIX_SHARE, catalog.MIX_EPOCHS, catalog.MIX_SEED)
-    key = fresh(docs, "taken_id")
-    taken = taken.groupBy(F.col("id").alias(key)).agg(*[F.max(c).alias(fresh(docs, c)) for c in ("n_tokens", "copies")])
-    return docs.join(taken, docs["doc_id"].eqNullSafe(taken[key])).drop(key)
+    levels = catalog.mix_levels(docs)
+    taken = mixing.mix(docs, levels, catalog.MIX_WEIGHTS, catalog.MIX_SHARE, catalog.MIX_EPOCHS, catalog.MIX_SEED)
+    # A row is found by its key, its node and, of rows alike in both, its place among them.
+    key = {c: fresh(docs, f"taken_{c}") for c in ("d", "r", *levels)}
+    place = fresh(docs, "taken_place")
+    alike = Window.partitionBy(*key.values())
+    taken = taken.select(*[F.col(c).alias(n) for c, n in key.items()], *[F.col(c).alias(fresh(docs, c)) for c in ("n_tokens", "copies")])
+    taken = taken.withColumn(place, F.row_number().over(alike.orderBy(F.desc(fresh(docs, "copies")))))
+    d, r = row_key("doc_id", "text")
+    marked = docs.withColumns({key["d"]: d, key["r"]: r} | {key[n]: F.coalesce(c.cast("string"), F.lit("(none)")) for n, c in levels.items()})
+    again = land(marked.where("text IS NOT NULL").groupBy(*key.values()).count().where("count > 1").drop("count"), f"{run_dir(spark, 'mixture')}/again")
+    if again.isEmpty():
+        marked = marked.withColumn(place, F.lit(1))
+    else:
+        many = marked.join(again, [*key.values()], "left_semi").withColumn(place, F.row_number().over(alike.orderBy(F.xxhash64(*docs.columns))))
+        marked = marked.join(again, [*key.values()], "left_anti").withColumn(place, F.lit(1)).unionByName(many)
+    return marked.join(taken, [*key.values(), place]).drop(*key.values(), place)
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_copies), ("ngram_jaccard", near_copies),

@@ -83,7 +83,7 @@ FROM ordered WHERE epochs + (upto <= rest)::BIGINT > 0
 def op4(spark, sf_dir):
     docs = docs_table(spark, sf_dir)
     out = mixing.mix(docs, mix_levels(docs), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
-    return out.withColumnRenamed("id", "doc_id")
+    return out.withColumnRenamed("id", "doc_id").drop("d", "r")
 
 
 @query("op7_line_dedup", r"""

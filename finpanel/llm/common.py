@@ -49,11 +49,15 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.4)
 
 
+def row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """d and r: ordering id (null last), a row key telling apart rows of one id."""
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)), F.xxhash64(F.col(id_col).isNull(), F.col(text_col))
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(d, r, text): ordering id (null last), a row key telling apart rows of one id, the text."""
-    d = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
-    return docs.select(d.alias("d"), F.xxhash64(F.col(id_col).isNull(), F.col(text_col)).alias("r"),
-                       F.col(text_col).alias("text"))
+    """(d, r, text): the row key and the text."""
+    d, r = row_key(id_col, text_col)
+    return docs.select(d.alias("d"), r.alias("r"), F.col(text_col).alias("text"))
 
 
 def same_row(docs: DataFrame, id_col: str, text_col: str, keys: DataFrame) -> Column:

@@ -14,8 +14,8 @@ leaf with a third of all rows is spread like any other.
 
 Defined cases: a null or missing level value is the node ``(none)``; a null text has no
 tokens; documents without tokens are never taken; a weight of 0 takes nothing; weights
-not listed are ``default_weight``; rows that repeat an id are ordered side by side and
-counted each; an empty table gives no rows.
+not listed are ``default_weight``; rows that repeat an id are ordered side by side, by
+their text's hash, and counted each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finpanel.llm.common import WORD, land, run_dir
+from finpanel.llm.common import WORD, land, row_key, run_dir
 
 BUCKET_ROWS = 1024
 #: Leaves up to this many are broadcast (about 100 bytes each); beyond it the join shuffles.
@@ -73,7 +73,7 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], weights: list[dict[str, i
 def mix(docs: DataFrame, levels: dict[str, Column], weights: list[dict[str, int]], budget_share: float = 0.5,
         max_epochs: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text",
         default_weight: int = 1) -> DataFrame:
-    """One row per document taken: id, the levels, n_tokens, copies (times it is to be used).
+    """One row per document taken: id, the levels, n_tokens, copies (times it is to be used), d, r (its key).
 
     ``levels`` maps the level names, root first, to columns of ``docs``; ``weights`` has
     one {value: integer weight} per level; the budget is ``budget_share`` of all tokens.
@@ -81,7 +81,8 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: list[dict[str, int]
     spark = docs.sparkSession
     base = run_dir(spark, "mix")
     names = list(levels)
-    rows = land(docs.select(F.col(id_col).alias("id"), *[F.coalesce(c.cast("string"), F.lit("(none)")).alias(n)
+    d, r = row_key(id_col, text_col)
+    rows = land(docs.select(F.col(id_col).alias("id"), d.alias("d"), r.alias("r"), *[F.coalesce(c.cast("string"), F.lit("(none)")).alias(n)
                                                          for n, c in levels.items()],
                             word_count(F.col(text_col)).alias("n_tokens")).where("n_tokens > 0"), f"{base}/rows")
     leaves = land(rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")),
@@ -99,8 +100,8 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: list[dict[str, int]
     sums = dealt.groupBy(*key).agg(F.sum("n_tokens").alias("in_bucket"))
     ahead = Window.partitionBy(*names).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("ahead", F.coalesce(F.sum("in_bucket").over(ahead), F.lit(0))).select(*key, "ahead")
-    so_far = Window.partitionBy(*key).orderBy("order", "id").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy(*key).orderBy("order", "id", "r").rowsBetween(Window.unboundedPreceding, 0)
     taken = (dealt.join(sums, key)
              .withColumn("upto", F.col("ahead") + F.sum("n_tokens").over(so_far))
              .withColumn("copies", F.col("epochs") + (F.col("upto") <= F.col("rest")).cast("long")))
-    return taken.where("copies > 0").select("id", *names, "n_tokens", "copies")
+    return taken.where("copies > 0").select("id", *names, "n_tokens", "copies", "d", "r")

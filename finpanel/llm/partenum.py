@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finpanel.llm.common import Fingerprints, keyed, land, mix64, public_id, release, run_dir, same_row, text_chunks, word_tokens
+from finpanel.llm.common import (Fingerprints, fresh, keyed, land, mix64, public_id, release, row_key, run_dir, same_row,
+                                 text_chunks, word_tokens)
 from finpanel.llm.keycount import shared_keys, text_bytes
 
 #: Partitions per tolerated difference, and at least.
@@ -215,7 +216,8 @@ def links(pairs: DataFrame, rows: DataFrame, words: int, percent: int, path: str
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
-    """One row per input row: id, n_shingles, component (smallest id reachable), d, r (its key)."""
+    """One row per input row: id, n_shingles, component (smallest id reachable), d, r (its key),
+    stays (no set, or the row with its component's smallest key)."""
     spark = docs.sparkSession
     base = run_dir(spark, "partenum")
     rows = keyed(docs, id_col, text_col)
@@ -259,10 +261,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     final = land(components(edges, f"{base}/second-components"), f"{base}/second-roots")
 
     of_class = (classes.join(final, F.col("rep") == F.col("node"), "left")
-                .select("size", "c1", "c2", F.coalesce("root", "rep")["d"].alias("root")))
+                .select("size", "c1", "c2", F.coalesce("root", "rep").alias("root")))
     return (sets.join(of_class, ["size", "c1", "c2"], "left")
             .select(public_id(F.col("d")).alias("id"), F.col("size").alias("n_shingles"),
-                    public_id(F.coalesce("root", "d")).alias("component"), "d", "r"))
+                    public_id(F.coalesce(F.col("root.d"), "d")).alias("component"), "d", "r",
+                    F.coalesce((F.col("root.d") == F.col("d")) & (F.col("root.r") == F.col("r")), F.lit(True)).alias("stays")))
 
 
 def _sketch_close(x: np.ndarray, y: np.ndarray, size_x, size_y, percent: int) -> np.ndarray:
@@ -335,9 +338,17 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the smallest id (of rows that repeat it, all)."""
+    """The rows of ``docs`` that stay: of each group one row, with the smallest id (null last)."""
     base = run_dir(docs.sparkSession, "one-per-group")
     out = land(near_groups(docs, id_col, text_col, words, percent), f"{base}/groups")
-    stay = land(out.where(F.col("id").eqNullSafe(F.col("component"))).select("d", "r").distinct(), f"{base}/stay")
-    return docs.join(stay, same_row(docs, id_col, text_col, stay), "left_semi")
+    stay = land(out.where("stays").groupBy("d", "r").agg((F.max("n_shingles") > 0).alias("set"), F.count(F.lit(1)).alias("n")), f"{base}/stay")
+    # Rows that repeat id and text are one document: where there are any, one of them stays.
+    again = stay.where("set AND n > 1")
+    if again.isEmpty():
+        return docs.join(stay, same_row(docs, id_col, text_col, stay), "left_semi")
+    other = stay.where("NOT set OR n = 1")
+    d, r = fresh(docs, "key_d"), fresh(docs, "key_r")
+    once = docs.join(again, same_row(docs, id_col, text_col, again), "left_semi")
+    once = once.withColumns(dict(zip((d, r), row_key(id_col, text_col)))).dropDuplicates([d, r]).drop(d, r)
+    return docs.join(other, same_row(docs, id_col, text_col, other), "left_semi").unionByName(once)
 
