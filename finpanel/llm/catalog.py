@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finpanel.llm import (context_mixing, decontaminate, exact_dedup, line_dedup, mixing, partenum, recompression, secrets,
-                          suffix_dedup, zstd_langid)
+from finpanel.llm import (context_mixing, decontaminate, exact_dedup, line_dedup, merkle, mixing, packing, partenum, ranked_search,
+                          recompression, secrets, suffix_dedup, zstd_langid)
 from finpanel.llm.common import docs_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,58 @@ def op10(spark, sf_dir):
 def op2(spark, sf_dir):
     out = decontaminate.leaks(docs_table(spark, sf_dir), docs_table(spark, sf_dir, "benchmark"))
     return out.select(F.col("id").alias("doc_id"), F.col("item").cast("long").alias("item_id"), "score", "question_overlap", "answer_overlap")
+
+
+@query("op11_ranked_search", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS l FROM documents),
+q AS (SELECT item_id, term, count(*) AS c FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT count(*) FILTER (len(l) > 0) AS n, sum(len(l))::BIGINT AS len FROM d),
+t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(l) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(s.n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM t, s GROUP BY term),
+m AS (SELECT doc_id, 75 + (25 * len(l)::BIGINT * s.n) // s.len AS m FROM d, s WHERE s.len > 0),
+r AS (SELECT item_id, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM t JOIN q USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM
+  (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0) WHERE rank <= 20
+""")
+def op11(spark, sf_dir):
+    out = ranked_search.search(docs_table(spark, sf_dir), docs_table(spark, sf_dir, "benchmark"), 20)
+    return out.withColumnRenamed("id", "doc_id")
+
+
+@query("op12_packing")
+def op12(spark, sf_dir):
+    import public_tokenizers
+    return packing.pack(docs_table(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end=1)
+
+
+_FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_UP = "UNION ALL SELECT {tree}, lvl + 1, idx // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY idx)) FROM {name} WHERE n > 1 GROUP BY tree, lvl, idx // 8"
+
+
+@query("op13_merkle_manifest", r"""
+WITH RECURSIVE c AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) % 3 = 0 AS hit
+  FROM documents),
+a AS (SELECT *, CASE WHEN hit THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS altered FROM c),
+b AS (SELECT doc_id, lang, """ + _LEAF.format(text="text") + " AS h, " + _LEAF.format(text="altered") + r""" AS x FROM a),
+leaf AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, h) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM b),
+up(tree, lvl, idx, n, h) AS (SELECT tree, 0, idx, n, h FROM leaf """ + _UP.format(tree="tree", name="up") + r"""),
+top(tree, lvl, idx, n, h) AS (SELECT -1, 0, tree, (SELECT count(*) FROM up WHERE n = 1), h FROM up WHERE n = 1 """ + _UP.format(tree="tree", name="top") + r"""),
+node AS (SELECT * FROM up WHERE n > 1 UNION ALL SELECT * FROM top WHERE n > 1),
+sib AS (SELECT p.tree, p.lvl, p.idx, coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx < p.idx), '') AS bef, coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx > p.idx), '') AS aft
+  FROM node p LEFT JOIN node s ON s.tree = p.tree AND s.lvl = p.lvl AND s.idx // 8 = p.idx // 8 AND s.idx <> p.idx GROUP BY ALL),
+low(doc_id, leaf, own, tree, lvl, idx, n, acc, sibs) AS (SELECT doc_id, h, idx, tree, 0, idx, n, x, '' FROM leaf
+  UNION ALL SELECT doc_id, leaf, own, tree, lvl + 1, idx // 8, (n + 7) // 8, sha256(bef || acc || aft), sibs || bef || aft FROM low JOIN sib USING (tree, lvl, idx) WHERE n > 1),
+high(doc_id, leaf, own, start, tree, lvl, idx, n, acc, sibs) AS (SELECT doc_id, leaf, own, tree, -1, 0, tree, (SELECT count(*) FROM up WHERE n = 1), acc, sibs FROM low WHERE n = 1
+  UNION ALL SELECT doc_id, leaf, own, start, tree, lvl + 1, idx // 8, (n + 7) // 8, sha256(bef || acc || aft), sibs || bef || aft FROM high JOIN sib USING (tree, lvl, idx) WHERE n > 1)
+SELECT high.doc_id, high.leaf, up.h AS subroot, top.h AS root, sha256(sibs) AS proof_sha256, acc AS folded_root, acc = top.h AS verified
+FROM high JOIN up ON up.tree = high.start AND up.n = 1 JOIN top ON top.n = 1 WHERE high.n = 1
+""")
+def op13(spark, sf_dir):
+    docs = docs_table(spark, sf_dir)
+    m = merkle.manifest(docs, carry={"altered": merkle.tampered(docs)})
+    return merkle.check_proofs(m, "altered").select(
+        "doc_id", merkle.hex_text(F.col("leaf")).alias("leaf"), merkle.hex_text(F.col("subroot")).alias("subroot"), "root",
+        merkle.siblings_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
