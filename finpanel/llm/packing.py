@@ -27,6 +27,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,8 +42,8 @@ from finpanel.llm.common import land, run_dir
 WINDOW = 2048
 #: Items that one task packs, about.
 BLOCK = 16_384
-#: Words whose ids a worker keeps; beyond it starts again.
-KNOWN_WORDS = 1 << 19
+#: Words of a generation: a worker keeps the ids of the words of this one and the one before.
+KNOWN_WORDS = 1 << 18
 
 #: A space between two characters that are none: byte-level pre-tokenizers always cut there.
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -57,32 +58,35 @@ class Words:
         from tokenizers import Tokenizer
         self.encoder = Tokenizer.from_file(path)
         self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
 
     def plain(self, text: str) -> bytes:
-        return np.asarray(self.encoder.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.encoder.encode(text, add_special_tokens=False).ids).tobytes()
 
     def learn(self, words) -> None:
         """Ids of words that follow a space; None if a white space at an end makes the cut unsafe."""
-        safe = []
+        known, older, new = self.known, self.older, []
         for w in words:
-            if w and not w[0].isspace() and not w[-1].isspace():
-                safe.append(w)
+            if w in older:
+                known[w] = older[w]
+            elif not w or w != w.strip():
+                known[w] = None
             else:
-                self.known[w] = None
-        for w, e in zip(safe, self.encoder.encode_batch_fast([f" {w}" for w in safe], add_special_tokens=False)):
-            self.known[w] = np.asarray(e.ids, "<u4").tobytes()
+                new.append(w)
+        for w, e in zip(new, self.encoder.encode_batch_fast([f" {w}" for w in new], add_special_tokens=False)):
+            known[w] = array("I", e.ids).tobytes()
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of every text, as little-endian unsigned 32-bit numbers."""
         for lo in range(0, len(texts), 64):
             some = texts[lo:lo + 64]
             split = [t.split(" ") for t in some]
-            if len(self.known) > KNOWN_WORDS:
-                self.known.clear()
             new = set()
             for words in split:
                 new.update(words[1:])
-            self.learn(sorted(new.difference(self.known)))
+            if len(self.known) > KNOWN_WORDS:
+                self.older, self.known = self.known, {}
+            self.learn(new.difference(self.known))
             for text, words in zip(some, split):
                 yield self._joined(text, words)
 
