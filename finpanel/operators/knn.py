@@ -1,11 +1,12 @@
-"""Exact k-nearest-neighbour edges (Euclidean) without an all-pairs join.
+"""Exact k-nearest-neighbour edges (Euclidean), for small graphs: ``lsh`` is the form that scales.
 
-Pivot-band pruning, all in DataFrame operations:
+Pivot-band pruning, all in DataFrame operations; where the band prunes nothing (many dimensions),
+every pair is joined:
 
 1. every point gets d0 = distance to the centroid (a pivot); by the triangle
    inequality |d0(p) - d0(q)| <= ||p - q||;
 2. equal-frequency buckets of d0 (approximate cut points, about 4(k+1) points per
-   bucket up to MAX_BUCKETS; lookups are a binary search with ``Bucketizer``);
+   bucket; lookups are a binary search with ``Bucketizer``);
 3. an upper bound r(p) on the k-th neighbour distance from the points of p's own and
    the two adjacent buckets;
 4. every point q with |d0(q) - d0(p)| <= r(p) is a candidate: p is joined with the
@@ -24,8 +25,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 100_000
-
 
 def sq_dist(a: Column, b: Column) -> Column:
     d = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
@@ -41,12 +40,12 @@ def knn_edges(df: DataFrame, id_col: str, vec: str, k: int = 5, by: Sequence[str
     """(by..., src, dst, rank, dist): the k nearest other points of every point."""
     by = list(by)
     pts = df.select(*by, F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v"))
-    dim = len(pts.select("v").first()["v"])
-    cen = pts.agg(*[F.avg(F.col("v")[i]).alias(f"c{i}") for i in range(dim)]).first()
-    center = F.array(*[F.lit(float(cen[f"c{i}"] or 0.0)) for i in range(dim)])
+    one = pts.select("v").first()
+    dim = len(one["v"]) if one else 0
+    cen = pts.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.col("v")[i]).alias(f"c{i}") for i in range(dim)]).first()
+    center = F.array(*[F.lit(float(cen[f"c{i}"] or 0.0)) for i in range(dim)]).cast("array<double>")
     pts = pts.withColumn("d0", euclid(F.col("v"), center))
-    n = pts.count()
-    nb = buckets or max(1, min(n // (4 * (k + 1)), MAX_BUCKETS))
+    nb = buckets or max(1, cen["n"] // (4 * (k + 1)))
     cuts = sorted(set(pts.agg(F.percentile_approx("d0", [i / nb for i in range(1, nb)], max(10000, 10 * nb)))
                       .first()[0] or [])) if nb > 1 else []
     splits = [float("-inf"), *[float(c) for c in cuts], float("inf")]

@@ -344,23 +344,76 @@ def q_param_search(spark, d):
 
 # -- neighbours and oversampling ----------------------------------------------------------
 
-@register("knn_edges", """WITH E AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+NEAR = ["price_sum", "revenue", "disc_avg", "n_orders", "risk", "revenue_qoq"]
+
+
+def _near_rows(spark, d):
+    """Scaled features of every panel row, with a long id of its own."""
+    m = cut_lineage(impute_backstop(m_view(spark, d).select("cik", "fy", "fp", "fp_ord", *NEAR), NEAR))
+    m = m.withColumn("row_id", (F.col("cik").cast("long") * 10_000 + F.col("fy")) * 10 + F.col("fp_ord"))
+    return cut_lineage(sp.standardise(m, [], NEAR)[0].select("row_id", *NEAR, "fp"))
+
+
+@register("knn_edges")
+def q_knn_edges(spark, d):
+    """Five neighbours of every panel row by features and fiscal period, through the projection index."""
+    from finpanel.operators.lsh import knn_lsh
+    return knn_lsh(_near_rows(spark, d), "row_id", NEAR, ["fp"], 5)
+
+
+@register("knn_recall")
+def q_knn_recall(spark, d):
+    """What the index finds of the true neighbours of rows whose id is divisible by 50."""
+    from finpanel.operators.lsh import knn_lsh, recall
+    m = _near_rows(spark, d)
+    edges = cut_lineage(knn_lsh(m, "row_id", NEAR, ["fp"], 5))
+    return recall(m, edges, "row_id", NEAR, ["fp"], 5)
+
+
+@register("knn_edges_exact", """WITH E AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 D AS (SELECT a.vec_id AS src, b.vec_id AS dst, list_distance(a.v, b.v) AS dist FROM E a JOIN E b ON a.vec_id <> b.vec_id)
 SELECT src, dst, CAST(rank AS INTEGER) AS rank, ROUND(dist, 6) AS dist FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM D) WHERE rank <= 5""")
-def q_knn_edges(spark, d):
+def q_knn_edges_exact(spark, d):
     from finpanel.operators.knn import knn_edges
     from finpanel.sources.driver import vectors
     return rounded(knn_edges(vectors(spark, d), "vec_id", "embedding", 5))
 
 
+SMOTE_CONT = ["revenue", "disc_avg", "revenue_qoq", "risk"]
+
+
+def _smote(spark, d):
+    tr, _ = _train_valid(spark, d)
+    tr = tr.withColumn("row_id", (F.col("cik").cast("long") * 10_000 + F.col("fy")) * 10 + F.col("fp_ord"))
+    tr = cut_lineage(sp.standardise(tr, [], SMOTE_CONT)[0])
+    from finpanel.ml.balance import smote_nc
+    return tr, smote_nc(tr, "target_class_next", "row_id", SMOTE_CONT, ["fp"], k=5, seed=42)
+
+
 @register("smote_nc")
 def q_smote_nc(spark, d):
-    from finpanel.ml.balance import smote_nc
-    tr, _ = _train_valid(spark, d)
-    tr = tr.withColumn("row_id", F.xxhash64("cik", "fy", "fp")).withColumn("fp_cat", F.col("fp"))
-    return smote_nc(tr, "target_distress_next", "row_id", ["revenue", "disc_avg", "revenue_qoq", "risk"],
-                    ["fp_cat"], k=5, seed=42)
+    """Synthetic rows of every class below the largest."""
+    return _smote(spark, d)[1]
+
+
+@register("smote_balance", M_SQL + f""", C AS (SELECT target_class_next AS cls, COUNT(*) AS n FROM M
+  WHERE target_score_next IS NOT NULL AND fy <= {CUT} AND target_class_next IS NOT NULL GROUP BY 1)
+SELECT CAST(cls AS INTEGER) AS cls, n AS n_real, (SELECT MAX(n) FROM C) - n AS n_synthetic, 0 AS n_outside FROM C""")
+def q_smote_balance(spark, d):
+    """Rows per class before and added, and synthetic rows that do not lie between their two parents."""
+    tr, made = _smote(spark, d)
+    ends = [tr.select(F.col("row_id").alias(i), *[F.col(c).alias(f"{x}_{c}") for c in SMOTE_CONT]) for i, x in (("source_id", "a"), ("near_id", "b"))]
+    beside = F.lit(False)
+    for c in SMOTE_CONT:
+        a, b = F.col(f"a_{c}"), F.col(f"b_{c}")
+        beside = beside | (F.col(c) < F.least(a, b) - 1e-9) | (F.col(c) > F.greatest(a, b) + 1e-9)
+    made = made.join(ends[0], "source_id").join(ends[1], "near_id")
+    added = made.groupBy("target_class_next").agg(F.count(F.lit(1)).alias("n_synthetic"), F.count_if(beside).alias("n_outside"))
+    real = tr.groupBy("target_class_next").agg(F.count(F.lit(1)).alias("n_real"))
+    return real.join(added, "target_class_next", "left").select(
+        F.col("target_class_next").cast("int").alias("cls"), "n_real", F.coalesce("n_synthetic", F.lit(0)).alias("n_synthetic"),
+        F.coalesce("n_outside", F.lit(0)).cast("int").alias("n_outside"))
 
 
 @register("feature_select", M_SQL + """, T AS (

@@ -1,8 +1,7 @@
-"""k-NN edges against brute force; SMOTE rows are repeatable and interpolate."""
+"""k-NN edges against brute force."""
 
 import numpy as np
 
-from finpanel.ml.balance import smote_nc
 from finpanel.operators.knn import knn_edges
 from finpanel.operators.profile import prune_corr
 
@@ -19,15 +18,6 @@ def test_knn_matches_brute_force(spark):
         assert [got[(i, r)] for r in (1, 2, 3)] == order
 
 
-def test_smote_repeatable(spark):
-    rows = [(i, float(i), 0 if i < 30 else 1, "a" if i % 2 else "b") for i in range(40)]
-    df = spark.createDataFrame(rows, "id long, x double, y int, c string")
-    a = sorted(tuple(r) for r in smote_nc(df, "y", "id", ["x"], ["c"], k=3).collect())
-    b = sorted(tuple(r) for r in smote_nc(df, "y", "id", ["x"], ["c"], k=3).collect())
-    assert a == b and len(a) == 20
-    assert all(30.0 <= r[3] <= 39.0 for r in a)   # interpolated inside the minority range
-
-
 def test_prune_corr_greedy(spark):
     rng = np.random.default_rng(5)
     a = rng.normal(size=200)
