@@ -140,53 +140,112 @@ def null_by_block(df: DataFrame, blocks: Mapping[str, Sequence[str]],
 
 #: Rank error of the sketch that brackets a quantile: 1 / ACCURACY of a group's rows.
 ACCURACY = 10_000
+#: Rows a bracket may hold when its values are counted one by one (what one task sorts).
+BRACKET_ROWS = 100_000
+#: Steps of the grid that narrows a bracket.
+GRID = 1_000
 
 
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              by: Sequence[str] = ()) -> DataFrame:
-    """Exact linear-interpolated quantiles of each column (optionally per group).
-
-    Returns (by..., column, p, value); NULL groups are groups. One way at every size:
-    1. a sketch (``approx_percentile``, merged across tasks, bounded) gives each (group,
-       column, p) a bracket that surely holds the two ranks wanted, because it reaches two
-       sketch errors to either side;
-    2. one pass counts the rows below and above each bracket, with their nearest value, and
-       the values inside it (about 4 / ACCURACY of the rows), all combined map-side, so a
-       hot value is one row. The nearest values matter where a rank lies between rows;
-    3. running counts inside the bracket select the ranks.
-    The input is read twice; the brackets are landed between, so both passes agree."""
-    by = list(by)
-    G = by + ["column"]
-    probs = [float(p) for p in probs]
-    long = (df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-              .unpivot(by, list(cols), "column", "x")
-              .where(F.col("x").isNotNull() & ~F.isnan("x")))
+def _sketched(long: DataFrame, G: list[str], probs: Sequence[float]) -> DataFrame:
+    """A first bracket per (group, column, p): two sketch errors to either side of the rank."""
     ends = [min(1.0, max(0.0, p + d)) for p in probs for d in (-2.0 / ACCURACY, 2.0 / ACCURACY)]
     sketch = long.groupBy(*G).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("least"), F.max("x").alias("most"),
                                   F.percentile_approx("x", ends, ACCURACY).alias("q"))
-    brackets = cut_lineage(sketch.select(*G, "n", F.array(*[F.struct(
-        F.lit(p).alias("p"),
-        (F.when(F.lit(ends[2 * i] <= 0), F.col("least")).otherwise(F.get("q", F.lit(2 * i)))).alias("lo"),
-        (F.when(F.lit(ends[2 * i + 1] >= 1), F.col("most")).otherwise(F.get("q", F.lit(2 * i + 1)))).alias("hi"))
-        for i, p in enumerate(probs)]).alias("b")), "brackets")
+    each = [F.struct(F.lit(p).alias("p"),
+                     F.when(F.lit(ends[2 * i] <= 0), F.col("least")).otherwise(F.get("q", F.lit(2 * i))).alias("lo"),
+                     F.when(F.lit(ends[2 * i + 1] >= 1), F.col("most")).otherwise(F.get("q", F.lit(2 * i + 1))).alias("hi"))
+            for i, p in enumerate(probs)]
+    return sketch.select(*G, "n", "least", "most", F.explode(F.array(*each)).alias("b")).select(
+        *G, "n", "least", "most", "b.*", F.lit(False).alias("strict"), F.ceil(F.col("n") * (4.0 / ACCURACY)).alias("held"))
+
+
+def _placed(long: DataFrame, brackets: DataFrame, G: list[str]) -> DataFrame:
+    """Every row with each bracket of its group, and on which side of it the row lies (-1, 0, 1)."""
     cond = F.lit(True)
     for g in G:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_on_{g}"))
-    on = brackets.withColumnsRenamed({g: f"_on_{g}" for g in G})
-    side = F.when(F.col("x") < F.col("b.lo"), -1).when(F.col("x") > F.col("b.hi"), 1).otherwise(0)
-    placed = (long.join(on, cond).select(*G, "x", "n", F.explode("b").alias("b"))
-                  .select(*G, "n", F.col("b.p").alias("p"), "x", side.alias("side")))
-    cnt = (placed.withColumn("own", F.when(F.col("side") == 0, F.col("x"))).groupBy(*G, "n", "p", "side", "own")
-                 .agg(F.count(F.lit(1)).alias("c"), F.max("x").alias("most"), F.min("x").alias("least"))
-                 .withColumn("x", F.when(F.col("side") < 0, F.col("most")).otherwise(F.col("least"))))
+    on = brackets.groupBy(*G).agg(F.collect_list(F.struct("n", "least", "most", "p", "lo", "hi", "strict")).alias("b"))
+    rows = long.join(on.withColumnsRenamed({g: f"_on_{g}" for g in G}), cond).select(*G, "x", F.explode("b").alias("b")).select(*G, "x", "b.*")
+    return rows.withColumn("side", F.when((F.col("x") < F.col("lo")) | (F.col("strict") & (F.col("x") == F.col("lo"))), -1)
+                           .when((F.col("x") > F.col("hi")) | (F.col("strict") & (F.col("x") == F.col("hi"))), 1).otherwise(0))
+
+
+def _narrowed(placed: DataFrame, G: list[str]) -> DataFrame:
+    """Brackets cut down to some steps of a grid around the rank; one that misses the rank is
+    turned to the side where it lies. A bracket that its heavy ends keep from shrinking loses them."""
+    own = F.when(F.col("side") == 0, F.col("x"))
+    t = placed.groupBy(*G, "n", "least", "most", "p", "lo", "hi", "strict").agg(
+        F.count_if(F.col("side") < 0).alias("below"), F.count(own).alias("inside"), F.percentile_approx(own, [k / GRID for k in range(GRID + 1)], ACCURACY).alias("grid"),
+        F.max(F.when(F.col("side") < 0, F.col("x"))).alias("before"), F.min(F.when(F.col("side") > 0, F.col("x"))).alias("behind"))
+    rank = F.floor((F.col("n") - 1) * F.col("p"))
+    at = (rank - F.col("below")) / F.col("inside") * GRID
+    lo, hi = (F.get("grid", F.least(F.greatest(x.cast("int"), F.lit(0)), F.lit(GRID))) for x in (F.floor(at) - 2, F.ceil(at) + 2))
+    under, over = rank < F.col("below"), rank >= F.col("below") + F.col("inside")
+    t = t.withColumns({"new_lo": F.when(under, F.col("least")).when(over, F.col("behind")).otherwise(lo),
+                       "new_hi": F.when(under, F.col("before")).when(over, F.col("most")).otherwise(hi),
+                       "missed": under | over})
+    same = ~F.col("missed") & (F.col("new_lo") <= F.col("lo")) & (F.col("new_hi") >= F.col("hi"))
+    held = F.when(F.col("missed"), F.col("n")).when(F.col("new_lo") == F.col("new_hi"), 0).when(same & F.col("strict"), 0).when(
+        same, F.greatest(F.col("inside"), F.lit(BRACKET_ROWS + 1))).otherwise(F.ceil(F.col("inside") * (6.0 / GRID)))
+    return t.select(*G, "n", "least", "most", "p", F.when(same, F.col("lo")).otherwise(F.col("new_lo")).alias("lo"),
+                    F.when(same, F.col("hi")).otherwise(F.col("new_hi")).alias("hi"), (same & (F.col("lo") < F.col("hi"))).alias("strict"), held.cast("long").alias("held"))
+
+
+def _selected(placed: DataFrame, G: list[str]) -> DataFrame:
+    """(G, bracket, value, hit): running counts over the values inside a bracket, with the nearest
+    ones outside it, select the ranks. ``hit`` tells whether both ranks lie among these."""
+    B = ["n", "least", "most", "p", "lo", "hi", "strict"]
+    cnt = (placed.withColumn("own", F.when(F.col("side") == 0, F.col("x"))).groupBy(*G, *B, "side", "own")
+                 .agg(F.count(F.lit(1)).alias("c"), F.max("x").alias("last"), F.min("x").alias("first"))
+                 .withColumn("x", F.when(F.col("side") < 0, F.col("last")).otherwise(F.col("first"))))
     w = Window.partitionBy(*G, "p").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     h = (F.col("n") - 1) * F.col("p")
     upto = cnt.withColumn("upto", F.sum("c").over(w))
-    # The value of rank k (0-based) is the smallest whose running count exceeds k.
-    out = upto.groupBy(*G, "p").agg(F.min(F.when(F.col("upto") > F.floor(h), F.col("x"))).alias("lo"),
-                                    F.min(F.when(F.col("upto") > F.ceil(h), F.col("x"))).alias("hi"),
-                                    F.first(h - F.floor(h)).alias("frac"))
-    return out.select(*G, "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("value"))
+    low, high = F.floor(h), F.ceil(h)
+
+    def known(k: Column) -> Column:
+        """Of the rows below only the last is known, of those above only the first."""
+        since = F.col("upto") - F.col("c")
+        return (F.col("upto") > k) & (since <= k) & F.when(F.col("side") < 0, k == F.col("upto") - 1).when(F.col("side") > 0, k == since).otherwise(True)
+    out = upto.groupBy(*G, *B).agg(F.min(F.when(known(low), F.col("x"))).alias("a"), F.min(F.when(known(high), F.col("x"))).alias("z"),
+                                   F.sum(F.when(F.col("side") == 0, 1)).alias("inside"))
+    frac = h - low
+    return out.select(*G, *B, (F.col("a") + (F.col("z") - F.col("a")) * frac).alias("value"), (F.col("a").isNotNull() & F.col("z").isNotNull()).alias("hit"))
+
+
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+              by: Sequence[str] = ()) -> DataFrame:
+    """Exact linear-interpolated quantiles of each column (optionally per group).
+
+    Returns (by..., column, p, value); NULL groups are groups. One way at every size:
+    1. the columns are landed once; a sketch (``approx_percentile``, merged across tasks,
+       bounded) gives each (group, column, p) a bracket about the two ranks wanted;
+    2. a bracket that holds more than BRACKET_ROWS is narrowed, as often as it takes: one pass
+       counts the rows below it and lays a grid over those inside, and the bracket shrinks to
+       some steps around the rank, or turns to the side where the rank lies if it missed it;
+    3. one pass counts the values inside each bracket, map-side (a hot value is one row), and
+       running counts select the ranks. The nearest values outside matter where a rank lies
+       between rows. A bracket that misses its ranks goes back to 2 with all it can hold.
+    What one task sorts is a bracket of BRACKET_ROWS, whatever the rows."""
+    by = list(by)
+    G = by + ["column"]
+    probs = list(dict.fromkeys(float(p) for p in probs))
+    held = cut_lineage(df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]), "quantiles")
+    long = held.unpivot(by, list(cols), "column", "x").where(F.col("x").isNotNull() & ~F.isnan("x"))
+    todo, done = cut_lineage(_sketched(long, G, probs), "brackets"), []
+    while True:
+        while (todo.agg(F.max("held")).first()[0] or 0) > BRACKET_ROWS:
+            big = todo.where(F.col("held") > BRACKET_ROWS)
+            todo = cut_lineage(todo.where(F.col("held") <= BRACKET_ROWS).unionByName(_narrowed(_placed(long, big, G), G)), "brackets")
+        found = cut_lineage(_selected(_placed(long, todo, G), G), "ranks")
+        done.append(found.where("hit").select(*G, "p", "value"))
+        if not found.where("NOT hit").head(1):
+            break
+        todo = found.where("NOT hit").select(*G, "n", "least", "most", "p", "lo", "hi", "strict", F.greatest(F.col("n"), F.lit(BRACKET_ROWS + 1)).alias("held"))
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

@@ -71,3 +71,50 @@ def test_correlations_as_numpy(spark):
             assert r["r"] is None
         else:
             assert abs(r["r"] - np.corrcoef(pair.T)[0, 1]) < 1e-9
+
+
+def _heavy(spark):
+    rng = np.random.default_rng(9)
+    vals = {"u": rng.lognormal(0, 3, 4000), "hot": np.concatenate([np.full(1900, 1.0), rng.uniform(1, 2, 150), np.full(1950, 2.0)])}
+    rows = [(int(i % 2), float(a), float(b)) for i, (a, b) in enumerate(zip(vals["u"], vals["hot"]))]
+    return vals, spark.createDataFrame(rows, "g int, u double, hot double").repartition(5)
+
+
+def test_quantiles_narrow_brackets_until_they_fit(spark, monkeypatch):
+    """A bracket of at most three rows: the grid passes do the work, heavy ends included."""
+    vals, df = _heavy(spark)
+    sizes = []
+    plain = ag._selected
+    monkeypatch.setattr(ag, "BRACKET_ROWS", 3)
+    monkeypatch.setattr(ag, "GRID", 20)
+    monkeypatch.setattr(ag, "_selected", lambda placed, G: (sizes.append(placed.where("side = 0").groupBy(*G, "p").agg(F.count_distinct("x").alias("d")).agg(F.max("d")).first()[0]), plain(placed, G))[1])
+    probs = [0.0, 0.01, 0.4801, 0.5, 0.99, 1.0]
+    got = {(r["column"], r["p"]): r["value"] for r in ag.quantiles(df, ["u", "hot"], probs).collect()}
+    for c, x in vals.items():
+        for p in probs:
+            assert abs(got[c, p] - np.percentile(x, 100 * p)) < 1e-9
+    assert max(sizes) <= 12  # counted one by one: the bound, up to the grid's rank error
+
+
+def test_quantiles_widen_a_wrong_bracket(spark, monkeypatch):
+    """Brackets that lie beside the wanted rank on purpose: below, above, and too small."""
+    vals, df = _heavy(spark)
+    plain = ag._sketched
+    for lo, hi in ((-5.0, -4.0), (1e9, 2e9), (0.001, 0.002), (1.5, 1.5)):
+        monkeypatch.setattr(ag, "_sketched", lambda *a, lo=lo, hi=hi: plain(*a).withColumns({"lo": F.lit(lo), "hi": F.lit(hi)}))
+        got = {(r["column"], r["p"]): r["value"] for r in ag.quantiles(df, ["u", "hot"], [0.05, 0.5, 0.77]).collect()}
+        for c, x in vals.items():
+            for p in (0.05, 0.5, 0.77):
+                assert abs(got[c, p] - np.percentile(x, 100 * p)) < 1e-9
+
+
+def test_quantiles_read_their_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(500).selectExpr("cast(id as double) AS x").mapInArrow(count, "x double")
+    assert [r["value"] for r in ag.quantiles(df, ["x"], [0.5]).collect()] == [249.5]
+    assert seen.value == 500
