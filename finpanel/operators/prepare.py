@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from finpanel import schema as S
 from finpanel.functions.scalar import clip
+from finpanel.session import cut_lineage
 from finpanel.operators.aggregates import coverage, grouped_medians, missing_by_group, quantiles
 
 
@@ -178,13 +179,14 @@ def impute_group_median(df: DataFrame, cols: Sequence[str], key: str, flag: bool
     global median of the sector-filled column (True) or of the original (False)."""
     if flag:
         df = df.withColumns({f"{prefix}{c}": F.col(f"`{c}`").isNull().cast("byte") for c in cols})
-    before = None if global_after else global_medians(df, cols)
-    gm = grouped_medians(df.where(F.col(key).isNotNull()), [key], cols)
-    j = df.join(gm, key, "left")
-    filled = j.withColumns({c: F.when(F.col(key).isNotNull(), F.coalesce(F.col(f"`{c}`"), F.col(f"{c}_median")))
-                            for c in cols}).drop(*[f"{c}_median" for c in cols])
-    glob = global_medians(filled, cols) if global_after else before
-    return filled.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(glob[c])) for c in cols if glob[c] is not None})
+    held = cut_lineage(df.select(key, *cols), "medians")  # every pass below reads these columns alone
+
+    def fill(d: DataFrame) -> DataFrame:
+        return d.join(gm, key, "left").withColumns({c: F.when(F.col(key).isNotNull(), F.coalesce(F.col(f"`{c}`"), F.col(f"{c}_median")))
+                                                    for c in cols}).drop(*[f"{c}_median" for c in cols])
+    gm = cut_lineage(grouped_medians(held.where(F.col(key).isNotNull()), [key], cols), "medians")
+    glob = global_medians(fill(held) if global_after else held, cols)
+    return fill(df).withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(glob[c])) for c in cols if glob[c] is not None})
 
 
 def impute_by_plan(df: DataFrame, plan: DataFrame, sector: str) -> DataFrame:

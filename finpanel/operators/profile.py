@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 
 from finpanel import schema as S
 from finpanel.operators.aggregates import coverage
+from finpanel.session import cut_lineage
 
 
 #: Relative standard deviation up to which a column counts as constant.
 CONSTANT = 1e-10
+#: Variance, relative to the squares about the column's mean, up to which the rows of a pair count as constant.
+FLAT = 1e-13
 
 
 def _cross_sums(cols: Sequence[str], means: Sequence[float]):
@@ -43,9 +46,18 @@ def _cross_sums(cols: Sequence[str], means: Sequence[float]):
 def corr_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """(a, b, n, r) for each requested column pair.
 
-    Columns are centred on their means (one pass), then each partition reduces its rows to
-    k x k matrices of sums over complete pairs (numpy products on Arrow batches); one row
-    per pair and partition is shuffled."""
+    The columns are landed once, centred on their means (one pass), then each partition reduces
+    its rows to k x k matrices of sums over complete pairs (numpy products on Arrow batches);
+    one row per pair and partition is shuffled."""
+    return _pairs_of(stored(df, [c for p in pairs for c in p]), pairs)
+
+
+def stored(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns alone, landed: several passes over them evaluate their lineage once."""
+    return cut_lineage(df.select(*[f"`{c}`" for c in dict.fromkeys(cols)]), "profile")
+
+
+def _pairs_of(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     cols = list(dict.fromkeys(c for p in pairs for c in p))
     typed = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(c) for c in cols])
     moments = typed.agg(*[f(F.col(f"`{c}`")) for c in cols for f in (F.avg, F.stddev_pop)]).first()
@@ -62,17 +74,17 @@ def corr_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
     def spread(square, total):
         v = F.col(square) - F.try_divide(F.col(total) * F.col(total), F.col("n"))
-        return F.when(v > F.col(square) * 1e-13, v)
+        return F.when(v > F.col(square) * FLAT, v)
 
     r = ((F.col("xy") - F.try_divide(F.col("x") * F.col("y"), F.col("n")))
          / F.sqrt(spread("xx", "x") * spread("yy", "y")))
     return wanted.join(agg, ["ia", "ib"]).select("a", "b", F.col("n").cast("long").alias("n"), F.when((F.col("n") > 1) & F.col("varies"), r).alias("r"))
 
 
-def corr_with_target(df: DataFrame, cols: Sequence[str], targets: Sequence[str]) -> DataFrame:
-    """(feature, target, n, r, abs_r) for every feature x target."""
+def corr_with_target(df: DataFrame, cols: Sequence[str], targets: Sequence[str], landed: bool = False) -> DataFrame:
+    """(feature, target, n, r, abs_r) for every feature x target. ``landed``: ``df`` is a stored table already."""
     pairs = [(c, t) for t in targets for c in cols if c != t]
-    out = corr_pairs(df, pairs)
+    out = (_pairs_of if landed else corr_pairs)(df, pairs)
     return out.select(F.col("a").alias("feature"), F.col("b").alias("target"), "n", "r",
                       F.abs("r").alias("abs_r"))
 
@@ -145,7 +157,8 @@ def prune_corr(df: DataFrame, cols: Sequence[str], target: str, max_r: float = S
     lower-coverage side is dropped, ties broken by lower |r| with the target (equal ->
     the second). All correlations come from one pass, the coverage of the columns in
     question from another; only the <= k^2/2 pair statistics reach the driver for the sequential greedy walk."""
-    stats = corr_pairs(df, [(a, b) for k, b in enumerate(cols) for a in cols[:k]] + [(c, target) for c in cols if c != target]).collect()
+    held = stored(df, [*cols, target])
+    stats = _pairs_of(held, [(a, b) for k, b in enumerate(cols) for a in cols[:k]] + [(c, target) for c in cols if c != target]).collect()
     pos = {c: k for k, c in enumerate(cols)}
     tr = {s["a"]: abs(s["r"]) for s in stats if s["b"] == target and s["r"] is not None}
     pairs = sorted(((pos[s["a"]], pos[s["b"]], s["a"], s["b"]) for s in stats
@@ -154,7 +167,7 @@ def prune_corr(df: DataFrame, cols: Sequence[str], target: str, max_r: float = S
     if not pairs:
         return df, []
     involved = sorted({p for _, _, a, b in pairs for p in (a, b)})
-    cov = {r["column"]: r["pct_coverage"] for r in coverage(df, involved).collect()}
+    cov = {r["column"]: r["pct_coverage"] for r in coverage(held, involved).collect()}
     dropped: list[str] = []
     for _, _, a, b in pairs:
         if a in dropped or b in dropped:
@@ -171,8 +184,9 @@ def prune_corr(df: DataFrame, cols: Sequence[str], target: str, max_r: float = S
 
 def family_summary(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Per family: columns, mean coverage %, mean and max |r| with the target."""
+    df = stored(df, [*cols, target])
     cov = coverage(df, cols).select("column", "pct_coverage")
-    cr = corr_with_target(df, cols, [target]).select(F.col("feature").alias("column"), "abs_r")
+    cr = corr_with_target(df, cols, [target], landed=True).select(F.col("feature").alias("column"), "abs_r")
     fam = family_class(df, cols)
     j = fam.join(cov, "column").join(cr, "column", "left")
     return j.groupBy("family").agg(F.count(F.lit(1)).alias("n_cols"),

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from finpanel import schema as S
 from finpanel.operators import prepare as pr
 from finpanel.operators import profile as pf
-from finpanel.operators.features import FEATURE_COLS, ZPARTS, panel_order
+from finpanel.operators.features import FEATURE_COLS, ZPARTS, build_features, panel_order
 from finpanel.operators.targets import strict_universe, targets
 from finpanel.plans import sql_features as sf
 from finpanel.plans.catalog_features import _features
-from finpanel.plans.driver_panel import DRIVER_FORMS, financial_panel
+from finpanel.plans.driver_panel import DENSE_ROLES, DENSE_SQL_CTES, DRIVER_FORMS, FIN_SQL_CTES, financial_panel
 from finpanel.plans.registry import register, rounded
 from finpanel.session import cut_lineage
 
@@ -88,12 +88,16 @@ def q_winsorize(spark, d):
 SU_PARTS = ZPARTS
 
 
-@register("strict_universe", FE_SQL + """
+#: The same features over the dense roles: rows that have all five Altman parts.
+DENSE_FE_SQL = FE_SQL.replace(FIN_SQL_CTES, DENSE_SQL_CTES)
+
+
+@register("strict_universe", DENSE_FE_SQL + """
 SELECT adsh, cik, fy, fp FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY cik, fy, fp ORDER BY filed DESC NULLS FIRST,
   adsh DESC) AS rn FROM FE WHERE form IN (""" + ", ".join(f"'{x}'" for x in DRIVER_FORMS) + ") AND " + " AND ".join(
     f"{p} IS NOT NULL" for p in SU_PARTS) + ") WHERE rn = 1")
 def q_strict_universe(spark, d):
-    f = _features(spark, d).select(*KEYS, "form", "filed", *SU_PARTS)
+    f = build_features(financial_panel(spark, d, DENSE_ROLES), "cik", "sic").select(*KEYS, "form", "filed", *SU_PARTS)
     return strict_universe(f, SU_PARTS, DRIVER_FORMS).select(*KEYS)
 
 
@@ -113,11 +117,24 @@ C_FEATS = ["fe_ratio_roa", "fe_ratio_liquidez", "fe_ratio_apalancamiento", "fe_d
 CORR_TARGET = "target_score_next"
 
 
+NEARLY_FLAT = "fe_ratio_margen_bruto"
+
+
 def _corr(a, b):
-    """Pearson r in SQL; NULL where a column is constant, or so but for rounding."""
+    """Pearson r in SQL; NULL where a column is constant, or so but for rounding, in all rows or
+    in those where both are known (its variance there against the squares about its mean; in
+    the driver tables only the gross margin comes near that, and the long form is slow)."""
+    narrow = NEARLY_FLAT in (a, b)
     a, b = f"CAST({a} AS DOUBLE)", f"CAST({b} AS DOUBLE)"
-    return (f"CASE WHEN STDDEV_POP({a}) > {pf.CONSTANT} * ABS(AVG({a})) AND STDDEV_POP({b}) > {pf.CONSTANT} * ABS(AVG({b})) "
-            f"THEN NULLIF(CORR({a}, {b}), CAST('NaN' AS DOUBLE)) END")
+
+    def varies(x, y):
+        both = f"FILTER ({y} IS NOT NULL)"
+        whole = f"STDDEV_POP({x}) > {pf.CONSTANT} * ABS(AVG({x}))"
+        if not narrow:
+            return whole
+        return (f"{whole} AND VAR_POP({x}) {both} > "
+                f"{pf.FLAT} * (VAR_POP({x}) {both} + (AVG({x}) {both} - AVG({x})) * (AVG({x}) {both} - AVG({x})))")
+    return f"CASE WHEN {varies(a, b)} AND {varies(b, a)} THEN NULLIF(CORR({a}, {b}), CAST('NaN' AS DOUBLE)) END"
 
 
 def _corr_sql(pairs, src="TS"):
@@ -132,10 +149,9 @@ def q_corr_with_target(spark, d):
     return rounded(pf.corr_with_target(_ts(spark, d), C_FEATS, [CORR_TARGET]))
 
 
-#: Every free feature (neither context, forbidden nor autoregressive) but the gross margin:
-#: where the gross profit is known, its spread in the driver tables is rounding alone.
+#: Every free feature (neither context, forbidden nor autoregressive).
 M_COLS = [c for c in FEATURE_COLS if c not in S.CONTEXT_COLS and c not in S.FEATURES_A_FORBIDDEN
-          and c not in S.FEATURES_B_AUTOREGRESSIVE and c != "fe_ratio_margen_bruto"]
+          and c not in S.FEATURES_B_AUTOREGRESSIVE]
 M_PAIRS = [(M_COLS[i], M_COLS[j]) for j in range(len(M_COLS)) for i in range(j)]
 
 

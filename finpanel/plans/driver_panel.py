@@ -114,11 +114,19 @@ RAW AS (SELECT H.adsh, H.cik, H.form, H.period, H.filed, H.fy, H.fp, H.price, ""
     ", ".join(dv.DRIVER_TAGS) + ", " + ", ".join(f"{t}_qtrs" for t in dv.DRIVER_TAGS) + """
   FROM PW JOIN H ON PW.adsh = H.adsh)"""
 
-FIN_SQL_CTES = RAW_SQL_CTES + """,
+
+def fin_sql_ctes(roles: dict[str, str]) -> str:
+    """The latest filing per (customer, fy, fp) with ``roles`` (role -> SQL expression)."""
+    return RAW_SQL_CTES + """,
 CL AS (
   SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY cik, fy, fp
                  ORDER BY filed DESC NULLS FIRST, adsh DESC) AS rn2 FROM RAW) WHERE rn2 = 1),
 FIN AS (
   SELECT adsh, cik, form, period, filed, fy, fp, """ + SIC_EXPR[1] + """ AS sic,
-    """ + ",\n    ".join(f"{e} AS {r}" for r, (_, e) in ROLES.items()) + """
+    """ + ",\n    ".join(f"{e} AS {r}" for r, e in roles.items()) + """
   FROM CL)"""
+
+
+FIN_SQL_CTES = fin_sql_ctes({r: e for r, (_, e) in ROLES.items()})
+#: The dense roles, written alike in both dialects.
+DENSE_SQL_CTES = fin_sql_ctes({r: e if r not in ROLES or e != ROLES[r][0] else ROLES[r][1] for r, e in DENSE_ROLES.items()})
