@@ -11,11 +11,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier,
+    GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -41,19 +41,34 @@ def fit_forest(df: DataFrame, y: str, features: Sequence[str], task: str = "regr
     return _pipe(features, cls(labelCol=y, numTrees=trees, maxDepth=depth, seed=seed)).fit(df)
 
 
+class PerClass:
+    """One binary model per class, their raw scores kept (``score_<class>``): classes are ranked
+    by the score itself, and the prediction is the class that scores highest (ties -> the smaller)."""
+
+    def __init__(self, models: Mapping[int, PipelineModel]):
+        self.models = dict(sorted(models.items()))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import vector_to_array
+        out = df
+        for c, m in self.models.items():
+            out = m.transform(out).withColumn(f"score_{c}", vector_to_array("rawPrediction")[1]).drop(
+                "features", "rawPrediction", "probability", "prediction")
+        best = F.array_max(F.array(*[F.struct(F.col(f"score_{c}").alias("s"), F.lit(-c).alias("c")) for c in self.models]))
+        return out.withColumn("prediction", (-best["c"]).cast("double"))
+
+
 def fit_gbt(df: DataFrame, y: str, features: Sequence[str], task: str = "regression", trees: int = 300,
-            depth: int = 6, lr: float = 0.05, subsample: float = 0.8, seed: int = 42) -> PipelineModel:
-    """Gradient-boosted trees; 3+ classes through one-vs-rest binary GBTs."""
+            depth: int = 6, lr: float = 0.05, subsample: float = 0.8, seed: int = 42, classes: Sequence[int] = (0, 1, 2)):
+    """Gradient-boosted trees; three and more classes by one binary model each (``PerClass``)."""
+    args = dict(maxIter=trees, maxDepth=depth, stepSize=lr, subsamplingRate=subsample, seed=seed)
     if task == "regression":
-        est = GBTRegressor(labelCol=y, maxIter=trees, maxDepth=depth, stepSize=lr, subsamplingRate=subsample,
-                           seed=seed)
-    elif task == "binary":
-        est = GBTClassifier(labelCol=y, maxIter=trees, maxDepth=depth, stepSize=lr, subsamplingRate=subsample,
-                            seed=seed)
-    else:
-        est = OneVsRest(labelCol=y, classifier=GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=lr,
-                                                              subsamplingRate=subsample, seed=seed))
-    return _pipe(features, est).fit(df)
+        return _pipe(features, GBTRegressor(labelCol=y, **args)).fit(df)
+    if task == "binary":
+        return _pipe(features, GBTClassifier(labelCol=y, **args)).fit(df)
+    own = df.where(F.col(y).isNotNull())
+    return PerClass({c: _pipe(features, GBTClassifier(labelCol="_is", **args)).fit(own.withColumn("_is", (F.col(y).cast("int") == c).cast("double")))
+                     for c in classes})
 
 
 def fit_mlp(df: DataFrame, y: str, features: Sequence[str], hidden: Sequence[int] = (256, 128, 64),
@@ -72,6 +87,63 @@ def predict(model: PipelineModel, df: DataFrame, prob_col: str = "prob") -> Data
     return out
 
 
+def class_scores(model, df: DataFrame, classes: Sequence[int] = (0, 1, 2)) -> tuple[DataFrame, list[str]]:
+    """Predictions with one score column per class, and their names (none if the model gives no scores)."""
+    out, names = model.transform(df), [f"score_{c}" for c in classes]
+    if not isinstance(model, PerClass):
+        if "probability" not in out.columns:
+            return out, []
+        from pyspark.ml.functions import vector_to_array
+        p = vector_to_array("probability")
+        out = out.withColumns({n: F.get(p, F.lit(int(c))) for n, c in zip(names, classes)})
+    return out, names
+
+
+def gram(df: DataFrame, cols: Sequence[str]) -> tuple[int, "np.ndarray", "np.ndarray"]:
+    """(rows, means, centred cross sums) over rows complete in ``cols``: each partition sums its
+    rows' products into one matrix, and a row per cell is added up by Spark."""
+    import numpy as np
+    import pyarrow as pa
+    whole = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    first = whole.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(c) for c in cols]).first()
+    k, means = len(cols), np.asarray([first[c] or 0.0 for c in cols])
+
+    def sums(batches):
+        total = np.zeros((k, k))
+        for b in batches:
+            x = np.column_stack([np.asarray(b.column(c)) for c in cols]) - means
+            total += x.T @ x
+        yield pa.record_batch({"cell": pa.array(np.arange(k * k)), "s": pa.array(total.ravel())})
+
+    cells = whole.mapInArrow(sums, "cell long, s double").groupBy("cell").agg(F.sum("s").alias("s")).collect()
+    out = np.zeros(k * k)
+    for r in cells:
+        out[r["cell"]] = r["s"]
+    return first["_n"], means, out.reshape(k, k)
+
+
+def ridge(df: DataFrame, y: str, features: Sequence[str], alpha: float = 1.0) -> DataFrame:
+    """(feature, coefficient) of the penalised least squares |y - Xw - b|^2 + alpha |w|^2, the
+    intercept b last and free of the penalty: normal equations on centred cross sums, solved on
+    the driver (one matrix of features). Rows with a NULL among the columns are left out; no
+    rows or a singular system with alpha 0 gives the least-norm solution."""
+    import numpy as np
+    _, means, s = gram(df, [*features, y])
+    k = len(features)
+    a = s[:k, :k] + alpha * np.eye(k)
+    w = np.linalg.solve(a, s[:k, k]) if alpha > 0 and k else np.linalg.lstsq(a, s[:k, k], rcond=None)[0]
+    b = means[k] - means[:k] @ w
+    return df.sparkSession.createDataFrame([*zip(features, map(float, w)), ("(intercept)", float(b))], "feature string, coefficient double")
+
+
+def ridge_prediction(coefficients: DataFrame) -> Column:
+    """The linear predictor as a column expression."""
+    out = F.lit(0.0)
+    for r in coefficients.collect():
+        out = out + (F.lit(r["coefficient"]) if r["feature"] == "(intercept)" else F.col(r["feature"]) * r["coefficient"])
+    return out
+
+
 def importance(model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """(feature, importance) from a tree model (or |coefficients| for linear models)."""
     m = model.stages[-1]

@@ -301,37 +301,107 @@ def q_compare_models(spark, d):
 
 @register("compare_models_class")
 def q_compare_models_class(spark, d):
-    """Three risk classes."""
+    """Three risk classes, boosting among the models; ranked by one-vs-rest scores."""
     tr, va = _train_valid(spark, d)
-    grid = {"logistic": {"fit": "logistic", "family": "multinomial"}, "random_forest": {"fit": "forest", "trees": 50, "depth": 8}}
+    grid = {"logistic": {"fit": "logistic", "family": "multinomial"}, "random_forest": {"fit": "forest", "trees": 50, "depth": 8},
+            "gbt": {"fit": "gbt", "trees": 30, "depth": 4, "lr": 0.1, "subsample": 0.8}}
     return se.compare_models(tr, va, "target_class_next", FEATS, grid, "multiclass")
 
 
+@register("compare_models_residual")
+def q_compare_models_residual(spark, d):
+    """The change of the score as target, predictions clipped to (-1, 1)."""
+    tr, va = [x.withColumn("target_residual", F.col("target_score_next") - F.col("risk")) for x in _train_valid(spark, d)]
+    grid = {k: v for k, v in mo.MODEL_GRID.items() if v["fit"] == "linear"} | {
+        "random_forest": {"fit": "forest", "trees": 50, "depth": 8}, "gbt": {"fit": "gbt", "trees": 40, "depth": 4, "lr": 0.1, "subsample": 0.8}}
+    return se.compare_models(tr, va, "target_residual", FEATS, grid, "regression", clip_range=(-1.0, 1.0))
+
+
 @register("train_val_gap")
 def q_train_val_gap(spark, d):
     tr, va = _train_valid(spark, d)
     m = mo.fit_forest(tr, "target_score_next", FEATS, "regression", 200, 10)
-    return se.train_val_gap(m, tr, va, "target_score_next")
+    return se.train_val_gap(m, tr, va, "target_score_next", clip_range=(0.0, 1.0))
 
 
-@register("metric_recheck")
-def q_metric_recheck(spark, d):
+@register("train_val_gap_class")
+def q_train_val_gap_class(spark, d):
+    """F1 and average precision of the distress model on both sides."""
     tr, va = _train_valid(spark, d)
-    from pyspark.ml import PipelineModel
+    m = mo.fit_forest(tr, "target_distress_next", FEATS, "binary", 50, 8)
+    return se.train_val_gap(m, tr, va, "target_distress_next", "binary")
+
+
+def _gap_sql(where):
+    return f"""SELECT (SELECT COALESCE(2 * COUNT(*) FILTER (WHERE y = 1 AND p = 1) / NULLIF(COUNT(*) FILTER (WHERE y = 1) + COUNT(*) FILTER (WHERE p = 1), 0), 0) FROM
+  (SELECT target_distress_next AS y, pred_distress AS p FROM M WHERE {where} AND target_distress_next IS NOT NULL)) AS f1,
+  (SELECT SUM(pos / P * tp / k) FROM (SELECT *, SUM(pos) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS tp, SUM(cnt) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS k,
+    SUM(pos) OVER () AS P FROM (SELECT risk AS s, SUM(target_distress_next) AS pos, COUNT(*) AS cnt FROM M
+    WHERE {where} AND target_distress_next IS NOT NULL AND risk IS NOT NULL GROUP BY risk))) AS ap"""
+
+
+@register("prediction_gap", M_SQL + f""", T AS ({_gap_sql(f"fy <= {CUT}")}), V AS ({_gap_sql(f"fy > {CUT}")})
+SELECT 'f1' AS metric, ROUND(T.f1, 6) AS train, ROUND(V.f1, 6) AS valid, ROUND(T.f1 - V.f1, 6) AS gap FROM T, V
+UNION ALL SELECT 'average_precision', ROUND(T.ap, 6), ROUND(V.ap, 6), ROUND(T.ap - V.ap, 6) FROM T, V""")
+def q_prediction_gap(spark, d):
+    """The same metrics of a stored prediction: today's risk for the next period."""
+    tr, va = sp.split_temporal(m_view(spark, d), "fy", CUT)
+    out = se.prediction_gap(tr, va, "target_distress_next", "pred_distress", "risk")
+    return rounded(out.where(F.col("metric").isin("f1", "average_precision")))
+
+
+RIDGE_SETS = {"one": ["risk"], "two": ["risk", "revenue_qoq"]}
+
+
+@register("ridge", M_SQL + f""", RG AS (SELECT CAST(target_score_next AS DOUBLE) AS y, CAST(risk AS DOUBLE) AS a, CAST(revenue_qoq AS DOUBLE) AS b FROM M WHERE fy <= {CUT}),
+S1 AS (SELECT AVG(y) AS my, AVG(a) AS ma, COVAR_POP(a, y) * COUNT(*) AS ay, VAR_POP(a) * COUNT(*) + 2.5 AS aa FROM RG WHERE y IS NOT NULL AND a IS NOT NULL),
+S2 AS (SELECT AVG(y) AS my, AVG(a) AS ma, AVG(b) AS mb, COVAR_POP(a, y) * COUNT(*) AS ay, COVAR_POP(b, y) * COUNT(*) AS b_y, COVAR_POP(a, b) * COUNT(*) AS ab,
+  VAR_POP(a) * COUNT(*) + 2.5 AS aa, VAR_POP(b) * COUNT(*) + 2.5 AS bb FROM RG WHERE y IS NOT NULL AND a IS NOT NULL AND b IS NOT NULL),
+W2 AS (SELECT *, (ay * bb - b_y * ab) / (aa * bb - ab * ab) AS wa, (b_y * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM S2)
+SELECT 'one' AS model, 'risk' AS feature, ROUND(ay / aa, 6) AS coefficient FROM S1
+UNION ALL SELECT 'one', '(intercept)', ROUND(my - ma * ay / aa, 6) FROM S1
+UNION ALL SELECT 'two', 'risk', ROUND(wa, 6) FROM W2 UNION ALL SELECT 'two', 'revenue_qoq', ROUND(wb, 6) FROM W2
+UNION ALL SELECT 'two', '(intercept)', ROUND(my - wa * ma - wb * mb, 6) FROM W2""")
+def q_ridge(spark, d):
+    """Penalised least squares from cross sums, with one and two features."""
+    m = cut_lineage(m_view(spark, d).where(F.col("fy") <= CUT).select("target_score_next", "risk", "revenue_qoq"))
+    parts = [mo.ridge(m, "target_score_next", f, 2.5).select(F.lit(n).alias("model"), "feature", "coefficient") for n, f in RIDGE_SETS.items()]
+    return rounded(parts[0].unionByName(parts[1]))
+
 
+@register("kfold_scores")
+def q_kfold_scores(spark, d):
+    """A ridge model fitted and scored per fold (folds of equal class shares)."""
+    m = m_view(spark, d).where(F.col("target_score_next").isNotNull()).select("cik", "fy", "fp", *FEATS, "target_score_next", "target_class_next")
+    m = cut_lineage(impute_backstop(m, FEATS))
+    folded = cut_lineage(fo.kfold_column(m, ["cik", "fy", "fp"], 5, strata="target_class_next"))
+    return se.cross_validate(folded, "target_score_next", FEATS, mo.MODEL_GRID["ridge"], clip_range=(0.0, 1.0))
+
+
+@register("metric_recheck")
+def q_metric_recheck(spark, d):
+    """Two models stored with their metrics, then loaded and scored again."""
+    from finpanel.ml import history as hi
     from finpanel.sources.files import stage_path
-    m = mo.fit_linear(tr, "target_score_next", FEATS, 1.0, 0.0)
-    path = stage_path(spark, "model")
-    m.save(path)  # scored once as fitted, once as stored
-    first = me.eval_regression(mo.predict(m, va), "target_score_next", "prediction", None).first()
-    return se.metric_recheck(PipelineModel.load(path), va, "target_score_next", {"rmse": first["rmse"], "r2": first["r2"]})
+    tr, va = _train_valid(spark, d)
+    folder = stage_path(spark, "models")
+    for name, y, task, m in (("ridge", "target_score_next", "regression", mo.fit_linear(tr, "target_score_next", FEATS, 1.0, 0.0)),
+                             ("forest", "target_distress_next", "binary", mo.fit_forest(tr, "target_distress_next", FEATS, "binary", 30, 6))):
+        hi.save_model(m, name, FEATS, y, task, se._metrics(m, va, y, task), folder)
+    return hi.recheck(spark, folder, va).drop("run")
 
 
 @register("ablation")
 def q_ablation(spark, d):
+    """Each feature group alone, then without it; both runs recorded, the second reads the first."""
+    from finpanel.ml import history as hi
+    from finpanel.sources.files import stage_path
     tr, va = _train_valid(spark, d)
-    groups = {"size": ["price_sum", "revenue", "n_orders"], "momentum": ["revenue_qoq", "risk_delta"]}
-    return se.ablation(tr, va, "target_score_next", FEATS, mo.MODEL_GRID["ridge"], groups)
+    groups = {"size": ["price_sum", "revenue", "n_orders"], "momentum": ["revenue_qoq", "risk_delta"], "level": ["risk", "disc_avg"]}
+    folder = stage_path(spark, "ablation")
+    for mode in ("keep", "remove"):
+        se.ablation(tr, va, "target_score_next", FEATS, mo.MODEL_GRID["ridge"], groups, mode=mode, history=folder, run=mode)
+    return hi.read(spark, folder).drop("recorded_at")
 
 
 @register("param_search")
@@ -342,6 +412,18 @@ def q_param_search(spark, d):
     return se.param_search(folded, "target_score_next", FEATS, space, {"fit": "linear"}, trials=30, n_folds=3)
 
 
+#: Ranges of the boosting search.
+GBT_SPACE = {"trees": ("int", 5, 20), "depth": ("int", 2, 4), "lr": ("log", 0.02, 0.3), "subsample": ("float", 0.6, 1.0)}
+
+
+@register("param_search_gbt")
+def q_param_search_gbt(spark, d):
+    """30 settings of boosting from ranges; the worse two thirds stop after each fold."""
+    tr, _ = _train_valid(spark, d)
+    folded = cut_lineage(fo.temporal_folds(tr, "fy", "fp", "cik", 3))
+    return se.halving_search(folded, "target_score_next", FEATS, GBT_SPACE, {"fit": "gbt"}, trials=30, n_folds=3)
+
+
 # -- neighbours and oversampling ----------------------------------------------------------
 
 NEAR = ["price_sum", "revenue", "disc_avg", "n_orders", "risk", "revenue_qoq"]
