@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 
 def join_num_sub(num: DataFrame, sub: DataFrame, on: str = "adsh",
                  sub_cols: Sequence[str] = ("period",)) -> DataFrame:
-    """Inner equi-join of facts with the header's columns.
+    """Inner equi-join of facts with the header's columns on the filing id alone.
 
-    Both sides are dealt by the filing id and the header hashed there, so whatever is
-    grouped by filing afterwards needs no further exchange of the facts."""
-    header = sub.select(on, *[c for c in sub_cols if c != on]).repartition(on)
-    return num.repartition(on).join(header.hint("shuffle_hash"), on, "inner")
+    Spark chooses: a header within its broadcast bound meets the facts where they are read, so
+    later filters drop rows before any exchange; else both sides are dealt by filing once, and
+    what is grouped by filing afterwards needs no further exchange."""
+    return num.join(sub.select(on, *[c for c in sub_cols if c != on]), on, "inner")
 
 
 def join_meta(wide: DataFrame, sub: DataFrame, on: str = "adsh") -> DataFrame:

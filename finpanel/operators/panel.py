@@ -27,6 +27,16 @@ def panel_window(entity: str | Sequence[str], order: Sequence) -> Window:
     return Window.partitionBy(*keys).orderBy(*_order_cols(order))
 
 
+def spread_window(df: DataFrame, entity: str | Sequence[str], order: Sequence) -> Window:
+    """The panel window of ``df``, with rows that lack an entity dealt by a hash of all their
+    columns: their lags are NULL whatever their neighbours, so no task has to sort them together."""
+    keys = [entity] if isinstance(entity, str) else list(entity)
+    lacks = F.lit(False)
+    for k in keys:
+        lacks = lacks | F.col(k).isNull()
+    return Window.partitionBy(*keys, F.when(lacks, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))).orderBy(*_order_cols(order))
+
+
 def _guard(entity, c: Column) -> Column:
     keys = [entity] if isinstance(entity, str) else list(entity)
     cond = None
@@ -89,28 +99,31 @@ def dedup_last_by_id(df: DataFrame, id_col: str = "adsh", by: str = "quarter",
     return first_by(df, [id_col], [(by, False, False)] + [(t, False, False) for t in tie], cols)
 
 
-def lag_expr(entity, order, c: str, n: int = 1) -> Column:
-    return _guard(entity, F.lag(F.col(c), n).over(panel_window(entity, order)))
+def lag_expr(entity, order, c: str, n: int = 1, window=None) -> Column:
+    return _guard(entity, F.lag(F.col(c), n).over(panel_window(entity, order) if window is None else window))
 
 
-def lead_expr(entity, order, c: str, n: int = 1) -> Column:
-    return _guard(entity, F.lead(F.col(c), n).over(panel_window(entity, order)))
+def lead_expr(entity, order, c: str, n: int = 1, window=None) -> Column:
+    return _guard(entity, F.lead(F.col(c), n).over(panel_window(entity, order) if window is None else window))
 
 
 def lag1(df: DataFrame, entity, order, cols: Sequence[str], suffix: str = "_prev") -> DataFrame:
-    return df.withColumns({f"{c}{suffix}": lag_expr(entity, order, c) for c in cols})
+    w = spread_window(df, entity, order)
+    return df.withColumns({f"{c}{suffix}": lag_expr(entity, order, c, window=w) for c in cols})
 
 
 def lead1(df: DataFrame, entity, order, cols: Sequence[str], suffix: str = "_next") -> DataFrame:
-    return df.withColumns({f"{c}{suffix}": lead_expr(entity, order, c) for c in cols})
+    w = spread_window(df, entity, order)
+    return df.withColumns({f"{c}{suffix}": lead_expr(entity, order, c, window=w) for c in cols})
 
 
 def diff1(df: DataFrame, entity, order, cols: Sequence[str], suffix: str = "_diff") -> DataFrame:
-    return df.withColumns({f"{c}{suffix}": F.col(c) - lag_expr(entity, order, c) for c in cols})
+    w = spread_window(df, entity, order)
+    return df.withColumns({f"{c}{suffix}": F.col(c) - lag_expr(entity, order, c, window=w) for c in cols})
 
 
-def pct_delta_expr(entity, order, c: str, bound: float | None = 5.0) -> Column:
-    prev = lag_expr(entity, order, c)
+def pct_delta_expr(entity, order, c: str, bound: float | None = 5.0, window=None) -> Column:
+    prev = lag_expr(entity, order, c, window=window)
     d = safe_div(F.col(c) - prev, F.abs(prev))
     return clip(d, -bound, bound) if bound is not None else d
 
@@ -118,12 +131,13 @@ def pct_delta_expr(entity, order, c: str, bound: float | None = 5.0) -> Column:
 def pct_delta(df: DataFrame, entity, order, cols: Sequence[str], bound: float | None = 5.0,
               suffix: str = "_pct") -> DataFrame:
     """(x - prev) / |prev| clipped to +-bound; NULL when prev is 0 or missing."""
-    return df.withColumns({f"{c}{suffix}": pct_delta_expr(entity, order, c, bound) for c in cols})
+    w = spread_window(df, entity, order)
+    return df.withColumns({f"{c}{suffix}": pct_delta_expr(entity, order, c, bound, w) for c in cols})
 
 
 def accel(df: DataFrame, entity, order, c: str, name: str | None = None) -> DataFrame:
     """Second difference: (x - prev) - (prev - prev2)."""
-    w = panel_window(entity, order)
+    w = spread_window(df, entity, order)
     x, p1, p2 = F.col(c), F.lag(F.col(c), 1).over(w), F.lag(F.col(c), 2).over(w)
     return df.withColumn(name or f"{c}_accel", _guard(entity, (x - p1) - (p1 - p2)))
 
@@ -135,14 +149,14 @@ def worsened_flag(c: str) -> Column:
 
 def ffill_limit(df: DataFrame, entity, order, cols: Sequence[str], limit: int = 2) -> DataFrame:
     """Carry the last non-null value forward over at most ``limit`` rows."""
-    w = panel_window(entity, order).rowsBetween(-limit, 0)
+    w = spread_window(df, entity, order).rowsBetween(-limit, 0)
     return df.withColumns({c: F.coalesce(F.col(c), _guard(entity, F.last(F.col(c), True).over(w)))
                            for c in cols})
 
 
 def delta_check(df: DataFrame, entity, order, c: str, stored: str, tol: float = 1e-6) -> DataFrame:
     """Recompute x - prev and compare with a stored delta: one row of counts."""
-    rec = F.col(c) - lag_expr(entity, order, c)
+    rec = F.col(c) - lag_expr(entity, order, c, window=spread_window(df, entity, order))
     both = rec.isNotNull() & F.col(stored).isNotNull()
     d = (df.withColumn("_rec", rec)
            .withColumn("_both", both)

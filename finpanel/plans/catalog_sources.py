@@ -124,7 +124,7 @@ def q_ingest_manifest(spark, d):
     sizes depend on the writer, rows and columns do not)."""
     path = _stage(spark, d, "manifest_src")
     fs.write_converted(_header_with_quarter(spark, d), path)
-    m = fs.ingest_manifest(spark.read.parquet(path), "quarter")
+    m = fs.ingest_manifest(spark.read.parquet(path), path, "quarter")
     return (m.groupBy(F.col("quarter").cast("string").alias("quarter"))
              .agg(F.sum("rows").alias("rows"), F.max("columns").alias("columns"),
                   F.when(F.min(F.col("status") == "ok"), "ok").otherwise("empty").alias("status")))

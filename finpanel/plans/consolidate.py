@@ -44,9 +44,9 @@ def consolidate(num: DataFrame, sub: DataFrame, tags: Sequence[str] = tuple(S.AL
     needed = list(dict.fromkeys(["adsh", "tag", "qtrs", "value", current[0], *tie]))
     facts = facts.select(*[c for c in needed if c in facts.columns])
     facts = join_num_sub(facts, sub, "adsh", [*meta, *extra])
-    # Current period only. Written as a difference: an equality would become a join key, and
-    # the facts would be dealt by it, too, instead of by filing alone.
-    facts = facts.where(F.col(current[0]) - F.col(current[1]) == 0)
+    # Current period only. Within coalesce the equality is no join key: as one it would deal the
+    # facts by period, too, and the grouping by filing would need an exchange of its own.
+    facts = facts.where(F.coalesce(F.col(current[0]) == F.col(current[1]), F.lit(False)))
     longest = dedup_longest(facts, [*meta, "tag"], "qtrs", list(tie), cols=["qtrs", "value"])
     panel = pivot_wide(longest, meta, "tag", list(tags), "value", "qtrs")
     return order_columns(panel, [list(meta_cols), list(tags), [f"{t}_qtrs" for t in tags]])

@@ -47,17 +47,37 @@ def quarter_range_of(df: DataFrame, date_col: str) -> DataFrame:
                     ).select(quarter_label(F.col("d")).alias("quarter"))
 
 
-def header_columns(spark: SparkSession, path: str, sep: str = "\t") -> list[str]:
-    """Column names from the header line of one file."""
-    return spark.read.option("header", True).option("sep", sep).csv(path).columns
+def listing(spark: SparkSession, path: str) -> DataFrame:
+    """(file, bytes) of all files below ``path``: Spark's own listing, no content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return found.select(F.col("path").alias("file"), F.col("length").alias("bytes"))
+
+
+def first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line): the first line of every file that has one, in one job over all files.
+
+    Only the split at offset 0 holds a first line; a task keeps the first row of each such file."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.col("value").alias("line"))
+
+    def first(batches):
+        seen: set[str] = set()
+        for b in batches:
+            for f in b.column("file").unique().to_pylist():
+                if f not in seen:
+                    seen.add(f)
+                    yield b.slice(b.column("file").to_pylist().index(f), 1).select(["file", "line"])
+    return lines.where("at = 0").drop("at").mapInArrow(first, "file string, line string")
 
 
 def files_by_header(spark: SparkSession, path: str, sep: str = "\t") -> dict[tuple[str, ...], list[str]]:
-    """The files below ``path`` by their own header (one listing, one header line a file)."""
+    """The files below ``path`` by their own header: a row per different header reaches the driver,
+    with the names of its files, which the readers need there."""
+    heads = first_lines(spark, path).where("length(line) > 0").groupBy("line").agg(F.array_sort(F.collect_list("file")).alias("files"))
     out: dict[tuple[str, ...], list[str]] = {}
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
-    for r in sorted(listed.where("length > 0").collect()):
-        out.setdefault(tuple(header_columns(spark, r.path, sep)), []).append(r.path)
+    for r in sorted(heads.collect(), key=lambda r: r["files"]):
+        names = tuple(c.strip().strip('"') for c in r["line"].lstrip("\ufeff").split(sep))
+        out.setdefault(names, []).extend(r["files"])
     return out
 
 
@@ -176,15 +196,16 @@ def write_tsv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str
     return path
 
 
-def ingest_manifest(df: DataFrame, group: str | None = None) -> DataFrame:
-    """Rows and bytes per input file (and per partition value), status ok/empty.
+def ingest_manifest(df: DataFrame, path: str, group: str | None = None) -> DataFrame:
+    """Rows and bytes per file of the table below ``path`` (and per partition value), status ok/empty.
 
-    The files come from the table's listing, so one without rows is a line, too."""
+    The files come from the folder's listing (a table, not the driver), so one without rows is a
+    line, too; files that Spark takes for hidden are none of the table."""
     d = df.select(*([group] if group else []), F.col("_metadata.file_path").alias("file"),
                   F.col("_metadata.file_size").alias("file_size"))
     counts = (d.groupBy("file", *([group] if group else []))
                .agg(F.count(F.lit(1)).alias("rows"), F.max("file_size").alias("bytes")))
-    listed = df.sparkSession.createDataFrame([(f,) for f in df.inputFiles()], "file string")
+    listed = listing(df.sparkSession, path).select("file")
     # Listing and scan may spell a local path differently (file:/ and file:///).
     same = F.regexp_replace("file", "^file:/+", "file:/")
     out = listed.withColumn("_at", same).drop("file").join(counts.withColumn("_at", same), "_at", "left")

@@ -39,5 +39,29 @@ def test_manifest_shows_empty_files(spark, tmp_path):
     p = str(tmp_path / "t")
     spark.range(5).coalesce(1).write.parquet(p)
     spark.range(0).coalesce(1).write.mode("append").parquet(p)
-    got = sorted((r["rows"], r["status"]) for r in fs.ingest_manifest(spark.read.parquet(p)).collect())
+    got = sorted((r["rows"], r["status"]) for r in fs.ingest_manifest(spark.read.parquet(p), p).collect())
     assert got == [(0, "empty"), (5, "ok")]
+
+
+def test_jobs_do_not_grow_with_files(spark, tmp_path):
+    """Twelve files with three headers take as many Spark jobs as three files."""
+    def write(n, where):
+        where.mkdir()
+        for k in range(n):
+            names = [["a", "b"], ["b", "a"], ["a", "c"]][k % 3]
+            (where / f"f{k}.tsv").write_text("\t".join(names) + "\n" + "\t".join(f"{c}{k}" for c in names) + "\n")
+        (where / "empty.tsv").write_text("")
+        return str(where)
+
+    def jobs(n, where):
+        path, group = write(n, where), f"g{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        df = fs.read_tsv(spark, path)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return df, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    few, a = jobs(3, tmp_path / "few")
+    many, b = jobs(12, tmp_path / "many")
+    assert a == b
+    rows = {(r.a, r.b, r.c) for r in many.select("a", "b", "c").collect()}
+    assert rows == {(f"a{k}", f"b{k}", None) if k % 3 < 2 else (f"a{k}", None, f"c{k}") for k in range(12)}
+    assert len(few.collect()) == 3

@@ -1,5 +1,7 @@
 """Panel windows and dedups."""
 
+from pyspark.sql import functions as F
+
 from finpanel.operators import panel as pn
 
 
@@ -40,3 +42,18 @@ def test_accel(spark):
     df = spark.createDataFrame([(1, t, float(v)) for t, v in enumerate([1, 4, 9, 16])], "e int, t int, x double")
     out = [r["x_accel"] for r in pn.accel(df, "e", ["t"], "x").orderBy("t").collect()]
     assert out == [None, None, 2.0, 2.0]
+
+
+def test_rows_without_entity_share_no_task(spark):
+    """A third of the rows has no entity: their lags are NULL and no partition holds them all."""
+    rows = [(None if i % 3 == 0 else i % 7, i, float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "e int, t int, x double")
+    out = pn.ffill_limit(pn.lag1(df, "e", ["t"], ["x"]), "e", ["t"], ["x"], 2)
+    got = out.withColumn("part", F.spark_partition_id()).collect()
+    none = [r for r in got if r.e is None]
+    assert len(got) == 3000 and len(none) == 1000 and all(r.x_prev is None for r in none)
+    held = [r for r in got if r.e == 4]
+    assert all(r.x_prev is not None for r in sorted(held, key=lambda r: r.t)[1:])
+    w = pn.spread_window(df, "e", ["t"])
+    plan = df.select(F.lag("x").over(w))._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan and plan.count("Window [") == 1

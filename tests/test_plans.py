@@ -14,9 +14,22 @@ def _plan(df):
     return buf.getvalue()
 
 
-def test_consolidation_deals_facts_and_header_once(spark):
+def test_consolidation_filters_before_the_exchange(spark):
+    """A header within the broadcast bound meets the facts where they are read: what is exchanged
+    has passed the form and the current-period filters and is combined."""
     text = _plan(se.queries()["consolidate"](spark, SF)).split("\n\n")[0]
-    # One exchange of the facts and one of the header, both by filing; nothing is dealt again.
+    assert "BroadcastHashJoin" in text and text.count("Scan parquet") == 2
+    assert text.rindex(" Exchange") < text.index("BroadcastHashJoin")  # operators are printed from the top
+
+
+def test_consolidation_deals_facts_and_header_once(spark):
+    """Beyond that bound facts and header are dealt by filing; nothing is dealt again."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = _plan(se.queries()["consolidate"](spark, SF)).split("\n\n")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert text.count("Exchange") == 2 and text.count("Scan parquet") == 2
     assert "Join" in text and text.index("Aggregate") < text.index("Join")
 
