@@ -43,7 +43,7 @@ WINDOW = 2048
 #: Items that one task packs, about.
 BLOCK = 16_384
 #: Words of a generation: a worker keeps the ids of the words of this one and the one before.
-KNOWN_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 19
 
 #: A space between two characters that are none: byte-level pre-tokenizers always cut there.
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -93,12 +93,14 @@ class Words:
     def _joined(self, text: str, words: list[str]) -> bytes:
         if not text:
             return b""
-        found = [self.known[w] for w in words[1:]]
-        if None in found or words[0][-1:].isspace() or not words[0]:
-            words = SAFE_CUT.split(text)
-            # A piece may hold double spaces: those are encoded as they stand.
-            found = [self.known.get(w) or self.plain(f" {w}") for w in words[1:]]
-        return self.plain(words[0]) + b"".join(found)
+        if words[0] and not words[0][-1].isspace():
+            try:
+                return self.plain(words[0]) + b"".join(map(self.known.__getitem__, words[1:]))
+            except TypeError:  # a word without ids
+                pass
+        words = SAFE_CUT.split(text)
+        # A piece may hold double spaces: those are encoded as they stand.
+        return self.plain(words[0]) + b"".join([self.known.get(w) or self.plain(f" {w}") for w in words[1:]])
 
 
 @lru_cache(maxsize=2)
