@@ -42,8 +42,9 @@ from finpanel.llm.common import land, run_dir
 WINDOW = 2048
 #: Items that one task packs, about.
 BLOCK = 16_384
-#: Words of a generation: a worker keeps the ids of the words of this one and the one before.
-KNOWN_WORDS = 1 << 19
+#: Words of a generation: a worker keeps the ids of the words of this one and the one before
+#: (about 250 bytes a word).
+KNOWN_WORDS = 1 << 20
 
 #: A space between two characters that are none: byte-level pre-tokenizers always cut there.
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -128,7 +129,7 @@ def _pieces(path: str, window: int, end: int, with_ids: bool):
                 for start in range(0, n, window):
                     piece = data[4 * start:4 * (start + window)]
                     length, at, parts = len(piece) // 4, 0, []
-                    for p in powers_of(length):
+                    for p in powers_of(length) if length < window else ():  # whole windows are never cut
                         parts.append(zlib.crc32(piece[4 * at:4 * (at + p)]))
                         at += p
                     rows.append((task, k, doc, start, length, zlib.crc32(piece), n, parts, piece if with_ids else None))
