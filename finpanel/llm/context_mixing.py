@@ -1,23 +1,27 @@
 """LM scoring by logistic context mixing.
 
-A byte is coded as its class (5 bits: the 31 most frequent case-folded bytes, and a rest)
-and then the byte within the class. Each class bit is predicted from the last 0 to 4
-classes (5 bits each, packed) and from a hash of the last 5. A first mixer joins orders 0
-to 4 in the logistic domain, with weights that a gate selects (the bit's depth, how often
-the two longest contexts were seen), and an adaptive probability map refines its result; a
-second, gated likewise, adds the hashed context. The byte within its class is predicted
+A byte is coded as its class (5 bits: the 31 most frequent case-folded bytes of all training
+texts, and a rest) and then the byte within the class. Each class bit is predicted from the
+last 0 to 4 classes (5 bits each, packed) and from a hash of the last 6. A first mixer joins
+orders 0 to 4 in the logistic domain, with weights that a gate selects (the bit's depth, how
+often the two longest contexts were seen), and an adaptive probability map refines its result;
+a second, gated likewise, adds the hashed context. The byte within its class is predicted
 from the class before it and that byte's case.
 
-What is learned:
+Everything is learned from *all* training positions:
 
-* the contexts' counts, from *all* training documents: each task counts into two dense
-  tables (2**25 cells for order 4, few of them touched; 2**24 for hash slot and class), sends the cells in use, and they
-  are summed by range. Shorter contexts are sums of the order-4 cells. The tables' size is
-  fixed, whatever the corpus;
-* weights and refinement, online, over at most ``2 * SAMPLE_DOCS`` training documents, cut
-  to ``SAMPLE_BYTES``; a sampled position's own count is taken out first.
+* the byte histogram behind the classes, by one aggregate;
+* a table of how often each class follows each context of 6 classes. Map tasks sort and count,
+  ranges of the (scrambled) order-4 context are merged; the table is landed and grows with
+  the corpus. Shorter contexts and hash slots are sums of it;
+* mixing weights and refinement from that table: a training position's inputs depend on its
+  context and class alone, so a row of the table stands for its n positions, each with its own
+  count taken out. A Spark job over the table sums gradient and Hessian by gate (a few
+  thousand numbers a task), a Newton step follows, as often as ``STEPS_OF_WEIGHTS`` says.
 
-The learned model is then fixed, so scoring looks tables up and does not depend on the
+For scoring, orders 0 to 4 and the hashed context are laid out as two arrays that are
+broadcast (bounded by their key spaces, see ``Model``); from about 2**20 contexts of 6 classes
+on, several share a slot. The learned model is then fixed, so scoring does not depend on the
 order of documents, nor on retries. A text is scored whole, to its end (an end symbol).
 
 Beside it stands a base score: unigram words with add-one smoothing over the words of all
@@ -31,6 +35,7 @@ counts are 0; an empty table gives no rows.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,25 +44,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finpanel.llm.common import LAST_ID, keyed, land, public_id, release, run_dir, text_chunks, word_tokens
-from finpanel.llm.keycount import bucket_count, count_keys, look_up, text_bytes, unpack
-
-ORDER, HIGH, BITS = 4, 5, 5
-SLOT_BITS = 19
-CELLS, SLOT_CELLS = 1 << BITS * (ORDER + 1), 1 << SLOT_BITS + BITS
-RANGES = 64  # each of the two tables is summed in this many ranges
-SAMPLE_DOCS, SAMPLE_BYTES = 250, 1500
+from finpanel.llm.keycount import bucket_count, count_keys, pack, sum_by_document, text_bytes, unpack
+
+ORDER, HIGH, BITS = 4, 6, 5
+PART_BITS, SLOT_BITS = 10, 20  # parts of the count table, slots of the hashed context
+CELL_BITS = BITS * (HIGH + 1)  # a cell: order-4 context (scrambled), older classes, class
+LOW_MASK = (1 << BITS * ORDER) - 1
+INNER_BITS = CELL_BITS - PART_BITS
+ODD = 0x9E3779B1  # a fixed odd multiplier; modulo a power of two it only scrambles
+UNDO = pow(ODD, -1, LOW_MASK + 1)
+SHORT = 32 * 32 * 2 * 256  # (class, class before, case before, byte)
+HOLD = 1 << 21  # positions, and distinct cells, that a map task holds before it merges, or sends
 REST = 31
-RATE, BATCH, PASSES = 0.02, 256, 2
+STEPS_OF_WEIGHTS, DAMPING, LONGEST_STEP = 4, 4.0, 0.5
 DELTA = 0.3
 STEPS = 33  # of the refinement map, over stretched probabilities -8 .. 8
+GATES = 36 * BITS
 
 
 @dataclass(frozen=True)
 class Model:
-    """At most (2**20 + 2**19) x 32 halves, 2**20 x 6 bytes and 2 MB."""
+    """At most (2**20 + 2**15 + 2**20) x 32 halves, 2**20 x 6 bytes and 2 MB."""
 
     classes: np.ndarray  # byte -> class
-    row: np.ndarray      # order-4 context -> row of ``low``
+    row: np.ndarray      # scrambled order-4 context -> row of ``low``
     low: np.ndarray      # (rows, 32): stretched probability of bit 1 at each node
     low_seen: np.ndarray  # row -> how often seen, 0 to 5
     high: np.ndarray     # (slots, 32): the same from the hashed context
@@ -75,7 +85,7 @@ UPPER[65:91] = True
 
 
 def positions(texts: list, classes: np.ndarray):
-    """Of every byte and end of ``texts``: row of the text, order-4 cell, hash slot, cell within class."""
+    """Of every byte and end of ``texts``: row of the text, cell, cell within class."""
     pad = b"\0" * (HIGH + 1)
     data = np.frombuffer(pad[1:] + b"".join((t or b"") + pad for t in texts), np.uint8)
     c = classes[data].astype(np.uint32)
@@ -86,60 +96,87 @@ def positions(texts: list, classes: np.ndarray):
     size = np.array([len(t or b"") + 1 for t in texts], np.int64)
     keep = np.arange(int(size.sum())) + np.repeat(np.arange(len(texts)) * HIGH, size)
     context, symbol = context[keep], c[HIGH:][keep]
-    cell = ((context & np.uint32((1 << BITS * ORDER) - 1)) << np.uint32(BITS)) | symbol
-    # A fixed multiplicative hash of the 30 bits, upper bits kept.
-    slot = (context * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
+    spread = (context * np.uint32(ODD)) & np.uint32(LOW_MASK)
+    older = BITS * (HIGH - ORDER)
+    cell = (spread.astype(np.uint64) << np.uint64(older + BITS)) | (((context >> np.uint32(BITS * ORDER)) << np.uint32(BITS)) | symbol)
     before = data[HIGH - 1:-1][keep]
     byte = (((((symbol << np.uint32(5)) | (context & np.uint32(31))) << np.uint32(1)) | UPPER[before]) << np.uint32(8)) | data[HIGH:][keep]
-    return np.repeat(np.arange(len(texts)), size), cell, slot, byte
+    return np.repeat(np.arange(len(texts)), size), cell, byte
+
+
+def slot_in_part(cell: np.ndarray) -> np.ndarray:
+    """Slot of the hashed context among those of its part (2**(SLOT_BITS - PART_BITS))."""
+    inner = (cell >> np.uint64(BITS)).astype(np.uint32) & np.uint32((1 << INNER_BITS - BITS) - 1)
+    return (inner * np.uint32(ODD)) >> np.uint32(32 - (SLOT_BITS - PART_BITS))
 
 
 CELL = pa.schema([("part", pa.int32()), ("cell", pa.binary()), ("n", pa.binary())])
+CELL_SPEC = "part int, cell binary, n binary"
+FIRST_SHORT = np.uint64(1 << CELL_BITS)  # cells from here on are those within classes, in 16 parts
+SHORT_SHIFT = np.uint64(INNER_BITS - 15)
+
+
+def _added(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of (cell, n) lists by cell, sorted."""
+    cell, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(cell, kind="stable")
+    cell, n = cell[order], n[order]
+    at = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])) if len(cell) else np.zeros(0, np.int64)
+    return cell[at], np.add.reduceat(n, at) if len(at) else n
+
+
+def _counted(cells: list) -> tuple[np.ndarray, np.ndarray]:
+    cell = np.sort(np.concatenate(cells))
+    at = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    return cell[at], np.diff(np.append(at, len(cell)))
 
 
-def gather_counts(rows: DataFrame, classes: np.ndarray, only):
-    """Counts of all training texts: order-4 cells in use (sorted) and their counts, the same
-    for (slot, class), and the dense table within classes."""
-    widths = {k: (CELLS if k < RANGES else SLOT_CELLS if k < 2 * RANGES else (1 << 19) * RANGES) // RANGES for k in range(2 * RANGES + 1)}
+def _sent(cell: np.ndarray, n: np.ndarray):
+    part = (cell >> np.uint64(INNER_BITS)).astype(np.int64)
+    cut = np.flatnonzero(np.diff(part)) + 1
+    for i, j in zip(np.append(0, cut), np.append(cut, len(cell))):
+        if j > i:
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((int(part[i]), pack(cell[i:j]), pack(n[i:j])), CELL)], schema=CELL)
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One part: its slices are added up as they come."""
+    nothing = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    held, waiting, size = nothing, [], 0
+    for b in batches:
+        for i in range(b.num_rows):
+            waiting.append((unpack(b.column("cell")[i].as_py(), np.uint64), unpack(b.column("n")[i].as_py(), np.int64)))
+            size += len(waiting[-1][0])
+            if size >= HOLD:
+                held, waiting, size = _added([held, *waiting]), [], 0
+    yield from _sent(*_added([held, *waiting]))
+
+
+def gather_counts(rows: DataFrame, classes: np.ndarray, only) -> DataFrame:
+    """(part, cell, n): counts of all training texts, a row per part with sorted cells."""
 
     def emit(batches):
-        low, high, short = np.zeros(CELLS, np.uint32), np.zeros(SLOT_CELLS, np.uint32), np.zeros(1 << 19, np.uint32)
+        short = np.zeros(SHORT, np.int64)
+        held, waiting, size = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), [], 0
         for d, _, texts in text_chunks(batches):
-            keep = only(d)
-            texts = [t for t, k in zip(texts, keep) if k]
+            texts = [t for t, k in zip(texts, only(d)) if k]
             if texts:
-                _, cell, slot, byte = positions(texts, classes)
-                np.add.at(low, cell, np.uint32(1))
-                np.add.at(high, (slot << np.uint32(BITS)) | (cell & np.uint32(31)), np.uint32(1))
-                short += np.bincount(byte, minlength=len(short)).astype(np.uint32)
-        tables = [x for t in (low, high) for x in np.split(t, RANGES)] + [short]
-        for part, table in enumerate(tables):
-            used = np.flatnonzero(table)
-            if len(used):
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([used.astype(np.uint32).tobytes()], pa.binary()),
-                                                  pa.array([table[used].tobytes()], pa.binary())], schema=CELL)
-
-    def add(part: pa.Table) -> pa.Table:
-        total = np.zeros(widths[part.column("part")[0].as_py()], np.float64)
-        for cell, n in zip(part.column("cell"), part.column("n")):
-            total[np.frombuffer(cell.as_py(), np.uint32)] += np.frombuffer(n.as_py(), np.uint32)  # distinct cells
-        used = np.flatnonzero(total)
-        return pa.table([pa.array([part.column("part")[0].as_py()], pa.int32()), pa.array([used.astype(np.uint32).tobytes()], pa.binary()),
-                         pa.array([total[used].astype(np.float32).tobytes()], pa.binary())], schema=CELL)
-
-    spec = "part int, cell binary, n binary"
-    out = {r.part: (np.frombuffer(r.cell, np.uint32).astype(np.int64), np.frombuffer(r.n, np.float32))
-           for r in rows.mapInArrow(emit, spec).groupBy("part").applyInArrow(add, spec).collect()}  # 8 bytes a cell at most
-
-    def whole(first):
-        got = [(k, *out[first + k]) for k in range(RANGES) if first + k in out]
-        return (np.concatenate([np.zeros(0, np.int64)] + [c + k * widths[first] for k, c, _ in got]),
-                np.concatenate([np.zeros(0, np.float32)] + [x for _, _, x in got]))
-
-    short = np.zeros(1 << 19)
-    if 2 * RANGES in out:
-        short[out[2 * RANGES][0]] = out[2 * RANGES][1]
-    return whole(0), whole(RANGES), short
+                _, cell, byte = positions(texts, classes)
+                short += np.bincount(byte, minlength=SHORT)
+                waiting.append(cell)
+                size += len(cell)
+            if size >= HOLD:
+                held, waiting, size = _added([held, _counted(waiting)]), [], 0
+                if len(held[0]) >= HOLD:
+                    yield from _sent(*held)
+                    held = (held[0][:0], held[1][:0])
+        if waiting:
+            held = _added([held, _counted(waiting)])
+        used = np.flatnonzero(short)
+        yield from _sent(*held)
+        yield from _sent(FIRST_SHORT + (used.astype(np.uint64) << SHORT_SHIFT), short[used])
+
+    return rows.mapInArrow(emit, CELL_SPEC).groupBy("part").applyInArrow(_merge, CELL_SPEC)
 
 
 def _tree(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,20 +206,23 @@ def _squash(x):
     return 1 / (1 + np.exp(-np.clip(x, -15, 15)))
 
 
-class Mixer:
-    """Weights by gate, learned online: w += rate * (bit - p) * input."""
-
-    def __init__(self, gates: int, start: list[float]):
-        self.w = np.tile(np.array(start), (gates, 1))
+def newton_sums(x, gate, bit, n, w) -> np.ndarray:
+    """(gates, k + k(k+1)/2): gradient and upper Hessian of the log likelihood, a row counting n times."""
+    k = x.shape[1]
+    p = _squash((x * w[gate]).sum(-1))
+    e, v = n * (bit - p), n * p * (1 - p)
+    cols = [e * x[:, a] for a in range(k)] + [v * x[:, a] * x[:, b] for a, b in zip(*np.triu_indices(k))]
+    return np.stack([np.bincount(gate, c, GATES) for c in cols], 1)
 
-    def mix(self, x, gate):
-        return (x * self.w[gate]).sum(-1)
 
-    def learn(self, x, gate, bit):
-        for i in [i for _ in range(PASSES) for i in range(0, len(bit), BATCH)]:
-            j = slice(i, i + BATCH)
-            error = bit[j] - _squash(self.mix(x[j], gate[j]))
-            np.add.at(self.w, gate[j], RATE * error[:, None] * x[j])
+def newton_step(w: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """A damped step; gates that saw little move little."""
+    k = w.shape[1]
+    h = np.zeros((GATES, k, k))
+    i, j = np.triu_indices(k)
+    h[:, i, j] = h[:, j, i] = sums[:, k:]
+    step = np.linalg.solve(h + DAMPING * np.eye(k), sums[:, :k, None])[..., 0]
+    return w + step / np.maximum(1, np.abs(step).max(1, keepdims=True) / LONGEST_STEP)
 
 
 class Refinement:
@@ -195,9 +235,12 @@ class Refinement:
     def step(s):
         return np.clip(np.rint((s + 8) * 2), 0, STEPS - 1).astype(int)
 
-    def learn(self, s, node, bit):
-        np.add.at(self.hit, (node, self.step(s)), bit)
-        np.add.at(self.all, (node, self.step(s)), 1)
+    def sums(self, s, node, bit, n) -> np.ndarray:
+        at = node * STEPS + self.step(s)
+        return np.stack([np.bincount(at, n * bit, 32 * STEPS), np.bincount(at, n, 32 * STEPS)])
+
+    def learn(self, sums: np.ndarray):
+        self.hit, self.all = sums.reshape(2, 32, STEPS)
 
     def refine(self, s, node):
         """The stretched mean of the mixer's probability and the map's."""
@@ -209,100 +252,192 @@ class Refinement:
 NODES = np.arange(1, 32)
 
 
-def fit(low_cells, high_cells, short: np.ndarray, classes: np.ndarray, sample: list[bytes]) -> Model:
-    """The fixed model from counts and a bounded sample of training texts."""
-    cells, n = low_cells
-    tables = [np.zeros((1 << BITS * k) * 32, np.float32) for k in range(ORDER)]
-    for table in tables:
-        np.add.at(table, cells & (len(table) - 1), n)
-    used = np.unique(cells >> BITS)
-    top = np.zeros((len(used), 32), np.float32)
-    top[np.searchsorted(used, cells >> BITS), cells & 31] = n
-    trees = [_tree(t.reshape(-1, 32)) for t in tables] + [_tree(top)]
-
-    def slots(first: int, end: int) -> np.ndarray:
-        """Class counts of a range of slots."""
-        i, j = np.searchsorted(high_cells[0], [first << BITS, end << BITS])
-        out = np.zeros((end - first) << BITS, np.float32)
-        out[high_cells[0][i:j] - (first << BITS)] = high_cells[1][i:j]
-        return out.reshape(-1, 32)
-
-    every, step = 1 << SLOT_BITS, 1 << 15
-
-    first, second, refinement = Mixer(36 * BITS, [0.3] * (ORDER + 2)), Mixer(36 * BITS, [0.5, 0.5, 0.0]), Refinement()
-
-    def first_inputs(zero, one):
-        """Stretched predictions of orders 0 to 4 and a bias; the gate without the depth."""
-        x = [_stretch(z, o) for z, o in zip(zero, one)]
-        x.append(np.full_like(x[0], 0.3))
-        return np.stack(x, -1).astype(np.float32), _seen(zero[-1] + one[-1]) * 6 + _seen(zero[-2] + one[-2])
-
-    if sample:
-        _, cell, slot, _ = positions(sample, classes)
-        context, symbol = cell.astype(np.int64) >> BITS, cell.astype(np.int64) & 31
-        node = np.stack([(32 | symbol) >> (BITS - d) for d in range(BITS)], 1)
-        bit = np.stack([(symbol >> (BITS - 1 - d)) & 1 for d in range(BITS)], 1).astype(np.float32)
+class Part:
+    """One part of the count table: its order-4 contexts whole, with all that follows them."""
+
+    def __init__(self, number: int, cell: np.ndarray, n: np.ndarray):
+        self.number, self.n = number, n.astype(np.float64)
+        spread = (cell >> np.uint64(CELL_BITS - BITS * ORDER)).astype(np.int64)
+        self.spread, self.at = np.unique(spread, return_inverse=True)
+        self.context = (self.spread * UNDO) & LOW_MASK
+        self.symbol = (cell & np.uint64(31)).astype(np.int64)
+        self.top = np.bincount(self.at * 32 + self.symbol, self.n, 32 * len(self.spread)).reshape(-1, 32).astype(np.float32)
+        self.slot = slot_in_part(cell).astype(np.int64)
+        self.slots = np.bincount(self.slot * 32 + self.symbol, self.n, 32 << SLOT_BITS - PART_BITS).reshape(-1, 32).astype(np.float32)
+
+
+def parts_of(batches) -> Iterator[Part]:
+    for b in batches:
+        for i in range(b.num_rows):
+            yield Part(b.column("part")[i].as_py(), unpack(b.column("cell")[i].as_py(), np.uint64), unpack(b.column("n")[i].as_py(), np.int64))
+
+
+def summed(table: DataFrame, of_part, shape: tuple[int, ...]) -> np.ndarray:
+    """Sum of ``of_part`` over all parts: each task sends one array of this shape."""
+
+    def run(batches):
+        total = np.zeros(shape)
+        for part in parts_of(batches):
+            total += of_part(part)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    out = np.zeros(shape)
+    for r in table.mapInArrow(run, "sums binary").collect():
+        out += np.frombuffer(r.sums).reshape(shape)
+    return out
+
+
+def _path(symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and bits on the way to each class."""
+    node = np.stack([(32 | symbol) >> (BITS - d) for d in range(BITS)], 1)
+    return node, np.stack([(symbol >> (BITS - 1 - d)) & 1 for d in range(BITS)], 1).astype(np.float32)
+
+
+def _first_inputs(zero, one):
+    """Stretched predictions of orders 0 to 4 and a bias; the gate without the depth."""
+    x = [_stretch(z, o) for z, o in zip(zero, one)]
+    x.append(np.full_like(x[0], 0.3))
+    return np.stack(x, -1).astype(np.float32), _seen(zero[-1] + one[-1]) * 6 + _seen(zero[-2] + one[-2])
+
+
+class Lower:
+    """Orders 0 to 3, from the order-3 counts."""
+
+    def __init__(self, counts: np.ndarray):
+        counts = counts.reshape((32,) * ORDER)  # oldest class first, the class predicted last
+        self.trees = [_tree(counts.sum(tuple(range(ORDER - 1 - k))).reshape(-1, 32).astype(np.float32)) for k in range(ORDER)]
+
+    def at(self, context: np.ndarray) -> list[tuple]:
+        return [(z, o, context & ((1 << BITS * k) - 1)) for k, (z, o) in enumerate(self.trees)]
+
+    def all_nodes(self, context: np.ndarray, top: np.ndarray):
+        """Inputs and gate of the first mixer at all nodes after each context."""
+        trees = [(z[c, 1:], o[c, 1:]) for z, o, c in self.at(context)] + [tuple(t[:, 1:] for t in _tree(top))]
+        x, gate = _first_inputs(*zip(*trees))
+        return x, gate * BITS + DEPTH[NODES]
+
+    def observed(self, part: Part):
+        """Of each class seen after each order-4 context, bit by bit: which context, class, n; inputs, gate,
+        node, bit, with one position's own count taken out."""
+        i, symbol = np.nonzero(part.top)
+        node, bit = _path(symbol)
         zero, one = [], []
-        for k, (z, o) in enumerate(trees):
-            at = (context & ((1 << BITS * k) - 1) if k < ORDER else np.searchsorted(used, context))[:, None]
-            zero.append(np.maximum(z[at, node] - (1 - bit), 0))  # the position itself does not count
-            one.append(np.maximum(o[at, node] - bit, 0))
-        x, gate = first_inputs(zero, one)
-        depth, flat, bits = np.broadcast_to(np.arange(BITS), node.shape).reshape(-1), node.reshape(-1), bit.reshape(-1)
-        x, gate = x.reshape(-1, ORDER + 2), gate.reshape(-1) * BITS + depth
-        first.learn(x, gate, bits)
-        s = first.mix(x, gate)
-        refinement.learn(s, flat, bits)
-        s = refinement.refine(s, flat)
-        mine = np.empty((len(slot), 32), np.float32)
-        for k in range(0, every, step):
-            here = np.flatnonzero((slot >= k) & (slot < k + step))
-            mine[here] = slots(k, k + step)[slot[here] - np.uint32(k)]
-        zh, oh = _tree(mine)
-        i = np.arange(len(slot))[:, None]
-        zh, oh = np.maximum(zh[i, node] - (1 - bit), 0), np.maximum(oh[i, node] - bit, 0)
-        total = np.maximum(mine.sum(1) - 1, 0)
-        at4 = np.maximum(top.sum(1)[np.searchsorted(used, context)] - 1, 0)
-        gate = np.repeat(_seen(total) * 6 + _seen(at4), BITS) * BITS + depth
-        x = np.stack([s, _stretch(zh, oh).reshape(-1), np.full(len(s), 0.3)], -1)
-        second.learn(x, gate, bits)
-
-    def low_rows(context: np.ndarray, last) -> np.ndarray:
-        """Refined stretched predictions at all nodes; ``last``: (zero, one) of order 4."""
+        z4, o4 = _tree(part.top)
+        for z, o, c in self.at(part.context) + [(z4, o4, np.arange(len(part.context)))]:
+            c = c[i][:, None]
+            zero.append(np.maximum(z[c, node] - (1 - bit), 0))
+            one.append(np.maximum(o[c, node] - bit, 0))
+        x, gate = _first_inputs(zero, one)
+        gate = gate * BITS + np.arange(BITS)
+        return i, symbol, np.repeat(part.top[i, symbol], BITS), x.reshape(-1, ORDER + 2), gate.reshape(-1), node.reshape(-1), bit.reshape(-1)
+
+
+def _second_inputs(part: Part, lower: Lower, first: np.ndarray, refinement: Refinement):
+    """Inputs, gate, bit and n of the second mixer, for each cell's bits."""
+    i, symbol, _, x, gate, node, bit = lower.observed(part)
+    s = np.zeros((len(part.context), 32, BITS), np.float32)
+    s[i, symbol] = refinement.refine((x * first[gate]).sum(-1), node).reshape(-1, BITS)
+    node, bit = _path(part.symbol)
+    z, o = _tree(part.slots)
+    slot = part.slot[:, None]
+    high = _stretch(np.maximum(z[slot, node] - (1 - bit), 0), np.maximum(o[slot, node] - bit, 0))
+    gate = _seen(part.slots.sum(1)[part.slot] - 1) * 6 + _seen(part.top.sum(1)[part.at] - 1)
+    x = np.stack([s[part.at, part.symbol], high, np.full_like(high, 0.3)], -1).reshape(-1, 3)
+    return x, (gate[:, None] * BITS + np.arange(BITS)).reshape(-1), bit.reshape(-1), np.repeat(part.n, BITS)
+
+
+def _order3(batches):
+    """The order-3 cells of a task's parts, as slices of 32 ranges."""
+    for part in parts_of(batches):
+        cell = ((part.context & ((1 << BITS * (ORDER - 1)) - 1))[:, None] * 32 + np.arange(32))
+        used = part.top > 0
+        yield from _sent(*_added([(cell[used].astype(np.uint64) << np.uint64(INNER_BITS - 15), part.top[used].astype(np.int64))]))
+
+
+def _unpacked(rows: list, shift: int, size: int) -> np.ndarray:
+    out = np.zeros(size)
+    for r in rows:
+        cell = unpack(bytes(r.cell), np.uint64) & np.uint64((1 << CELL_BITS) - 1)
+        out[(cell >> np.uint64(shift)).astype(np.int64)] = unpack(bytes(r.n), np.int64)
+    return out
+
+
+LAID_OUT = "part int, spread binary, low binary, low_seen binary, high binary, high_seen binary"
+
+
+def fit(table: DataFrame, classes: np.ndarray) -> Model:
+    """The fixed model from the landed count table."""
+    within = _unpacked(table.where(F.col("part") >= 1 << PART_BITS).collect(), INNER_BITS - 15, SHORT)  # at most 2**19 cells
+    cells = table.where(F.col("part") < 1 << PART_BITS)
+    order3 = cells.mapInArrow(_order3, CELL_SPEC).groupBy("part").applyInArrow(_merge, CELL_SPEC).collect()  # at most 2**20 cells
+    spark = table.sparkSession
+    held = spark.sparkContext.broadcast(Lower(_unpacked(order3, INNER_BITS - 15, 1 << BITS * ORDER)))  # 9 MB
+
+    first, refinement = np.full((GATES, ORDER + 2), 0.3), Refinement()
+    for _ in range(STEPS_OF_WEIGHTS):
+        def one(part, w=first):
+            _, _, n, x, gate, _, bit = held.value.observed(part)
+            return newton_sums(x, gate, bit, n, w)
+        first = newton_step(first, summed(cells, one, (GATES, (ORDER + 2) * (ORDER + 5) // 2)))
+
+    def refined(part):
+        _, _, n, x, gate, node, bit = held.value.observed(part)
+        return refinement.sums((x * first[gate]).sum(-1), node, bit, n)
+    got = summed(cells, refined, (2, 32 * STEPS))
+    refinement.learn(got)
+
+    second = np.tile([0.5, 0.5, 0.0], (GATES, 1))
+    for _ in range(STEPS_OF_WEIGHTS):
+        def two(part, w=second):
+            x, gate, bit, n = _second_inputs(part, held.value, first, refinement)
+            return newton_sums(x, gate, bit, n, w)
+        second = newton_step(second, summed(cells, two, (GATES, 9)))
+
+    def low_rows(lower, context, top):
         out = np.zeros((len(context), 32), np.float16)
-        for i in range(0, len(context), 1 << 14):
-            j = slice(i, i + (1 << 14))
-            c = context[j]
-            zero = [z[c & ((1 << BITS * k) - 1)][:, 1:] for k, (z, _) in enumerate(trees[:ORDER])] + [last[0][j, 1:]]
-            one = [o[c & ((1 << BITS * k) - 1)][:, 1:] for k, (_, o) in enumerate(trees[:ORDER])] + [last[1][j, 1:]]
-            x, gate = first_inputs(zero, one)
-            out[j, 1:] = refinement.refine(first.mix(x, gate * BITS + DEPTH[NODES]), np.broadcast_to(NODES, gate.shape))
+        for i in range(0, len(context), 1 << 13):
+            j = slice(i, i + (1 << 13))
+            x, gate = lower.all_nodes(context[j], top[j])
+            out[j, 1:] = refinement.refine((x * first[gate]).sum(-1), np.broadcast_to(NODES, gate.shape))
         return out
 
-    short3 = np.arange(1 << BITS * (ORDER - 1))
-    blank = np.zeros((len(short3), 32), np.float32)
-    low = np.concatenate([low_rows(short3, (blank, blank)), low_rows(used, trees[-1])])
-    low_seen = np.concatenate([np.zeros(len(short3), np.uint8), _seen(top.sum(1)).astype(np.uint8)])
-    row = (np.arange(1 << BITS * ORDER) & (len(short3) - 1)).astype(np.int32)
-    row[used] = len(short3) + np.arange(len(used))
-    high, high_seen = np.zeros((every, 32), np.float16), np.zeros(every, np.uint8)
-    for k in range(0, every, step):
-        got = slots(k, k + step)
-        high[k:k + step], high_seen[k:k + step] = _stretch(*_tree(got)), _seen(got.sum(1))
-
-    by = short.reshape(32, 64, 256)
+    def lay_out(batches):
+        for part in parts_of(batches):
+            high = _stretch(*_tree(part.slots)).astype(np.float16)
+            values = (part.spread.astype(np.int32), low_rows(held.value, part.context, part.top), _seen(part.top.sum(1)).astype(np.uint8),
+                      high, _seen(part.slots.sum(1)).astype(np.uint8))
+            yield pa.RecordBatch.from_arrays([pa.array([part.number], pa.int32())] + [pa.array([v.tobytes()], pa.binary()) for v in values],
+                                             names=[c.split()[0] for c in LAID_OUT.split(", ")])
+
+    width, short3 = 1 << SLOT_BITS - PART_BITS, np.arange(1 << BITS * (ORDER - 1))
+    low, low_seen = [low_rows(held.value, short3, np.zeros((len(short3), 32), np.float32))], [np.zeros(len(short3), np.uint8)]
+    high, high_seen = np.zeros((1 << SLOT_BITS, 32), np.float16), np.zeros(1 << SLOT_BITS, np.uint8)
+    row = (((np.arange(LOW_MASK + 1) * UNDO) & LOW_MASK) & (len(short3) - 1)).astype(np.int32)
+    size = len(short3)
+    for r in cells.mapInArrow(lay_out, LAID_OUT).toLocalIterator():  # the model's own arrays
+        spread = np.frombuffer(r.spread, np.int32)
+        row[spread] = size + np.arange(len(spread))
+        size += len(spread)
+        low.append(np.frombuffer(r.low, np.float16).reshape(-1, 32))
+        low_seen.append(np.frombuffer(r.low_seen, np.uint8))
+        at = slice(r.part * width, (r.part + 1) * width)
+        high[at], high_seen[at] = np.frombuffer(r.high, np.float16).reshape(-1, 32), np.frombuffer(r.high_seen, np.uint8)
+    held.unpersist()
+
+    by = within.reshape(32, 64, 256)
     member = (classes[None, :] == np.arange(32)[:, None]).astype(float)
     flat = by.sum(1) + member * 0.05
     flat /= np.maximum(flat.sum(1, keepdims=True), 1e-9)
     p = (by + 2 * flat[:, None, :]) / (by.sum(2, keepdims=True) + 2)
     log_byte = np.log10(np.maximum(p, 1e-12)).astype(np.float32).reshape(-1)
-    return Model(classes, row, low, low_seen, high, high_seen, second.w.astype(np.float32), log_byte)
+    return Model(classes, row, np.concatenate(low), np.concatenate(low_seen), high, high_seen, second.astype(np.float32), log_byte)
 
 
-def log_probabilities(m: Model, cell, slot, byte) -> np.ndarray:
+def log_probabilities(m: Model, cell, byte) -> np.ndarray:
     """log10 P of each position."""
-    symbol = cell & np.uint32(31)
-    row = m.row[cell >> np.uint32(BITS)]
+    symbol = cell.astype(np.uint32) & np.uint32(31)
+    row = m.row[cell >> np.uint64(CELL_BITS - BITS * ORDER)]
+    slot = ((cell >> np.uint64(INNER_BITS)).astype(np.uint32) << np.uint32(SLOT_BITS - PART_BITS)) | slot_in_part(cell)
     gate = (m.high_seen[slot].astype(np.int32) * 6 + m.low_seen[row]) * BITS
     out = np.zeros(len(cell), np.float32)
     for d in range(BITS):
@@ -315,11 +450,26 @@ def log_probabilities(m: Model, cell, slot, byte) -> np.ndarray:
     return out * np.float32(1 / np.log(10)) + m.log_byte[byte]
 
 
-def byte_classes(sample: list[bytes]) -> np.ndarray:
+def byte_histogram(rows: DataFrame, only) -> np.ndarray:
+    """How often each byte occurs in all training texts."""
+
+    def count(batches):
+        n = np.zeros(256, np.int64)
+        for d, _, texts in text_chunks(batches):
+            n += np.bincount(np.frombuffer(b"".join(t or b"" for t, k in zip(texts, only(d)) if k), np.uint8), minlength=256)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256), pa.int32()), pa.array(n)], names=["byte", "n"])
+
+    out = np.zeros(256, np.int64)
+    for r in rows.mapInArrow(count, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect():  # 256 rows
+        out[r.byte] = r.n
+    return out
+
+
+def byte_classes(histogram: np.ndarray) -> np.ndarray:
     """The 31 most frequent case-folded bytes get a class each (ties by byte), the others share one."""
     fold = np.arange(256)
     fold[65:91] += 32
-    n = np.bincount(fold[np.frombuffer(b"".join(sample), np.uint8)], minlength=256)
+    n = np.bincount(fold, histogram, 256)
     n[0] = 0  # the end symbol belongs to the rest
     best = sorted(np.flatnonzero(n), key=lambda b: (-n[b], b))[:REST]
     out = np.full(256, REST, np.uint8)
@@ -328,15 +478,10 @@ def byte_classes(sample: list[bytes]) -> np.ndarray:
     return out
 
 
-def draw_sample(rows: DataFrame, folds: int, fold: int) -> list[bytes]:
-    """At most 2 * SAMPLE_DOCS whole-or-cut training texts, chosen by a hash of the id."""
-    train = rows.where((F.col("d") != LAST_ID) & F.col("text").isNotNull()
-                       & (F.crc32(F.col("d").cast("string").cast("binary")) % folds != fold))
-    n = train.count()
-    draw = F.xxhash64(F.lit(3), "d", "r")
-    got = (train.where(F.pmod(draw, F.lit(1 << 30)) < F.lit((1 << 30) * min(1.0, SAMPLE_DOCS / max(1, n))))
-           .select(draw.alias("k"), F.substring("text", 1, SAMPLE_BYTES).alias("t")).orderBy("k", "t").limit(2 * SAMPLE_DOCS).collect())
-    return [r.t.encode()[:SAMPLE_BYTES] for r in got]
+def learn(rows: DataFrame, only, path: str) -> Model:
+    """The model of the texts of ``rows`` (d, r, text) that ``only`` picks by d."""
+    classes = byte_classes(byte_histogram(rows, only))
+    return fit(land(gather_counts(rows, classes, only), path), classes)
 
 
 def score_rows(rows: DataFrame, model: Model) -> DataFrame:
@@ -360,14 +505,6 @@ def _word_keys(texts):
     return t.doc, t.value
 
 
-def _of_document(d, r, key, times, n):
-    """Hits of a slice summed by document."""
-    order = np.lexsort((r, d))
-    d, r, times, n = d[order], r[order], times[order], n[order]
-    at = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (r[1:] != r[:-1])))
-    return d[at], r[at], np.add.reduceat(times, at), np.add.reduceat(times * np.log10(n + 1.0), at)
-
-
 def _table_sums(batches):
     for b in batches:
         n = [unpack(x, np.int64) for x in b.column("n").to_pylist()]
@@ -383,16 +520,15 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     def only(d):
         return training(d, folds, fold)
 
-    sample = draw_sample(rows, folds, fold)
-    classes = byte_classes(sample)
-    model = fit(*gather_counts(rows, classes, only), classes, sample)
+    model = learn(rows, only, f"{base}/cells")
+    release(spark)
     scored = land(score_rows(rows, model), f"{base}/scores")
 
     buckets = bucket_count(text_bytes(rows) / 12)
     words = land(count_keys(rows, _word_keys, buckets, occurrences=True, only=only), f"{base}/words")
     release(spark)
-    parts = look_up(rows, _word_keys, words, buckets, _of_document, "d long, r long, known long, logs double")
-    parts = land(parts.groupBy("d", "r").agg(F.sum("known").alias("known"), F.sum("logs").alias("logs")), f"{base}/parts")
+    parts = sum_by_document(rows, _word_keys, words, buckets, lambda n: np.log10(n + 1.0))
+    parts = land(parts.groupBy("d", "r").agg(F.sum("hits").alias("known"), F.sum("value").alias("logs")), f"{base}/parts")
     release(spark)
     sums = words.mapInArrow(_table_sums, "v long, n long").agg(F.sum("v"), F.sum("n")).first()
     held_out = F.coalesce(F.crc32(F.col("d").cast("string").cast("binary")) % folds == fold, F.lit(False)) & (F.col("d") != LAST_ID)

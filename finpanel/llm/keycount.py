@@ -15,10 +15,12 @@ It must depend on the text alone.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,8 +100,28 @@ def _different(owner: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.add.reduceat((owner != first).astype(np.int64), at) if len(at) else at
 
 
-def _joined(parts: list[np.ndarray], kind) -> np.ndarray:
-    return np.concatenate(parts) if parts else np.zeros(0, kind)
+@dataclass(frozen=True)
+class _Counted:
+    """Distinct sorted keys of slices merged so far: count, one owner, whether another was met."""
+
+    key: np.ndarray
+    n: np.ndarray
+    owner: np.ndarray
+    shared: np.ndarray
+
+    @staticmethod
+    def none() -> _Counted:
+        return _Counted(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
+
+    @staticmethod
+    def folded(parts: list[_Counted]) -> _Counted:
+        key, n, owner, shared = (np.concatenate([getattr(x, f) for x in parts]) for f in ("key", "n", "owner", "shared"))
+        if not len(key):
+            return _Counted.none()
+        order = np.argsort(key, kind="stable")
+        key, n, owner, shared = key[order], n[order], owner[order], shared[order]
+        at = _starts(key)
+        return _Counted(key[at], np.add.reduceat(n, at), owner[at], np.logical_or.reduceat(shared, at) | (_different(owner, at) > 0))
 
 
 def count_keys(docs: DataFrame, keys: Keys, buckets: int, occurrences: bool = False, only=None) -> DataFrame:
@@ -122,19 +144,21 @@ def count_keys(docs: DataFrame, keys: Keys, buckets: int, occurrences: bool = Fa
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x], f.type) for x, f in zip((b, pack(key[i:j]), *owners, pack(n[i:j].astype(np.uint32))), SENT)], schema=SENT)
 
-    def merge(part: pa.Table) -> pa.Table:
-        rows = part.to_pylist()
-        key = _joined([unpack(x["keys"], np.uint64) for x in rows], np.uint64)
-        n = _joined([unpack(x["n"], np.uint32) for x in rows], np.uint32).astype(np.int64)
-        order = np.argsort(key, kind="stable")
-        key, n = key[order], n[order]
-        at = _starts(key)
-        total = np.add.reduceat(n, at)
-        if not occurrences:  # one text, met in several tasks, is not shared
-            owner = _joined([np.frombuffer(x["owners"], np.int64)[unpack(x["place"], np.uint32)] for x in rows], np.int64)[order]
-            shared = (_different(owner, at) > 0) | (np.maximum.reduceat(n, at) > 1)
-            at, total = at[shared], total[shared]
-        return pa.table([pa.array([x], f.type) for x, f in zip((rows[0]["bucket"], pack(key[at]), pack(total)), TABLE)], schema=TABLE)
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held, waiting, n_waiting = None, _Counted.none(), [], 0
+        for batch in batches:
+            for i in range(batch.num_rows):  # one slice in Python's memory at a time
+                x = {f.name: batch.column(f.name)[i].as_py() for f in SENT}
+                n = unpack(x["n"], np.uint32).astype(np.int64)
+                # Without occurrences the slices' owners tell whether a key's texts differ.
+                owner = np.zeros(len(n), np.int64) if occurrences else np.frombuffer(x["owners"], np.int64)[unpack(x["place"], np.uint32)]
+                waiting.append(_Counted(unpack(x["keys"], np.uint64), n, owner, n > 1))
+                bucket, n_waiting = x["bucket"], n_waiting + len(n)
+                if n_waiting >= BUCKET_KEYS:
+                    held, waiting, n_waiting = _Counted.folded([held, *waiting]), [], 0
+        held = _Counted.folded([held, *waiting])
+        keep = slice(None) if occurrences else held.shared
+        yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((bucket, pack(held.key[keep]), pack(held.n[keep])), TABLE)], schema=TABLE)
 
     sent = docs.mapInArrow(emit, "bucket int, keys binary, place binary, owners binary, n binary")
     return sent.groupBy("bucket").applyInArrow(merge, "bucket int, keys binary, n binary")
@@ -145,6 +169,9 @@ REQUEST = pa.schema([("bucket", pa.int32()), ("asked", pa.binary()), ("place", p
                      ("d", pa.binary()), ("r", pa.binary())])
 
 
+FLUSHED = REQUEST.append(pa.field("flush", pa.int64()))
+
+
 def look_up(docs: DataFrame, keys: Keys, table: DataFrame, buckets: int, answer, schema: str) -> DataFrame:
     """Each document's keys against a table of ``count_keys``.
 
@@ -183,6 +210,57 @@ def look_up(docs: DataFrame, keys: Keys, table: DataFrame, buckets: int, answer,
     return asked.join(table, "bucket").mapInArrow(resolve, schema)
 
 
+#: Partial sums of one flush and bucket: its documents' row keys and two numbers of each.
+PARTIAL = pa.schema([("flush", pa.int64()), ("d", pa.binary()), ("r", pa.binary()), ("hits", pa.binary()), ("value", pa.binary())])
+
+
+def sum_by_document(docs: DataFrame, keys: Keys, table: DataFrame, buckets: int, value: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """(d, r, hits, value): how many keys of a document (with repeats) ``table`` has, and the sum
+    of ``value(count)`` over them. A document's keys lie in one flush, so the partial sums of
+    its buckets travel in blocks and one row per document (and flush) comes out."""
+
+    def ask(batches):
+        task = TaskContext.get().partitionId() << 32  # a task run again numbers its flushes alike
+        for k, (d, r, row, key) in enumerate(gathered(batches, keys)):
+            row, key, times = pairs(row, key)
+            for b, i, j in slices(key, buckets):
+                here, place = np.unique(row[i:j], return_inverse=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x], f.type) for x, f in zip((b, pack(key[i:j]), pack(place.astype(np.uint32)), pack(times[i:j].astype(np.uint32)),
+                                                            d[here].tobytes(), r[here].tobytes(), task + k), FLUSHED)], schema=FLUSHED)
+
+    def resolve(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                x = {name: b.column(name)[i].as_py() for name in ("asked", "place", "times", "d", "r", "flush", "keys", "n")}
+                known, n, key = unpack(x["keys"], np.uint64), unpack(x["n"], np.int64), unpack(x["asked"], np.uint64)
+                if not len(known):
+                    continue
+                at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+                hit = np.flatnonzero(known[at] == key)
+                place, times = unpack(x["place"], np.uint32)[hit], unpack(x["times"], np.uint32)[hit].astype(np.float64)
+                d, r = np.frombuffer(x["d"], np.int64), np.frombuffer(x["r"], np.int64)
+                hits = np.bincount(place, times, len(d))
+                total = np.bincount(place, times * value(n[at[hit]]), len(d))
+                met = np.flatnonzero(hits)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], f.type) for v, f in zip((x["flush"], d[met].tobytes(), r[met].tobytes(), hits[met].tobytes(), total[met].tobytes()), PARTIAL)],
+                    schema=PARTIAL)
+
+    def add(part: pa.Table) -> pa.Table:  # at most FLUSH_KEYS and one chunk of documents and buckets
+        d, r = (np.concatenate([np.frombuffer(x, np.int64) for x in part.column(c).to_pylist()]) for c in ("d", "r"))
+        hits, total = (np.concatenate([np.frombuffer(x, np.float64) for x in part.column(c).to_pylist()]) for c in ("hits", "value"))
+        order = np.lexsort((total, r, d))  # a fixed order of summation
+        d, r, hits, total = d[order], r[order], hits[order], total[order]
+        at = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (r[1:] != r[:-1]))) if len(d) else np.zeros(0, np.int64)
+        sums = [np.add.reduceat(x, at) if len(at) else x for x in (hits, total)]
+        return pa.table([pa.array(d[at]), pa.array(r[at]), pa.array(sums[0].astype(np.int64)), pa.array(sums[1])], names=["d", "r", "hits", "value"])
+
+    asked = docs.mapInArrow(ask, "bucket int, asked binary, place binary, times binary, d binary, r binary, flush long")
+    partial = asked.join(table, "bucket").mapInArrow(resolve, "flush long, d binary, r binary, hits binary, value binary")
+    return partial.groupBy("flush").applyInArrow(add, "d long, r long, hits long, value double")
+
+
 def text_bytes(docs: DataFrame) -> int:
     """Bytes of all texts: sizes the buckets."""
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -38,23 +38,50 @@ def test_base_score_and_model(docs_of, rng):
     assert cm.lm_scores(docs_of([])).count() == 0
 
 
-def test_next_symbols_sum_to_one(rng):
-    sample = [t.encode() for _, t, *_ in corpus(rng) if t]
-    classes = cm.byte_classes(sample)
-    _, cell, slot, byte = cm.positions(sample, classes)
+def model_of(docs, path):
+    return cm.learn(cm.keyed(docs, "doc_id", "text"), lambda d: np.ones(len(d), bool), str(path / "cells"))
 
-    def counted(x):
-        return np.unique(x.astype(np.int64), return_counts=True)
 
-    model = cm.fit(counted(cell), counted((slot << np.uint32(cm.BITS)) | (cell & np.uint32(31))), np.bincount(byte, minlength=1 << 19).astype(float), classes, sample)
+def log_p(model, text, at):
+    _, cell, byte = cm.positions([text], model.classes)
+    return float(cm.log_probabilities(model, cell[at:at + 1], byte[at:at + 1])[0])
+
+
+def test_next_symbols_sum_to_one(docs_of, rng, tmp_path):
+    model = model_of(docs_of(corpus(rng)), tmp_path)
     for prefix in (b"", b"the th", "über der W".encode()):
-        total = 0.0
-        for b in range(256):
-            _, *at = cm.positions([prefix + bytes([b])], classes)
-            total += 10 ** float(cm.log_probabilities(model, *[x[len(prefix):len(prefix) + 1] for x in at])[0])
+        total = sum(10 ** log_p(model, prefix + bytes([b]), len(prefix)) for b in range(256))
         assert abs(total - 1) < 2e-2
 
 
+def test_counts_as_brute_force(docs_of, rng, tmp_path):
+    rows = [(k, "".join(rng.choice("ab é") for _ in range(rng.randrange(90))), "x", "s") for k in range(60)]
+    classes = cm.byte_classes(np.bincount(np.frombuffer("".join(r[1] for r in rows).encode(), np.uint8), minlength=256))
+    want = collections.Counter()
+    for _, t, *_ in rows:
+        c = [int(classes[0])] * cm.HIGH + [int(classes[b]) for b in t.encode() + b"\0"]
+        want.update(tuple(c[i - cm.HIGH:i + 1]) for i in range(cm.HIGH, len(c)))
+    table = cm.gather_counts(cm.keyed(docs_of(rows), "doc_id", "text"), classes, lambda d: np.ones(len(d), bool))
+    got = collections.Counter()
+    for r in table.where(f"part < {1 << cm.PART_BITS}").collect():
+        for cell, n in zip(cm.unpack(bytes(r.cell), np.uint64).tolist(), cm.unpack(bytes(r.n), np.int64).tolist()):
+            low = ((cell >> 15) * cm.UNDO) & cm.LOW_MASK
+            context = (((cell >> 5) & 1023) << 20) | low
+            got[tuple((context >> 5 * k) & 31 for k in reversed(range(cm.HIGH))) + (cell & 31,)] += n
+    assert got == want
+
+
+def test_learns_from_every_position(docs_of, tmp_path):
+    """What stands behind thousands of bytes, in one document of many, still gets its own class and counts."""
+    rows = [(k, "the cat sat on the mat " * 3, "x", "s") for k in range(700)]
+    tail = (5000, "a" * 3000 + "жукжук" * 400, "x", "s")
+    plain, taught = model_of(docs_of(rows), tmp_path / "one"), model_of(docs_of([*rows, tail]), tmp_path / "two")
+    seen = "жук".encode()
+    assert (taught.classes[list(seen)] != cm.REST).all() and (plain.classes[list(seen)] == cm.REST).all()
+    assert log_p(taught, seen * 2, len(seen)) > log_p(plain, seen * 2, len(seen)) + 1
+    assert log_p(taught, b"the ca", 5) > -0.3
+
+
 def test_language_held_out(docs_of, rng):
     rows = corpus(rng)
     docs = docs_of(rows)
