@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finpanel.llm.common import LAST_ID, keyed, land, public_id, release, run_dir, text_chunks, word_tokens
+from finpanel.llm.common import LAST_ID, SPACE, keyed, land, public_id, release, run_dir, text_chunks, word_tokens
 from finpanel.llm.keycount import bucket_count, count_keys, pack, sum_by_document, text_bytes, unpack
 
 ORDER, HIGH, BITS = 4, 6, 5
@@ -54,6 +54,7 @@ INNER_BITS = CELL_BITS - PART_BITS
 ODD = 0x9E3779B1  # a fixed odd multiplier; modulo a power of two it only scrambles
 UNDO = pow(ODD, -1, LOW_MASK + 1)
 SHORT = 32 * 32 * 2 * 256  # (class, class before, case before, byte)
+SCORED = 1 << 20  # positions that are scored at a time
 HOLD = 1 << 21  # positions, and distinct cells, that a map task holds before it merges, or sends
 REST = 31
 STEPS_OF_WEIGHTS, DAMPING, LONGEST_STEP = 4, 4.0, 0.5
@@ -434,20 +435,31 @@ def fit(table: DataFrame, classes: np.ndarray) -> Model:
 
 
 def log_probabilities(m: Model, cell, byte) -> np.ndarray:
-    """log10 P of each position."""
-    symbol = cell.astype(np.uint32) & np.uint32(31)
+    """log10 P of each position; a context and class that occur often are worked out once."""
+    order = np.argsort(cell)
+    ordered = cell[order]
+    new = np.append(True, ordered[1:] != ordered[:-1])[:len(cell)]
+    value = np.empty(len(cell), np.float32)
+    value[order] = _class_log_probabilities(m, ordered[new])[np.cumsum(new) - 1]
+    return value + m.log_byte[byte]
+
+
+def _class_log_probabilities(m: Model, cell) -> np.ndarray:
+    """log10 P(class) of each cell."""
+    symbol = cell.astype(np.int64) & 31
     row = m.row[cell >> np.uint64(CELL_BITS - BITS * ORDER)]
-    slot = ((cell >> np.uint64(INNER_BITS)).astype(np.uint32) << np.uint32(SLOT_BITS - PART_BITS)) | slot_in_part(cell)
-    gate = (m.high_seen[slot].astype(np.int32) * 6 + m.low_seen[row]) * BITS
+    slot = (cell >> np.uint64(INNER_BITS)).astype(np.int64) << (SLOT_BITS - PART_BITS) | slot_in_part(cell)
+    gate = (m.high_seen[slot].astype(np.int64) * 6 + m.low_seen[row]) * BITS
+    low, high, weights = m.low.reshape(-1), m.high.reshape(-1), np.ascontiguousarray(m.weights.T)
+    in_low, in_high = row.astype(np.int64) * 32, slot * 32
     out = np.zeros(len(cell), np.float32)
     for d in range(BITS):
-        node = (np.uint32(32) | symbol) >> np.uint32(BITS - d)
-        w = m.weights[gate + d]
-        s = w[:, 0] * m.low[row, node] + w[:, 1] * m.high[slot, node] + w[:, 2] * np.float32(0.3)
-        up = (symbol >> np.uint32(BITS - 1 - d)) & np.uint32(1)
-        s = np.clip(np.where(up == 1, s, -s), -15, 15)
-        out -= np.log1p(np.exp(-s))
-    return out * np.float32(1 / np.log(10)) + m.log_byte[byte]
+        node, g = (32 | symbol) >> (BITS - d), gate + d
+        s = weights[0].take(g) * low.take(in_low + node) + weights[1].take(g) * high.take(in_high + node) + weights[2].take(g) * np.float32(0.3)
+        up = (symbol >> (BITS - 1 - d)) & 1
+        s *= (1 - 2 * up).astype(np.float32)
+        out -= np.log1p(np.exp(np.clip(s, -15, 15, out=s), out=s), out=s)
+    return out * np.float32(1 / np.log(10))
 
 
 def byte_histogram(rows: DataFrame, only) -> np.ndarray:
@@ -484,18 +496,36 @@ def learn(rows: DataFrame, only, path: str) -> Model:
     return fit(land(gather_counts(rows, classes, only), path), classes)
 
 
+def count_words(texts: list) -> np.ndarray:
+    """Words of each text."""
+    start = np.cumsum([0] + [len(t or b"") + 1 for t in texts])
+    inside = ~SPACE[np.frombuffer(b"\n" + b"\n".join(t or b"" for t in texts) + b"\n", np.uint8)]
+    return np.diff(np.searchsorted(np.flatnonzero(inside[1:] & ~inside[:-1]), start))
+
+
 def score_rows(rows: DataFrame, model: Model) -> DataFrame:
     """(d, r, n_bytes, words, score): the model's log10 probability of each whole text."""
     held = rows.sparkSession.sparkContext.broadcast(model)  # of fixed size, see Model
 
     def score(batches):
         m = held.value
+        waiting, size = [], 0
+
+        def done():
+            d, r, n_bytes, words, row, cell, byte = (np.concatenate(x) for x in zip(*waiting))
+            total = np.bincount(row, weights=log_probabilities(m, cell, byte), minlength=len(d))
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (d, r, n_bytes, words, total)], names=["d", "r", "n_bytes", "words", "score"])
+
+        n = 0
         for d, r, texts in text_chunks(batches):
-            row, *at = positions(texts, m.classes)
-            total = np.bincount(row, weights=log_probabilities(m, *at), minlength=len(texts))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(d), pa.array(r), pa.array([len(t or b"") for t in texts], pa.int64()),
-                 pa.array(word_tokens(texts).count.astype(np.int64)), pa.array(total)], names=["d", "r", "n_bytes", "words", "score"])
+            row, cell, byte = positions(texts, m.classes)
+            waiting.append((d, r, np.array([len(t or b"") for t in texts], np.int64), count_words(texts).astype(np.int64), row + n, cell, byte))
+            n, size = n + len(d), size + len(cell)
+            if size >= SCORED:
+                yield done()
+                waiting, size, n = [], 0, 0
+        if waiting:
+            yield done()
 
     return rows.mapInArrow(score, "d long, r long, n_bytes long, words long, score double")
 
