@@ -40,6 +40,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,8 +55,8 @@ INNER_BITS = CELL_BITS - PART_BITS
 ODD = 0x9E3779B1  # a fixed odd multiplier; modulo a power of two it only scrambles
 UNDO = pow(ODD, -1, LOW_MASK + 1)
 SHORT = 32 * 32 * 2 * 256  # (class, class before, case before, byte)
-SCORED = 1 << 20  # positions that are scored at a time
-HOLD = 1 << 21  # positions, and distinct cells, that a map task holds before it merges, or sends
+SCORED = 1 << 19  # positions that are scored at a time
+HOLD = 1 << 20  # positions, and distinct cells, that a map task holds before it merges, or sends
 REST = 31
 STEPS_OF_WEIGHTS, DAMPING, LONGEST_STEP = 4, 4.0, 0.5
 DELTA = 0.3
@@ -503,9 +504,8 @@ def count_words(texts: list) -> np.ndarray:
     return np.diff(np.searchsorted(np.flatnonzero(inside[1:] & ~inside[:-1]), start))
 
 
-def score_rows(rows: DataFrame, model: Model) -> DataFrame:
-    """(d, r, n_bytes, words, score): the model's log10 probability of each whole text."""
-    held = rows.sparkSession.sparkContext.broadcast(model)  # of fixed size, see Model
+def score_rows(rows: DataFrame, held: Broadcast) -> DataFrame:
+    """(d, r, n_bytes, words, score): the held model's log10 probability of each whole text."""
 
     def score(batches):
         m = held.value
@@ -550,9 +550,10 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     def only(d):
         return training(d, folds, fold)
 
-    model = learn(rows, only, f"{base}/cells")
+    held = spark.sparkContext.broadcast(learn(rows, only, f"{base}/cells"))  # bounded, see Model
     release(spark)
-    scored = land(score_rows(rows, model), f"{base}/scores")
+    scored = land(score_rows(rows, held), f"{base}/scores")
+    held.unpersist()
 
     buckets = bucket_count(text_bytes(rows) / 12)
     words = land(count_keys(rows, _word_keys, buckets, occurrences=True, only=only), f"{base}/words")

@@ -32,6 +32,8 @@ Keys = Callable[[list], tuple[np.ndarray, np.ndarray]]
 BUCKET_KEYS = 1_200_000
 #: Keys that a map task gathers before it sorts and sends them.
 FLUSH_KEYS = 800_000
+#: Keys of a bucket that wait before they are added to those counted so far.
+FOLD_KEYS = 400_000
 
 
 def bucket_count(n_keys: float) -> int:
@@ -154,7 +156,7 @@ def count_keys(docs: DataFrame, keys: Keys, buckets: int, occurrences: bool = Fa
                 owner = np.zeros(len(n), np.int64) if occurrences else np.frombuffer(x["owners"], np.int64)[unpack(x["place"], np.uint32)]
                 waiting.append(_Counted(unpack(x["keys"], np.uint64), n, owner, n > 1))
                 bucket, n_waiting = x["bucket"], n_waiting + len(n)
-                if n_waiting >= BUCKET_KEYS:
+                if n_waiting >= FOLD_KEYS:
                     held, waiting, n_waiting = _Counted.folded([held, *waiting]), [], 0
         held = _Counted.folded([held, *waiting])
         keep = slice(None) if occurrences else held.shared
