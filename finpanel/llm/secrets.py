@@ -9,7 +9,8 @@ the tests more power, so lengths do not share a threshold), decides which candid
 rejected as not random; the others become spans of kind ``random``.
 
 All of it is Spark SQL expressions. The corpus-wide step is a histogram of p-values per
-encoding and band (at most 4 x 64 strata of 10,001 bins).
+encoding and band, on a logarithmic scale (at most 4 x 64 strata of some 30,000 bins), so that
+small p-values stay apart however many candidates there are.
 
 Defined cases: null counts as empty and has no spans; positions are code points, end
 exclusive; every input row gives one row, repeated ids included; an empty table gives none.
@@ -34,22 +35,42 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{%d,}" % CANDIDATE_MIN
 ALPHABETS = {"hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
              "alnum": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
              "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
-BINS = 10_000
+#: Bins of p-values per factor of two.
+OCTAVE = 256
+
+
+#: Matches that one fold appends to its list; a text's folds are joined by their offsets.
+FOLD = 256
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def found(text: Column, pattern: str) -> Column:
     """All leftmost non-overlapping matches: array of (s, e, m), code points, e exclusive."""
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,m:string>>").alias("out"))
+    kind = "array<struct<s:int,e:int,m:string>>"
+    none = F.array().cast(kind)
+    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def step(acc, x):
         s = acc["at"] + F.length(x["gap"])
         e = s + F.length(x["m"])
         return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))).alias("out"))
 
+    def folds(pairs):
+        last = F.floor((F.size(pairs) - 1) / FOLD).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.aggregate(F.slice(pairs, k * FOLD + 1, F.lit(FOLD)), start, step))
+
+    def joined(parts):
+        offsets = F.aggregate(parts, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x["at"])))
+        return F.flatten(F.zip_with(parts, F.slice(offsets, F.lit(1), F.size(parts)), lambda part, off: F.transform(
+            part["out"], lambda x: F.struct((x["s"] + off).alias("s"), (x["e"] + off).alias("e"), x["m"].alias("m")))))
+
     pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
-    none = F.array().cast("array<struct<s:int,e:int,m:string>>")
-    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(pairs, start, step, lambda a: a["out"])).otherwise(none)
+    return F.when(F.rlike(text, F.lit(pattern)), _once(pairs, lambda p: _once(folds(p), joined))).otherwise(none)
 
 
 def _upper_tail(z: Column) -> Column:
@@ -94,14 +115,20 @@ def battery(s: Column) -> Column:
                     F.get(F.transform(F.array(v), tests), F.lit(0)).alias("p"))
 
 
-def thresholds(tested: DataFrame, alpha: float) -> dict[str, float]:
-    """Benjamini-Hochberg on binned p-values: stratum -> largest p that is rejected (-1: none)."""
-    hist = (tested.select(F.concat_ws("/", "encoding", "band").alias("stratum"), F.floor(F.col("p") * BINS).alias("bin"))
+def _bin(p: Column) -> Column:
+    """Place of a p-value on a logarithmic scale: bins a factor of 2 ** (1 / OCTAVE) wide, 0 at p = 1."""
+    return F.floor(F.log2(F.greatest(p, F.lit(1e-300))) * -OCTAVE).cast("int")
+
+
+def thresholds(tested: DataFrame, alpha: float) -> dict[str, int]:
+    """Benjamini-Hochberg on the logarithmic scale: stratum -> first bin that is rejected, and with it all
+    smaller p-values (strata without one are left out)."""
+    hist = (tested.select(F.concat_ws("/", "encoding", "band").alias("stratum"), _bin(F.col("p")).alias("bin"))
             .groupBy("stratum", "bin").agg(F.count(F.lit(1)).alias("n")))
-    upto = Window.partitionBy("stratum").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("stratum").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
     ranked = hist.withColumn("k", F.sum("n").over(upto)).withColumn("m", F.sum("n").over(Window.partitionBy("stratum")))
-    passed = F.when((F.col("bin") + 1) / BINS <= F.col("k") * alpha / F.col("m"), (F.col("bin") + 1) / BINS).otherwise(-1.0)
-    return {r["stratum"]: r["p"] for r in ranked.groupBy("stratum").agg(F.max(passed).alias("p")).collect()}
+    passed = ranked.where(F.pow(F.lit(2.0), -F.col("bin") / OCTAVE) <= F.col("k") * alpha / F.col("m"))
+    return {r["stratum"]: r["bin"] for r in passed.groupBy("stratum").agg(F.min("bin").alias("bin")).collect()}
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = 0.05) -> DataFrame:
@@ -120,11 +147,10 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.select("id", "base", F.transform(free, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), battery(x["m"]).alias("t"))).alias("runs"))
     rows = land(rows, f"{run_dir(docs.sparkSession, 'secrets')}/rows")
     cut = thresholds(rows.select(F.explode("runs").alias("x")).select("x.t.*"), alpha)
-    if cut:
-        limit = F.create_map(*[F.lit(x) for kv in sorted(cut.items()) for x in kv])
-        flagged = F.filter("runs", lambda x: x["t"]["p"] > F.element_at(limit, F.concat_ws("/", x["t"]["encoding"], x["t"]["band"])))
-    else:
-        flagged = F.filter("runs", lambda x: F.lit(False))
+    # A map with one entry that no stratum has stands for "nothing rejected".
+    first = F.create_map(*[F.lit(x) for kv in sorted((cut | {"": 0}).items()) for x in kv])
+    rejected = lambda t: _bin(t["p"]) >= F.coalesce(F.try_element_at(first, F.concat_ws("/", t["encoding"], t["band"])), F.lit(1 << 30))
+    flagged = F.filter("runs", lambda x: ~rejected(x["t"]))
     extra = F.transform(flagged, lambda x: F.struct(x["s"].alias("s"), F.lit(3).alias("rank"), x["e"].alias("e")))
     return rows.select("id", F.array_sort(F.concat("base", extra)).alias("spans"))
 

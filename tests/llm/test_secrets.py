@@ -31,5 +31,21 @@ def test_battery_tells_random_from_patterned(docs_of, rng):
     assert not any(3 in got[k] for k in got if k >= 1000)
 
 
+def test_patterned_stays_rejected_among_many(docs_of, rng):
+    letters = secrets.ALPHABETS["alnum"]
+    walk = "0123456789abcdefghijklmnopqrstuvwxyzABCD"
+    for n in (300, 6000):
+        rows = [(k, "".join(rng.choice(letters) for _ in range(40)) + "Q7") for k in range(n)] + [(10_000, walk)]
+        got = {r.id: [x["rank"] for x in r.spans] for r in secrets.secret_spans(docs_of(rows)).where("id = 10000 OR id < 50").collect()}
+        assert got[10_000] == [] and sum(v == [3] for k, v in got.items() if k < 50) >= 45
+
+
+def test_many_matches_in_one_text(docs_of, rng):
+    text = " x ".join("".join(rng.choice("0123456789abcdef") for _ in range(33)) for _ in range(9000))
+    out = secrets.secret_spans(docs_of([(1, text), (2, "a" * 40), (3, "0" * 255 + " token=12345678 " + "f" * 40)]))
+    got = {r.id: r.s for r in out.select("id", secrets.shown(secrets.F.filter("spans", lambda x: x["rank"] < 3)).alias("s")).collect()}
+    assert got == {1: brute(text), 2: brute("a" * 40), 3: brute("0" * 255 + " token=12345678 " + "f" * 40)}
+
+
 def test_empty(docs_of):
     assert secrets.secret_spans(docs_of([])).count() == 0
