@@ -32,12 +32,14 @@ Keys = Callable[[list], tuple[np.ndarray, np.ndarray]]
 BUCKET_KEYS = 1_200_000
 #: Keys that a map task gathers before it sorts and sends them.
 FLUSH_KEYS = 800_000
+#: The same where slices carry owners besides: rows of some 100 KB stay small objects in the JVM.
+OWNED_KEYS = 400_000
 #: Keys of a bucket that wait before they are added to those counted so far.
 FOLD_KEYS = 400_000
 
 
-def bucket_count(n_keys: float) -> int:
-    return max(12, int(n_keys / BUCKET_KEYS) + 1)
+def bucket_count(n_keys: float, each: int = BUCKET_KEYS) -> int:
+    return max(12, int(n_keys / each) + 1)
 
 
 def slices(keys: np.ndarray, buckets: int):
@@ -274,7 +276,7 @@ def shared_keys(docs: DataFrame, keys: Keys, n_keys: float, path: str) -> DataFr
     Two jobs over the texts: count, then ask. Counts are landed at ``path``.
     """
     from finpanel.llm.common import land, release
-    buckets = bucket_count(n_keys)
+    buckets = bucket_count(n_keys, OWNED_KEYS)
     table = land(count_keys(docs, keys, buckets), f"{path}/counts")
     release(docs.sparkSession)
     out = look_up(docs, keys, table, buckets, lambda d, r, key, times, n: (d, r, key.view(np.int64), n),
