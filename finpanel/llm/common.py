@@ -39,6 +39,12 @@ def land(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a table of this run that only landed tables were made from."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of finished phases (their results are landed).
 

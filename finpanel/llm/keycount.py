@@ -275,12 +275,13 @@ def shared_keys(docs: DataFrame, keys: Keys, n_keys: float, path: str) -> DataFr
 
     Two jobs over the texts: count, then ask. Counts are landed at ``path``.
     """
-    from finpanel.llm.common import land, release
+    from finpanel.llm.common import drop, land, release
     buckets = bucket_count(n_keys, OWNED_KEYS)
     table = land(count_keys(docs, keys, buckets), f"{path}/counts")
     release(docs.sparkSession)
     out = look_up(docs, keys, table, buckets, lambda d, r, key, times, n: (d, r, key.view(np.int64), n),
                   "d long, r long, key long, n long")
     out = land(out, f"{path}/shared")
+    drop(docs.sparkSession, f"{path}/counts")
     release(docs.sparkSession)
     return out

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finpanel.llm.common import Fingerprints, Tokens, land, release, run_dir, text_chunks
+from finpanel.llm.common import Fingerprints, Tokens, drop, land, release, run_dir, text_chunks
 from finpanel.llm.keycount import shared_keys
 
 
@@ -143,12 +143,15 @@ def covered_spans(rows: DataFrame, scheme: Scheme, n_keys: float) -> DataFrame:
     wanted = shared.join(equal, ["d", "r"], "left_anti").groupBy("d", "r").agg(F.collect_set("key").alias("keys"))
     reach = land(rows.join(wanted, ["d", "r"]).select("d", "r", "text", "keys").mapInArrow(
         _reach_rows(scheme), "d long, r long, key long, c1 long, c2 long, first long, last long"), f"{base}/reaches")
+    drop(spark, f"{base}/shared")
     release(spark)
     # Aggregates are landed before they are joined back, so that both sides of a join are
     # plain shuffles: AQE can then split a reach or window that very many documents hold.
     least = land(reach.groupBy("c1", "c2").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("least < most")
                  .select("c1", "c2", "least"), f"{base}/least")
     judged = land(reach.join(least, ["c1", "c2"], "left"), f"{base}/judged")
+    drop(spark, f"{base}/reaches")
+    release(spark)
     copies = judged.where("d > least").select("d", "r", "first", (F.col("last") + scheme.window).alias("end"))
     several = land(judged.groupBy("key").agg(F.min(F.struct("c1", "c2")).alias("a"), F.max(F.struct("c1", "c2")).alias("b"))
                    .where("a <> b").select("key"), f"{base}/several")
