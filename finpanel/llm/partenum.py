@@ -14,7 +14,9 @@ Sets that share a chosen signature are candidates. Equal sets are one class from
 start. First every group's members are compared with its smallest member only; after
 connected components, members of one group that are still apart are compared with each
 other. So a large group of near copies costs a comparison a member, and every link
-between different sets is either found or already implied by the components. Before two
+between different sets is either found or already implied by the components. Signatures
+that the very same sets share (near copies agree on most of theirs) give the same
+candidates, so one of them stands for all. Before two
 sets are compared whole, their sketches are: element counts in ``CELLS`` hash cells, whose
 distance never exceeds the number of differing elements, so no link is lost.
 
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finpanel.llm.common import (Fingerprints, fresh, keyed, land, mix64, public_id, release, row_key, run_dir, same_row,
+from finpanel.llm.common import (Fingerprints, drop, fresh, keyed, land, mix64, public_id, release, row_key, run_dir, same_row,
                                  text_chunks, word_tokens)
 from finpanel.llm.keycount import shared_keys, text_bytes
 
@@ -39,6 +41,8 @@ from finpanel.llm.keycount import shared_keys, text_bytes
 PARTITIONS, LEAST_PARTITIONS = 1.5, 4096
 #: Cells of a set's sketch (one byte each), and members of a group that one task compares with as many others.
 CELLS, BLOCK = 128, 256
+#: Pairs that a task remembers as found already (a pair found again later is dropped by ``distinct``).
+SEEN = 1 << 18
 #: Bands up to which LEAST_PARTITIONS holds: small sets, whose shingles then seldom share a partition.
 SMALL = 64
 
@@ -239,26 +243,37 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # A set with fewer partitions in use than it has to go by goes by the empty ones, too.
     poor = plan.where("used <= k").select(F.struct("d", "r").alias("node"), F.xxhash64(F.lit("empty"), "band").alias("key"))
     chosen = land(chosen.select(F.struct("d", "r").alias("node"), F.col("h.s").alias("key")).unionByName(poor), f"{base}/chosen")
+    drop(spark, f"{base}/shared")
     release(spark)
 
     known = classes.select(F.col("rep").alias("node"), "size", "sketch")
     # Landed before it is joined back: AQE can then split a signature that very many sets share.
-    lead = land(chosen.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a"), f"{base}/leads")
+    # Of the keys with the same members (told by their number and two hashes of them) one stays.
+    alike = [F.bit_xor(F.xxhash64(F.lit(salt), "node")).alias(f"x{salt}") for salt in (1, 2)]
+    groups = chosen.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count(F.lit(1)).alias("n"), *alike).where("a <> z")
+    lead = land(groups.groupBy("a", "z", "n", "x1", "x2").agg(F.min("key").alias("key")).select("key", "a"), f"{base}/leads")
     members = land(chosen.join(lead, "key"), f"{base}/members")
+    for name in ("chosen", "leads"):
+        drop(spark, f"{base}/{name}")
     release(spark)
     stars = members.where("node <> a").select("a", F.col("node").alias("b"))
     found = links(_close(stars, known, percent), rows, words, percent, f"{base}/first")
     roots = land(components(found, f"{base}/first-components"), f"{base}/first-roots")
     # Members of one group that are still apart.
-    placed = members.drop("a").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     apart = land(placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key"), f"{base}/apart")
     open_ = land(placed.join(apart, "key", "left_semi"), f"{base}/open")
+    for name in ("members", "apart"):
+        drop(spark, f"{base}/{name}")
     release(spark)
     tested = spark.read.schema(PAIR).parquet(f"{base}/first/pairs")
-    rest = _across(open_.join(known, "node"), percent).distinct().join(tested, ["a", "b"], "left_anti")
+    rest = _across(open_, known, percent).distinct().join(tested, ["a", "b"], "left_anti")
     more = links(rest, rows, words, percent, f"{base}/second")
     edges = more.unionByName(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")))
     final = land(components(edges, f"{base}/second-components"), f"{base}/second-roots")
+    for name in ("open", "first", "first-components", "first-roots", "second", "second-components"):
+        drop(spark, f"{base}/{name}")
+    release(spark)
 
     of_class = (classes.join(final, F.col("rep") == F.col("node"), "left")
                 .select("size", "c1", "c2", F.coalesce("root", "rep").alias("root")))
@@ -291,48 +306,55 @@ NODE = "struct<d:long,r:long>"
 PAIR = f"a {NODE}, b {NODE}"
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
+def _across(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of members of one key with different roots that sizes and sketches allow.
 
     A key's members are dealt into blocks of about BLOCK, and each pair of blocks is one
-    piece of work, so no task holds more than two blocks of a key, however large it is."""
+    piece of work, so no task holds more than two blocks of a key, however large it is. Keys
+    with the same smallest member follow one another: a pair they share is found once."""
     blocks = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     dealt = (members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+             .select("node", "key", F.xxhash64("a").alias("lead"), F.xxhash64("root").alias("root"), "block", "blocks").join(known, "node")
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
-                     "node.d", "node.r", F.xxhash64("root").alias("root"), "size", "sketch"))
-    dealt = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "block")
+             .select("lead", "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
+                     "node.d", "node.r", "root", "size", "sketch"))
+    piece = ["lead", "lo", "hi", "key"]
+    dealt = dealt.repartition(*piece[:3]).sortWithinPartitions(*piece, "block")
 
     def work(batches):
-        held: list = []
+        held, seen = [], set()
         for b in batches:
             for x in b.to_pylist():
-                if held and (x["key"], x["lo"], x["hi"]) != (held[0]["key"], held[0]["lo"], held[0]["hi"]):
-                    yield from compared(held)
+                if held and any(x[c] != held[0][c] for c in piece):
+                    yield from compared(held, seen)
+                    if x["lead"] != held[0]["lead"] or len(seen) > SEEN:
+                        seen.clear()
                     held = []
                 held.append(x)
         if held:
-            yield from compared(held)
+            yield from compared(held, seen)
 
-    def compared(rows):
+    def compared(rows, seen):
         if len(rows) < 2 or all(x["root"] == rows[0]["root"] for x in rows):
             return
         sketch = np.frombuffer(b"".join(x["sketch"] for x in rows), np.uint8).reshape(-1, CELLS)
-        d, r, root, size, block = (np.array([x[c] for x in rows], np.int64) for c in ("d", "r", "root", "size", "block"))
+        root, size, block = (np.array([x[c] for x in rows], np.int64) for c in ("root", "size", "block"))
+        node = [(x["d"], x["r"]) for x in rows]
         one = rows[0]["lo"] == rows[0]["hi"]
-        first, second = [], []
+        new = []
         for i in range(len(rows)):
             # Within one block every pair once; between two, those of different blocks.
             j = np.arange(i + 1, len(rows))
             j = j[(root[j] != root[i]) & (one | (block[j] != block[i]))]
             j = j[_sketch_close(sketch[j], sketch[i], size[j], size[i], percent)] if len(j) else j
-            first += [i] * len(j)
-            second += j.tolist()
-        if first:
-            i, j = np.array(first), np.array(second)
-            swap = (d[i] > d[j]) | ((d[i] == d[j]) & (r[i] > r[j]))
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([pa.array(d[k]), pa.array(r[k])], ["d", "r"]) for k in (i, j)], names=["a", "b"])
+            for k in j.tolist():
+                pair = (min(node[i], node[k]), max(node[i], node[k]))
+                if pair not in seen:
+                    seen.add(pair)
+                    new.append(pair)
+        if new:
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([pa.array([p[k][0] for p in new], pa.int64()), pa.array([p[k][1] for p in new], pa.int64())], ["d", "r"])
+                                              for k in (0, 1)], names=["a", "b"])
 
     return dealt.mapInArrow(work, PAIR)
 
@@ -344,6 +366,8 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stay = land(out.where("stays").groupBy("d", "r").agg((F.max("n_shingles") > 0).alias("set"), F.count(F.lit(1)).alias("n")), f"{base}/stay")
     # Rows that repeat id and text are one document: where there are any, one of them stays.
     again = stay.where("set AND n > 1")
+    drop(docs.sparkSession, f"{base}/groups")
+    release(docs.sparkSession)
     if again.isEmpty():
         return docs.join(stay, same_row(docs, id_col, text_col, stay), "left_semi")
     other = stay.where("NOT set OR n = 1")

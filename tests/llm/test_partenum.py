@@ -58,6 +58,17 @@ def test_one_of_each_group_stays(docs_of):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 9]
 
 
+def test_near_copies_of_a_large_group_are_compared_once(docs_of, rng, monkeypatch):
+    """Blocks smaller than the group, a memory of found pairs that is cleared, members apart from the first one."""
+    monkeypatch.setattr(partenum, "BLOCK", 8)
+    monkeypatch.setattr(partenum, "SEEN", 16)
+    words = [f"w{k}" for k in range(160)]
+    rows = [(k, " ".join(edited(rng, words, rng.choice((0.01, 0.02, 0.03))))) for k in range(40)]
+    docs = docs_of(rows + [(900, rows[3][1]), (901, " ".join(words))])
+    got = sorted(((r.id, r.n_shingles, r.component) for r in partenum.near_groups(docs).collect()), key=repr)
+    assert got == brute(rows + [(900, rows[3][1]), (901, " ".join(words))])
+
+
 def test_components(spark, tmp_path):
     path = [(k, k + 1) for k in range(60)] + [(100, 200), (300, 200), (7, 7)]
     out = partenum.components(spark.createDataFrame(path, "a long, b long"), str(tmp_path / "c"))
