@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from finpanel.llm.common import WORD, land, row_key, run_dir
 
 BUCKET_ROWS = 1024
+#: Columns of the result besides the levels.
+RESULT = ("id", "n_tokens", "copies", "d", "r")
 #: Leaves up to this many are broadcast (about 100 bytes each); beyond it the join shuffles.
 BROADCAST_LEAVES = 100_000
 
@@ -77,13 +79,14 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: list[dict[str, int]
 
     ``levels`` maps the level names, root first, to columns of ``docs``; ``weights`` has
     one {value: integer weight} per level; the budget is ``budget_share`` of all tokens.
+    A level named like another column of the result gets an underscore.
     """
     spark = docs.sparkSession
     base = run_dir(spark, "mix")
-    names = list(levels)
+    names = [f"level_{k}" for k in range(len(levels))]  # whatever they are called, no clash in here
     d, r = row_key(id_col, text_col)
     rows = land(docs.select(F.col(id_col).alias("id"), d.alias("d"), r.alias("r"), *[F.coalesce(c.cast("string"), F.lit("(none)")).alias(n)
-                                                         for n, c in levels.items()],
+                                                         for n, c in zip(names, levels.values())],
                             word_count(F.col(text_col)).alias("n_tokens")).where("n_tokens > 0"), f"{base}/rows")
     leaves = land(rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")),
                   f"{base}/leaves")
@@ -104,4 +107,5 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: list[dict[str, int]
     taken = (dealt.join(sums, key)
              .withColumn("upto", F.col("ahead") + F.sum("n_tokens").over(so_far))
              .withColumn("copies", F.col("epochs") + (F.col("upto") <= F.col("rest")).cast("long")))
-    return taken.where("copies > 0").select("id", *names, "n_tokens", "copies", "d", "r")
+    shown = [F.col(n).alias(f"{name}_" if name.lower() in RESULT else name) for n, name in zip(names, levels)]
+    return taken.where("copies > 0").select("id", *shown, "n_tokens", "copies", "d", "r")

@@ -3,7 +3,11 @@
 Per language a raw-content zstandard dictionary is built from a bounded sample of labelled
 texts. A text, letters only and lower-cased, is compressed in blocks with each language's
 dictionary; the language with the smallest total wins. The score is the relative margin to
-the runner-up, 1 - best / second; a margin below ``margin`` is rejected as narrow.
+the runner-up, 1 - best / second. Sizes of short texts tie to the byte; so where the margin
+is below ``margin``, the text is compressed again behind each piece of each dictionary, in
+one frame, and what it adds, over all pieces, is compared the same way: matches and letter
+frequencies then count by fractions of a byte. Still below ``margin``, it is rejected as
+narrow (with the first language and score).
 
 Learning (``learn``): about ``SAMPLE_ROWS`` rows per language, chosen by a hash of the id,
 give one excerpt of ``EXCERPT`` characters each, up to ``DICT_BYTES`` in all. The label
@@ -29,6 +33,8 @@ from finpanel.llm.common import fresh
 
 SAMPLE_ROWS, EXCERPT, DICT_BYTES = 150, 600, 32 << 10
 LEVEL, BLOCK = 6, 1024
+#: Bytes of dictionary in front of a narrow text, at a time.
+PIECE = 2048
 MARGIN = 0.004
 LETTER = re.compile(r"[^\W\d_]")
 #: ASCII letters and all bytes of longer characters stay; every other byte is a space.
@@ -76,6 +82,14 @@ def classify(text: Column, learned: list[tuple[str, bytes]], margin: float = MAR
                 d.precompute_compress(level=LEVEL)
             coders.append((lang, zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False,
                                                           write_content_size=False, write_dict_id=False)))
+        plain = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=False)
+        pieces = [[(p, len(plain.compress(p))) for p in (content[i:i + PIECE] for i in range(0, max(len(content), 1), PIECE))]
+                  for _, content in learned]
+
+        def added(blocks, k):
+            """Bytes that the blocks add to a piece of dictionary k, on average."""
+            return sum(len(plain.compress(p + b)) - n for b in blocks for p, n in pieces[k]) / len(pieces[k])
+
         for texts in parts:
             out = []
             for text in texts:
@@ -87,7 +101,12 @@ def classify(text: Column, learned: list[tuple[str, bytes]], margin: float = MAR
                 sizes = [(sum(len(c.compress(b)) for b in blocks), k) for k, (_, c) in enumerate(coders)]
                 sizes.sort()
                 score = 1.0 if len(sizes) == 1 else 1.0 - sizes[0][0] / sizes[1][0]
-                out.append((coders[sizes[0][1]][0], score, score < margin))
+                best = sizes[0][1]
+                if score < margin:
+                    finer = sorted((max(added(blocks, k), 1.0), k) for k in range(len(coders)))
+                    if 1.0 - finer[0][0] / finer[1][0] >= margin:
+                        score, best = 1.0 - finer[0][0] / finer[1][0], finer[0][1]
+                out.append((coders[best][0], score, score < margin))
             yield pd.DataFrame(out, columns=["lang", "score", "rejected"])
 
     return smallest(text)

@@ -52,5 +52,14 @@ def test_prefix_is_seeded_and_whole_epochs_repeat(docs_of, monkeypatch):
     assert one != {(r.id, r.copies) for r in mixing.mix(docs, levels(), [{}, {}], 1.5, seed=1).collect()}
 
 
+def test_level_names_do_not_clash(docs_of):
+    docs = docs_of([(k, "w " * (1 + k % 4), "xyz"[k % 3], "ab"[k % 2]) for k in range(60)])
+    want = {(r.id, r.copies, r.domain) for r in mixing.mix(docs, levels(), [{"a": 3}, {}], 0.5).collect()}
+    for name in ("order", "bucket", "rows", "id", "tokens", "cap", "n_tokens", "node", "budget"):
+        got = mixing.mix(docs, {name: F.col("source"), "language": F.col("lang")}, [{"a": 3}, {}], 0.5)
+        shown = f"{name}_" if name in mixing.RESULT else name
+        assert {(r.id, r.copies, r[shown]) for r in got.collect()} == want, name
+
+
 def test_empty(docs_of):
     assert mixing.mix(docs_of([]), levels(), [{}, {}]).count() == 0

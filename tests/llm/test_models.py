@@ -4,6 +4,7 @@ import math
 import zlib
 
 import numpy as np
+import zstandard
 
 from finpanel.llm import context_mixing as cm
 from finpanel.llm import zstd_langid
@@ -95,3 +96,44 @@ def test_language_held_out(docs_of, rng):
     none = zstd_langid.identify(docs, docs.limit(0)).select("language.lang").distinct().collect()
     assert [r.lang for r in none] == ["und"]
     assert zstd_langid.identify(docs_of([]), docs).count() == 0
+
+
+def plain_language(text, learned, margin, measures=2):
+    """(language, rejected), straight from the definition; with one measure, by the sizes alone."""
+    if text is None or not any(c.isalpha() for c in text):
+        return "und", True
+    data = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in text.lower().encode())
+    blocks = [data[i:i + 1024] for i in range(0, len(data), 1024)]
+
+    def size(block, content):
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(level=6)
+        return len(zstandard.ZstdCompressor(level=6, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False).compress(block))
+
+    def behind(block, content):
+        c = zstandard.ZstdCompressor(level=6, write_checksum=False, write_content_size=False)
+        pieces = [content[i:i + 2048] for i in range(0, len(content), 2048)]
+        return sum(len(c.compress(p + block)) - len(c.compress(p)) for p in pieces) / len(pieces)
+
+    first = None
+    for cost, least in ((size, 0), (behind, 1.0))[:measures]:
+        total = sorted((max(sum(cost(b, content) for b in blocks), least), k) for k, (_, content) in enumerate(learned))
+        first = total[0][1] if first is None else first
+        if len(total) == 1 or 1 - total[0][0] / total[1][0] >= margin:
+            return learned[total[0][1]][0], False
+    return learned[first][0], True
+
+
+def test_language_as_plain_version(spark, docs_of, rng):
+    docs = docs_of(corpus(rng))
+    learned = zstd_langid.learn(docs)
+    whole = [r.text for r in docs.where("length(text) > 40").orderBy("doc_id").limit(12).collect()]
+    # Short cuts, a mixture, a very long text, repeats, no letter.
+    texts = [t[i:i + n] for t in whole for i, n in ((0, 3), (5, 9), (2, 17))] + whole + [whole[0] + whole[-1], whole[1] * 300, "", "12 34", None, "a", whole[0]]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for known in (learned, learned[:1], [("x", learned[0][1]), ("y", learned[0][1])]):
+        got = rows.select("doc_id", zstd_langid.classify(rows.text, known).alias("p")).orderBy("doc_id").collect()
+        assert [(r.p.lang, r.p.rejected) for r in got] == [plain_language(t, known, zstd_langid.MARGIN) for t in texts]
+        if known is learned:  # the finer measure settles some that the sizes leave open
+            assert sum(r.p.rejected for r in got) < sum(plain_language(t, known, zstd_langid.MARGIN, 1)[1] for t in texts)
+        assert len(known) != 2 or all(r.p.rejected for r in got)  # languages that cannot be told apart
