@@ -136,4 +136,4 @@ def test_language_as_plain_version(spark, docs_of, rng):
         assert [(r.p.lang, r.p.rejected) for r in got] == [plain_language(t, known, zstd_langid.MARGIN) for t in texts]
         if known is learned:  # the finer measure settles some that the sizes leave open
             assert sum(r.p.rejected for r in got) < sum(plain_language(t, known, zstd_langid.MARGIN, 1)[1] for t in texts)
-        assert len(known) != 2 or all(r.p.rejected for r in got)  # languages that cannot be told apart
+        assert known is learned or len(known) == 1 or all(r.p.rejected for r in got)  # languages that cannot be told apart
