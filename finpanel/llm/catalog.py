@@ -110,8 +110,11 @@ def op7(spark, sf_dir):
 def op9(spark, sf_dir):
     out = secrets.secret_spans(docs_table(spark, sf_dir))
     base = F.filter("spans", lambda x: x["rank"] < 3)
-    n = [F.size(F.filter("spans", lambda x, k=k: x["rank"] == k)).cast("long") for k in range(3)]
-    return out.select(F.col("id").alias("doc_id"), n[0].alias("n_assign"), n[1].alias("n_access"), n[2].alias("n_hex"),
+
+    def many(rank):  # the lambda takes one argument: Spark would fill a second one with the element's place
+        return F.size(F.filter("spans", lambda x: x["rank"] == rank)).cast("long")
+
+    return out.select(F.col("id").alias("doc_id"), many(0).alias("n_assign"), many(1).alias("n_access"), many(2).alias("n_hex"),
                       F.sha2(secrets.shown(base).cast("binary"), 256).alias("base_sha256"),
                       secrets.shown(F.col("spans")).alias("spans"))
 
