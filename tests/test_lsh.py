@@ -1,6 +1,7 @@
 """Projection index: recall against all rows, copies, ties, nulls, empty tables; SMOTE-NC on top of it."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from finpanel.ml.balance import smote_nc
@@ -76,3 +77,20 @@ def test_smote_neighbours_mind_categories(spark):
     df = spark.createDataFrame(rows, "id long, x double, c string, label int")
     for r in smote_nc(df, "label", "id", ["x"], ["c"], k=3).collect():
         assert (r.source_id % 2 == 1) == (r.c == "a")
+
+
+def test_groups_deal_few_rows_twice_and_find_what_blocks_hold(spark):
+    from finpanel.operators import lsh
+    rng = np.random.default_rng(4)
+    n, block, k = 3000, 20, 3
+    v = rng.normal(size=(n, 2))
+    rows = [(i, 0, i // block, v[i].tolist(), [i % 3]) for i in range(n)]
+    placed = spark.createDataFrame(rows, "point long, table int, at long, v array<double>, codes array<long>").repartition(5)
+    dealt = lsh._groups(placed, lsh.SPAN)
+    assert n < dealt.count() <= n * (1 + 2 / lsh.SPAN)
+    got = dealt.groupBy("table", "group").applyInArrow(lsh._nearby(pa.int64(), k, 0.5, lsh.SPAN), "point long, near array<long>, dist array<double>").collect()
+    assert sorted(r.point for r in got) == list(range(n))
+    for r in got:
+        around = [j for j in range(n) if abs(j // block - r.point // block) <= 1 and j != r.point]
+        d = {j: float(np.sqrt(((v[j] - v[r.point]) ** 2).sum() + 0.25 * (j % 3 != r.point % 3))) for j in around}
+        assert np.allclose(sorted(r.dist), sorted(d.values())[:k]) and np.allclose([d[j] for j in r.near], r.dist)
