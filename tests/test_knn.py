@@ -18,6 +18,24 @@ def test_knn_matches_brute_force(spark):
         assert [got[(i, r)] for r in (1, 2, 3)] == order
 
 
+def test_knn_deals_a_row_once_per_block(spark):
+    rng = np.random.default_rng(12)
+    pts = rng.normal(size=(400, 24))
+    pts[200:260] = pts[7]  # copies: equal distances go by id
+    rows = [(i, i % 2, [float(x) for x in p]) for i, p in enumerate(pts)] + [(900, 0, None), (901, 0, [1.0, 2.0]), (902, 1, [float("nan")] * 24)]
+    out = knn_edges(spark.createDataFrame(rows, "id long, g int, v array<double>"), "id", "v", k=4, by=["g"])
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.src, {})[r["rank"]] = (r.dst, r.dist)
+    assert len(got) == 400
+    for i, p in enumerate(pts):
+        d = np.sqrt(((pts - p) ** 2).sum(axis=1))
+        order = sorted((j for j in range(400) if j != i and j % 2 == i % 2), key=lambda j: (round(d[j], 9), j))[:4]
+        assert [got[i][r][0] for r in (1, 2, 3, 4)] == order and np.allclose([got[i][r][1] for r in (1, 2, 3, 4)], d[order])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Join" not in plan
+
+
 def test_prune_corr_greedy(spark):
     rng = np.random.default_rng(5)
     a = rng.normal(size=200)
