@@ -94,3 +94,10 @@ def test_groups_deal_few_rows_twice_and_find_what_blocks_hold(spark):
         around = [j for j in range(n) if abs(j // block - r.point // block) <= 1 and j != r.point]
         d = {j: float(np.sqrt(((v[j] - v[r.point]) ** 2).sum() + 0.25 * (j % 3 != r.point % 3))) for j in around}
         assert np.allclose(sorted(r.dist), sorted(d.values())[:k]) and np.allclose([d[j] for j in r.near], r.dist)
+
+
+def test_recall_query_asks_for_rows(spark):
+    from finpanel.plans import registry
+    registry.load_all()
+    r = registry.QUERIES["knn_recall"](spark, "/root/testdata/sf0.001").first()
+    assert r.n_queries > 0 and r.n_true > 0 and r.recall >= 0.9
