@@ -72,6 +72,24 @@ def same_row(docs: DataFrame, id_col: str, text_col: str, keys: DataFrame) -> Co
             & (F.xxhash64(docs[id_col].isNull(), docs[text_col]) == keys["r"]))
 
 
+#: Words of a row filter: what bounds its broadcast, whatever the number of rows.
+FILTER_WORDS = 1 << 18
+
+
+def likely(rows: DataFrame, need: DataFrame) -> DataFrame:
+    """The ``rows`` (d, r, ...) that may be in ``need`` (d, r): all that are and, by a filter of three
+    bits a row in one of FILTER_WORDS words, few others. The exact join that follows then deals out
+    little else than the texts it keeps."""
+    h = F.xxhash64("d", "r")
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftrightunsigned(h, 18 + 6 * k).bitwiseAND(F.lit(63))).cast("int")) for k in range(3)]
+    mask = bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
+    word = F.pmod(h, F.lit(FILTER_WORDS)).alias("filter_word")
+    held = need.select(word, mask.alias("m")).groupBy("filter_word").agg(F.bit_or("m").alias("filter_bits"))
+    met = F.broadcast(held.withColumnRenamed("filter_word", "filter_at"))
+    return (rows.join(met, word == F.col("filter_at")).where(F.col("filter_bits").bitwiseAND(mask) == mask)
+            .drop("filter_at", "filter_bits"))
+
+
 def fresh(docs: DataFrame, name: str) -> str:
     """``name``, or with underscores behind it until ``docs`` has no such column."""
     taken = {c.lower() for c in docs.columns}

@@ -6,8 +6,8 @@ the run into ranges ("buckets"); a row is one bucket's slice. ``count_keys`` mer
 slices of a bucket: a key that a third of all documents hold arrives once per map task,
 with the row key (a hash of the text) of one owner, which tells apart a key of several
 texts from one of several equal texts.
-``look_up`` joins each task's request slices with their bucket's table, row by row, so a
-bucket with many requests is spread by AQE's skew splitting and never gathered.
+``look_up`` deals request slices and tables by bucket, the table first, and streams the
+slices past it: a table is moved once, however many slices ask, and no bucket is gathered.
 
 A key function takes a list of texts (bytes or None) and returns (row in the list, key).
 It must depend on the text alone.
@@ -30,10 +30,11 @@ Keys = Callable[[list], tuple[np.ndarray, np.ndarray]]
 
 #: Keys per bucket, about: a bucket's table is worked on by one task, at some 40 bytes a key.
 BUCKET_KEYS = 1_200_000
-#: Keys that a map task gathers before it sorts and sends them.
-FLUSH_KEYS = 800_000
-#: The same where slices carry owners besides: rows of some 100 KB stay small objects in the JVM.
-OWNED_KEYS = 400_000
+#: Keys that a map task gathers before it sorts and sends them. A slice names each of its documents
+#: once: the fewer the buckets, the more keys share that, whatever a task gathers.
+FLUSH_KEYS = 400_000
+#: Rows of an answer that are sent back at once, about.
+ANSWERED = 1 << 16
 #: Keys of a bucket that wait before they are added to those counted so far.
 FOLD_KEYS = 400_000
 
@@ -191,13 +192,17 @@ def look_up(docs: DataFrame, keys: Keys, table: DataFrame, buckets: int, answer,
                 here, place = np.unique(row[i:j], return_inverse=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x], f.type) for x, f in zip((b, pack(key[i:j]), pack(place.astype(np.uint32)), pack(times[i:j].astype(np.uint32)),
-                                                            d[here].tobytes(), r[here].tobytes()), REQUEST)], schema=REQUEST)
+                                                            pack(d[here]), r[here].tobytes()), REQUEST)], schema=REQUEST)
 
     def resolve(batches):
+        bucket, known, n, out, rows = None, None, None, [], 0
         for b in batches:
-            for x in b.to_pylist():
-                known, n = unpack(x["keys"], np.uint64), unpack(x["n"], np.int64)
-                if not len(known):
+            for i in range(b.num_rows):  # one slice in Python's memory at a time
+                x = {name: b.column(name)[i].as_py() for name in ("bucket", "asked", "place", "times", "d", "r")}
+                if x["place"] is None:  # the bucket's table, ahead of its requests
+                    bucket, known, n = x["bucket"], unpack(x["asked"], np.uint64), unpack(x["times"], np.int64)
+                    continue
+                if x["bucket"] != bucket or not len(known):
                     continue
                 key = unpack(x["asked"], np.uint64)
                 at = np.minimum(np.searchsorted(known, key), len(known) - 1)
@@ -205,13 +210,24 @@ def look_up(docs: DataFrame, keys: Keys, table: DataFrame, buckets: int, answer,
                 if not len(hit):
                     continue
                 place = unpack(x["place"], np.uint32)[hit]
-                cols = answer(np.frombuffer(x["d"], np.int64)[place], np.frombuffer(x["r"], np.int64)[place], key[hit],
-                              unpack(x["times"], np.uint32)[hit].astype(np.int64), n[at[hit]])
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
+                out.append(answer(unpack(x["d"], np.int64)[place], np.frombuffer(x["r"], np.int64)[place], key[hit],
+                                  unpack(x["times"], np.uint32)[hit].astype(np.int64), n[at[hit]]))
+                rows += len(hit)
+                if rows >= ANSWERED:
+                    yield joined(out)
+                    out, rows = [], 0
+        if out:
+            yield joined(out)
+
+    def joined(out):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=names)
 
     names = [p.split()[0] for p in schema.split(", ")]
     asked = docs.mapInArrow(ask, "bucket int, asked binary, place binary, times binary, d binary, r binary")
-    return asked.join(table, "bucket").mapInArrow(resolve, schema)
+    none = F.lit(None).cast("binary")
+    tables = table.select("bucket", F.col("keys").alias("asked"), none.alias("place"), F.col("n").alias("times"), none.alias("d"), none.alias("r"))
+    dealt = tables.unionByName(asked).repartition("bucket").sortWithinPartitions("bucket", F.col("place").isNotNull())
+    return dealt.mapInArrow(resolve, schema)
 
 
 #: Partial sums of one flush and bucket: its documents' row keys and two numbers of each.
@@ -276,7 +292,7 @@ def shared_keys(docs: DataFrame, keys: Keys, n_keys: float, path: str) -> DataFr
     Two jobs over the texts: count, then ask. Counts are landed at ``path``.
     """
     from finpanel.llm.common import drop, land, release
-    buckets = bucket_count(n_keys, OWNED_KEYS)
+    buckets = bucket_count(n_keys)
     table = land(count_keys(docs, keys, buckets), f"{path}/counts")
     release(docs.sparkSession)
     out = look_up(docs, keys, table, buckets, lambda d, r, key, times, n: (d, r, key.view(np.int64), n),
