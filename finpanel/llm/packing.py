@@ -60,6 +60,10 @@ class Words:
         self.encoder = Tokenizer.from_file(path)
         self.known: dict[str, bytes | None] = {}
         self.older: dict[str, bytes | None] = {}
+        vocabulary = self.encoder.get_vocab()
+        #: Ids whose token begins with a space (as byte-level tokens write it).
+        self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
 
     def plain(self, text: str) -> bytes:
         return array("I", self.encoder.encode(text, add_special_tokens=False).ids).tobytes()
@@ -74,8 +78,18 @@ class Words:
                 known[w] = None
             else:
                 new.append(w)
-        for w, e in zip(new, self.encoder.encode_batch_fast([f" {w}" for w in new], add_special_tokens=False)):
-            known[w] = array("I", e.ids).tobytes()
+        if not new:
+            return
+        # Encoded as one text: a word holds no space, so its ids begin where a token opens with one.
+        ids = np.asarray(self.encoder.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, "<u4")
+        at = np.flatnonzero(self.opens[ids])
+        if len(at) == len(new) and not at[0]:
+            data, at = ids.tobytes(), np.append(at, len(ids)) * 4
+            at = at.tolist()
+            known.update(zip(new, [data[i:j] for i, j in zip(at, at[1:])]))
+        else:  # a tokenizer whose added tokens take spaces
+            for w, e in zip(new, self.encoder.encode_batch_fast([f" {w}" for w in new], add_special_tokens=False)):
+                known[w] = array("I", e.ids).tobytes()
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of every text, as little-endian unsigned 32-bit numbers."""

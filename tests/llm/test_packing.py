@@ -119,3 +119,31 @@ def test_few_documents_are_cut():
     done = list(packing.close(levels.rest(), 2048, apart))
     assert all(sum(n for _, n in held) in (1 << b for b in range(12)) for held in done)
     assert cut < packing.BLOCK * 0.1
+
+
+def test_new_words_are_encoded_as_one_text():
+    """The words of a batch cost one call with one text, whatever their number; ids are the tokenizer's."""
+    words, sent = packing.Words(PATH), []
+    encoder = words.encoder
+
+    class Counted:
+        encode = encoder.encode
+
+        def encode_batch_fast(self, texts, **kw):
+            sent.append(len(texts))
+            return encoder.encode_batch_fast(texts, **kw)
+
+    words.encoder = Counted()
+    texts = [" ".join(f"word{7 * i + k}," for k in range(7)) for i in range(60)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in words.ids(texts)] == [ids_of(t) for t in texts]
+    assert sent == [1]
+
+
+def test_added_tokens_that_take_spaces(tmp_path):
+    from tokenizers import AddedToken
+    own = Tokenizer.from_file(PATH)
+    own.add_tokens([AddedToken("<x>", lstrip=True, rstrip=False)])
+    own.save(str(tmp_path / "own.json"))
+    words = packing.Words(str(tmp_path / "own.json"))
+    texts = ["a <x> b", "some plain words", "<x> <x> c"]
+    assert [np.frombuffer(b, "<u4").tolist() for b in words.ids(texts)] == [own.encode(t, add_special_tokens=False).ids for t in texts]
