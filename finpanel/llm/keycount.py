@@ -33,6 +33,8 @@ BUCKET_KEYS = 1_200_000
 #: Keys that a map task gathers before it sorts and sends them. A slice names each of its documents
 #: once: the fewer the buckets, the more keys share that, whatever a task gathers.
 FLUSH_KEYS = 400_000
+#: Keys per bucket where a smaller table is worth more slices.
+OWNED_KEYS = 400_000
 #: Rows of an answer that are sent back at once, about.
 ANSWERED = 1 << 16
 #: Keys of a bucket that wait before they are added to those counted so far.
@@ -286,13 +288,13 @@ def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
-def shared_keys(docs: DataFrame, keys: Keys, n_keys: float, path: str) -> DataFrame:
+def shared_keys(docs: DataFrame, keys: Keys, n_keys: float, path: str, each: int = OWNED_KEYS) -> DataFrame:
     """(d, r, key, n): the keys of each document that at least two different texts have.
 
     Two jobs over the texts: count, then ask. Counts are landed at ``path``.
     """
     from finpanel.llm.common import drop, land, release
-    buckets = bucket_count(n_keys)
+    buckets = bucket_count(n_keys, each)
     table = land(count_keys(docs, keys, buckets), f"{path}/counts")
     release(docs.sparkSession)
     out = look_up(docs, keys, table, buckets, lambda d, r, key, times, n: (d, r, key.view(np.int64), n),

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from finpanel.llm.common import (Fingerprints, drop, fresh, keyed, land, likely, mix64, public_id, release, row_key, run_dir, same_row,
                                  text_chunks, word_tokens)
-from finpanel.llm.keycount import shared_keys, text_bytes
+from finpanel.llm.keycount import BUCKET_KEYS, shared_keys, text_bytes
 
 #: Partitions per tolerated difference, and at least.
 PARTITIONS, LEAST_PARTITIONS = 1.5, 4096
@@ -229,7 +229,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = land(sets.where("size > 0").groupBy("size", "c1", "c2").agg(
         F.min(F.struct("d", "r")).alias("rep"), F.min_by(F.struct("instances", "sketch"), F.struct("d", "r")).alias("x"))
                    .select("size", "c1", "c2", "rep", "x.*"), f"{base}/classes")
-    shared = shared_keys(rows, _signature_keys(words, percent), text_bytes(rows) / 8, base)
+    shared = shared_keys(rows, _signature_keys(words, percent), text_bytes(rows) / 8, base, BUCKET_KEYS)
     # What each class goes by: its k + 1 rarest signatures (ties included), of which those
     # that no other document has need not be sent.
     plan = classes.select(F.col("rep.d").alias("d"), F.col("rep.r").alias("r"), "size", F.explode("instances").alias("i")).select("d", "r", "size", "i.*")
