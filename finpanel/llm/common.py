@@ -104,7 +104,7 @@ def public_id(d: Column) -> Column:
 
 
 def text_chunks(batches, extra: tuple[str, ...] = ()) -> Iterator[tuple]:
-    """Arrow batches with d, r, text -> (d, r, [bytes or None], *extra lists) of about CHUNK_BYTES."""
+    """Arrow batches with d, r, text -> (d, r, [bytes or None], *extra columns) of about CHUNK_BYTES."""
     for b in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(b.column("text")), 0), dtype=np.int64)
         lo = 0
@@ -116,7 +116,7 @@ def text_chunks(batches, extra: tuple[str, ...] = ()) -> Iterator[tuple]:
             part = b.slice(lo, hi - lo)
             yield (np.asarray(part.column("d")), np.asarray(part.column("r")),
                    part.column("text").cast(pa.binary()).to_pylist(),
-                   *(part.column(c).to_pylist() for c in extra))
+                   *(part.column(c) for c in extra))
             lo = hi
 
 

@@ -8,6 +8,7 @@ with the row key (a hash of the text) of one owner, which tells apart a key of s
 texts from one of several equal texts.
 ``look_up`` deals request slices and tables by bucket, the table first, and streams the
 slices past it: a table is moved once, however many slices ask, and no bucket is gathered.
+``shared_lists`` does both over one cut of the texts and one exchange of their keys.
 
 A key function takes a list of texts (bytes or None) and returns (row in the list, key).
 It must depend on the text alone.
@@ -15,16 +16,19 @@ It must depend on the text alone.
 
 from __future__ import annotations
 
+import pickle
+import tempfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finpanel.llm.common import text_chunks
+from finpanel.llm.common import land, mix64, release, text_chunks
 
 Keys = Callable[[list], tuple[np.ndarray, np.ndarray]]
 
@@ -288,18 +292,139 @@ def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
-def shared_keys(docs: DataFrame, keys: Keys, n_keys: float, path: str, each: int = OWNED_KEYS) -> DataFrame:
-    """(d, r, key, n): the keys of each document that at least two different texts have.
+#: A slice of one flush's keys, with the rows of the flush they are of and those rows' owners (row keys);
+#: ``head`` instead holds the row keys of a flush.
+SLICE = pa.schema([("bucket", pa.int32()), ("flush", pa.int64()), ("keys", pa.binary()), ("place", pa.binary()), ("owners", pa.binary()), ("head", pa.binary())])
+#: What a bucket answers to a flush: rows of the flush, their shared keys, the counts of these.
+ANSWER = pa.schema([("flush", pa.int64()), ("place", pa.binary()), ("keys", pa.binary()), ("n", pa.binary()), ("head", pa.binary())])
+#: Bytes of a bucket's slices that a task keeps in memory until all are counted; the rest waits in its temp folder.
+KEPT_BYTES = 1 << 26
 
-    Two jobs over the texts: count, then ask. Counts are landed at ``path``.
+
+def of_texts(keys: Callable):
+    """Batches (d, r, text) -> (d, r, row, key, ...), a chunk of texts at a time."""
+    def parts(batches):
+        for d, r, texts in text_chunks(batches):
+            yield d, r, *keys(texts)
+    return parts
+
+
+def of_lists(batches):
+    """Batches (d, r, keys) -> (d, r, row, key)."""
+    for b in batches:
+        lists = b.column("keys")
+        yield (np.asarray(b.column("d")), np.asarray(b.column("r")), np.repeat(np.arange(len(lists)), np.asarray(pc.list_value_length(lists))),
+               np.asarray(lists.flatten()).view(np.uint64))
+
+
+def _flushes(parts):
+    """Parts of about FLUSH_KEYS keys as one: (d, r, row, key, ...); what follows the keys begins with rows, too."""
+    held, n, docs = [], 0, 0
+    for d, r, row, key, *more in parts:
+        held.append((d, r, row + docs, key, *[x + docs if k == 0 else x for k, x in enumerate(more)]))
+        n, docs = n + len(key), docs + len(d)
+        if n >= FLUSH_KEYS:
+            yield tuple(map(np.concatenate, zip(*held)))
+            held, n, docs = [], 0, 0
+    if n:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
+def all_shared(d, r, place, key, n):
+    """Every shared key of a row."""
+    order = np.argsort(place, kind="stable")
+    return place[order], key[order]
+
+
+def owners_met(owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Per key about how many different owners a slice names."""
+    return 1 + _different(owner, at)
+
+
+def owners_told(owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Per key a number that tells its owners (each named once in all) from others."""
+    return np.add.reduceat(mix64(owner.view(np.uint64)).view(np.int64), at)
+
+
+def shared_lists(docs: DataFrame, parts: Callable, buckets: int, pick: Callable = all_shared, number: Callable = owners_met) -> DataFrame:
+    """(d, r, keys): of each row the keys that at least two different owners (r) have.
+
+    ``parts`` cuts batches of ``docs`` into (d, r, row, key, ...) arrays. Keys are cut and moved
+    once: the task of a bucket counts its slices as they come, puts them by, and then tells every
+    flush which of its keys are shared. A flush's answers meet again in one task (at most
+    FLUSH_KEYS keys and one part), where ``pick(d, r, place, key, n, ...)`` chooses (row of the
+    flush, ascending, key) among them; n is the sum over slices of ``number``.
     """
-    from finpanel.llm.common import drop, land, release
-    buckets = bucket_count(n_keys, each)
-    table = land(count_keys(docs, keys, buckets), f"{path}/counts")
-    release(docs.sparkSession)
-    out = look_up(docs, keys, table, buckets, lambda d, r, key, times, n: (d, r, key.view(np.int64), n),
-                  "d long, r long, key long, n long")
-    out = land(out, f"{path}/shared")
-    drop(docs.sparkSession, f"{path}/counts")
+
+    def emit(batches):
+        task = TaskContext.get().partitionId()
+        for k, (d, r, row, key, *more) in enumerate(_flushes(parts(batches))):
+            flush, out = (task << 32) + k, []  # a task run again numbers its flushes alike
+            row, key, _ = pairs(row, key)
+            for b, i, j in slices(key, buckets):
+                here = np.flatnonzero(np.bincount(row[i:j], minlength=len(d)))
+                out.append((b, flush, pack(key[i:j]), pack(row[i:j].astype(np.uint32)), r[here].tobytes(), None))
+            out.append(((task + k) % buckets, flush, None, None, None, pickle.dumps((d, r, *more))))
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), SLICE)], schema=SLICE)
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, waiting, n_waiting, n_slices = _Counted.none(), [], 0, 0
+        with tempfile.SpooledTemporaryFile(KEPT_BYTES) as by:
+            for batch in batches:
+                for i in range(batch.num_rows):  # one slice in Python's memory at a time
+                    x = {f.name: batch.column(f.name)[i].as_py() for f in SLICE}
+                    if x["keys"] is None:
+                        yield answers([(x["flush"], None, None, None, x["head"])])
+                        continue
+                    key, row = unpack(x["keys"], np.uint64), unpack(x["place"], np.uint32)
+                    # Owners stand in the order of their rows.
+                    owner = np.frombuffer(x["owners"], np.int64)[(np.cumsum(np.bincount(row) > 0) - 1)[row]]
+                    at = _starts(key)
+                    waiting.append(_Counted(key[at], number(owner, at), owner[at], _different(owner, at) > 0))
+                    n_waiting, n_slices = n_waiting + len(at), n_slices + 1
+                    if n_waiting >= FOLD_KEYS:
+                        held, waiting, n_waiting = _Counted.folded([held, *waiting]), [], 0
+                    pickle.dump((x["flush"], x["keys"], x["place"]), by)
+            held = _Counted.folded([held, *waiting])
+            known, n = held.key[held.shared], held.n[held.shared]
+            del held, waiting
+            by.seek(0)
+            out, size = [], 0
+            for _ in range(n_slices if len(known) else 0):
+                flush, keys, place = pickle.load(by)
+                key = unpack(keys, np.uint64)
+                at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+                hit = np.flatnonzero(known[at] == key)
+                if not len(hit):
+                    continue
+                out.append((flush, pack(unpack(place, np.uint32)[hit]), pack(key[hit]), pack(n[at[hit]]), None))
+                size += len(hit)
+                if size >= ANSWERED:
+                    yield answers(out)
+                    out, size = [], 0
+            if out:
+                yield answers(out)
+
+    def answers(rows: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), ANSWER)], schema=ANSWER)
+
+    def choose(part: pa.Table) -> pa.Table:
+        d, r, *more = pickle.loads(next(x for x in part.column("head").to_pylist() if x is not None))
+        place, key, n = (np.concatenate([unpack(x, t) for x in part.column(c).to_pylist() if x is not None] or [np.zeros(0, t)])
+                         for c, t in (("place", np.uint32), ("keys", np.uint64), ("n", np.int64)))
+        place, key = pick(d, r, place.astype(np.int64), key, n, *more)
+        at = _starts(place)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(place)).astype(np.int32)), pa.array(key.view(np.int64)))
+        return pa.table([pa.array(d[place[at]]), pa.array(r[place[at]]), lists], names=["d", "r", "keys"])
+
+    sent = docs.mapInArrow(emit, "bucket int, flush long, keys binary, place binary, owners binary, head binary")
+    told = sent.groupBy("bucket").applyInArrow(settle, "flush long, place binary, keys binary, n binary, head binary")
+    return told.groupBy("flush").applyInArrow(choose, "d long, r long, keys array<long>")
+
+
+def shared_keys(docs: DataFrame, keys: Callable, n_keys: float, path: str, each: int = OWNED_KEYS, pick: Callable = all_shared) -> DataFrame:
+    """(d, r, keys): the keys of each document (d, r, text) that at least two different texts have, landed
+    at ``path``. Rows that repeat (d, r) are rows of their own."""
+    out = land(shared_lists(docs, of_texts(keys), bucket_count(n_keys, each), pick), f"{path}/shared")
     release(docs.sparkSession)
     return out

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from finpanel.llm.common import (Fingerprints, drop, fresh, keyed, land, likely, mix64, public_id, release, row_key, run_dir, same_row,
                                  text_chunks, word_tokens)
-from finpanel.llm.keycount import BUCKET_KEYS, shared_keys, text_bytes
+from finpanel.llm.keycount import BUCKET_KEYS, bucket_count, of_lists, owners_told, shared_keys, shared_lists, text_bytes
 
 #: Partitions per tolerated difference, and at least.
 PARTITIONS, LEAST_PARTITIONS = 1.5, 4096
@@ -131,17 +131,48 @@ def signatures(row: np.ndarray, h: np.ndarray, n_rows: int, percent: int):
 
 
 def _signature_keys(words: int, percent: int):
+    """Texts -> (row, signature, and of each band instance: row, band, k, partitions in use)."""
     def keys(texts):
         row, h = shingle_sets(texts, words)
-        return signatures(row, h, len(texts), percent)[1]
+        instances, found = signatures(row, h, len(texts), percent)
+        return *found, *instances
     return keys
 
 
-INSTANCE = "array<struct<band:int,k:long,used:long>>"
+def _rarest(d, r, place, key, n, own, band, k, used):
+    """What each row goes by: in each band its k + 1 rarest signatures (ties included), of which
+    those that no other text has need not be sent."""
+    of = place << 8 | (key & np.uint64(255)).astype(np.int64)
+    order = np.lexsort((n, of))
+    of, place, key, n = of[order], place[order], key[order], n[order]
+    at = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.zeros(0, np.int64)
+    size = np.diff(np.append(at, len(of)))
+    ids = own << 8 | band
+    by = np.argsort(ids)
+    i = by[np.searchsorted(ids[by], of[at])]
+    want = k[i] + 1 - (used[i] - size)
+    bound = np.where(want > 0, n[np.minimum(at + np.clip(want, 1, size) - 1, max(0, len(n) - 1))], -1) if len(n) else n
+    bound = np.where(want > size, np.iinfo(np.int64).max, bound)
+    taken = n <= np.repeat(bound, size)
+    # A set with fewer partitions in use than it has to go by goes by the empty ones, too.
+    poor = np.flatnonzero(used <= k)
+    empty = (mix64(band[poor].astype(np.uint64) + np.uint64(0xD6E8FEB86659FD93)) & ~np.uint64(255)) | band[poor].astype(np.uint64)
+    place, key = np.concatenate((place[taken], own[poor])), np.concatenate((key[taken], empty))
+    order = np.argsort(place, kind="stable")
+    return place[order], key[order]
+
+
+def _groups(d, r, place, key, n):
+    """The groups of members that each row is in, every one once."""
+    order = np.lexsort((n, place))
+    place, n = place[order], n[order]
+    new = np.ones(len(n), bool)
+    new[1:] = (place[1:] != place[:-1]) | (n[1:] != n[:-1])
+    return place[new], n[new].view(np.uint64)
 
 
-def _describe(words: int, percent: int):
-    """Per row: size and digest of the set, and its band instances."""
+def _describe(words: int):
+    """Per row: size and digest of the set, and its sketch."""
     def rows(batches):
         for d, r, texts in text_chunks(batches):
             row, h = shingle_sets(texts, words)
@@ -153,15 +184,10 @@ def _describe(words: int, percent: int):
                 c.append(total.view(np.int64))
             cells = np.bincount(row * CELLS + (mix64(h + np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(57)).astype(np.int64), minlength=n * CELLS)
             sketches = np.minimum(cells, 255).astype(np.uint8).reshape(n, CELLS)
-            (own, t, k, used), _ = signatures(row, h, n, percent)
-            lists = [[] for _ in range(n)]
-            for o, *x in zip(own.tolist(), t.tolist(), k.tolist(), used.tolist()):
-                lists[o].append(dict(zip(("band", "k", "used"), x)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(d), pa.array(r), pa.array(np.bincount(row, minlength=n)), pa.array(c[0]), pa.array(c[1]),
-                 pa.array(lists, pa.list_(pa.struct([("band", pa.int32()), ("k", pa.int64()), ("used", pa.int64())]))),
                  pa.array([x.tobytes() for x in sketches], pa.binary())],
-                names=["d", "r", "size", "c1", "c2", "instances", "sketch"])
+                names=["d", "r", "size", "c1", "c2", "sketch"])
     return rows
 
 
@@ -225,33 +251,25 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     base = run_dir(spark, "partenum")
     rows = keyed(docs, id_col, text_col)
-    sets = land(rows.mapInArrow(_describe(words, percent), f"d long, r long, size long, c1 long, c2 long, instances {INSTANCE}, sketch binary"), f"{base}/described")
+    sets = land(rows.mapInArrow(_describe(words), "d long, r long, size long, c1 long, c2 long, sketch binary"), f"{base}/described")
     classes = land(sets.where("size > 0").groupBy("size", "c1", "c2").agg(
-        F.min(F.struct("d", "r")).alias("rep"), F.min_by(F.struct("instances", "sketch"), F.struct("d", "r")).alias("x"))
-                   .select("size", "c1", "c2", "rep", "x.*"), f"{base}/classes")
-    shared = shared_keys(rows, _signature_keys(words, percent), text_bytes(rows) / 8, base, BUCKET_KEYS)
-    # What each class goes by: its k + 1 rarest signatures (ties included), of which those
-    # that no other document has need not be sent.
-    plan = classes.select(F.col("rep.d").alias("d"), F.col("rep.r").alias("r"), "size", F.explode("instances").alias("i")).select("d", "r", "size", "i.*")
-    key = ["d", "r", "band"]
-    mine = (shared.withColumn("band", F.expr("CAST(key & 255 AS INT)")).join(plan, key)
-            .groupBy(*key, "k", "used").agg(F.array_sort(F.collect_set(F.struct("n", F.col("key").alias("s")))).alias("hits")))
-    place = F.col("k") + 1 - (F.col("used") - F.size("hits"))
-    bound = F.get("hits", F.least(place, F.size("hits")).cast("int") - 1)["n"]
-    chosen = (mine.where(place > 0).withColumn("bound", bound).withColumn("all", place > F.size("hits"))
-              .select("d", "r", F.explode("hits").alias("h"), "bound", "all").where("all OR h.n <= bound"))
-    # A set with fewer partitions in use than it has to go by goes by the empty ones, too.
-    poor = plan.where("used <= k").select(F.struct("d", "r").alias("node"), F.xxhash64(F.lit("empty"), "band").alias("key"))
-    chosen = land(chosen.select(F.struct("d", "r").alias("node"), F.col("h.s").alias("key")).unionByName(poor), f"{base}/chosen")
+        F.min(F.struct("d", "r")).alias("rep"), F.min_by("sketch", F.struct("d", "r")).alias("sketch")), f"{base}/classes")
+    gone_by = shared_keys(rows, _signature_keys(words, percent), text_bytes(rows) / 8, base, BUCKET_KEYS, _rarest)
+    # One row of each class; rows alike in d and r have the same keys.
+    reps = classes.select("rep.d", "rep.r")
+    gone_by = land(gone_by.join(reps, ["d", "r"], "left_semi").groupBy("d", "r").agg(F.any_value("keys").alias("keys")), f"{base}/gone-by")
     drop(spark, f"{base}/shared")
     release(spark)
+    # Of the signatures with the same members (told by a hash of them all, which names the group) one stays.
+    buckets = bucket_count(gone_by.agg(F.sum(F.size("keys"))).first()[0] or 0, BUCKET_KEYS)
+    groups = shared_lists(gone_by, of_lists, buckets, _groups, owners_told)
+    chosen = land(groups.select(F.struct("d", "r").alias("node"), F.explode("keys").alias("key")), f"{base}/chosen")
+    drop(spark, f"{base}/gone-by")
+    release(spark)
 
     known = classes.select(F.col("rep").alias("node"), "size", "sketch")
     # Landed before it is joined back: AQE can then split a signature that very many sets share.
-    # Of the keys with the same members (told by their number and two hashes of them) one stays.
-    alike = [F.bit_xor(F.xxhash64(F.lit(salt), "node")).alias(f"x{salt}") for salt in (1, 2)]
-    groups = chosen.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count(F.lit(1)).alias("n"), *alike).where("a <> z")
-    lead = land(groups.groupBy("a", "z", "n", "x1", "x2").agg(F.min("key").alias("key")).select("key", "a"), f"{base}/leads")
+    lead = land(chosen.groupBy("key").agg(F.min("node").alias("a")), f"{base}/leads")
     members = land(chosen.join(lead, "key"), f"{base}/members")
     for name in ("chosen", "leads"):
         drop(spark, f"{base}/{name}")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from finpanel.llm.common import LAST_ID, Fingerprints, Tokens, keyed, mix64, sliding_min, text_chunks, word_tokens
 from finpanel.llm.keycount import text_bytes
-from finpanel.llm.repeats import Scheme, covered_spans, merged
+from finpanel.llm.repeats import Scheme, covered_spans, listed, merged
 
 #: The longest symbol, in words, that takes part in each pass of a run and a pair round.
 LIMITS = (1, 2, 4)
@@ -102,18 +102,17 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def cut(batches):
         for d, _, texts, lists in text_chunks(batches, ("spans",)):
-            out = []
-            for i, (text, marked) in enumerate(zip(texts, lists)):
-                words = (text or b"").split()  # bytes.split() cuts at the six ASCII whitespace bytes
-                first, end = merged(marked, len(words), window)
-                kept = [w for a, b in zip(np.append(0, end), np.append(first, len(words))) for w in words[a:b]]
-                out.append((None if d[i] == LAST_ID else int(d[i]), len(words), int((end - first).sum()),
-                            [{"first": int(a), "end": int(b)} for a, b in zip(first, end)], b" ".join(kept)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), CUT_TYPES)], names=CUT_NAMES)
+            words = [(text or b"").split() for text in texts]  # bytes.split() cuts at the six ASCII whitespace bytes
+            size, n = np.array([len(w) for w in words], np.int64), len(words)
+            text, first, end = merged(lists, size, window)
+            at = np.searchsorted(text, np.arange(n + 1))
+            kept = [b" ".join([w for a, b in zip([0, *end[i:j]], [*first[i:j], len(one)]) for w in one[a:b]]) for one, i, j in zip(words, at, at[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(d, mask=d == LAST_ID), pa.array(size), pa.array(np.bincount(text, end - first, n).astype(np.int64)), listed(text, first, end, n),
+                 pa.array(kept, pa.binary())], names=CUT_NAMES)
 
     return rows.join(spans, ["d", "r"], "left").mapInArrow(
         cut, "id long, n_words long, n_removed long, spans array<struct<first:long,end:long>>, kept binary")
 
 
 CUT_NAMES = ["id", "n_words", "n_removed", "spans", "kept"]
-CUT_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])), pa.binary()]

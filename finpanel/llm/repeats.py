@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,6 +74,11 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def _lengths(lists: pa.ListArray) -> np.ndarray:
+    """How many values each list has; none where it is null."""
+    return np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+
+
 def _keys_of(scheme: Scheme):
     def keys(texts):
         doc, key, *_ = reaches(scheme.tokens(texts), scheme)
@@ -85,9 +91,8 @@ def _reach_rows(scheme: Scheme):
         for d, r, texts, wanted in text_chunks(batches, ("keys",)):
             t = scheme.tokens(texts)
             doc, key, first, last, at = reaches(t, scheme)
-            lists = [np.asarray(w, np.int64) for w in wanted]
-            owner = np.repeat(np.arange(len(lists)), [len(w) for w in lists])
-            hit = _in_pairs(doc, key, owner, np.concatenate(lists).view(np.uint64) if lists else key[:0])
+            owner = np.repeat(np.arange(len(wanted)), _lengths(wanted))
+            hit = _in_pairs(doc, key, owner, np.asarray(wanted.flatten()).view(np.uint64))
             doc, key, first, last, at = (x[hit] for x in (doc, key, first, last, at))
             if not len(doc):
                 continue
@@ -118,10 +123,10 @@ def _window_rows(scheme: Scheme):
     def rows(batches):
         for d, r, texts, spans in text_chunks(batches, ("spans",)):
             t = scheme.tokens(texts)
-            doc = np.repeat(np.arange(len(spans)), [len(s) for s in spans])
-            flat = np.array([(s["first"], s["last"]) for one in spans for s in one], np.int64).reshape(-1, 2)
-            n = flat[:, 1] - flat[:, 0] + 1
-            p = np.repeat(flat[:, 0] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+            doc = np.repeat(np.arange(len(spans)), _lengths(spans))
+            first, last = (np.asarray(spans.flatten().field(c)) for c in ("first", "last"))
+            n = last - first + 1
+            p = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
             doc = np.repeat(doc, n)
             g = p + t.at[doc]
             w = [Fingerprints(t.value, k).of(g, g + scheme.window) for k in (0, 1)]
@@ -140,7 +145,8 @@ def covered_spans(rows: DataFrame, scheme: Scheme, n_keys: float) -> DataFrame:
                  .select("r", "x", "least"), f"{base}/equal")
     equal = land(texts.join(least, ["r", "x"]).where("d > least").select("d", "r"), f"{base}/copies")
     shared = shared_keys(rows, _keys_of(scheme), n_keys, base)
-    wanted = shared.join(equal, ["d", "r"], "left_anti").groupBy("d", "r").agg(F.collect_set("key").alias("keys"))
+    # Rows alike in both have the same keys.
+    wanted = shared.join(equal, ["d", "r"], "left_anti").groupBy("d", "r").agg(F.any_value("keys").alias("keys"))
     reach = land(rows.join(wanted, ["d", "r"]).select("d", "r", "text", "keys").mapInArrow(
         _reach_rows(scheme), "d long, r long, key long, c1 long, c2 long, first long, last long"), f"{base}/reaches")
     drop(spark, f"{base}/shared")
@@ -170,16 +176,27 @@ def covered_spans(rows: DataFrame, scheme: Scheme, n_keys: float) -> DataFrame:
     return out
 
 
-def merged(spans: list | None, size: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal disjoint, non-adjacent ranges of a list of {first, end} in a text of ``size`` tokens."""
-    if spans and any(s["end"] < 0 for s in spans):
-        spans = [{"first": 0, "end": size}] if size >= window else None
-    if not spans:
-        z = np.zeros(0, np.int64)
-        return z, z
-    x = np.array(sorted((s["first"], s["end"]) for s in spans), np.int64)
-    reach = np.maximum.accumulate(x[:, 1])
-    new = np.ones(len(x), bool)
-    new[1:] = x[1:, 0] > reach[:-1]
-    i = np.flatnonzero(new)
-    return x[i, 0], reach[np.append(i[1:], len(x)) - 1]
+def merged(spans: pa.ListArray, size: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first, end): maximal disjoint, non-adjacent ranges of the lists of {first, end} of texts
+    of ``size`` tokens each, in order."""
+    text = np.repeat(np.arange(len(size)), _lengths(spans))
+    first, end = (np.asarray(spans.flatten().field(c)) for c in ("first", "end"))
+    whole = end < 0
+    keep = ~whole | (size[text] >= window)
+    text, first, end = text[keep], first[keep], np.where(whole, size[text], end)[keep]
+    if not len(text):
+        return text, first, end
+    # Texts lie one behind the other, with a token between: no range reaches into the next text.
+    base = np.cumsum(size + 1) - (size + 1)
+    order = np.lexsort((first, text))
+    text, lo, hi = text[order], (base[text] + first)[order], (base[text] + end)[order]
+    reach = np.maximum.accumulate(hi)
+    i = np.flatnonzero(np.append(True, lo[1:] > reach[:-1]))
+    text, lo, hi = text[i], lo[i], reach[np.append(i[1:], len(lo)) - 1]
+    return text, lo - base[text], hi - base[text]
+
+
+def listed(text: np.ndarray, first: np.ndarray, end: np.ndarray, n: int) -> pa.ListArray:
+    """The ranges of each of ``n`` texts as a list of {first, end}."""
+    at = np.searchsorted(text, np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.StructArray.from_arrays([pa.array(first), pa.array(end)], ["first", "end"]))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from finpanel.llm.common import LAST_ID, Fingerprints, Tokens, byte_tokens, keyed, sliding_min, text_chunks
 from finpanel.llm.keycount import text_bytes
-from finpanel.llm.repeats import Scheme, covered_spans, merged
+from finpanel.llm.repeats import Scheme, covered_spans, listed, merged
 
 DIGIT = 25
 _POS_BITS = np.uint64(28)
@@ -74,19 +74,21 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def cut(batches):
         for d, _, texts, lists in text_chunks(batches, ("spans",)):
-            out = []
-            for i, (text, marked) in enumerate(zip(texts, lists)):
-                text = text or b""
-                first, end = merged(marked, len(text), window)
-                kept = b"".join(text[a:b] for a, b in zip(np.append(0, end), np.append(first, len(text))))
-                out.append((None if d[i] == LAST_ID else int(d[i]), len(text), int((end - first).sum()), len(first),
-                            [{"first": int(a), "end": int(b)} for a, b in zip(first, end)], kept))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), CUT_TYPES)], names=CUT_NAMES)
+            t = byte_tokens(texts)
+            text, first, end = merged(lists, t.count, window)
+            edge = np.zeros(len(t.data) + 1, np.int64)
+            np.add.at(edge, t.at[text] + first, 1)
+            np.add.at(edge, t.at[text] + end, -1)
+            stays = np.cumsum(edge)[:-1] == 0
+            at = np.concatenate(([0], np.cumsum(stays)))[t.at].astype(np.int32)
+            kept = pa.Array.from_buffers(pa.binary(), len(d), [None, pa.py_buffer(at), pa.py_buffer(t.data[stays])])
+            n = len(d)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(d, mask=d == LAST_ID), pa.array(t.count), pa.array(t.count - np.diff(at)), pa.array(np.bincount(text, minlength=n)),
+                 listed(text, first, end, n), kept], names=CUT_NAMES)
 
     return rows.join(spans, ["d", "r"], "left").mapInArrow(
         cut, "id long, n_bytes long, n_removed long, n_spans long, spans array<struct<first:long,end:long>>, kept binary")
 
 
 CUT_NAMES = ["id", "n_bytes", "n_removed", "n_spans", "spans", "kept"]
-CUT_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(),
-             pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])), pa.binary()]
