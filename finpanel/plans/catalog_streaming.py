@@ -16,12 +16,13 @@ from finpanel.streaming import ingest as st
     f"ROUND({c}, 6) AS {c}" if c in dv.DRIVER_TAGS or c == "price" else c for c in RAW_COLS) + " FROM RAW")
 def q_stream_consolidate(spark, d):
     header = dv.header(spark, d)
-    # facts tagged with their filing's quarter; a quarter has several files
+    # facts tagged with their filing's quarter; a quarter has several files, a file one quarter and a range
+    # of its filings: their number grows with the facts, not with tasks times quarters
     facts = dv.facts(spark, d).join(st.with_quarter(header.select("adsh", "period"), "period")
                                     .select("adsh", "quarter"), "adsh")
     out, ckpt = st.stream_paths(spark, "consolidate")
     src = out.rsplit("/", 1)[0] + "/facts"
-    facts.write.partitionBy("quarter").parquet(src)
+    facts.repartitionByRange("quarter", "adsh").write.partitionBy("quarter").parquet(src)
 
     def transform(batch):
         return consolidate(batch, header, tags=dv.DRIVER_TAGS,
@@ -29,5 +30,5 @@ def q_stream_consolidate(spark, d):
                            meta_cols=DRIVER_META, current=("dyear", "fy"), join_cols=("fy",),
                            tie=("version", "supp", "value"))
 
-    st.ingest_quarters(spark, src, transform, out, ckpt, files_per_trigger=200, key="adsh")
+    st.ingest_quarters(spark, src, transform, out, ckpt, files_per_trigger=200, key="adsh", folder="quarter")
     return rounded(st.read_ingested(spark, out, "adsh").select(*RAW_COLS).withColumn("fy", F.col("fy").cast("int")))

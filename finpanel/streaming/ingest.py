@@ -7,7 +7,8 @@ dedup, pivot) on the facts it received and writes the wide rows to
 idempotent, and the checkpoint location (under the shared checkpoint folder) lets a
 restarted job continue where it stopped. A filing may be spread over files and batches:
 with ``key``, a batch recomputes every filing it touches from all its facts, and the
-latest batch's row stands.
+latest batch's row stands. Where a filing has all its facts in one folder (``folder``, the
+partition column), those of the batch's own folders are read again, not the whole history.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ def stream_paths(spark: SparkSession, name: str) -> tuple[str, str]:
 
 def ingest_quarters(spark: SparkSession, facts_path: str, transform: Callable[[DataFrame], DataFrame],
                     out_path: str, checkpoint: str, files_per_trigger: int = 1,
-                    available_now: bool = True, key: str | None = None) -> None:
+                    available_now: bool = True, key: str | None = None, folder: str | None = None) -> None:
     """Run the stream until every available file is processed (or forever when
     ``available_now`` is False and the caller manages the query)."""
     schema = spark.read.parquet(facts_path).schema
@@ -40,7 +41,11 @@ def ingest_quarters(spark: SparkSession, facts_path: str, transform: Callable[[D
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if key:
             touched = batch.select(key).distinct()
-            batch = batch.sparkSession.read.schema(schema).parquet(facts_path).join(touched, key, "left_semi")
+            history = batch.sparkSession.read.schema(schema).parquet(facts_path)
+            if folder:
+                own = [r[0] for r in batch.select(folder).distinct().collect()]  # a value per folder of the batch
+                history = history.where(F.col(folder).isin([v for v in own if v is not None]) | (F.lit(None in own) & F.col(folder).isNull()))
+            batch = history.join(touched, key, "left_semi")
         out = transform(batch)
         out.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
 
