@@ -90,6 +90,12 @@ def likely(rows: DataFrame, need: DataFrame) -> DataFrame:
             .drop("filter_at", "filter_bits"))
 
 
+def needed(rows: DataFrame, need: DataFrame) -> DataFrame:
+    """The ``rows`` (d, r, ...) that are in ``need`` (d, r; every one once), dealt out after the filter of
+    ``likely``. An inner join, as Spark moves a left semi join below the filter's and then deals out all rows."""
+    return likely(rows, need).join(need, ["d", "r"])
+
+
 def fresh(docs: DataFrame, name: str) -> str:
     """``name``, or with underscores behind it until ``docs`` has no such column."""
     taken = {c.lower() for c in docs.columns}

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finpanel.llm.common import (Fingerprints, drop, fresh, keyed, land, likely, mix64, public_id, release, row_key, run_dir, same_row,
+from finpanel.llm.common import (Fingerprints, drop, fresh, keyed, land, mix64, needed, public_id, release, row_key, run_dir, same_row,
                                  text_chunks, word_tokens)
 from finpanel.llm.keycount import BUCKET_KEYS, bucket_count, of_lists, owners_told, shared_keys, shared_lists, text_bytes
 
@@ -236,7 +236,7 @@ def links(pairs: DataFrame, rows: DataFrame, words: int, percent: int, path: str
     """The pairs (a, b) of nodes whose sets are similar, by their whole sets."""
     pairs = land(pairs.distinct(), f"{path}/pairs")
     need = land(pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct().select("n.d", "n.r"), f"{path}/need")
-    sets = likely(rows, need).join(need, ["d", "r"], "left_semi").dropDuplicates(["d", "r"]).mapInArrow(_set_rows(words), "d long, r long, set array<long>")
+    sets = needed(rows, need).dropDuplicates(["d", "r"]).mapInArrow(_set_rows(words), "d long, r long, set array<long>")
     sets = land(sets.select(F.struct("d", "r").alias("n"), "set"), f"{path}/sets")
     with_a = pairs.join(sets.withColumnRenamed("set", "x"), F.col("a") == F.col("n")).drop("n")
     with_b = with_a.join(sets.withColumnRenamed("set", "y"), F.col("b") == F.col("n")).drop("n")

@@ -69,6 +69,28 @@ def test_near_copies_of_a_large_group_are_compared_once(docs_of, rng, monkeypatc
     assert got == brute(rows + [(900, rows[3][1]), (901, " ".join(words))])
 
 
+def test_only_texts_that_pass_the_row_filter_are_dealt_out(spark, tmp_path, monkeypatch):
+    land, plans = partenum.land, {}
+
+    def told(df, path):
+        plans[path.rsplit("/", 1)[1]] = df._jdf.queryExecution().executedPlan().toString()
+        return land(df, path)
+
+    monkeypatch.setattr(partenum, "land", told)
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(words), " ".join(words[:58]), " ".join(words[:30]), *[f"nobody asks for text {k}" for k in range(200)]]
+    rows = spark.createDataFrame([(k, 7 * k, t) for k, t in enumerate(texts)] + [(1, 7, texts[1])], "d long, r long, text string")
+    pairs = spark.createDataFrame([((0, 0), (1, 7)), ((0, 0), (2, 14)), ((0, 0), (1, 7))], partenum.PAIR)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with more rows than a broadcast may have
+    try:
+        found = partenum.links(pairs, rows, 5, 75, str(tmp_path / "links")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [(r.a.d, r.b.d) for r in found] == [(0, 1)]
+    # A node comes before its inputs: rows reach the exchange of the exact join by way of the filter's.
+    assert 0 <= plans["sets"].index("SortMergeJoin") < plans["sets"].index("BroadcastHashJoin")
+
+
 def test_components(spark, tmp_path):
     path = [(k, k + 1) for k in range(60)] + [(100, 200), (300, 200), (7, 7)]
     out = partenum.components(spark.createDataFrame(path, "a long, b long"), str(tmp_path / "c"))
