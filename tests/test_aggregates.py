@@ -36,6 +36,22 @@ def test_pivot_wide_keeps_all_tags(spark):
     assert out[0].asDict() == {"adsh": "f1", "A": 1.0, "B": 2.0, "C": None, "A_qtrs": 0, "B_qtrs": 4, "C_qtrs": None}
 
 
+def test_pivot_wide_narrow_and_wide_agree(spark, monkeypatch):
+    """Few columns are grouped by id alone; nulls, unlisted tags and ids without a listed tag as in Spark's pivot."""
+    rows = [(f"f{k % 40}", None if k % 11 == 0 else "ABCZ"[k % 4], None if k % 7 == 0 else 1.0 * (k % 40), None if k % 5 == 0 else k % 40)
+            for k in range(160)] + [("only z", "Z", 1.0, 1), (None, "A", 5.0, None), ("empty", None, 1.0, 2)]
+    df = spark.createDataFrame(rows, "adsh string, tag string, value double, qtrs int")
+    for dur in ("qtrs", None):
+        monkeypatch.setattr(ag, "NARROW_PIVOT", 32)
+        narrow = ag.pivot_wide(df, "adsh", "tag", ["A", "B", "C", "x y.z"], dur=dur)
+        # One table of ids in a task, none of (id, tag).
+        assert narrow._jdf.queryExecution().sparkPlan().toString().count("HashAggregate") == 2
+        monkeypatch.setattr(ag, "NARROW_PIVOT", 0)
+        wide = ag.pivot_wide(df, "adsh", "tag", ["A", "B", "C", "x y.z"], dur=dur)
+        assert narrow.dtypes == wide.dtypes
+        assert sorted(narrow.collect(), key=repr) == sorted(wide.collect(), key=repr)
+
+
 def test_missing_by_group_drops_null_keys(spark):
     df = spark.createDataFrame([(1, None), (1, 1.0), (2, 1.0), (2, 1.0), (None, None)], "g int, x double")
     r = ag.missing_by_group(df, "g", ["x"]).collect()[0]
