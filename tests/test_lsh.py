@@ -101,3 +101,35 @@ def test_recall_query_asks_for_rows(spark):
     registry.load_all()
     r = registry.QUERIES["knn_recall"](spark, "/root/testdata/sf0.001").first()
     assert r.n_queries > 0 and r.n_true > 0 and r.recall >= 0.9
+
+
+def test_few_tables_deal_rows_few_times_and_find_them(spark):
+    """Several strips and blocks: a row is dealt out tables x (1 + 2 / SPAN) times at most, the neighbours are found."""
+    from pyspark.sql import functions as F
+    from finpanel.operators import lsh
+    assert lsh.TABLES * (1 + 2 / lsh.SPAN) < 5
+    rng = np.random.default_rng(6)
+    rows = [(50 * i if i % 40 == 0 else 50 * i + 1, *map(float, x), "xy"[i % 2]) for i, x in enumerate(rng.normal(size=(8000, 3)))]
+    df = spark.createDataFrame(rows, "id long, a double, b double, d double, c string").repartition(4)
+    edges = knn_lsh(df, "id", ["a", "b", "d"], ["c"], k=5, block=500)
+    got = recall(df, edges, "id", ["a", "b", "d"], ["c"], k=5).first()
+    assert got.n_queries == 200 and got.recall >= 0.9
+    per = edges.groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("dst").alias("m"))
+    assert per.count() == 8000 and per.where("n <> 5 or m <> 5").count() == 0
+
+
+def test_leaves_pass_no_near_point_over(spark):
+    """Far from a point, close to it in one column, alike in category or not: the leaf search finds what all pairs give."""
+    from finpanel.operators import lsh
+    rng = np.random.default_rng(7)
+    n, k = 1500, 4
+    v = rng.normal(size=(n, 3)) * [1, 0.01, 5] + (rng.random((n, 1)) < 0.02) * 50
+    c = rng.integers(0, 3, n)
+    t = pa.table({"point": pa.array(np.arange(n)), "table": pa.array(np.zeros(n, np.int32)), "at": pa.array(np.zeros(n, np.int64)),
+                  "v": pa.array(v.tolist()), "codes": pa.array([[int(x)] for x in c]), "group": pa.array(np.zeros(n, np.int64))})
+    got = lsh._nearby(pa.int64(), k, 0.7, lsh.SPAN)(t).to_pylist()
+    assert sorted(r["point"] for r in got) == list(range(n))
+    for r in got:
+        d = np.sqrt(((v - v[r["point"]]) ** 2).sum(1) + 0.49 * (c != c[r["point"]]))
+        d[r["point"]] = np.inf
+        assert np.allclose(np.sort(r["dist"]), np.sort(d)[:k]) and np.allclose(d[r["near"]], r["dist"])
