@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from finpanel.ml.folds import fold_frames
 from finpanel.ml import history as hi
 from finpanel.ml.metrics import eval_binary, eval_multiclass, eval_regression, pr_auc
-from finpanel.ml.models import class_scores, fit_by_name, predict
+from finpanel.ml.models import class_scores, fit_by_name, predict, shared_bins
 from finpanel.operators.prepare import accept_checks
 
 
@@ -144,10 +144,11 @@ def halving_search(folded: DataFrame, y: str, features: Sequence[str], space: Ma
         for k in range(1, n_folds + 1):
             tr, te = fold_frames(folded, k)
 
-            def run(t: int, tr=tr, te=te) -> float | None:
-                return _metrics(fit_by_name(tr, y, features, {**base, **drawn[t]}, task), te, y, task)[key]
-            for t, s in zip(left, pool.map(run, left)):
-                scores[t].append(math.inf * sign if s is None else s)
+            with shared_bins(tr, y, features, base, task) as shared:
+                def run(t: int, tr=tr, te=te, shared=shared) -> float | None:
+                    return _metrics(fit_by_name(tr, y, features, {**base, **drawn[t], **shared}, task), te, y, task)[key]
+                for t, s in zip(left, pool.map(run, left)):
+                    scores[t].append(math.inf * sign if s is None else s)
             left = sorted(left, key=lambda t: (sign * sum(scores[t]) / len(scores[t]), t))[:max(1, math.ceil(len(left) * keep))]
     rows = [(t, json.dumps(drawn[t]), len(s), sum(s) / len(s)) for t, s in scores.items()]
     rows.sort(key=lambda r: (-r[2], sign * r[3], r[0]))
